@@ -1,0 +1,68 @@
+"""Views over the driver's test tables that stand in for landed entity data.
+
+The test tables contain no entity records, so every derivation below is a
+column expression over ``documents`` / ``labels`` / ``pages`` /
+``conversations`` / ``events``; the work of each query grows with those
+tables.  The same derivations are written in SQL in ``plans/oracle.py``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from renown import params as P
+from renown.functions.text import extract_topic
+
+AS_OF = "2024-12-31"
+RETRIEVED_AT = "2024-12-31T00:00:00+00:00"
+UNKNOWN_SOURCE = "forum"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _idiv(col: str, k: int):
+    return F.floor(F.col(col) / F.lit(k)).cast("bigint")
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records view R: one normalized record per document (ord = doc_id)."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    d = docs.join(labels, "doc_id", "left")
+    did = F.col("doc_id")
+    sources = F.array(*[F.lit(s) for s in P.SOURCE_ORDER])
+    source = F.when(did % 19 == 0, F.lit(UNKNOWN_SOURCE)).otherwise(
+        F.element_at(sources, (did % 18 + 1).cast("int")))
+    target = F.concat(F.lit("Entity "), (did % 5).cast("string"))
+    pair = _idiv("doc_id", 2)
+    host = F.concat(F.lit("site"), (pair % 13).cast("string"), F.lit(".example.org"))
+    url = F.concat(
+        F.lit("https://"),
+        F.when(did % 2 == 1, F.upper(host)).otherwise(host),
+        F.lit("/a/"), pair.cast("string"),
+        F.when(did % 3 == 0, F.lit("/")).otherwise(F.lit("")),
+        F.when(did % 4 == 1, F.lit("?utm_source=feed")).otherwise(F.lit("")),
+    )
+    out = d.select(
+        did.alias("ord"),
+        source.alias("source"),
+        target.alias("target"),
+        F.concat(target, F.lit(" "), F.col("source")).alias("query"),
+        F.substring(F.regexp_extract(F.col("text"), r"^[^.\n]*", 0), 1, 60).alias("title"),
+        F.col("text"),
+        F.when(did % 11 == 0, F.lit(None).cast("date"))
+         .otherwise(F.date_add(F.lit("2024-01-01").cast("date"), ((did * 7) % 365).cast("int"))).alias("date"),
+        url.alias("url"),
+        F.lit(None).cast("string").alias("author"),
+        F.when(did % 4 == 0, F.lit(None).cast("string")).otherwise(F.col("lang")).alias("language"),
+        host.alias("domain"),
+        F.lit(RETRIEVED_AT).alias("retrieved_at"),
+        F.col("n_chars").cast("bigint").alias("views_count"),
+        F.lit(None).cast("bigint").alias("likes_count"),
+        F.lit(None).cast("bigint").alias("comments_count"),
+        (F.col("quality") - F.col("toxic")).cast("double").alias("sentiment"),
+    )
+    return out.withColumn("topic", extract_topic("target", "query"))

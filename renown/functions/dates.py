@@ -27,9 +27,9 @@ def to_date(col) -> Column:
     rfc_y = F.regexp_extract(s, r"(?:^|[\s,])(\d{1,2})\s+([A-Za-z]{3})[A-Za-z]*\.?\s+(\d{4})\b", 3)
     rfc = F.concat_ws(" ", rfc_d, F.initcap(rfc_m), rfc_y)
     return F.coalesce(
-        F.when(iso != "", F.try_to_date(iso, F.lit("yyyy-MM-dd"))),
-        F.when(compact != "", F.try_to_date(compact, F.lit("yyyyMMdd"))),
-        F.when(rfc_d != "", F.try_to_date(rfc, F.lit("d MMM yyyy"))),
+        F.when(iso != "", F.try_to_date(iso, "yyyy-MM-dd")),
+        F.when(compact != "", F.try_to_date(compact, "yyyyMMdd")),
+        F.when(rfc_d != "", F.try_to_date(rfc, "d MMM yyyy")),
     )
 
 

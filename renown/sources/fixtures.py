@@ -58,7 +58,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         url.alias("url"),
         F.lit(None).cast("string").alias("author"),
         F.when(did % 4 == 0, F.lit(None).cast("string")).otherwise(F.col("lang")).alias("language"),
-        host.alias("domain"),
+        F.when(did % 23 == 0, F.lit("consent.google.com")).otherwise(host).alias("domain"),
         F.lit(RETRIEVED_AT).alias("retrieved_at"),
         F.col("n_chars").cast("bigint").alias("views_count"),
         F.lit(None).cast("bigint").alias("likes_count"),
@@ -66,3 +66,53 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("quality") - F.col("toxic")).cast("double").alias("sentiment"),
     )
     return out.withColumn("topic", extract_topic("target", "query"))
+
+
+def reply_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assistant turns as items, the preceding user turn as their query."""
+    conv = table(spark, sf_dir, "conversations")
+    a = conv.where(F.col("role") == "assistant").select(
+        "conv_id", "turn", F.col("text").alias("description"))
+    u = conv.where(F.col("role") == "user").select(
+        "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("query"))
+    return a.join(u, ["conv_id", "turn"]).select(
+        "conv_id", "turn", "query", F.lit(None).cast("string").alias("title"), "description")
+
+
+def page_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pages with the <title> text and the <body> markup split out."""
+    pages = table(spark, sf_dir, "pages")
+    return pages.select(
+        "page_id", "url", "html",
+        F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1).alias("title_html"),
+        F.regexp_extract("html", r"(?s)<body>(.*)</body>", 1).alias("body_html"),
+    )
+
+
+def raw_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared language spellings derived from documents.lang."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    iso3 = F.create_map(*[F.lit(x) for x in ("de", "deu", "en", "eng", "es", "spa", "fr", "fra")])
+    names = F.create_map(*[F.lit(x) for x in ("de", "German", "en", "english", "es", "SPANISH", "fr", "French")])
+    k = F.col("doc_id") % 7
+    raw = (F.when(k == 0, F.col("lang"))
+            .when(k == 1, F.concat(F.upper("lang"), F.lit("-US")))
+            .when(k == 2, F.concat(F.lit("  "), F.col("lang"), F.lit("_br ")))
+            .when(k == 3, F.try_element_at(iso3, F.col("lang")))
+            .when(k == 4, F.try_element_at(names, F.col("lang")))
+            .when(k == 5, F.lit("klingon"))
+            .otherwise(F.lit("")))
+    return docs.select("doc_id", raw.alias("raw"))
+
+
+def event_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date text in the shapes sources use, rendered from events.ts."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "value", "props")
+    k = F.col("event_id") % 6
+    raw = (F.when(k == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+            .when(k == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'-05:00'"))
+            .when(k == 2, F.date_format("ts", "yyyyMMdd'T'HHmmss'Z'"))
+            .when(k == 3, F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss '+0000'"))
+            .when(k == 4, F.date_format("ts", "yyyy-MM-dd"))
+            .otherwise(F.concat(F.lit("not a date "), F.col("event_id").cast("string"))))
+    return ev.select("event_id", "ts", "value", "props", raw.alias("raw"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from renown.functions.text import _c, py_strip
+from renown.functions.text import _c, let, py_strip
 
 # Python datetime range in days since 1970-01-01 (0001-01-01 .. 9999-12-31).
 _MIN_UNIX_DAY = -719162
@@ -19,7 +19,11 @@ _MAX_UNIX_DAY = 2932896
 
 def to_date(col) -> Column:
     """ISO (with/without time and offset), compact ISO, RFC-822 -> DATE."""
-    s = py_strip(_c(col))
+    return let(col, _to_date)
+
+
+def _to_date(raw: Column) -> Column:
+    s = py_strip(raw)
     iso = F.regexp_extract(s, r"^(\d{4}-\d{2}-\d{2})(?:$|[T ])", 1)
     compact = F.regexp_extract(s, r"^(\d{8})(?:$|T)", 1)
     rfc_d = F.regexp_extract(s, r"(?:^|[\s,])(\d{1,2})\s+([A-Za-z]{3})[A-Za-z]*\.?\s+(\d{4})\b", 1)

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from renown import params as P
-from renown.functions.text import PY_WS, WS_CLASS, _c, py_strip
+from renown.functions.text import PY_WS, WS_CLASS, _c, let, py_strip
 
 # scheme, authority, path, query, fragment
 _URL_RE = r"(?s)^(?:([a-z][a-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
@@ -19,12 +19,13 @@ _NETLOC_RE = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 
 def to_url(col) -> Column:
     """Trim; prefix https:// unless http(s):// is there; '' without authority."""
-    s = py_strip(_c(col))
-    u = F.when(F.startswith(s, F.lit("http://")) | F.startswith(s, F.lit("https://")), s) \
-         .otherwise(F.concat(F.lit("https://"), s))
-    netloc = F.regexp_extract(u, _NETLOC_RE, 1)
-    return F.when(_c(col).isNull() | (_c(col) == ""), F.lit("")) \
-            .when(netloc != "", u).otherwise(F.lit(""))
+    def body(raw):
+        s = py_strip(raw)
+        u = F.when(F.startswith(s, F.lit("http://")) | F.startswith(s, F.lit("https://")), s) \
+             .otherwise(F.concat(F.lit("https://"), s))
+        return F.when(raw.isNull() | (raw == ""), F.lit("")) \
+                .when(F.regexp_extract(u, _NETLOC_RE, 1) != "", u).otherwise(F.lit(""))
+    return let(col, body)
 
 
 def to_domain(col) -> Column:

@@ -1,4 +1,5 @@
 """Imports every query module so the registry is complete."""
 
-from renown.plans import q_dedup, q_enrich, q_filters, q_functions, q_normalize, q_sources, q_summary  # noqa: F401
+from renown.plans import (q_dedup, q_enrich, q_filters, q_functions, q_normalize, q_pipeline,  # noqa: F401
+                          q_sources, q_summary)
 from renown.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -292,7 +292,7 @@ def _select(source: str) -> str:
     mal = sp.get("malformed", "false")
     where = f"source = '{source}'" if source != "forum" else \
         "source NOT IN (" + ", ".join(f"'{s}'" for s in P.SOURCE_ORDER) + ")"
-    return f"SELECT ord, source, {cols}, ({mal}) AS malformed FROM ok WHERE {where}"
+    return f"SELECT ord, source, query, target, {cols}, ({mal}) AS malformed FROM ok WHERE {where}"
 
 
 def _norm_sql(source: str) -> str:

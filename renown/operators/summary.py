@@ -36,6 +36,15 @@ def source_weight(source_col: Column, weights: dict[str, float] | None = None,
     return F.coalesce(F.try_element_at(F.create_map(*items), source_col), F.lit(float(default)))
 
 
+def per_source_stats(records: DataFrame, sp: P.SummaryParams | None = None) -> DataFrame:
+    """The (target, source) partial aggregates the summary is merged from.
+
+    Usable as a streaming aggregation: its state is one row per
+    (target, source), bounded by #targets x #sources.
+    """
+    return _per_source(records, sp or P.SummaryParams())
+
+
 def _per_source(records: DataFrame, sp: P.SummaryParams) -> DataFrame:
     as_of = F.lit(sp.as_of).cast("date")
     s = F.col("sentiment").cast("double")
@@ -79,7 +88,14 @@ def reputation_summary(records: DataFrame, sp: P.SummaryParams | None = None,
     desc, ties by first appearance; ``date_range`` a struct (from, to).
     """
     sp = sp or P.SummaryParams()
-    g = _per_source(records, sp).withColumn("w", source_weight(F.col("source"), weights))
+    return summary_from_stats(_per_source(records, sp), sp, weights)
+
+
+def summary_from_stats(stats: DataFrame, sp: P.SummaryParams | None = None,
+                       weights: dict[str, float] | None = None) -> DataFrame:
+    """Finish the summary from ``per_source_stats`` rows (batch or streaming state)."""
+    sp = sp or P.SummaryParams()
+    g = stats.withColumn("w", source_weight(F.col("source"), weights))
 
     wt = Window.partitionBy("target")
     ns0 = F.coalesce(F.col("ns"), F.lit(0))

@@ -21,7 +21,24 @@ LANGS = ("en", "de", "fr")
 _BLOCKED = "(" + ", ".join(f"'{d}'" for d in sorted(P.BLOCKED_DOMAINS)) + ")"
 _WEIGHTS_VALUES = ", ".join(f"('{k}', CAST({v} AS DOUBLE))" for k, v in P.SOURCE_WEIGHTS.items())
 
-_PIPE_SQL = f"""WITH RECURSIVE {_RAW.strip()},
+def _pipe_sql(since: str, dedup: bool, langs: tuple[str, ...] | None) -> str:
+    body = _PIPE_TEMPLATE.replace("__SINCE__", since)
+    if not dedup:
+        body = body.replace("ded AS (SELECT nb.* FROM seq s JOIN numbered nb ON nb.rn = s.rn WHERE s.keep)",
+                            "ded AS (SELECT * FROM q)")
+    if langs is None:
+        body = body.replace("__LANGFILTER__", "true")
+    else:
+        body = body.replace("__LANGFILTER__", "language IS NULL OR lower(language) IN ("
+                            + ", ".join(f"'{x}'" for x in langs) + ")")
+    return body
+
+
+def stream_summary_sql(since: str) -> str:
+    return _pipe_sql(since, dedup=False, langs=None)
+
+
+_PIPE_TEMPLATE = f"""WITH RECURSIVE {_RAW.strip()},
 n AS ({_ALL_SELECT}),
 acc AS (SELECT * FROM n WHERE NOT malformed AND url <> ''),
 cl AS (SELECT ord, {_sql_clean('source')} AS source, {_sql_clean('query')} AS query,
@@ -34,7 +51,7 @@ cl AS (SELECT ord, {_sql_clean('source')} AS source, {_sql_clean('query')} AS qu
        FROM acc a),
 q AS (SELECT * FROM cl WHERE NOT (coalesce(domain, '') <> '' AND domain IN {_BLOCKED})
         AND (length(coalesce(text, '')) >= {P.MIN_TEXT_LENGTH} OR length(coalesce(title, '')) >= {P.MIN_TITLE_LENGTH})
-        AND (date IS NULL OR date >= DATE '{SINCE}')),
+        AND (date IS NULL OR date >= DATE '__SINCE__')),
 keyed AS (
   SELECT *, nullif({O.sql_canonical_url('url', f'source IN ({_FRAG})')}, '') AS uk,
          CASE WHEN source NOT IN ({_EXCL}) AND {O.sql_canonical_title('title')} <> ''
@@ -53,13 +70,13 @@ seq AS (
 ded AS (SELECT nb.* FROM seq s JOIN numbered nb ON nb.rn = s.rn WHERE s.keep),
 en AS (SELECT ord, source, query, target, topic, date, CAST(NULL AS DOUBLE) AS sentiment,
               {sql_language_code('language')} AS language FROM ded),
-lf AS (SELECT * FROM en WHERE language IS NULL OR lower(language) IN ({", ".join(f"'{x}'" for x in LANGS)})),
+lf AS (SELECT * FROM en WHERE __LANGFILTER__),
 rw AS (SELECT lf.*, COALESCE(sw.w, CAST(0.5 AS DOUBLE)) AS w
        FROM lf LEFT JOIN (VALUES {_WEIGHTS_VALUES}) AS sw(source, w) ON sw.source = lf.source),
 {O.summary_sql('rw')}"""
 
 
-@query("pipeline_summary", _PIPE_SQL)
+@query("pipeline_summary", _pipe_sql(SINCE, dedup=True, langs=LANGS))
 def pipeline_summary(spark, sf_dir):
     """Whole batch run over the landed payloads (no sentiment model) -> summary per entity."""
     res = run_pipeline(X.landed_raw(spark, sf_dir), since=SINCE, languages=LANGS, as_of=X.AS_OF)

@@ -376,6 +376,20 @@ _STAGE1 = ("title", "text", "author", "language", "views_count", "likes_count",
            "date_txt", "date_epoch", "url_raw", "url_direct")
 
 
+def _fence(c: Column) -> Column:
+    """Return ``c`` unchanged, but stop filters on it from being pushed below.
+
+    A predicate on ``reject_reason`` would otherwise be pushed down through
+    the projections and the parse, with every per-source CASE (and the JSON
+    parse they read) copied into the predicate: the payload would be parsed
+    several times per row and the plan grows by orders of magnitude.
+    Predicate pushdown does not cross a projection holding a
+    nondeterministic expression; ``spark_partition_id() >= 0`` is always
+    true (``rand() >= 0`` would be folded away by the optimizer).
+    """
+    return F.when(F.spark_partition_id() >= 0, c)
+
+
 def _stages() -> tuple[dict, dict, dict]:
     """Column expressions of the three projection stages.
 
@@ -427,11 +441,11 @@ def _stages() -> tuple[dict, dict, dict]:
         "author": F.col("_author"), "language": F.col("_language"),
         "views_count": F.col("_views_count"), "likes_count": F.col("_likes_count"),
         "comments_count": F.col("_comments_count"),
-        "reject_reason": (F.when(~F.col("_ok"), F.lit("invalid_payload"))
-                          .when(F.coalesce(F.col("source"), F.lit("")) == "", F.lit("missing_source"))
-                          .when(F.coalesce(F.col("target"), F.lit("")) == "", F.lit("missing_target"))
-                          .when(F.col("_bad"), F.lit("malformed_payload"))
-                          .when(F.coalesce(F.col("url"), F.lit("")) == "", F.lit("missing_url"))),
+        "reject_reason": _fence(F.when(~F.col("_ok"), F.lit("invalid_payload"))
+                                .when(F.coalesce(F.col("source"), F.lit("")) == "", F.lit("missing_source"))
+                                .when(F.coalesce(F.col("target"), F.lit("")) == "", F.lit("missing_target"))
+                                .when(F.col("_bad"), F.lit("malformed_payload"))
+                                .when(F.coalesce(F.col("url"), F.lit("")) == "", F.lit("missing_url"))),
         "topic": extract_topic("target", "query"),
     }
     _EXPR_CACHE.clear()

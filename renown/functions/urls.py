@@ -82,7 +82,8 @@ def canonical_url(col, preserve_fragment) -> Column:
     path = F.regexp_extract(path_all, r"(?s)^(.*?)((?:;[^/]*)?)$", 1)
     params = F.regexp_extract(path_all, r"(?s)^(.*?)((?:;[^/]*)?)$", 2)
     path = F.regexp_replace(path, "/+$", "")
-    cq = canonical_query(query)
+    # the higher-order query rewrite only runs for urls that have a query
+    cq = F.when(query != "", canonical_query(query)).otherwise(F.lit(""))
     keep_frag = preserve_fragment if isinstance(preserve_fragment, Column) else F.lit(bool(preserve_fragment))
     out = F.concat(
         F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(F.lit("")),

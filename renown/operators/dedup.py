@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from renown import params as P
 from renown.functions.text import py_strip
 from renown.functions.urls import canonical_title, canonical_url
-from renown.session import ensure_checkpoint_dir
+from renown.session import ensure_checkpoint_dir, materialize
 
 log = logging.getLogger(__name__)
 
@@ -71,10 +71,10 @@ def first_wins_ords(keyed: DataFrame, ord_col: str = "ord", uk: str = "_uk", tk:
     ensure_checkpoint_dir(spark)
     narrow = keyed.select(F.col(ord_col).alias("ord"), F.col(uk).alias("uk"), F.col(tk).alias("tk"))
     free = narrow.where(F.col("uk").isNull() & F.col("tk").isNull()).select("ord")
-    res = narrow.where(F.col("uk").isNotNull() | F.col("tk").isNotNull()).checkpoint()
+    res = materialize(narrow.where(F.col("uk").isNotNull() | F.col("tk").isNotNull()), "dedup-res")
     parts = [free]
     rounds = 0
-    while not res.isEmpty():
+    while res.take(1):
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"first-wins dedup did not converge in {max_rounds} rounds")
@@ -83,11 +83,12 @@ def first_wins_ords(keyed: DataFrame, ord_col: str = "ord", uk: str = "_uk", tk:
         cand = res.join(mu, "uk", "left").join(mt, "tk", "left")
         kept = cand.where((F.col("uk").isNull() | (F.col("ord") == F.col("mu")))
                           & (F.col("tk").isNull() | (F.col("ord") == F.col("mt")))) \
-                   .select("ord", "uk", "tk").checkpoint()
+                   .select("ord", "uk", "tk")
+        kept = materialize(kept, "dedup-kept")
         parts.append(kept.select("ord"))
         ku = kept.where(F.col("uk").isNotNull()).select("uk")
         kt = kept.where(F.col("tk").isNotNull()).select("tk")
-        res = res.join(ku, "uk", "left_anti").join(kt, "tk", "left_anti").checkpoint()
+        res = materialize(res.join(ku, "uk", "left_anti").join(kt, "tk", "left_anti"), "dedup-res")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

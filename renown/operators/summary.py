@@ -99,15 +99,21 @@ def summary_from_stats(stats: DataFrame, sp: P.SummaryParams | None = None,
 
     wt = Window.partitionBy("target")
     ns0 = F.coalesce(F.col("ns"), F.lit(0))
-    g = (g
-         .withColumn("sw", F.col("w") * ns0)
-         .withColumn("mu_raw", F.try_divide(F.sum(F.col("sw") * F.coalesce(F.col("ms"), F.lit(0.0))).over(wt),
-                                            F.sum("sw").over(wt)))
-         .withColumn("mu", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("mu_raw"))))
-         .withColumn("MX", F.try_divide(F.sum(F.col("nxy") * F.coalesce(F.col("mx"), F.lit(0.0))).over(wt),
-                                        F.sum("nxy").over(wt)))
-         .withColumn("MY", F.try_divide(F.sum(F.col("nxy") * F.coalesce(F.col("my"), F.lit(0.0))).over(wt),
-                                        F.sum("nxy").over(wt))))
+    g = g.withColumn("sw", F.col("w") * ns0)
+    # one Window operator: all target-level sums share the same spec
+    g = g.select(
+        "*",
+        F.sum(F.col("sw") * F.coalesce(F.col("ms"), F.lit(0.0))).over(wt).alias("_swm"),
+        F.sum("sw").over(wt).alias("_sw"),
+        F.sum(F.col("nxy") * F.coalesce(F.col("mx"), F.lit(0.0))).over(wt).alias("_sx"),
+        F.sum(F.col("nxy") * F.coalesce(F.col("my"), F.lit(0.0))).over(wt).alias("_sy"),
+        F.sum("nxy").over(wt).alias("_sn"),
+    )
+    g = g.withColumns({
+        "mu": F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(F.col("_swm"), F.col("_sw")))),
+        "MX": F.try_divide(F.col("_sx"), F.col("_sn")),
+        "MY": F.try_divide(F.col("_sy"), F.col("_sn")),
+    })
 
     trusted = F.col("w") >= F.lit(sp.min_source_trust)
     agg = g.groupBy("target").agg(

@@ -3,8 +3,8 @@
 raw (landed) -> normalize -> accepted -> clean -> quality -> since
 -> first-wins dedup -> enrich -> language filter -> summary (+ sinks)
 
-Two stage boundaries are materialised with reliable ``checkpoint()`` (in
-``spark.checkpoint.dir``): the normalised rows (accepted + rejects, so the
+Two stage boundaries are materialised as Parquet in
+``spark.checkpoint.dir``: the normalised rows (accepted + rejects, so the
 JSON parsing runs once and the rejects table is available) and the
 cleaned, filtered records that dedup both keys and joins back to (so
 cleaning's Python UDF is not evaluated twice).  Dedup iterates over the
@@ -25,7 +25,7 @@ from renown.operators.dedup import deduplicate
 from renown.operators.enrich import LanguageModel, Scorer, enrich
 from renown.operators.filters import filter_by_date, filter_by_language, filter_quality, observed_count
 from renown.operators.normalize import accepted, normalize, rejects
-from renown.session import ensure_checkpoint_dir
+from renown.session import ensure_checkpoint_dir, materialize
 from renown.operators.summary import reputation_summary
 
 
@@ -57,7 +57,7 @@ def run_pipeline(raw: DataFrame, since: str | None = None, languages: tuple[str,
         raw = raw.where(F.col("source").isin(*sources))
     ensure_checkpoint_dir(raw.sparkSession)
     counters: dict[str, Observation] = {}
-    norm = normalize(raw).checkpoint()
+    norm = materialize(normalize(raw), "normalized")
     recs = accepted(norm)
     recs, counters["normalized"] = observed_count(recs, "normalized")
     recs = clean_records(recs)
@@ -65,7 +65,7 @@ def run_pipeline(raw: DataFrame, since: str | None = None, languages: tuple[str,
     recs, counters["after_quality"] = observed_count(recs, "after_quality")
     recs = filter_by_date(recs, since)
     recs, counters["after_since"] = observed_count(recs, "after_since")
-    recs = deduplicate(recs.checkpoint())
+    recs = deduplicate(materialize(recs, "filtered-records"))
     recs = enrich(recs, language_model, scorer)
     recs = filter_by_language(recs, languages)
     summary = reputation_summary(recs, P.SummaryParams(as_of=as_of))

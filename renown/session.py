@@ -63,3 +63,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path below the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as Parquet below the shared checkpoint folder.
+
+    One job (a reliable ``checkpoint()`` computes the plan twice unless it
+    is cached), columnar and compressed, and later reads prune columns.
+    Files live in ``spark.checkpoint.dir``, so a lost executor only costs
+    re-reading them.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

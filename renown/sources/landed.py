@@ -184,3 +184,80 @@ def raw_rows(items: DataFrame, payload: Column, source: str | Column) -> DataFra
     """Stamp landed items as raw rows (source, query, target, retrieved_at, payload)."""
     src = F.lit(source) if isinstance(source, str) else source
     return items.select(src.alias("source"), "query", "target", "retrieved_at", payload.alias("payload"))
+
+
+# -- one call for all JSON sources --------------------------------------------
+
+# Per source (envelope path, item sub-path, url key for the
+# truthy filter, rank counted before that filter, cap applied after it).
+SCAN_RULES: dict[str, tuple[str, str | None, str | None, bool, bool]] = {
+    "news": ("$.articles", None, "$.url", True, False),
+    "gdelt": ("$.articles", None, "$.url", True, False),
+    "youtube": ("$.items", None, "$.id.videoId", True, False),
+    "guardian": ("$.response.results", None, None, True, False),
+    "nyt": ("$.response.docs", None, "$.web_url", True, False),
+    "bluesky": ("$.posts", None, None, True, False),
+    "stackexchange": ("$.items", None, None, True, False),
+    "mastodon": ("$.statuses", None, None, True, False),
+    "lemmy": ("$.posts", None, None, True, False),
+    "brave": ("$.web.results", None, "$.url", True, False),
+    "hackernews": ("$.hits", None, None, True, False),
+    "reddit": ("$.data.children", "$.data", "$.permalink", True, False),
+}
+# Sources that tag items with their 1-based rank.
+RANKED_SOURCES = frozenset({"youtube", "guardian", "nyt", "brave"})
+
+
+def scan_landed(responses: DataFrame, max_results: int) -> DataFrame:
+    """Landed JSON responses of any source -> raw rows (one per item).
+
+    ``responses``: (source, query, target, retrieved_at, response, [tags...]);
+    optional tag columns ``_instance``, ``_content_type``, ``_site`` and
+    ``_hashtag_fallback`` are merged into each item payload.  Per source:
+    cap = min(max_results, source cap) on the response array, rank before
+    the url predicate, lemmy comments read from ``$.comments`` and a
+    mastodon hashtag timeline from the top-level array.
+    """
+    tags = [c for c in ("_instance", "_content_type", "_site", "_hashtag_fallback") if c in responses.columns]
+    parts = []
+    for source, (path, sub, keep, _rank_first, _) in SCAN_RULES.items():
+        cap = source_cap(source, max_results)
+        r = responses.where(F.col("source") == source)
+        if source == "lemmy" and "_content_type" in responses.columns:
+            path_col = F.when(F.col("_content_type") == "Comments", F.lit("$.comments")).otherwise(F.lit(path))
+            v = F.try_parse_json(F.col("response"))
+            arr = F.coalesce(
+                F.when(path_col == "$.comments", F.try_variant_get(v, "$.comments", "array<variant>")),
+                F.when(path_col != "$.comments", F.try_variant_get(v, path, "array<variant>")))
+        elif source == "mastodon" and "_hashtag_fallback" in responses.columns:
+            v = F.try_parse_json(F.col("response"))
+            arr = F.when(F.coalesce(F.col("_hashtag_fallback"), F.lit(False)),
+                         F.try_variant_get(v, "$", "array<variant>")) \
+                   .otherwise(F.try_variant_get(v, path, "array<variant>"))
+        else:
+            arr = F.try_variant_get(F.try_parse_json(F.col("response")), path, "array<variant>")
+        keep_cols = [c for c in r.columns if c != "response"]
+        ex = r.select(*keep_cols, F.posexplode(F.slice(arr, 1, cap)).alias("_pos", "item"))
+        if sub is not None:
+            ex = ex.withColumn("item", F.try_variant_get(F.col("item"), sub, "variant"))
+        ex = ex.withColumn("_rank", F.col("_pos") + 1)
+        if keep is not None:
+            kv = F.try_variant_get(F.col("item"), keep, "string")
+            ex = ex.where(kv.isNotNull() & (kv != ""))
+        body = F.to_json(F.col("item"))
+        tag_cols = [F.col(t).alias(t) for t in tags]
+        if source in RANKED_SOURCES:
+            tag_cols.append(F.col("_rank").alias("_rank"))
+        if tag_cols:
+            # merge the tag object (NULL tags omitted) into the item object
+            tj = F.to_json(F.struct(*tag_cols))
+            inner = F.substring(tj, 2, F.length(tj) - 2)
+            body = (F.when(~F.startswith(body, F.lit("{")) | (inner == ""), body)
+                     .when(body == "{}", tj)
+                     .otherwise(F.concat(F.lit("{"), inner, F.lit(","), F.substring(body, 2, 1 << 30))))
+        parts.append(ex.select("source", "query", "target", "retrieved_at", body.alias("payload"),
+                               F.col("_rank").alias("position")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -58,3 +58,31 @@ def test_talk_sections(spark):
     assert [r.section_title for r in out] == ["First", "Third"]
     assert out[0].url == "https://en.wikipedia.org/wiki/Talk:Some_Page#First"
     assert out[0].wikitext.endswith(" b")
+
+
+def test_scan_landed_then_normalize(spark):
+    from renown.operators.normalize import accepted, normalize
+    rows = [
+        ("news", json.dumps({"status": "ok", "articles": [{"title": "a", "url": "https://x/1"},
+                                                          {"title": "b", "url": ""}]}), None, None, None),
+        ("news", json.dumps({"status": "error", "message": "rate limited"}), None, None, None),
+        ("reddit", json.dumps({"data": {"children": [{"data": {"permalink": "/r/a/1", "title": "r"}}]}}),
+         None, None, None),
+        ("lemmy", json.dumps({"comments": [{"comment": {"content": "c", "ap_id": "https://l/1"},
+                                            "creator": {"name": "n"}, "counts": {}}]}), "lemmy.ml", "Comments", None),
+        ("mastodon", json.dumps([{"content": "<p>x</p>", "url": "https://m/1", "account": {"acct": "a"}}]),
+         "mastodon.social", None, True),
+        ("guardian", json.dumps({"response": {"results": [{"webTitle": "g", "webUrl": "https://g/1", "fields": {}}]}}),
+         None, None, None),
+    ]
+    df = spark.createDataFrame([(s, "q", "T", "2026-04-08", r, i, c, h) for s, r, i, c, h in rows],
+                               "source string, query string, target string, retrieved_at string, response string, "
+                               "_instance string, _content_type string, _hashtag_fallback boolean")
+    raw = L.scan_landed(df, 20)
+    assert sorted(r.source for r in raw.collect()) == ["guardian", "lemmy", "mastodon", "news", "reddit"]
+    g = raw.where(F.col("source") == "guardian").collect()[0]
+    assert json.loads(g.payload)["_rank"] == 1
+    recs = accepted(normalize(raw.withColumn("ord", F.monotonically_increasing_id())))
+    got = {r.source: (r.url, r.domain) for r in recs.collect()}
+    assert got["reddit"] == ("https://www.reddit.com/r/a/1", "www.reddit.com")
+    assert got["lemmy"] == ("https://l/1", "lemmy.ml") and got["mastodon"][1] == "mastodon.social"

@@ -150,29 +150,6 @@ def rss_topk(spark, sf_dir):
     return top.select("query", "ord", "link", "pubDate", "rank")
 
 
-def _talk_pages(spark, sf_dir):
-    """One talk page per document: each text line becomes a section with markup."""
-    docs = X.table(spark, sf_dir, "documents")
-    lines = F.split(F.col("text"), "\n")
-    body = F.transform(lines, lambda ln, i: F.concat(
-        F.lit("== Section "), (i + 1).cast("string"), F.lit(" ==\n"),
-        F.when(i % 3 == 0, F.lit("{{cite|x={{inner}}}} ")).otherwise(F.lit("")),
-        ln, F.lit(" [[Page|label]] '''bold''' ~~~~")))
-    meta = F.transform(lines, lambda ln, i: F.struct(
-        F.concat(F.lit("Section "), (i + 1).cast("string")).alias("line"), F.lit(2).alias("level"),
-        F.concat(F.lit("Section_"), (i + 1).cast("string")).alias("anchor"),
-        (i + 1).cast("string").alias("index")))
-    return docs.select(F.col("doc_id"), F.concat(F.lit("Page "), F.col("doc_id").cast("string")).alias("page_title"),
-                       F.col("lang"), F.concat(F.lit("intro\n"), F.array_join(body, "\n")).alias("wikitext"),
-                       meta.alias("sections"))
-
-
-@query("talk_sections")
-def talk_sections(spark, sf_dir):
-    secs = L.talk_sections(_talk_pages(spark, sf_dir), max_results=20)
-    return secs.select("doc_id", "section_index", "section_title", "url", F.length("wikitext").alias("n_chars"))
-
-
 @query("wikipedia_pick", f"""WITH {_PP},
 a AS (SELECT 'Entity ' || CAST(page_id % 40 AS VARCHAR) AS target, page_id, lang,
              list_position(['fr', 'en'], lang) AS pref FROM pp),

@@ -224,7 +224,10 @@ SELECT event_id,
 FROM events""")
 def epoch_date(spark, sf_dir):
     ev = X.table(spark, sf_dir, "events")
-    secs = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)
+    # seconds since the epoch of the wall-clock (NTZ) value, independent of the session time zone
+    ts = F.col("ts")
+    secs = (F.unix_date(F.to_date(ts)).cast("double") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
+            + F.second(ts))
     return ev.select("event_id", D.epoch_to_date(secs).alias("date_from_float"),
                      D.epoch_to_date(F.floor(secs).cast("bigint")).alias("date_from_int"))
 

@@ -14,8 +14,9 @@ Distributed form -- rounds of:
    of all rows costs one partial row per task, not one task);
 2. a row that is the minimum of *both* its groups has no undecided
    earlier neighbour, so it is kept;
-3. rows sharing a key with a kept row are dropped (two ``left_anti``
-   joins; AQE splits skewed partitions of the large side).
+3. rows sharing a key with a kept row are dropped (joins with the kept
+   keys, which are unique per key; AQE splits skewed partitions of the
+   large side).
 
 Every round keeps at least the smallest undecided ``ord`` so the loop
 terminates; rows whose keys are unique finish in round 1 and later
@@ -78,17 +79,22 @@ def first_wins_ords(keyed: DataFrame, ord_col: str = "ord", uk: str = "_uk", tk:
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"first-wins dedup did not converge in {max_rounds} rounds")
+        # kept: minimum of both key groups (no undecided earlier neighbour)
         mu = res.where(F.col("uk").isNotNull()).groupBy("uk").agg(F.min("ord").alias("mu"))
         mt = res.where(F.col("tk").isNotNull()).groupBy("tk").agg(F.min("ord").alias("mt"))
-        cand = res.join(mu, "uk", "left").join(mt, "tk", "left")
-        kept = cand.where((F.col("uk").isNull() | (F.col("ord") == F.col("mu")))
-                          & (F.col("tk").isNull() | (F.col("ord") == F.col("mt")))) \
-                   .select("ord", "uk", "tk")
-        kept = materialize(kept, "dedup-kept")
-        parts.append(kept.select("ord"))
-        ku = kept.where(F.col("uk").isNotNull()).select("uk")
-        kt = kept.where(F.col("tk").isNotNull()).select("tk")
-        res = materialize(res.join(ku, "uk", "left_anti").join(kt, "tk", "left_anti"), "dedup-res")
+        st = res.join(mu, "uk", "left").join(mt, "tk", "left").withColumn(
+            "kept", (F.col("uk").isNull() | (F.col("ord") == F.col("mu")))
+            & (F.col("tk").isNull() | (F.col("ord") == F.col("mt"))))
+        # dropped: a kept row shares the url key or the title key
+        ku = st.where(F.col("kept") & F.col("uk").isNotNull()).select("uk", F.lit(True).alias("hit_u"))
+        kt = st.where(F.col("kept") & F.col("tk").isNotNull()).select("tk", F.lit(True).alias("hit_t"))
+        st = st.join(ku, "uk", "left").join(kt, "tk", "left").select(
+            "ord", "uk", "tk", "kept",
+            (~F.col("kept") & (F.coalesce("hit_u", F.lit(False)) | F.coalesce("hit_t", F.lit(False))))
+            .alias("dropped"))
+        st = materialize(st, "dedup-round")          # one write per round
+        parts.append(st.where(F.col("kept")).select("ord"))
+        res = st.where(~F.col("kept") & ~F.col("dropped")).select("ord", "uk", "tk")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -164,3 +164,29 @@ def wikipedia_pick(spark, sf_dir):
     hit = L.first_language_hit(pp, ["fr", "en"])
     from renown.operators.dedup import first_per_key
     return first_per_key(hit, ["target"], "page_id").select("target", "page_id", "lang")
+
+
+@query("resolve_links", """
+WITH items AS (SELECT page_id, url AS link FROM pages),
+red AS (SELECT url AS link,
+               CASE WHEN page_id % 9 = 0 THEN 'https://consent.google.com/ml?continue=' || url
+                    WHEN page_id % 9 = 3 THEN ''
+                    ELSE 'https://resolved.example/a/' || CAST(page_id AS VARCHAR) END AS final_url
+        FROM pages WHERE page_id % 3 = 0),
+r AS (SELECT link, min(final_url) AS final_url FROM red GROUP BY link)
+SELECT i.page_id, CASE WHEN r.final_url IS NOT NULL AND r.final_url <> ''
+                         AND regexp_extract(r.final_url, '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?//([^/?#]*)', 1)
+                             <> 'consent.google.com'
+                       THEN r.final_url ELSE i.link END AS link
+FROM items i LEFT JOIN r ON r.link = i.link""")
+def resolve_links(spark, sf_dir):
+    pages = X.table(spark, sf_dir, "pages")
+    items = pages.select("page_id", F.col("url").alias("link"))
+    k = F.col("page_id") % 9
+    red = pages.where(F.col("page_id") % 3 == 0).select(
+        F.col("url").alias("link"),
+        F.when(k == 0, F.concat(F.lit("https://consent.google.com/ml?continue="), F.col("url")))
+         .when(k == 3, F.lit(""))
+         .otherwise(F.concat(F.lit("https://resolved.example/a/"), F.col("page_id").cast("string")))
+         .alias("final_url"))
+    return L.resolve_links(items, red).select("page_id", "link")

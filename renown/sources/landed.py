@@ -216,7 +216,11 @@ def scan_landed(responses: DataFrame, max_results: int) -> DataFrame:
     ``_hashtag_fallback`` are merged into each item payload.  Per source:
     cap = min(max_results, source cap) on the response array, rank before
     the url predicate, lemmy comments read from ``$.comments`` and a
-    mastodon hashtag timeline from the top-level array.
+    mastodon hashtag timeline from the top-level array.  Each source branch
+    filters on ``source``; with the landing table partitioned by source (as
+    ``sinks.write_raw`` writes it) every branch reads only its partition.
+    ``response_seq`` (order of responses within a task) is passed through
+    for ``with_order``.
     """
     tags = [c for c in ("_instance", "_content_type", "_site", "_hashtag_fallback") if c in responses.columns]
     parts = []
@@ -255,9 +259,60 @@ def scan_landed(responses: DataFrame, max_results: int) -> DataFrame:
             body = (F.when(~F.startswith(body, F.lit("{")) | (inner == ""), body)
                      .when(body == "{}", tj)
                      .otherwise(F.concat(F.lit("{"), inner, F.lit(","), F.substring(body, 2, 1 << 30))))
-        parts.append(ex.select("source", "query", "target", "retrieved_at", body.alias("payload"),
+        seq = [F.col("response_seq")] if "response_seq" in r.columns else []
+        parts.append(ex.select("source", "query", "target", "retrieved_at", *seq, body.alias("payload"),
                                F.col("_rank").alias("position")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# -- redirects and task order ---------------------------------------------------
+
+CONSENT_HOST = "consent.google.com"
+
+
+def resolve_links(items: DataFrame, redirects: DataFrame, link_col: str = "link") -> DataFrame:
+    """Replace each link by its landed resolution (link -> final_url).
+
+    Left join: items without a resolution keep their link; a resolution
+    whose host is exactly the consent gate, or that is empty, is ignored.
+    One resolution per link (the smallest, for determinism).
+    """
+    from renown.functions.urls import to_domain
+    r = redirects.where(F.col("link").isNotNull()).groupBy(F.col("link").alias("_rl")) \
+                 .agg(F.min("final_url").alias("_rf"))
+    j = items.join(r, items[link_col] == r["_rl"], "left")
+    use = F.col("_rf").isNotNull() & (F.col("_rf") != "") & (to_domain(F.col("_rf")) != CONSENT_HOST)
+    return j.withColumn(link_col, F.when(use, F.col("_rf")).otherwise(F.col(link_col))).drop("_rl", "_rf")
+
+
+_POS_BITS, _SEQ_BITS = 20, 20
+
+
+def task_index(queries: list[str], sources: tuple[str, ...] = P.SOURCE_ORDER) -> Column:
+    """Fan-out order of a (source, query) task: source-major, then query (0-based).
+
+    Computed from literal parameter arrays; no join and no cross product.
+    """
+    si = F.array_position(F.array(*[F.lit(s) for s in sources]), F.col("source")) - 1
+    qi = F.array_position(F.array(*[F.lit(q) for q in queries]), F.col("query")) - 1
+    return si * F.lit(len(queries)) + qi
+
+
+def with_order(raw: DataFrame, queries: list[str], response_seq: str = "response_seq",
+               position: str = "position", sources: tuple[str, ...] = P.SOURCE_ORDER) -> DataFrame:
+    """Deterministic ``ord`` = (task index, response sequence, position), packed in a bigint.
+
+    This is the order first-wins dedup and the distribution ties follow;
+    ``monotonically_increasing_id`` would depend on partitioning.  Values
+    outside the packing range fail the job instead of colliding.
+    """
+    t = task_index(queries, sources)
+    seq = F.coalesce(F.col(response_seq), F.lit(0)) if response_seq in raw.columns else F.lit(0)
+    pos = F.col(position).cast("bigint")
+    ok = (t >= 0) & (seq >= 0) & (seq < (1 << _SEQ_BITS)) & (pos >= 0) & (pos < (1 << _POS_BITS))
+    packed = F.shiftleft(t.cast("bigint"), _SEQ_BITS + _POS_BITS) + F.shiftleft(seq.cast("bigint"), _POS_BITS) + pos
+    return raw.withColumn("ord", F.when(ok, packed).otherwise(
+        F.raise_error(F.lit("ord out of range: unknown source/query or too many items"))))

@@ -86,3 +86,16 @@ def test_scan_landed_then_normalize(spark):
     got = {r.source: (r.url, r.domain) for r in recs.collect()}
     assert got["reddit"] == ("https://www.reddit.com/r/a/1", "www.reddit.com")
     assert got["lemmy"] == ("https://l/1", "lemmy.ml") and got["mastodon"][1] == "mastodon.social"
+
+
+def test_resolve_links_and_task_order(spark):
+    items = spark.createDataFrame([(1, "g/1"), (2, "g/2"), (3, "g/3")], "id int, link string")
+    red = spark.createDataFrame([("g/1", "https://real.example/a"), ("g/2", "https://consent.google.com/x")],
+                                "link string, final_url string")
+    got = {r.id: r.link for r in L.resolve_links(items, red).collect()}
+    assert got == {1: "https://real.example/a", 2: "g/2", 3: "g/3"}
+    raw = spark.createDataFrame([("gdelt", "b", 0, 1), ("news", "b", 0, 2), ("news", "a", 1, 1), ("news", "a", 0, 5)],
+                                "source string, query string, response_seq int, position int")
+    rows = L.with_order(raw, ["a", "b"]).orderBy("ord").collect()
+    assert [(r.source, r.query, r.response_seq, r.position) for r in rows] == [
+        ("news", "a", 0, 5), ("news", "a", 1, 1), ("news", "b", 0, 2), ("gdelt", "b", 0, 1)]

@@ -155,16 +155,18 @@ class TransformersScorer(Scorer):
                 return m.get("positive", 0.0), m.get("negative", 0.0)
 
             for pdf in batches:
-                texts = pdf[text_col].tolist()
+                texts = pdf[text_col].fillna("").tolist()
+                idx = [i for i, t in enumerate(texts) if t]        # empty = not eligible
+                out = [(None, None)] * len(texts)
                 try:
-                    out = [probs(r) for r in pipe(texts, batch_size=bs)]
-                except Exception:  # noqa: BLE001
-                    out = []
-                    for t in texts:
+                    for i, r in zip(idx, pipe([texts[i] for i in idx], batch_size=bs)):
+                        out[i] = probs(r)
+                except Exception:  # noqa: BLE001 - batch failed: fall back to one by one
+                    for i in idx:
                         try:
-                            out.append(probs(pipe(t)))
+                            out[i] = probs(pipe(texts[i]))
                         except Exception:  # noqa: BLE001
-                            out.append((None, None))
+                            out[i] = (None, None)
                 pdf["p_pos"] = [o[0] for o in out]
                 pdf["p_neg"] = [o[1] for o in out]
                 yield pdf
@@ -191,28 +193,31 @@ def enrich(records: DataFrame, language_model: LanguageModel | None, scorer: Sco
     sentiment is recomputed for every row: eligible rows (analysis text of
     >= 15 chars, language NULL or supported) are scored, all others get
     NULL (a preset sentiment is overwritten, as in the reference).
+
+    One pass over the input: rows that need no detection / no scoring are
+    given an empty text (no tokens, no model work) instead of being split
+    off and unioned back, which would evaluate the input plan twice.
     """
     cols = records.columns
     df = records.withColumn("_atext", analysis_text())
     declared = language_code(F.col("language"))
+    df = df.withColumn("_decl", declared)
     if language_model is not None:
-        need = df.where(declared.isNull())
-        have = df.where(declared.isNotNull())
-        detected = language_model.predict(need, "_atext", out_col="_det")
-        df = have.withColumn("_det", F.lit(None).cast("string")).unionByName(detected)
+        df = df.withColumn("_dtext", F.when(F.col("_decl").isNull(), F.col("_atext")).otherwise(F.lit("")))
+        df = language_model.predict(df, "_dtext", out_col="_det").drop("_dtext")
     else:
         df = df.withColumn("_det", F.lit(None).cast("string"))
-    df = df.withColumn("language", F.coalesce(language_code(F.col("language")), F.col("_det")))
+    df = df.withColumn("language", F.coalesce(F.col("_decl"), F.col("_det")))
 
     supported = sorted(P.SENTIMENT_SUPPORTED_LANGS)
     eligible = (F.length("_atext") >= P.NLP_MIN_LEN_SENTIMENT) & \
                (F.col("language").isNull() | F.col("language").isin(supported))
     if scorer is not None:
-        yes = scorer.score(df.where(eligible), "_atext")
+        df = df.withColumn("_elig", eligible)
+        df = df.withColumn("_stext", F.when(F.col("_elig"), F.col("_atext")).otherwise(F.lit("")))
+        df = scorer.score(df, "_stext")
         s = F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("p_pos") - F.col("p_neg"))), 6)
-        yes = yes.withColumn("sentiment", s).drop("p_pos", "p_neg")
-        no = df.where(~eligible).withColumn("sentiment", F.lit(None).cast("double"))
-        df = yes.unionByName(no)
+        df = df.withColumn("sentiment", F.when(F.col("_elig"), s))
     else:
         df = df.withColumn("sentiment", F.lit(None).cast("double"))
     out = df.select(*[c for c in cols if c != "sentiment"], F.col("sentiment").cast("double").alias("sentiment"))

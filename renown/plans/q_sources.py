@@ -79,7 +79,7 @@ WITH v AS (SELECT conv_id, 'q' || CAST(conv_id % 7 AS VARCHAR) AS query,
 top AS (SELECT * FROM v WHERE video_rank <= {_MAX_VIDEOS}),
 n AS (SELECT query, count(*) AS n_videos FROM top GROUP BY query),
 c AS (SELECT t.query, t.video_rank, c.conv_id, c.turn,
-             row_number() OVER (PARTITION BY c.conv_id ORDER BY c.turn) AS position,
+             c.turn AS position,
              least(greatest(1, {_MAX_RESULTS} // n.n_videos), 100) AS quota
       FROM conversations c JOIN top t ON t.conv_id = c.conv_id JOIN n ON n.query = t.query
       WHERE c.turn > 0 AND t.video_id IS NOT NULL),
@@ -95,8 +95,10 @@ def comments_quota(spark, sf_dir):
         F.when(F.col("conv_id") % 11 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("v"), F.col("conv_id").cast("string"))).alias("video_id"))
     v = v.withColumn("video_rank", F.row_number().over(Window.partitionBy("query").orderBy("conv_id")))
+    # comment position = turn number (turns are 1.. per conversation): no window over a
+    # possibly huge conversation
     c = conv.where(F.col("turn") > 0).withColumn("video_id", F.concat(F.lit("v"), F.col("conv_id").cast("string")))
-    c = c.withColumn("position", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")))
+    c = c.withColumn("position", F.col("turn"))
     out = L.comments_with_quota(v.drop("conv_id"), c.select("video_id", "conv_id", "turn", "position"),
                                 _MAX_RESULTS, _MAX_VIDEOS)
     return out.select("query", "conv_id", "turn", "video_rank", "position", "rank")

@@ -40,13 +40,20 @@ def record_json(records: DataFrame) -> DataFrame:
     return proj.select(F.to_json(F.struct(*proj.columns), {"ignoreNullFields": "false"}).alias("json"))
 
 
-def write_records_json(records: DataFrame, path: str, mode: str = "overwrite") -> None:
-    export_projection(records).write.mode(mode).option("ignoreNullFields", "false").json(path)
+def _export(records: DataFrame, ordered: bool) -> DataFrame:
+    """Export projection; ``ordered`` sorts by ``ord`` (range-partitioned, files in order)."""
+    if ordered and "ord" in records.columns:
+        return export_projection(records.orderBy("ord"))
+    return export_projection(records)
 
 
-def write_records_csv(records: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_records_json(records: DataFrame, path: str, mode: str = "overwrite", ordered: bool = False) -> None:
+    _export(records, ordered).write.mode(mode).option("ignoreNullFields", "false").json(path)
+
+
+def write_records_csv(records: DataFrame, path: str, mode: str = "overwrite", ordered: bool = False) -> None:
     """Header, canonical order, NULL and '' both written empty; text may hold newlines."""
-    (export_projection(records).write.mode(mode)
+    (_export(records, ordered).write.mode(mode)
      .option("header", True).option("escape", '"').option("nullValue", "").option("emptyValue", "")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))

@@ -156,3 +156,25 @@ def run_sinks(df: DataFrame, sinks: dict[str, Callable[[DataFrame], None]]) -> d
     finally:
         df.unpersist()
     return result
+
+
+SAVED_RAW_SCHEMA = "source STRING, query STRING, target STRING, retrieved_at STRING, payload STRING"
+
+
+def read_saved_raw(spark: SparkSession, path: str) -> DataFrame:
+    """Saved runs written as JSON arrays of raw records -> raw rows.
+
+    ``payload`` is declared as a string, so each payload object is kept as
+    its JSON text for ``normalize``.  ``ord`` = (file rank, position in
+    file): files are ranked through their distinct names only (a table of
+    #files rows), and the position comes from the row index within the
+    reading task (a multi-line JSON file is never split).
+    """
+    from pyspark.sql import Window
+    df = spark.read.schema(SAVED_RAW_SCHEMA).option("multiLine", True).json(path)
+    df = df.withColumn("_file", F.input_file_name()).withColumn("_mid", F.monotonically_increasing_id())
+    files = df.select("_file").distinct().withColumn("_frank", F.dense_rank().over(Window.orderBy("_file")))
+    row_idx = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return (df.join(files, "_file")
+            .withColumn("ord", F.shiftleft(F.col("_frank").cast("bigint"), 33) + row_idx)
+            .drop("_file", "_mid", "_frank"))

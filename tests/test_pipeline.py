@@ -77,3 +77,22 @@ def test_streaming_ingest(spark):
     got = spark.read.parquet(out)
     assert got.count() == 5  # blocked domain removed; no dedup in the stream
     assert got.where(F.col("sentiment").isNotNull()).count() == 0
+
+
+def test_read_saved_raw_runs(spark):
+    import os
+    from renown.operators.normalize import accepted, normalize
+    d = scratch_path(spark, "saved")
+    local = d.replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    run = [{"source": "news", "query": "q", "target": "T", "retrieved_at": "2026-04-08T10:00:00+00:00",
+            "payload": {"title": "Première", "url": "https://x/1", "description": "d"}},
+           {"source": "bbc", "query": "q", "target": "T", "retrieved_at": "2026-04-08T10:00:00+00:00",
+            "payload": {"title": "Second", "link": "https://b/2", "description": "<p>x &amp; y</p>"}}]
+    with open(os.path.join(local, "t_20260408T100000Z_raw.json"), "w", encoding="utf-8") as fh:
+        json.dump(run, fh, ensure_ascii=False, indent=2)
+    raw = SK.read_saved_raw(spark, d)
+    rows = raw.orderBy("ord").collect()
+    assert [r.source for r in rows] == ["news", "bbc"]
+    recs = {r.source: r for r in accepted(normalize(raw)).collect()}
+    assert recs["news"].title == "Première" and recs["bbc"].text == "x & y"

@@ -57,7 +57,11 @@ def run_pipeline(raw: DataFrame, since: str | None = None, languages: tuple[str,
         raw = raw.where(F.col("source").isin(*sources))
     ensure_checkpoint_dir(raw.sparkSession)
     counters: dict[str, Observation] = {}
-    norm = materialize(normalize(raw), "normalized")
+    norm = normalize(raw)
+    # the payload is only kept as evidence on rejected rows: accepted rows do not
+    # rewrite the raw data
+    norm = materialize(norm.withColumn("payload", F.when(F.col("reject_reason").isNotNull(), F.col("payload"))),
+                       "normalized")
     recs = accepted(norm)
     recs, counters["normalized"] = observed_count(recs, "normalized")
     recs = clean_records(recs)

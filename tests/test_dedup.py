@@ -69,3 +69,16 @@ def test_randomized_against_sequential(spark):
 def test_first_per_key_keeps_earliest_and_null_group(spark):
     df = spark.createDataFrame([(3, "a"), (1, "a"), (2, None), (5, None), (4, "b")], "ord long, k string")
     assert sorted(r.ord for r in first_per_key(df, ["k"]).collect()) == [1, 2, 4]
+
+
+def test_hot_key_third_of_rows(spark):
+    """One url key holds a third of the rows; the answer still equals the sequential scan."""
+    n = 3000
+    rows = []
+    for i in range(n):
+        u = "hot" if i % 3 == 0 else f"u{i}"
+        t = f"t{i % 97}" if i % 5 == 0 else None
+        rows.append((i, u, t))
+    df = spark.createDataFrame(rows, "ord long, _uk string, _tk string")
+    got, rounds = first_wins_ords(df)
+    assert sorted(r.ord for r in got.collect()) == _sequential(rows)

@@ -105,3 +105,23 @@ def test_one_row_per_target(spark):
     df = spark.createDataFrame(_rows(items), SCHEMA)
     got = {r.entity: r.record_count for r in reputation_summary(df, SP).collect()}
     assert got == {"A": 2, "B": 1}
+
+
+def test_hot_target_matches_single_pass(spark):
+    """A target with a third of the rows gives the same numbers as a direct computation."""
+    items = []
+    for i in range(600):
+        tgt = "HOT" if i % 3 == 0 else f"T{i % 7}"
+        src = ["guardian", "reddit", "news", "forum"][i % 4]
+        items.append({"target": tgt, "source": src, "sentiment": ((i % 11) - 5) / 5.0,
+                      "date": f"2026-03-{(i % 28) + 1:02d}"})
+    df = spark.createDataFrame(_rows(items), SCHEMA)
+    r = [x for x in reputation_summary(df, SP).collect() if x.entity == "HOT"][0]
+    hot = [it for it in items if it["target"] == "HOT"]
+    w = {"guardian": 1.0, "reddit": 0.55, "news": 0.85, "forum": 0.5}
+    sw = sum(w[it["source"]] for it in hot)
+    avg = sum(w[it["source"]] * it["sentiment"] for it in hot) / sw
+    std = math.sqrt(sum(w[it["source"]] * (it["sentiment"] - avg) ** 2 for it in hot) / sw)
+    assert r.record_count == 200
+    assert r.sentiment_avg == pytest.approx(round(avg, 6), abs=1e-6)
+    assert r.sentiment_std == pytest.approx(round(std, 6), abs=1e-6)

@@ -125,3 +125,9 @@ def test_hot_target_matches_single_pass(spark):
     assert r.record_count == 200
     assert r.sentiment_avg == pytest.approx(round(avg, 6), abs=1e-6)
     assert r.sentiment_std == pytest.approx(round(std, 6), abs=1e-6)
+
+
+def test_published_volume_value(spark):
+    """236 records -> volume 0.542295, the value in the reference's sample summary."""
+    r = summ(spark, [{} for _ in range(236)])
+    assert r.volume_score == pytest.approx(0.542295, abs=1e-6)

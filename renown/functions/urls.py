@@ -65,6 +65,24 @@ def canonical_query(q: Column) -> Column:
     return F.array_join(grouped, "&")
 
 
+_TOKEN = r"[A-Za-z0-9_.~-]+"
+# the whole query is simple key[=value] tokens: nothing to decode or escape
+_SIMPLE_QUERY_RE = rf"^{_TOKEN}(={_TOKEN}|=)?(&{_TOKEN}(={_TOKEN}|=)?)*$"
+# some key occurs twice (then first-seen grouping may reorder values)
+_REPEATED_KEY_RE = r"(?:^|&)([^=&]+)(?:=[^&]*)?&(?:.*&)?\1(?:=|&|$)"
+
+
+def _simple_canonical_query(q: Column) -> Column:
+    """canonical_query for simple queries with distinct keys, without higher-order functions."""
+    tracking = "|".join(t.replace(".", r"\.") for t in P.TRACKING_PARAMS)
+    t = F.concat(F.lit("&"), q, F.lit("&"))
+    # drop tracking pairs; the lookahead keeps the separator for the next pair
+    t = F.regexp_replace(t, rf"&(?:{tracking})(?:=[^&]*)?(?=&)", "")
+    # a bare key has an empty value
+    t = F.regexp_replace(t, r"&([^=&]+)(?=&)", "&$1=")
+    return F.regexp_replace(t, r"^&+|&+$", "")
+
+
 def canonical_url(col, preserve_fragment) -> Column:
     """Dedup url key: lower+strip, no tracking params, no trailing slash.
 
@@ -82,8 +100,11 @@ def canonical_url(col, preserve_fragment) -> Column:
     path = F.regexp_extract(path_all, r"(?s)^(.*?)((?:;[^/]*)?)$", 1)
     params = F.regexp_extract(path_all, r"(?s)^(.*?)((?:;[^/]*)?)$", 2)
     path = F.regexp_replace(path, "/+$", "")
-    # the higher-order query rewrite only runs for urls that have a query
-    cq = F.when(query != "", canonical_query(query)).otherwise(F.lit(""))
+    # the higher-order query rewrite only runs for queries the regex path cannot handle
+    simple = query.rlike(_SIMPLE_QUERY_RE) & ~query.rlike(_REPEATED_KEY_RE)
+    cq = (F.when(query == "", F.lit(""))
+           .when(simple, _simple_canonical_query(query))
+           .otherwise(canonical_query(query)))
     keep_frag = preserve_fragment if isinstance(preserve_fragment, Column) else F.lit(bool(preserve_fragment))
     out = F.concat(
         F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(F.lit("")),

@@ -103,3 +103,23 @@ def test_query_helpers(spark):
     assert one(spark, TX.target_slug, "Apple Inc. -- Europe") == "apple_inc_europe"
     assert one(spark, TX.query_to_hashtag, "elon musk!") == "ElonMusk"
     assert one(spark, TX.sanitize_gdelt_query, "AI of Go") == '"AI of Go"'
+
+
+def test_canonical_query_fast_path_equals_exact_path(spark):
+    import random
+    rnd = random.Random(3)
+    keys = ["a", "b", "utm_source", "ref", "x.y", "gclid", "source", "k-1", "refx", "_ga"]
+    vals = ["", "1", "v~2", "z"]
+    qs = set()
+    for _ in range(1500):
+        parts = []
+        for _ in range(rnd.randint(1, 5)):
+            k, v = rnd.choice(keys), rnd.choice(vals)
+            parts.append(k if rnd.random() < 0.2 else f"{k}={v}")
+        qs.add("&".join(parts))
+    df = spark.createDataFrame([(q,) for q in qs], "q string")
+    simple = F.col("q").rlike(U._SIMPLE_QUERY_RE) & ~F.col("q").rlike(U._REPEATED_KEY_RE)
+    out = df.where(simple).select(U.canonical_query(F.col("q")).alias("slow"),
+                                  U._simple_canonical_query(F.col("q")).alias("fast"))
+    assert out.count() > 500
+    assert out.where(F.col("fast") != F.col("slow")).count() == 0

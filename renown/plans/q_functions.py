@@ -43,7 +43,7 @@ SELECT doc_id, {O.sql_truncate('text')} AS text_cut, length({O.sql_truncate('tex
 def truncate_text(spark, sf_dir):
     docs = X.table(spark, sf_dir, "documents")
     cut = TX.truncate_text("text")
-    return docs.select("doc_id", cut.alias("text_cut"), F.length(cut).alias("n_cut"))
+    return docs.select("doc_id", cut.alias("text_cut"), F.length(cut).cast("bigint").alias("n_cut"))
 
 
 @query("strip_html", f"""WITH {_PAGE_PARTS}

@@ -34,7 +34,7 @@ SELECT resp_id, rank, url, title FROM a WHERE rank <= 5 AND url <> ''""")
 def scan_ranked_cap(spark, sf_dir):
     items = L.explode_items(_news_responses(spark, sf_dir), "$.articles", cap=L.source_cap("news", 5),
                             keep_item="$.url")
-    return items.select("resp_id", "rank",
+    return items.select("resp_id", F.col("rank").cast("bigint").alias("rank"),
                         F.try_variant_get("item", "$.url", "string").alias("url"),
                         F.try_variant_get("item", "$.title", "string").alias("title"))
 
@@ -101,7 +101,8 @@ def comments_quota(spark, sf_dir):
     c = c.withColumn("position", F.col("turn"))
     out = L.comments_with_quota(v.drop("conv_id"), c.select("video_id", "conv_id", "turn", "position"),
                                 _MAX_RESULTS, _MAX_VIDEOS)
-    return out.select("query", "conv_id", "turn", "video_rank", "position", "rank")
+    return out.select("query", "conv_id", "turn", F.col("video_rank").cast("bigint").alias("video_rank"),
+                      "position", F.col("rank").cast("bigint").alias("rank"))
 
 
 def _rss_feeds(spark, sf_dir):
@@ -149,7 +150,7 @@ def rss_topk(spark, sf_dir):
     items = L.parse_rss(_rss_feeds(spark, sf_dir))
     items = items.withColumn("ord", F.col("feed_id") * 10 + F.col("item_pos"))
     top = L.rss_top_k(items, 5, 2)
-    return top.select("query", "ord", "link", "pubDate", "rank")
+    return top.select("query", "ord", "link", "pubDate", F.col("rank").cast("bigint").alias("rank"))
 
 
 @query("wikipedia_pick", f"""WITH {_PP},

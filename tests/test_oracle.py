@@ -10,6 +10,8 @@ import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
 SLOW = {"stream_summary"}
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
+          "boolean": "BOOLEAN"}
 
 
 def _norm(v):
@@ -51,8 +53,13 @@ def con():
 @pytest.mark.skipif(not os.path.exists(SF), reason="test tables not present")
 @pytest.mark.parametrize("name", sorted(n for n in E.oracle_sql() if n not in SLOW))
 def test_query_matches_oracle(spark, con, name):
-    got = E.queries()[name](spark, SF).toPandas()
-    exp = con.execute(E.oracle_sql()[name]).df()
+    df = E.queries()[name](spark, SF)
+    sql = E.oracle_sql()[name]
+    spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    sql_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    assert spark_types == sql_types
+    got = df.toPandas()
+    exp = con.execute(sql).df()
     assert _rows(got) == _rows(exp)
 
 

@@ -74,3 +74,24 @@ def run_pipeline(raw: DataFrame, since: str | None = None, languages: tuple[str,
     recs = filter_by_language(recs, languages)
     summary = reputation_summary(recs, P.SummaryParams(as_of=as_of))
     return RunResult(recs, summary, counters, rejects(norm))
+
+
+def run_from_responses(responses: DataFrame, params: P.RunParams,
+                       language_model: LanguageModel | None = None, scorer: Scorer | None = None) -> RunResult:
+    """A whole run from landed JSON responses, driven by ``RunParams``.
+
+    Source selection (empty = every source except the opt-in ones; the
+    filter prunes a source-partitioned landing table), per-source scan rules
+    with ``max_results`` (1 in a dry run), deterministic ``ord`` from the
+    (source, query) task order, then ``run_pipeline``.
+    """
+    from renown.sources.landed import scan_landed, with_order
+
+    selected = params.selected_sources
+    resp = responses.where(F.col("target") == params.target) \
+                    .where(F.col("source").isin(*selected)) \
+                    .where(F.col("query").isin(*params.queries))
+    raw = scan_landed(resp, params.effective_max_results)
+    raw = with_order(raw, list(params.queries), sources=P.SOURCE_ORDER)
+    return run_pipeline(raw, since=params.since, languages=params.languages, as_of=params.as_of,
+                        language_model=language_model, scorer=scorer)

@@ -96,3 +96,26 @@ def test_read_saved_raw_runs(spark):
     assert [r.source for r in rows] == ["news", "bbc"]
     recs = {r.source: r for r in accepted(normalize(raw)).collect()}
     assert recs["news"].title == "Première" and recs["bbc"].text == "x & y"
+
+
+def test_run_from_responses_selection_and_dry_run(spark):
+    from renown import params as P
+    from renown.plans.pipeline import run_from_responses
+    arts = [{"title": f"Story number {i} here", "url": f"https://n.example/{i}",
+             "description": "A description long enough for the quality gate to pass."} for i in range(5)]
+    hits = [{"title": "HN story title", "url": "https://hn.example/1", "objectID": "1"}]
+    rows = [("news", "Target a", "Target", "2026-04-08", json.dumps({"articles": arts})),
+            ("hackernews", "Target a", "Target", "2026-04-08", json.dumps({"hits": hits})),
+            ("news", "Target b", "Other", "2026-04-08", json.dumps({"articles": arts}))]
+    resp = spark.createDataFrame(rows, "source string, query string, target string, retrieved_at string, "
+                                       "response string")
+    full = run_from_responses(resp, P.RunParams(target="Target", queries=("Target a",), as_of="2026-04-08"))
+    assert sorted(r.source for r in full.records.collect()) == ["news"] * 5      # hackernews is opt-in
+    dry = run_from_responses(resp, P.RunParams(target="Target", queries=("Target a",), dry_run=True,
+                                               sources=("news", "hackernews"), as_of="2026-04-08"))
+    assert sorted(r.source for r in dry.records.collect()) == ["hackernews", "news"]  # one item per task
+    try:
+        P.RunParams(target="Target", queries=("q",), sources=("nope",))
+        raise AssertionError("unknown source accepted")
+    except ValueError:
+        pass

@@ -77,3 +77,25 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def cluster_conf(input_bytes: int, executor_cores_total: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Spark settings sized for an input of ``input_bytes`` on a cluster.
+
+    Scan splits and shuffle partitions target ``target_partition_bytes``
+    so a task's working set fits executor memory; AQE coalesces small
+    shuffle partitions and splits skewed ones at run time.  The shuffle
+    partition count is at least twice the cores so every core has work.
+    """
+    shuffle_parts = max(2 * executor_cores_total, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(int(shuffle_parts)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }

@@ -216,56 +216,61 @@ def scan_landed(responses: DataFrame, max_results: int) -> DataFrame:
     ``_hashtag_fallback`` are merged into each item payload.  Per source:
     cap = min(max_results, source cap) on the response array, rank before
     the url predicate, lemmy comments read from ``$.comments`` and a
-    mastodon hashtag timeline from the top-level array.  Each source branch
-    filters on ``source``; with the landing table partitioned by source (as
-    ``sinks.write_raw`` writes it) every branch reads only its partition.
-    ``response_seq`` (order of responses within a task) is passed through
-    for ``with_order``.
+    mastodon hashtag timeline from the top-level array.  One pass: the
+    item array is picked by a ``CASE source`` and exploded once, so the
+    landing table is read once however it is partitioned.  ``response_seq``
+    (order of responses within a task) is passed through for ``with_order``.
+    RSS feeds (bbc, ansa, gnews_it), talk pages, video comments and
+    encyclopedia pages have their own operators here (``parse_rss`` +
+    ``rss_top_k``, ``talk_sections``, ``comments_with_quota``,
+    ``first_language_hit``).
     """
     tags = [c for c in ("_instance", "_content_type", "_site", "_hashtag_fallback") if c in responses.columns]
-    parts = []
-    for source, (path, sub, keep, _rank_first, _) in SCAN_RULES.items():
-        cap = source_cap(source, max_results)
-        r = responses.where(F.col("source") == source)
+    v = F.try_parse_json(F.col("response"))
+    src = F.col("source")
+
+    def arr_for(source, path):
         if source == "lemmy" and "_content_type" in responses.columns:
-            path_col = F.when(F.col("_content_type") == "Comments", F.lit("$.comments")).otherwise(F.lit(path))
-            v = F.try_parse_json(F.col("response"))
-            arr = F.coalesce(
-                F.when(path_col == "$.comments", F.try_variant_get(v, "$.comments", "array<variant>")),
-                F.when(path_col != "$.comments", F.try_variant_get(v, path, "array<variant>")))
-        elif source == "mastodon" and "_hashtag_fallback" in responses.columns:
-            v = F.try_parse_json(F.col("response"))
-            arr = F.when(F.coalesce(F.col("_hashtag_fallback"), F.lit(False)),
-                         F.try_variant_get(v, "$", "array<variant>")) \
-                   .otherwise(F.try_variant_get(v, path, "array<variant>"))
-        else:
-            arr = F.try_variant_get(F.try_parse_json(F.col("response")), path, "array<variant>")
-        keep_cols = [c for c in r.columns if c != "response"]
-        ex = r.select(*keep_cols, F.posexplode(F.slice(arr, 1, cap)).alias("_pos", "item"))
+            return F.when(F.col("_content_type") == "Comments", F.try_variant_get(v, "$.comments", "array<variant>")) \
+                    .otherwise(F.try_variant_get(v, path, "array<variant>"))
+        if source == "mastodon" and "_hashtag_fallback" in responses.columns:
+            return F.when(F.coalesce(F.col("_hashtag_fallback"), F.lit(False)),
+                          F.try_variant_get(v, "$", "array<variant>")) \
+                    .otherwise(F.try_variant_get(v, path, "array<variant>"))
+        return F.try_variant_get(v, path, "array<variant>")
+
+    arr = None
+    for source, (path, _sub, _keep, _rf, _) in SCAN_RULES.items():
+        capped = F.slice(arr_for(source, path), 1, source_cap(source, max_results))
+        arr = F.when(src == source, capped) if arr is None else arr.when(src == source, capped)
+    keep_cols = [c for c in responses.columns if c != "response"]
+    ex = responses.where(src.isin(*SCAN_RULES.keys())).select(
+        *keep_cols, F.posexplode(arr).alias("_pos", "item"))
+
+    item = F.col("item")
+    for source, (_path, sub, _keep, _rf, _) in SCAN_RULES.items():
         if sub is not None:
-            ex = ex.withColumn("item", F.try_variant_get(F.col("item"), sub, "variant"))
-        ex = ex.withColumn("_rank", F.col("_pos") + 1)
+            item = F.when(src == source, F.try_variant_get(F.col("item"), sub, "variant")).otherwise(item)
+    ex = ex.withColumn("item", item).withColumn("_rank", F.col("_pos") + 1)
+    keep_ok = F.lit(True)
+    for source, (_path, _sub, keep, _rf, _) in SCAN_RULES.items():
         if keep is not None:
             kv = F.try_variant_get(F.col("item"), keep, "string")
-            ex = ex.where(kv.isNotNull() & (kv != ""))
-        body = F.to_json(F.col("item"))
-        tag_cols = [F.col(t).alias(t) for t in tags]
-        if source in RANKED_SOURCES:
-            tag_cols.append(F.col("_rank").alias("_rank"))
-        if tag_cols:
-            # merge the tag object (NULL tags omitted) into the item object
-            tj = F.to_json(F.struct(*tag_cols))
-            inner = F.substring(tj, 2, F.length(tj) - 2)
-            body = (F.when(~F.startswith(body, F.lit("{")) | (inner == ""), body)
-                     .when(body == "{}", tj)
-                     .otherwise(F.concat(F.lit("{"), inner, F.lit(","), F.substring(body, 2, 1 << 30))))
-        seq = [F.col("response_seq")] if "response_seq" in r.columns else []
-        parts.append(ex.select("source", "query", "target", "retrieved_at", *seq, body.alias("payload"),
-                               F.col("_rank").alias("position")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            keep_ok = F.when(src == source, kv.isNotNull() & (kv != "")).otherwise(keep_ok)
+    ex = ex.where(keep_ok)
+
+    body = F.to_json(F.col("item"))
+    ranked = src.isin(*sorted(RANKED_SOURCES))
+    tag_cols = [F.col(t).alias(t) for t in tags] + [F.when(ranked, F.col("_rank")).alias("_rank")]
+    # merge the tag object (NULL tags omitted) into the item object
+    tj = F.to_json(F.struct(*tag_cols))
+    inner = F.substring(tj, 2, F.length(tj) - 2)
+    body = (F.when(~F.startswith(body, F.lit("{")) | (inner == ""), body)
+             .when(body == "{}", tj)
+             .otherwise(F.concat(F.lit("{"), inner, F.lit(","), F.substring(body, 2, 1 << 30))))
+    seq = [F.col("response_seq")] if "response_seq" in responses.columns else []
+    return ex.select("source", "query", "target", "retrieved_at", *seq, body.alias("payload"),
+                     F.col("_rank").alias("position"))
 
 
 # -- redirects and task order ---------------------------------------------------

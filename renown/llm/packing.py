@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -30,34 +31,82 @@ from renown.session import materialize
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, task int, nth long"
 
 
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks
+
+
+def _lower(word: str) -> str:
+    """Lower case of a word of letters as the tokenizer makes it; empty if that may differ or isn't one token."""
+    if not word.isalpha():
+        return ""
+    low = word.lower()
+    if word.isascii():
+        return low
+    plain = low.isalpha() and "\u03a3" not in word and is_normalized("NFC", word) and is_normalized("NFC", low)
+    return low if plain else ""
+
+
 class _WordIds(dict):
-    """Ids (little-endian uint32 bytes) of texts without white space; bounded."""
+    """Ids (little-endian uint32 bytes) of texts without white space; bounded.
+
+    ``learn`` encodes what is new in a block of documents together: words
+    of letters or of ASCII marks alone are one pre-token each, so one call
+    over many of them tells their ids apart.  Anything else is encoded by
+    itself.
+    """
 
-    def __init__(self, tokenizer, most: int = 1 << 18):
+    def __init__(self, tokenizer, most: int = 1 << 20):
         super().__init__()
         self.tokenizer, self.most = tokenizer, most
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        low = word.lower()
-        if word != low and word.isascii() and "<|" not in word:
+        head = word.rstrip(_MARKS)
+        low = _lower(head)
+        if low and head != word and "<|" not in word:
+            ids = self[low] + self[word[len(head):]]  # letters and the marks after them are separate tokens
+        elif low and head == word != low:
             ids = self[low]
-        elif len(word) > 1 and word[-1] in ".," and word[:-1].isalpha():
-            ids = self[word[:-1]] + self[word[-1]]  # letters and the mark are separate tokens
         else:
             ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
         self[word] = ids
         return ids
 
+    def learn(self, found: set[str], each: int = 500) -> None:
+        if len(self) + len(found) > self.most:
+            self.clear()
+        heads = {w: w.rstrip(_MARKS) for w in found - self.keys()}
+        new = {w[len(h):] for w, h in heads.items() if h != w and "<|" not in w and (not h or h.isalpha())}
+        new |= {low for low in map(_lower, set(heads.values())) if low}
+        new = list(new - self.keys())
+        groups = [new[at:at + each] for at in range(0, len(new), each)]
+        encoded = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        for words, enc in zip(groups, encoded):
+            of = np.array(enc.word_ids, dtype=np.int64)
+            cuts = np.concatenate(([0], np.nonzero(np.diff(of))[0] + 1, [len(of)])) * 4
+            if len(cuts) == len(words) + 1:  # else the library splits one of them; __missing__ takes them singly
+                ids = np.array(enc.ids, dtype="<u4").tobytes()
+                self.update(zip(words, [ids[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())]))
+
 
 _ODD_SPACE = "\x1c\x1d\x1e\x1f"  # str.split() takes these for white space, the tokenizer does not
 
 
-def text_ids(text: str, words: _WordIds) -> bytes:
-    if any(c in text for c in _ODD_SPACE):
-        return np.array(words.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-    return b"".join(map(words.__getitem__, text.split()))
+def text_ids(texts: list[str], words: _WordIds) -> list[bytes]:
+    split = [None if any(c in t for c in _ODD_SPACE) else t.split() for t in texts]
+    words.learn(set().union(*filter(None, split)))
+    return [np.array(words.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if ws is None
+            else b"".join(map(words.__getitem__, ws)) for t, ws in zip(texts, split)]
+
+
+def _blocks(texts: list[str], most_chars: int = 1 << 22):
+    """(first, after last) of consecutive texts of about ``most_chars`` characters, one at least."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        if size and size + len(t) > most_chars:
+            yield start, i
+            start, size = i, 0
+        size += len(t)
+    if texts:
+        yield start, len(texts)
 
 
 def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
@@ -70,14 +119,15 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id
         end = np.array([end_id], dtype="<u4").tobytes()
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for pdf in batches:
-            rows = []
-            for doc_id, text in zip(pdf["doc_id"].astype("Int64"), pdf["text"]):
-                ids = text_ids(text or "", words) + end
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at:at + 4 * capacity]
-                    n = len(part) // 4
-                    rows.append((doc_id, k, at // 4, n, zlib.crc32(part), task, int(seen[n])))
-                    seen[n] += 1
+            rows, doc_ids, texts = [], pdf["doc_id"].astype("Int64"), [t or "" for t in pdf["text"]]
+            for a, b in _blocks(texts):
+                for doc_id, ids in zip(doc_ids[a:b], text_ids(texts[a:b], words)):
+                    ids += end
+                    for k, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[at:at + 4 * capacity]
+                        n = len(part) // 4
+                        rows.append((doc_id, k, at // 4, n, zlib.crc32(part), task, int(seen[n])))
+                        seen[n] += 1
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"]
                                ).astype({"doc_id": "Int64"})
 

@@ -78,7 +78,7 @@ class _WordIds(dict):
         new |= {low for low in map(_lower, set(heads.values())) if low}
         new = list(new - self.keys())
         groups = [new[at:at + each] for at in range(0, len(new), each)]
-        encoded = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        encoded = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
         for words, enc in zip(groups, encoded):
             of = np.array(enc.word_ids, dtype=np.int64)
             cuts = np.concatenate(([0], np.nonzero(np.diff(of))[0] + 1, [len(of)])) * 4

@@ -22,6 +22,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from renown.llm.common import most_frequent
+from renown.session import materialize
+
 # The base patterns.
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                      re.IGNORECASE | re.ASCII)
@@ -130,8 +133,9 @@ def word_ranks(docs: DataFrame, dictionary_words: int = 20_000) -> dict[str, int
     ``dictionary_words`` bounds the model; ties go by the word itself.
     """
     words = F.explode(F.split(F.lower(F.col("text")), r"[^a-z]+")).alias("w")
-    top = (docs.select(words).filter(F.length("w").between(3, _LONGEST_WORD)).groupBy("w")
-           .agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(dictionary_words).collect())
+    counts = materialize(docs.select(words).filter(F.length("w").between(3, _LONGEST_WORD)).groupBy("w")
+                         .agg(F.count("*").alias("n")), "secret-words")
+    top = most_frequent(counts, dictionary_words, "w").collect()
     ranks = {w: i + 1 for i, w in enumerate(COMMON)}
     for i, r in enumerate(top):
         ranks.setdefault(r.w, len(COMMON) + i + 1)

@@ -173,7 +173,7 @@ def edited_pairs(docs: DataFrame, k: int = K, sketches: int = SKETCHES, size: in
             yield pd.DataFrame(out, columns=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                                              "near_edited", "near_next"]).astype({"doc_id": "Int64"})
 
-    dealt = _dealt(docs, parts).repartition(parts, "part").sortWithinPartitions(
+    dealt = _dealt(docs, 4 * parts).repartition(parts, "part").sortWithinPartitions(
         "part", "head", F.col("doc_id").desc_nulls_last(), "h", "text")
     return dealt.select("doc_id", "text", "part", "head").mapInPandas(
         compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "

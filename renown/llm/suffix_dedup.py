@@ -20,9 +20,9 @@ A window found equal to another one at any step covers its bytes.  Names
 that decide are 128 bits long (pairs of 64); 64 bits group candidates.
 
 Groups are counted by partial aggregation, so a string on a third of all
-rows is one row per task; nothing is compared pair by pair.  Documents are
-read four times, and a read is joined to the rows still in question by id
-and text hash: repeated rows share their results.
+rows is one row per task; nothing is compared pair by pair.  Texts are
+joined twice, by id and text hash (repeated rows share their results): to
+get the bytes of the undecided runs, and to cut the final ranges out.
 
 Defined results: null is empty; a text shorter than ``length`` loses
 nothing; repeated rows repeat each other's strings; positions are bytes.
@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from renown.llm.common import doc_key, sized
+from renown.llm.common import doc_key
 from renown.session import materialize
 
 BLOCK = 16
@@ -107,11 +107,12 @@ def _whole(raw: bytes, a: int, b: int, offset: int) -> tuple[int, int]:
     return _signed(v >> 64), _signed(v & 0xFFFFFFFFFFFFFFFF)
 
 
-_ITEM = "k1 long, k2 long, start int, n int, anchor int, c long, f1 long, f2 long"
+_ITEM = "k1 long, k2 long, run int, start int, n int, anchor int, c long, f1 long, f2 long"
+_RUN = "k1 long, k2 long, run int, start int, n int, anchor int, raw binary"
 
 
-def _frame(rows):
-    return pd.DataFrame(rows, columns=[x.split()[0] for x in _ITEM.split(", ")])
+def _frame(rows, schema=_ITEM):
+    return pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
 
 
 def _first_items(texts: DataFrame, length: int) -> DataFrame:
@@ -121,7 +122,7 @@ def _first_items(texts: DataFrame, length: int) -> DataFrame:
             for k1, k2, text in zip(pdf["k1"], pdf["k2"], pdf["text"]):
                 raw = text.encode()
                 for s, n, m, c in runs(raw, length):
-                    rows.append((k1, k2, s, n, m, _signed(c), *_whole(raw, s, s + n - 1 + length, m - s)))
+                    rows.append((k1, k2, s, s, n, m, _signed(c), *_whole(raw, s, s + n - 1 + length, m - s)))
                 if len(rows) > 200_000:
                     yield _frame(rows)
                     rows = []
@@ -130,44 +131,57 @@ def _first_items(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInPandas(make, _ITEM)
 
 
-def _finer_items(texts: DataFrame, wanted: DataFrame, length: int, block: int) -> DataFrame:
-    """Blocks of ``block`` windows of the wanted items, aligned to their anchors."""
+def _run_bytes(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """The wanted runs with their bytes (under twice ``length`` each)."""
     lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "n", "anchor")).alias("items"))
-    lists = sized(materialize(lists, "suffix-lists"), 50_000)
 
     def make(batches):
         for pdf in batches:
             rows = []
             for k1, k2, text, items in zip(pdf["k1"], pdf["k2"], pdf["text"], pdf["items"]):
                 raw = text.encode()
-                for it in items:
-                    s, n, m = it["start"], it["n"], it["anchor"]
-                    p, end = s, s + n
-                    while p < end:
-                        first = m + (p - m) // block * block
-                        stop = min(end, first + block)
-                        core = _signed(xxhash.xxh3_64_intdigest(raw[first + block - 1:first + length]))
-                        rows.append((k1, k2, p, stop - p, m, core, *_whole(raw, p, stop - 1 + length, p - first)))
-                        p = stop
+                rows += [(k1, k2, it["start"], it["start"], it["n"], it["anchor"],
+                          raw[it["start"]:it["start"] + it["n"] - 1 + length]) for it in items]
+            yield _frame(rows, _RUN)
+
+    lists = materialize(lists, "suffix-lists").hint("merge")  # the same plan at every size; hot keys can be split
+    return texts.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "items").mapInPandas(make, _RUN)
+
+
+def _finer_items(held: DataFrame, length: int, block: int) -> DataFrame:
+    """Blocks of ``block`` windows, aligned to the anchors, of the runs or parts of runs in ``held``."""
+    def make(batches):
+        for pdf in batches:
+            rows = []
+            for k1, k2, run, s, n, m, raw in pdf[[x.split()[0] for x in _RUN.split(", ")]].itertuples(index=False):
+                p, end = s, s + n
+                while p < end:
+                    first = m + (p - m) // block * block
+                    stop = min(end, first + block)
+                    core = _signed(xxhash.xxh3_64_intdigest(raw[first + block - 1 - run:first + length - run]))
+                    rows.append((k1, k2, run, p, stop - p, m, core,
+                                 *_whole(raw, p - run, stop - 1 + length - run, p - first)))
+                    p = stop
                 if len(rows) > 200_000:
                     yield _frame(rows)
                     rows = []
             yield _frame(rows)
 
-    return texts.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "items").mapInPandas(make, _ITEM)
+    return held.mapInPandas(make, _ITEM)
 
 
 def _settle(items: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """(repeated, undecided) of written items: equal wholes repeat; one item per whole of groups with several goes on."""
     again = materialize(items.groupBy("c").agg(F.count("*").alias("n")).filter("n > 1").select("c"), f"{name}-groups")
-    items = materialize(items.join(sized(again, 1_000_000), "c", "left_semi"), f"{name}-kept")
-    one = [F.first(x).alias(x) for x in ("k1", "k2", "start", "n", "anchor")]  # of the same row
+    items = materialize(items.join(again, "c", "left_semi"), f"{name}-kept")
+    place = ["k1", "k2", "run", "start", "n", "anchor"]
+    one = [F.first(x).alias(x) for x in place]  # of the same row
     wholes = materialize(items.groupBy("c", "f1", "f2").agg(F.count("*").alias("copies"), *one), f"{name}-wholes")
     repeated = items.join(wholes.filter("copies > 1").select("c", "f1", "f2"), ["c", "f1", "f2"], "left_semi")
     several = wholes.groupBy("c").agg(F.count("*").alias("m")).filter("m > 1").select("c")
-    undecided = wholes.join(sized(materialize(several, f"{name}-several"), 1_000_000), "c", "left_semi")
+    undecided = wholes.join(materialize(several, f"{name}-several"), "c", "left_semi")
     return (materialize(repeated.select("k1", "k2", "start", "n"), f"{name}-repeated"),
-            materialize(undecided.select("k1", "k2", "start", "n", "anchor"), f"{name}-undecided"))
+            materialize(undecided.select(*place), f"{name}-undecided"))
 
 
 def repeated_windows(docs: DataFrame, length: int = 400) -> DataFrame:
@@ -175,8 +189,10 @@ def repeated_windows(docs: DataFrame, length: int = 400) -> DataFrame:
     texts = docs.select(*doc_key(), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.filter(F.octet_length("text") >= length)
     first, left = _settle(materialize(_first_items(texts, length), "suffix-runs"), "suffix-run")
-    second, left = _settle(materialize(_finer_items(texts, left, length, BLOCK), "suffix-blocks"), "suffix-block")
-    third, _ = _settle(materialize(_finer_items(texts, left, length, 1), "suffix-windows"), "suffix-window")
+    held = materialize(_run_bytes(texts, left, length), "suffix-bytes")
+    second, left = _settle(materialize(_finer_items(held, length, BLOCK), "suffix-blocks"), "suffix-block")
+    parts = left.join(held.select("k1", "k2", "run", "raw"), ["k1", "k2", "run"])
+    third, _ = _settle(materialize(_finer_items(parts, length, 1), "suffix-windows"), "suffix-window")
     return first.unionByName(second).unionByName(third)
 
 
@@ -185,7 +201,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, with_text: bool = False)
     found = repeated_windows(docs, length)
     spans = found.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct(
         F.col("start").alias("s"), (F.col("start") + F.col("n") + (length - 1)).alias("e")))).alias("ranges"))
-    spans = sized(materialize(spans, "suffix-spans"), 50_000)
+    spans = materialize(spans, "suffix-spans").hint("merge")
 
     def cut(batches):
         for pdf in batches:

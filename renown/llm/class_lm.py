@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from renown.llm.common import id_text
 from renown.session import materialize
 
+BINS = 64 * 64
 TOP_WORDS, ENDINGS, CLASSES, CHUNK = 512, 512, 64, 1_000_000
 END = b"\n"  # cannot be a word
 _PACKED = "chunk long, doc_ids binary, nulls binary, held binary, lens binary, tokens binary, hashes binary, " \
@@ -102,6 +103,27 @@ def chunks_of(docs: DataFrame, folds: int = 7, fold: int = 2, endings: int = END
     return materialize(rows.mapInPandas(cut, _PACKED), "lm-chunks")
 
 
+def _bins(counts: np.ndarray) -> np.ndarray:
+    """Logarithmic bins, 64 for each doubling."""
+    return np.floor(np.log2(counts) * 64).astype(np.int64)
+
+
+def _added(rows: DataFrame, column: str) -> np.ndarray:
+    """Sum of packed arrays: one row per task, then 32 groups."""
+    def total(packed):
+        return _pack(sum((_unpack(b, "<i8") for b in packed), np.zeros(1, np.int64)))
+
+    def of_task(batches):
+        packed = [total(pdf[column]) for pdf in batches if len(pdf)]
+        yield pd.DataFrame({"g": [TaskContext.get().partitionId() % 32] if packed else [], "a": [total(packed)] if packed else []})
+
+    def of_group(pdf):
+        return pd.DataFrame({"a": [total(pdf["a"])]})
+
+    sums = rows.select(column).mapInPandas(of_task, "g int, a binary").groupBy("g").applyInPandas(of_group, "a binary")
+    return sum((_unpack(r.a, "<i8") for r in sums.collect()), np.zeros(1, np.int64))
+
+
 def count_words(chunks: DataFrame, ranges: int, top_words: int, endings: int) -> DataFrame:
     """Written rows: an answer for each chunk and hash range, and one row of totals for each range."""
     bits = max(1, (ranges - 1).bit_length())
@@ -128,15 +150,15 @@ def count_words(chunks: DataFrame, ranges: int, top_words: int, endings: int) ->
         most = seen[np.lexsort((words[seen], -counts[seen]))][:top_words]
         totals = pd.DataFrame({
             "range": [int(pdf["range"].iloc[0])],
-            "n": [np.bincount(kind, counts, endings).astype(np.int64).tolist()],
-            "v": [np.bincount(kind[seen], minlength=endings).astype(np.int64).tolist()],
+            "totals": [_pack(np.concatenate([np.bincount(kind[seen], minlength=endings),
+                                             np.bincount(_bins(counts[seen]), minlength=BINS)]).astype("<i8"))],
             "top": [[(int(a), int(b), int(c)) for a, b, c in zip(words[most].view(np.int64), counts[most], kind[most])]]})
         return pd.concat([out, totals], ignore_index=True).astype({"chunk": "Int64"}).replace({np.nan: None})
 
     dealt = chunks.select("chunk", "hashes", "counts", "endings").mapInPandas(
         deal, "range int, chunk long, hashes binary, counts binary, endings binary")
     return materialize(dealt.groupBy("range").applyInPandas(
-        merge, "chunk long, range int, answer binary, n array<long>, v array<long>, "
+        merge, "chunk long, range int, answer binary, totals binary, "
                "top array<struct<hash:long,count:long,ending:int>>"), "lm-counts")
 
 
@@ -246,13 +268,14 @@ class ClassModel:
 
 def train(chunks: DataFrame, counts: DataFrame, top_words: int = TOP_WORDS, endings: int = ENDINGS,
           classes: int = CLASSES) -> ClassModel:
-    per_ending = {r.pos: (r.n, r.v) for r in counts.filter("n IS NOT NULL").select(
-        F.posexplode(F.arrays_zip("n", "v"))).groupBy("pos").agg(F.sum("col.n").alias("n"), F.sum("col.v").alias("v"))
-        .collect()}  # one row per ending
-    top = (counts.filter("top IS NOT NULL").select(F.explode("top").alias("t")).select("t.*")
+    totals = counts.filter("totals IS NOT NULL")
+    sums = np.broadcast_to(_added(totals, "totals"), endings + BINS)
+    above = np.cumsum(sums[endings:][::-1])[::-1]  # words in a bin or a higher one
+    least = int(2 ** ((np.nonzero(above >= min(top_words, above[0]))[0][-1]) / 64))
+    frequent = F.filter("top", lambda t: t["count"] >= least)  # hardly more than top_words in all
+    top = (totals.select(F.explode(frequent).alias("t")).select("t.*")
            .orderBy(F.desc("count"), "hash").limit(top_words).collect())
     end = int(np.uint64(xxhash.xxh64_intdigest(END)).astype(np.int64))
-    end_row = [r for r in top if r.hash == end]
     rest = [r for r in top if r.hash != end]
     shift = 1 + len(rest)
     types = shift + endings
@@ -261,19 +284,12 @@ def train(chunks: DataFrame, counts: DataFrame, top_words: int = TOP_WORDS, endi
     hashes, own = h[order], np.arange(len(h))[order]
     bigrams = type_bigrams(chunks, hashes, own, types, shift)
     cls = exchange(bigrams, classes)
-    n, v = np.zeros(types), np.zeros(types)
-    for pos, (a, b) in per_ending.items():
-        n[shift + pos], v[shift + pos] = a, b
-    for i, r in [(0, x) for x in end_row] + list(enumerate(rest, 1)):  # top words leave the type of their ending
-        n[i], v[i] = r["count"], 1
-        n[shift + r.ending] -= r["count"]
-        v[shift + r.ending] -= 1
-    if not end_row:  # rarer than all top words
-        total = float(bigrams[:, 0].sum())
-        ending = ending_of(END, endings)
-        n[0], v[0] = total, float(total > 0)
-        n[shift + ending] -= total
-        v[shift + ending] -= float(total > 0)
+    n, v = bigrams.sum(axis=0).astype(float), np.zeros(types)
+    v[shift:] = sums[:endings]
+    v[1:shift] = 1  # top words leave the type of their ending, and so does the end token
+    v[0] = float(n[0] > 0)
+    for ending in [ending_of(END, endings)] * int(v[0]) + [r.ending for r in rest]:
+        v[shift + ending] -= 1
     member = np.zeros((types, classes))
     member[np.arange(types), cls] = 1
     return ClassModel(hashes, own, shift, cls, member.T @ bigrams @ member, member.T @ n, member.T @ v,

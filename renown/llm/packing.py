@@ -46,40 +46,45 @@ def _lower(word: str) -> str:
 
 
 class _WordIds(dict):
-    """Ids (little-endian uint32 bytes) of texts without white space; bounded.
+    """Ids (little-endian uint32 bytes) of texts without white space.
 
     ``learn`` encodes what is new in a block of documents together: words
     of letters or of ASCII marks alone are one pre-token each, so one call
     over many of them tells their ids apart.  Anything else is encoded by
-    itself.
+    itself.  At most ``most`` words of the present and as many of the past
+    are kept; words in use move on from the past.
     """
 
-    def __init__(self, tokenizer, most: int = 1 << 20):
+    def __init__(self, tokenizer, most: int = 200_000):
         super().__init__()
-        self.tokenizer, self.most = tokenizer, most
+        self.tokenizer, self.most, self.past = tokenizer, most, {}
 
     def __missing__(self, word: str) -> bytes:
-        head = word.rstrip(_MARKS)
-        low = _lower(head)
-        if low and head != word and "<|" not in word:
-            ids = self[low] + self[word[len(head):]]  # letters and the marks after them are separate tokens
-        elif low and head == word != low:
-            ids = self[low]
-        else:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ids = self.past.get(word)
+        if ids is None:
+            head = word.rstrip(_MARKS)
+            low = _lower(head)
+            if low and head != word and "<|" not in word:
+                ids = self[low] + self[word[len(head):]]  # letters and the marks after them are separate tokens
+            elif low and head == word != low:
+                ids = self[low]
+            else:
+                ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
         self[word] = ids
         return ids
 
     def learn(self, found: set[str], each: int = 500) -> None:
-        if len(self) + len(found) > self.most:
+        if len(self) >= self.most:
+            self.past = dict(self)
             self.clear()
-        heads = {w: w.rstrip(_MARKS) for w in found - self.keys()}
+        new = found - self.keys() - self.past.keys()
+        heads = {w: w.rstrip(_MARKS) for w in new}
         new = {w[len(h):] for w, h in heads.items() if h != w and "<|" not in w and (not h or h.isalpha())}
         new |= {low for low in map(_lower, set(heads.values())) if low}
-        new = list(new - self.keys())
+        new = list(new - self.keys() - self.past.keys())
         groups = [new[at:at + each] for at in range(0, len(new), each)]
-        encoded = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
-        for words, enc in zip(groups, encoded):
+        for words in groups:
+            enc = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
             of = np.array(enc.word_ids, dtype=np.int64)
             cuts = np.concatenate(([0], np.nonzero(np.diff(of))[0] + 1, [len(of)])) * 4
             if len(cuts) == len(words) + 1:  # else the library splits one of them; __missing__ takes them singly
@@ -97,7 +102,7 @@ def text_ids(texts: list[str], words: _WordIds) -> list[bytes]:
             else b"".join(map(words.__getitem__, ws)) for t, ws in zip(texts, split)]
 
 
-def _blocks(texts: list[str], most_chars: int = 1 << 22):
+def _blocks(texts: list[str], most_chars: int = 1 << 20):
     """(first, after last) of consecutive texts of about ``most_chars`` characters, one at least."""
     start, size = 0, 0
     for i, t in enumerate(texts):
@@ -105,7 +110,7 @@ def _blocks(texts: list[str], most_chars: int = 1 << 22):
             yield start, i
             start, size = i, 0
         size += len(t)
-    if texts:
+    if len(texts):
         yield start, len(texts)
 
 
@@ -119,7 +124,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id
         end = np.array([end_id], dtype="<u4").tobytes()
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for pdf in batches:
-            rows, doc_ids, texts = [], pdf["doc_id"].astype("Int64"), [t or "" for t in pdf["text"]]
+            rows, doc_ids, texts = [], pdf["doc_id"].astype("Int64"), pdf["text"].fillna("").to_numpy()
             for a, b in _blocks(texts):
                 for doc_id, ids in zip(doc_ids[a:b], text_ids(texts[a:b], words)):
                     ids += end

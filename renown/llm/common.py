@@ -14,6 +14,8 @@ ASCII_SPACE = r"[\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table.  Rows hold whole texts, so Python workers get 1000 of them at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -55,7 +55,7 @@ class _WordIds(dict):
     are kept; words in use move on from the past.
     """
 
-    def __init__(self, tokenizer, most: int = 400_000):
+    def __init__(self, tokenizer, most: int = 500_000):
         super().__init__()
         self.tokenizer, self.most, self.past = tokenizer, most, {}
 
@@ -77,11 +77,10 @@ class _WordIds(dict):
         if len(self) >= self.most:
             self.past = dict(self)
             self.clear()
-        new = found - self.keys() - self.past.keys()
-        heads = {w: w.rstrip(_MARKS) for w in new}
+        heads = {w: w.rstrip(_MARKS) for w in found if w not in self and w not in self.past}
         new = {w[len(h):] for w, h in heads.items() if h != w and "<|" not in w and (not h or h.isalpha())}
         new |= {low for low in map(_lower, set(heads.values())) if low}
-        new = list(new - self.keys() - self.past.keys())
+        new = [w for w in new if w not in self and w not in self.past]
         groups = [new[at:at + each] for at in range(0, len(new), each)]
         for words in groups:
             enc = self.tokenizer.encode(" ".join(words), add_special_tokens=False)

@@ -271,7 +271,7 @@ def train(chunks: DataFrame, counts: DataFrame, top_words: int = TOP_WORDS, endi
     totals = counts.filter("totals IS NOT NULL")
     sums = np.broadcast_to(_added(totals, "totals"), endings + BINS)
     above = np.cumsum(sums[endings:][::-1])[::-1]  # words in a bin or a higher one
-    least = int(2 ** ((np.nonzero(above >= min(top_words, above[0]))[0][-1]) / 64))
+    least = int(2 ** (np.nonzero(above >= min(top_words, above[0]))[0][-1] / 64)) if above[0] else 1
     frequent = F.filter("top", lambda t: t["count"] >= least)  # hardly more than top_words in all
     top = (totals.select(F.explode(frequent).alias("t")).select("t.*")
            .orderBy(F.desc("count"), "hash").limit(top_words).collect())

@@ -55,7 +55,7 @@ class _WordIds(dict):
     are kept; words in use move on from the past.
     """
 
-    def __init__(self, tokenizer, most: int = 500_000):
+    def __init__(self, tokenizer, most: int = 1_000_000):
         super().__init__()
         self.tokenizer, self.most, self.past = tokenizer, most, {}
 

@@ -7,23 +7,29 @@ remembered.  That is the lexicographically-first maximal independent set
 of the "shares a key" graph, which two ``dropDuplicates`` passes do not
 compute (A(u1,t1), B(u2,t1), C(u2,t3) keeps A and C).
 
+Rows conflict inside one target only: a run handles one target at a
+time, so both keys lead with the target (rows without one share a target).
+
 Distributed form -- rounds of:
 
-1. ``min(ord)`` per url key and per title key over the undecided rows
-   (``groupBy`` with map-side partial aggregation: a key holding a third
-   of all rows costs one partial row per task, not one task);
-2. a row that is the minimum of *both* its groups has no undecided
-   earlier neighbour, so it is kept;
-3. rows sharing a key with a kept row are dropped (joins with the kept
-   keys, which are unique per key; AQE splits skewed partitions of the
-   large side).
+1. ``min(ord)`` per key over the undecided rows (``groupBy`` with map-side
+   partial aggregation: a key holding a third of all rows costs one partial
+   row per task, not one task);
+2. a row that is the minimum of *all* its keys has no undecided earlier
+   neighbour, so it is kept.  Counting how many keys each minimum holds
+   tells that without a join back to the rows;
+3. the keys of kept rows are written (one row per key) and the undecided
+   rows that hold one of them are decided.  Both sides of that join come
+   from files and a shuffle, so AQE can split a hot key.  A row without a
+   key takes part under a filler made of its own ``ord``, which spreads
+   NULL keys over all tasks and matches nothing.
 
 Every round keeps at least the smallest undecided ``ord`` so the loop
 terminates; rows whose keys are unique finish in round 1 and later
-rounds only see the conflicting residue.  The residue is cut from its
-lineage with ``checkpoint()`` (reliable, in ``spark.checkpoint.dir``)
-every round.  Only the narrow (ord, keys) projection is iterated; the
-wide records are joined back once at the end.
+rounds only see the conflicting residue.  Each round's residue is written
+as Parquet below ``spark.checkpoint.dir`` and removed once the next is
+there.  Only the narrow (ord, keys) projection is iterated; the wide
+records are joined back once at the end.
 """
 
 from __future__ import annotations
@@ -36,7 +42,7 @@ from pyspark.sql import functions as F
 from renown import params as P
 from renown.functions.text import py_strip
 from renown.functions.urls import canonical_title, canonical_url
-from renown.session import ensure_checkpoint_dir, materialize
+from renown.session import discard, materialize
 
 log = logging.getLogger(__name__)
 
@@ -57,44 +63,53 @@ def title_domain_key(title="title", domain="domain", source="source") -> Column:
 
 
 def with_dedup_keys(df: DataFrame) -> DataFrame:
-    return df.withColumn("_uk", url_key()).withColumn("_tk", title_domain_key())
+    """Adds ``_uk`` and ``_tk``, led by the target where the rows have one."""
+    uk, tk = url_key(), title_domain_key()
+    if "target" in df.columns:
+        lead = F.concat(F.coalesce(F.col("target"), F.lit("")), F.lit(_KEY_SEP))
+        uk, tk = F.concat(lead, uk), F.concat(lead, tk)
+    return df.withColumn("_uk", uk).withColumn("_tk", tk)
+
+
+def _undecided(res: DataFrame, taken: DataFrame) -> DataFrame:
+    """Rows of ``res`` that hold none of the ``taken`` keys."""
+    for col in ("uk", "tk"):
+        filler = F.concat(F.lit(_KEY_SEP * 3), F.col("ord").cast("string"))
+        res = res.withColumn("_k", F.coalesce(F.col(col), filler)).join(
+            taken.withColumnRenamed("key", "_k"), "_k", "left_anti").drop("_k")
+    return res
 
 
 def first_wins_ords(keyed: DataFrame, ord_col: str = "ord", uk: str = "_uk", tk: str = "_tk",
                     max_rounds: int | None = None) -> tuple[DataFrame, int]:
     """Ords of the rows the sequential two-key first-wins scan keeps.
 
-    ``keyed`` holds (ord, uk, tk); NULL keys never conflict.  Returns
-    (DataFrame[ord], rounds used).  ``max_rounds`` only guards against a
-    runaway; hitting it raises instead of returning a partial answer.
+    ``keyed`` holds (ord, uk, tk); ``ord`` is unique; NULL keys never
+    conflict.  Returns (DataFrame[ord], rounds used).  ``max_rounds`` only
+    guards against a runaway; hitting it raises instead of returning a
+    partial answer.
     """
-    spark = keyed.sparkSession
-    ensure_checkpoint_dir(spark)
-    narrow = keyed.select(F.col(ord_col).alias("ord"), F.col(uk).alias("uk"), F.col(tk).alias("tk"))
-    free = narrow.where(F.col("uk").isNull() & F.col("tk").isNull()).select("ord")
-    res = materialize(narrow.where(F.col("uk").isNotNull() | F.col("tk").isNotNull()), "dedup-res")
-    parts = [free]
-    rounds = 0
-    while res.take(1):
+    narrow = keyed.select(F.col(ord_col).alias("ord"), F.concat(F.lit("u"), uk).alias("uk"),
+                          F.concat(F.lit("t"), tk).alias("tk"))
+    res = materialize(narrow, "dedup-rows")
+    parts = [res.where("uk IS NULL AND tk IS NULL").select("ord")]
+    first, rounds = res, 0
+    while res.where("uk IS NOT NULL OR tk IS NOT NULL").take(1):
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"first-wins dedup did not converge in {max_rounds} rounds")
-        # kept: minimum of both key groups (no undecided earlier neighbour)
-        mu = res.where(F.col("uk").isNotNull()).groupBy("uk").agg(F.min("ord").alias("mu"))
-        mt = res.where(F.col("tk").isNotNull()).groupBy("tk").agg(F.min("ord").alias("mt"))
-        st = res.join(mu, "uk", "left").join(mt, "tk", "left").withColumn(
-            "kept", (F.col("uk").isNull() | (F.col("ord") == F.col("mu")))
-            & (F.col("tk").isNull() | (F.col("ord") == F.col("mt"))))
-        # dropped: a kept row shares the url key or the title key
-        ku = st.where(F.col("kept") & F.col("uk").isNotNull()).select("uk", F.lit(True).alias("hit_u"))
-        kt = st.where(F.col("kept") & F.col("tk").isNotNull()).select("tk", F.lit(True).alias("hit_t"))
-        st = st.join(ku, "uk", "left").join(kt, "tk", "left").select(
-            "ord", "uk", "tk", "kept",
-            (~F.col("kept") & (F.coalesce("hit_u", F.lit(False)) | F.coalesce("hit_t", F.lit(False))))
-            .alias("dropped"))
-        st = materialize(st, "dedup-round")          # one write per round
-        parts.append(st.where(F.col("kept")).select("ord"))
-        res = st.where(~F.col("kept") & ~F.col("dropped")).select("ord", "uk", "tk")
+        keys = F.array_compact(F.array("uk", "tk"))
+        mins = res.select(F.struct("ord", F.size(keys).alias("n")).alias("row"), F.explode(keys).alias("key")) \
+                  .groupBy("key").agg(F.min("row").alias("row"))
+        kept = mins.groupBy("row").agg(F.count(F.lit(1)).alias("mins"), F.collect_list("key").alias("keys")) \
+                   .where(F.col("mins") == F.col("row.n"))        # a row has two keys at most
+        kept = materialize(kept.select("row.ord", "keys"), "dedup-kept")
+        parts.append(kept.select("ord"))
+        before, res = res, materialize(
+            _undecided(res.where("uk IS NOT NULL OR tk IS NOT NULL"), kept.select(F.explode("keys").alias("key"))),
+            "dedup-rows")
+        if before is not first:
+            discard(before)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -103,7 +118,7 @@ def first_wins_ords(keyed: DataFrame, ord_col: str = "ord", uk: str = "_uk", tk:
 
 
 def deduplicate(df: DataFrame, ord_col: str = "ord") -> DataFrame:
-    """Unique records under the reference's two-key first-wins rule."""
+    """Unique records of each target under the two-key first-wins rule."""
     keyed = with_dedup_keys(df).select(ord_col, "_uk", "_tk")
     kept, _ = first_wins_ords(keyed, ord_col)
     return df.join(kept.withColumnRenamed("ord", ord_col), ord_col, "left_semi")

@@ -19,10 +19,10 @@ r AS (
   SELECT
     d.doc_id AS ord,
     CASE WHEN d.doc_id % 19 = 0 THEN 'forum' ELSE {_SOURCES_LIST}[d.doc_id % 18 + 1] END AS source,
-    'Entity ' || CAST(d.doc_id % 5 AS VARCHAR) AS target,
-    'Entity ' || CAST(d.doc_id % 5 AS VARCHAR) || ' ' || d.source AS query,
+    'Entity ' || CAST(d.doc_id // 2 % 5 AS VARCHAR) AS target,
+    'Entity ' || CAST(d.doc_id // 2 % 5 AS VARCHAR) || ' ' || d.source AS query,
     d.source AS topic,
-    substring(regexp_extract(d.text, '^[^.\\n]*'), 1, 60) AS title,
+    regexp_extract(d.text, '^[^.\\n]*') AS title,
     d.text AS text,
     CASE WHEN d.doc_id % 11 = 0 THEN NULL
          ELSE CAST(DATE '2024-01-01' + CAST((d.doc_id * 7) % 365 AS INTEGER) AS DATE) END AS date,

@@ -17,13 +17,13 @@ _FRAG = ", ".join(f"'{s}'" for s in sorted(P.FRAGMENT_PRESERVING_SOURCES))
 # kept url keys and kept title keys: the reference's loop, row by row.
 _SEQUENTIAL = f"""
 keyed AS (
-  SELECT ord, source, title,
-         nullif({O.sql_canonical_url('url', f'source IN ({_FRAG})')}, '') AS uk,
+  SELECT ord, target, source, title,
+         coalesce(target, '') || chr(1) || nullif({O.sql_canonical_url('url', f'source IN ({_FRAG})')}, '') AS uk,
          CASE WHEN source NOT IN ({_EXCL}) AND {O.sql_canonical_title('title')} <> ''
                    AND {O.sql_strip("lower(coalesce(domain, ''))")} <> ''
-              THEN {O.sql_canonical_title('title')} || chr(1) || {O.sql_strip("lower(coalesce(domain, ''))")}
+              THEN coalesce(target, '') || chr(1) || {O.sql_canonical_title('title')} || chr(1) || {O.sql_strip("lower(coalesce(domain, ''))")}
          END AS tk
-  FROM r),
+  FROM __ROWS__),
 numbered AS (SELECT *, row_number() OVER (ORDER BY ord) AS rn FROM keyed),
 seq AS (
   SELECT CAST(0 AS BIGINT) AS rn, CAST([] AS VARCHAR[]) AS su, CAST([] AS VARCHAR[]) AS st, false AS keep
@@ -38,12 +38,21 @@ seq AS (
         FROM seq s JOIN numbered n ON n.rn = s.rn + 1))"""
 
 
-@query("dedup_first_wins", "WITH RECURSIVE " + O.R_CTE.strip() + "," + _SEQUENTIAL + """
+@query("dedup_first_wins", "WITH RECURSIVE " + O.R_CTE.strip() + "," + _SEQUENTIAL.replace("__ROWS__", "r") + """
 SELECT n.ord, n.source, n.title FROM seq s JOIN numbered n ON n.rn = s.rn WHERE s.keep""")
 def dedup_first_wins(spark, sf_dir):
     return deduplicate(X.records(spark, sf_dir)).select("ord", "source", "title")
 
 
+@query("dedup_multi_target", "WITH RECURSIVE " + O.R_CTE.strip() + """,
+m AS (SELECT r.* REPLACE (r.ord * 3 + i AS ord, 'Entity ' || CAST((r.ord // 2 + i) % 5 AS VARCHAR) AS target)
+      FROM r, unnest([0, 1, 2]) AS copies(i)),""" + _SEQUENTIAL.replace("__ROWS__", "m") + """
+SELECT n.ord, n.target, n.source, n.title FROM seq s JOIN numbered n ON n.rn = s.rn WHERE s.keep""")
+def dedup_multi_target(spark, sf_dir):
+    """The same article landed for several targets stays once per target."""
+    return deduplicate(X.shared_records(spark, sf_dir)).select("ord", "target", "source", "title")
+
+
 @query("dedup_by_link", """
 WITH p AS (SELECT page_id, 'Entity ' || CAST(page_id % 3 AS VARCHAR) AS target, split_part(url, '?', 1) AS link
            FROM pages),

@@ -24,7 +24,7 @@ b AS (SELECT page_id AS pid,
         'Entity ' || CAST(page_id % 5 AS VARCHAR) AS target,
         'Entity ' || CAST(page_id % 5 AS VARCHAR) || ' topic' || CAST(page_id % 3 AS VARCHAR) AS query,
         title_html AS t, url AS u,
-        regexp_extract(body_html, '(?s)<p>(.*?)</p>', 1) AS d,
+        array_to_string(regexp_extract_all(body_html, '(?s)<p>(.*?)</p>', 1), ' ') AS d,
         regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang,
         CAST(DATE '2024-01-01' + CAST((page_id * 13) % 366 AS INTEGER) AS DATE) AS day,
         page_id % 1000 AS n1, page_id % 37 AS n2,

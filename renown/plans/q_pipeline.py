@@ -53,10 +53,10 @@ q AS (SELECT * FROM cl WHERE NOT (coalesce(domain, '') <> '' AND domain IN {_BLO
         AND (length(coalesce(text, '')) >= {P.MIN_TEXT_LENGTH} OR length(coalesce(title, '')) >= {P.MIN_TITLE_LENGTH})
         AND (date IS NULL OR date >= DATE '__SINCE__')),
 keyed AS (
-  SELECT *, nullif({O.sql_canonical_url('url', f'source IN ({_FRAG})')}, '') AS uk,
+  SELECT *, coalesce(target, '') || chr(1) || nullif({O.sql_canonical_url('url', f'source IN ({_FRAG})')}, '') AS uk,
          CASE WHEN source NOT IN ({_EXCL}) AND {O.sql_canonical_title('title')} <> ''
                    AND {O.sql_strip("lower(coalesce(domain, ''))")} <> ''
-              THEN {O.sql_canonical_title('title')} || chr(1) || {O.sql_strip("lower(coalesce(domain, ''))")} END AS tk
+              THEN coalesce(target, '') || chr(1) || {O.sql_canonical_title('title')} || chr(1) || {O.sql_strip("lower(coalesce(domain, ''))")} END AS tk
   FROM q),
 numbered AS (SELECT *, row_number() OVER (ORDER BY ord) AS rn FROM keyed),
 seq AS (

@@ -1,8 +1,8 @@
 """SparkSession helpers.
 
 The library never creates folders on executor-local disks.  Lineage cuts
-go to ``spark.checkpoint.dir`` (a shared folder on a cluster); only when
-that setting is missing -- local tests -- a scratch folder is made here.
+go to ``spark.checkpoint.dir`` (a shared folder on a cluster); only
+a local master without that setting gets a scratch folder here.
 """
 
 from __future__ import annotations
@@ -44,8 +44,8 @@ def build_session(master: str | None = None, app: str = "renown",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the context.
 
-    Uses ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local runs and tests) a fresh scratch folder is created.
+    Uses ``spark.checkpoint.dir`` from the session.  Where it is unset, a
+    local master gets a fresh scratch folder and any other master an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="renown-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -79,6 +81,15 @@ def materialize(df, name: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df) -> None:
+    """Delete the files of a table that ``materialize`` wrote and nothing reads any more."""
+    spark = df.sparkSession
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def cluster_conf(input_bytes: int, executor_cores_total: int,
                  target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Spark settings sized for an input of ``input_bytes`` on a cluster.
@@ -97,5 +108,4 @@ def cluster_conf(input_bytes: int, executor_cores_total: int,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
-        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
     }

@@ -36,8 +36,8 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = F.array(*[F.lit(s) for s in P.SOURCE_ORDER])
     source = F.when(did % 19 == 0, F.lit(UNKNOWN_SOURCE)).otherwise(
         F.element_at(sources, (did % 18 + 1).cast("int")))
-    target = F.concat(F.lit("Entity "), (did % 5).cast("string"))
     pair = _idiv("doc_id", 2)
+    target = F.concat(F.lit("Entity "), (pair % 5).cast("string"))
     host = F.concat(F.lit("site"), (pair % 13).cast("string"), F.lit(".example.org"))
     url = F.concat(
         F.lit("https://"),
@@ -51,7 +51,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         source.alias("source"),
         target.alias("target"),
         F.concat(target, F.lit(" "), F.col("source")).alias("query"),
-        F.substring(F.regexp_extract(F.col("text"), r"^[^.\n]*", 0), 1, 60).alias("title"),
+        F.regexp_extract(F.col("text"), r"^[^.\n]*", 0).alias("title"),
         F.col("text"),
         F.when(did % 11 == 0, F.lit(None).cast("date"))
          .otherwise(F.date_add(F.lit("2024-01-01").cast("date"), ((did * 7) % 365).cast("int"))).alias("date"),
@@ -68,6 +68,13 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("topic", extract_topic("target", "query"))
 
 
+def shared_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records view where every article landed for three targets (ord = 3 * doc_id + copy)."""
+    r = records(spark, sf_dir).withColumn("_i", F.explode(F.array(*[F.lit(i) for i in range(3)])))
+    target = F.concat(F.lit("Entity "), ((_idiv("ord", 2) + F.col("_i")) % 5).cast("string"))
+    return r.withColumns({"target": target, "ord": F.col("ord") * 3 + F.col("_i")}).drop("_i")
+
+
 def reply_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Assistant turns as items, the preceding user turn as their query."""
     conv = table(spark, sf_dir, "conversations")
@@ -132,7 +139,7 @@ def landed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ord = page_id; source cycles through the registry (+ an unknown source
     that takes the fallback normaliser); payload fields come from the
-    page's url, <title>, first paragraph and lang attribute.
+    page's url, <title>, paragraphs and lang attribute.
     """
     pp = page_parts(spark, sf_dir)
     pid = F.col("page_id")
@@ -143,7 +150,7 @@ def landed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", source.alias("source"), target.alias("target"),
         F.concat(target, F.lit(" topic"), (pid % 3).cast("string")).alias("query"),
         F.col("title_html").alias("t"), F.col("url").alias("u"),
-        F.regexp_extract("body_html", r"(?s)<p>(.*?)</p>", 1).alias("d"),
+        F.array_join(F.regexp_extract_all("body_html", F.lit(r"(?s)<p>(.*?)</p>"), 1), " ").alias("d"),
         F.regexp_extract("html", r'<html lang="([^"]*)"', 1).alias("lang"),
         F.date_add(F.lit("2024-01-01").cast("date"), ((pid * 13) % 366).cast("int")).alias("day"),
         (pid % 1000).alias("n1"), (pid % 37).alias("n2"),

@@ -82,3 +82,17 @@ def test_hot_key_third_of_rows(spark):
     df = spark.createDataFrame(rows, "ord long, _uk string, _tk string")
     got, rounds = first_wins_ords(df)
     assert sorted(r.ord for r in got.collect()) == _sequential(rows)
+
+
+def test_one_article_stays_once_per_target(spark):
+    rows = [(i, t, "news", "Title One", "https://a/1", "a.com") for i, t in enumerate(["A", "B", "A", None, None])]
+    df = spark.createDataFrame(rows, "ord long, target string, source string, title string, url string, domain string")
+    assert sorted(r.ord for r in deduplicate(df).collect()) == [0, 1, 3]
+
+
+def test_null_keys_and_empty_input(spark):
+    schema = "ord long, _uk string, _tk string"
+    rows = [(i, None, f"t{i % 10}" if i % 2 else None) for i in range(200)]
+    got, _ = first_wins_ords(spark.createDataFrame(rows, schema))
+    assert sorted(r.ord for r in got.collect()) == _sequential(rows)
+    assert first_wins_ords(spark.createDataFrame([], schema))[0].count() == 0

@@ -6,10 +6,8 @@ Here both are re-aimed as models that Spark trains and applies:
 * language: word-count features (hashed) + multinomial Naive Bayes fitted
   on labelled text (``documents.text -> lang``); a prediction is used only
   if its probability is >= 0.80 and the text has >= 15 characters;
-* sentiment: a ``Scorer`` gives (p_pos, p_neg) per row; the default is a
-  TF-IDF + multinomial logistic regression fitted on labelled rows, an
-  optional scorer runs a Hugging Face pipeline in ``mapInPandas`` when
-  ``transformers`` is installed (loaded once per Python worker).
+* sentiment: a ``Scorer`` gives (p_pos, p_neg) per row; the one here is a
+  TF-IDF + multinomial logistic regression fitted on labelled rows.
 
 Gates, overwrite rules and arithmetic (P(pos) - P(neg), clamp, round 6)
 are native column expressions.  Only eligible rows are sent to a scorer.
@@ -126,54 +124,6 @@ def fit_sentiment_scorer(labelled: DataFrame, text_col: str = "text", label_col:
     return SparkMLScorer(PipelineModel(model.stages[1:]), list(model.stages[0].labels))
 
 
-class TransformersScorer(Scorer):
-    """Hugging Face text-classification pipeline applied with ``mapInPandas``.
-
-    The pipeline is created once per Python worker; rows go in Arrow
-    batches.  A batch failure falls back to scoring its rows one by one;
-    a row that still fails gets NULL probabilities.  Needs ``transformers``.
-    """
-
-    def __init__(self, model_name: str, batch_size: int = 32):
-        try:
-            import transformers  # noqa: F401
-        except ImportError as exc:  # pragma: no cover - optional dependency
-            raise RuntimeError("transformers is not installed") from exc
-        self.model_name = model_name
-        self.batch_size = batch_size
-
-    def score(self, df: DataFrame, text_col: str) -> DataFrame:  # pragma: no cover - optional dependency
-        name, bs = self.model_name, self.batch_size
-        schema = df.schema.add("p_pos", "double").add("p_neg", "double")
-
-        def run(batches):
-            from transformers import pipeline
-            pipe = pipeline("text-classification", model=name, top_k=None, truncation=True)
-
-            def probs(res):
-                m = {d["label"].lower(): float(d["score"]) for d in (res[0] if isinstance(res[0], list) else res)}
-                return m.get("positive", 0.0), m.get("negative", 0.0)
-
-            for pdf in batches:
-                texts = pdf[text_col].fillna("").tolist()
-                idx = [i for i, t in enumerate(texts) if t]        # empty = not eligible
-                out = [(None, None)] * len(texts)
-                try:
-                    for i, r in zip(idx, pipe([texts[i] for i in idx], batch_size=bs)):
-                        out[i] = probs(r)
-                except Exception:  # noqa: BLE001 - batch failed: fall back to one by one
-                    for i in idx:
-                        try:
-                            out[i] = probs(pipe(texts[i]))
-                        except Exception:  # noqa: BLE001
-                            out[i] = (None, None)
-                pdf["p_pos"] = [o[0] for o in out]
-                pdf["p_neg"] = [o[1] for o in out]
-                yield pdf
-
-        return df.mapInPandas(run, schema)
-
-
 def sentiment_labels(labels: DataFrame, docs: DataFrame) -> DataFrame:
     """Training rows from the labelled documents: quality - toxic -> class."""
     d = docs.select("doc_id", "text").join(labels.select("doc_id", "quality", "toxic"), "doc_id")

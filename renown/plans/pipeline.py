@@ -83,15 +83,23 @@ def run_from_responses(responses: DataFrame, params: P.RunParams,
     Source selection (empty = every source except the opt-in ones; the
     filter prunes a source-partitioned landing table), per-source scan rules
     with ``max_results`` (1 in a dry run), deterministic ``ord`` from the
-    (source, query) task order, then ``run_pipeline``.
+    (source, query) task order, then ``run_pipeline``.  Unreadable and
+    error responses join the rejects.
     """
-    from renown.sources.landed import scan_landed, with_order
+    from renown.sources.landed import (SCAN_RULES, rejected_responses, require_distinct_responses, scan_landed,
+                                       with_order)
 
     selected = params.selected_sources
     resp = responses.where(F.col("target") == params.target) \
                     .where(F.col("source").isin(*selected)) \
                     .where(F.col("query").isin(*params.queries))
-    raw = scan_landed(resp, params.effective_max_results)
-    raw = with_order(raw, list(params.queries), sources=P.SOURCE_ORDER)
-    return run_pipeline(raw, since=params.since, languages=params.languages, as_of=params.as_of,
-                        language_model=language_model, scorer=scorer)
+    others = [r.source for r in resp.select("source").distinct().collect() if r.source not in SCAN_RULES]
+    if others:
+        raise ValueError(f"not JSON responses, use the operators of sources.landed: {sorted(others)}")
+    require_distinct_responses(resp)
+    raw = scan_landed(resp, params.effective_max_results, slice_all=params.dry_run)
+    raw = with_order(raw, list(params.queries), sources=tuple(dict.fromkeys([*P.SOURCE_ORDER, *SCAN_RULES])))
+    res = run_pipeline(raw, since=params.since, languages=params.languages, as_of=params.as_of,
+                       language_model=language_model, scorer=scorer)
+    res.rejects = res.rejects.unionByName(rejected_responses(resp), allowMissingColumns=True)
+    return res

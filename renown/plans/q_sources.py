@@ -100,7 +100,7 @@ def comments_quota(spark, sf_dir):
     c = conv.where(F.col("turn") > 0).withColumn("video_id", F.concat(F.lit("v"), F.col("conv_id").cast("string")))
     c = c.withColumn("position", F.col("turn"))
     out = L.comments_with_quota(v.drop("conv_id"), c.select("video_id", "conv_id", "turn", "position"),
-                                _MAX_RESULTS, _MAX_VIDEOS)
+                                _MAX_RESULTS, _MAX_VIDEOS, group=("query",))
     return out.select("query", "conv_id", "turn", F.col("video_rank").cast("bigint").alias("video_rank"),
                       "position", F.col("rank").cast("bigint").alias("rank"))
 
@@ -149,7 +149,7 @@ SELECT query, ord, link, pubDate, rank FROM r WHERE rank <= 5""")
 def rss_topk(spark, sf_dir):
     items = L.parse_rss(_rss_feeds(spark, sf_dir))
     items = items.withColumn("ord", F.col("feed_id") * 10 + F.col("item_pos"))
-    top = L.rss_top_k(items, 5, 2)
+    top = L.rss_top_k(items, 5, 2, group=("source", "query"))
     return top.select("query", "ord", "link", "pubDate", F.col("rank").cast("bigint").alias("rank"))
 
 

@@ -12,6 +12,9 @@ cross-response rule (fallback, first-wins, top-k over feeds) asks for one.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +30,7 @@ ENVELOPES: dict[str, str] = {
     "reddit": "$.data.children",
 }
 RSS_ITEM_SCHEMA = ("channel STRUCT<item: ARRAY<STRUCT<title: STRING, link: STRING, pubDate: STRING, "
-                   "description: STRING, source: STRING>>>")
+                   "description: STRING, source: STRUCT<_VALUE: STRING, _url: STRING>>>>")
 
 
 def source_cap(source: str, max_results: int) -> int:
@@ -79,22 +82,23 @@ def join_statistics(items: DataFrame, stats: DataFrame, key: str = "video_id") -
 
 
 def comments_with_quota(videos: DataFrame, comments: DataFrame, max_results: int, max_videos: int = 3,
-                        per_video_cap: int = 100, group: tuple[str, ...] = ("query",)) -> DataFrame:
-    """Comments of the top videos of each query, per-video quota, total cap.
+                        group: tuple[str, ...] = ("target", "query")) -> DataFrame:
+    """Comments of the top videos of each query, per-video quota, total limit.
 
     ``videos``: (group..., video_rank, video_id [nullable], video_title);
     ``comments``: (video_id, position, ...).  The quota is
     ``max(1, max_results // n_videos)`` where ``n_videos`` counts the kept
-    search results including those without an id.
+    search results including those without an id.  Comments past
+    ``max_results`` can't be within any quota and are left out before the
+    join, so a video with many comments joins few of them.
     """
     g = list(group)
-    max_videos = min(max_videos, 10)
     top = videos.where(F.col("video_rank") <= max_videos)
     n = top.groupBy(*g).agg(F.count(F.lit(1)).alias("n_videos"))
     top = top.join(n, g)
-    quota = F.least(F.greatest(F.lit(1), F.floor(F.lit(max_results) / F.col("n_videos"))), F.lit(per_video_cap))
-    c = comments.join(top.where(F.col("video_id").isNotNull()), "video_id")
-    c = c.where(F.col("position") <= quota)
+    quota = F.greatest(F.lit(1), F.floor(F.lit(max_results) / F.col("n_videos")))
+    c = comments.where(F.col("position") <= max_results)
+    c = c.join(top.where(F.col("video_id").isNotNull()), "video_id").where(F.col("position") <= quota)
     w = Window.partitionBy(*g).orderBy("video_rank", "position")
     return c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max_results)
 
@@ -109,15 +113,15 @@ def parse_rss(feeds: DataFrame, doc_col: str = "response") -> DataFrame:
     out = feeds.select(*cols, F.posexplode(parsed["channel"]["item"]).alias("item_pos", "it"))
 
     def txt(name):
-        v = py_strip(F.col("it")[name])
+        v = py_strip(F.col(f"it.{name}"))
         return F.when(v != "", v)
 
     return out.select(*cols, "item_pos", txt("title").alias("title"), txt("link").alias("link"),
                       txt("pubDate").alias("pubDate"), txt("description").alias("description"),
-                      txt("source").alias("source_name"))
+                      txt("source._VALUE").alias("source_name"), txt("source._url").alias("source_url"))
 
 
-def rss_top_k(items: DataFrame, k: int, min_term_len: int, group: tuple[str, ...] = ("source", "query"),
+def rss_top_k(items: DataFrame, k: int, min_term_len: int, group: tuple[str, ...] = ("target", "source", "query"),
               order_col: str = "ord") -> DataFrame:
     """bbc/ansa rule: relevance filter, first-wins by link, pubDate text desc, top k.
 
@@ -135,6 +139,7 @@ def rss_top_k(items: DataFrame, k: int, min_term_len: int, group: tuple[str, ...
 
 # -- talk pages ---------------------------------------------------------------
 
+# Header lines and template-only sections.
 _HEADER_RE = rf"(?dm)^(={{2,}}){WS_CLASS}*(.+?){WS_CLASS}*\1{WS_CLASS}*$"
 _TEMPLATE_ONLY_RE = r"(?s)^[\s]*\{\{[^}]+\}\}[\s]*$"
 
@@ -150,15 +155,16 @@ def talk_sections(pages: DataFrame, max_results: int,
     that are a single template are dropped; the first ``max_results`` kept
     sections are returned.  Per-row array work only.
     """
-    bodies = F.split(F.col("wikitext"), _HEADER_RE)
     cols = [c for c in pages.columns if c not in ("wikitext", "sections")]
+    metas = F.transform(F.col("sections"), lambda m, i: F.struct(m.alias("m"), i.alias("i")))
+    bodies = F.slice(F.split(F.col("wikitext"), _HEADER_RE), 2, 1 << 30)   # split once a page
 
-    def section(m, i):
-        raw = py_strip(F.coalesce(F.try_element_at(bodies, i + 2), F.lit("")))
-        return F.struct(m.alias("m"), i.alias("i"), raw.alias("raw"), clean_wikitext(raw).alias("clean"))
+    def section(s, body):
+        raw = py_strip(F.coalesce(body, F.lit("")))
+        return F.struct(s["m"].alias("m"), s["i"].alias("i"), raw.alias("raw"), clean_wikitext(raw).alias("clean"))
 
-    secs = F.transform(F.col("sections"), section)
-    kept = F.filter(secs, lambda e: (F.length(e["clean"]) >= min_len) & ~e["raw"].rlike(_TEMPLATE_ONLY_RE))
+    secs = F.zip_with(metas, bodies, lambda s, body: F.when(s.isNotNull(), section(s, body)))
+    kept = F.filter(secs, lambda e: e.isNotNull() & (F.length(e["clean"]) >= min_len) & ~e["raw"].rlike(_TEMPLATE_ONLY_RE))
     ex = pages.select(*cols, F.explode(F.slice(kept, 1, max_results)).alias("s"))
     title = F.coalesce(F.col("s.m.line"), F.lit(""))
     anchor = F.coalesce(F.col("s.m.anchor"), F.replace(title, F.lit(" "), F.lit("_")))
@@ -180,97 +186,153 @@ def first_language_hit(pages: DataFrame, lang_order: list[str], key: str = "targ
     return ranked.join(best, [key, "_pref"], "left_semi").drop("_pref")
 
 
-def raw_rows(items: DataFrame, payload: Column, source: str | Column) -> DataFrame:
-    """Stamp landed items as raw rows (source, query, target, retrieved_at, payload)."""
-    src = F.lit(source) if isinstance(source, str) else source
-    return items.select(src.alias("source"), "query", "target", "retrieved_at", payload.alias("payload"))
+# -- one call for all JSON sources --------------------------------------------
 
+@dataclass(frozen=True)
+class ScanRule:
+    """How the landed JSON of a source becomes items.
 
-# -- one call for all JSON sources --------------------------------------------
+    ``path`` is the item array and ``item_path`` the item inside an element;
+    items without text at ``url_path`` are left out; ``rank_key`` names the
+    payload key of the 1-based position; ``error_path`` holds something
+    (``error_value``, if given) in an error response; ``sliced`` sources
+    keep ``max_results`` items of a response (the others keep all that landed).
+    """
 
-# Per source (envelope path, item sub-path, url key for the
-# truthy filter, rank counted before that filter, cap applied after it).
-SCAN_RULES: dict[str, tuple[str, str | None, str | None, bool, bool]] = {
-    "news": ("$.articles", None, "$.url", True, False),
-    "gdelt": ("$.articles", None, "$.url", True, False),
-    "youtube": ("$.items", None, "$.id.videoId", True, False),
-    "guardian": ("$.response.results", None, None, True, False),
-    "nyt": ("$.response.docs", None, "$.web_url", True, False),
-    "bluesky": ("$.posts", None, None, True, False),
-    "stackexchange": ("$.items", None, None, True, False),
-    "mastodon": ("$.statuses", None, None, True, False),
-    "lemmy": ("$.posts", None, None, True, False),
-    "brave": ("$.web.results", None, "$.url", True, False),
-    "hackernews": ("$.hits", None, None, True, False),
-    "reddit": ("$.data.children", "$.data", "$.permalink", True, False),
+    path: str
+    item_path: str | None = None
+    url_path: str | None = None
+    rank_key: str | None = None
+    error_path: str | None = None
+    error_value: str | None = None
+    sliced: bool = False
+
+
+# The response shapes of the JSON sources.
+SCAN_RULES: dict[str, ScanRule] = {
+    "news": ScanRule("$.articles", url_path="$.url", error_path="$.status", error_value="error"),
+    "gdelt": ScanRule("$.articles", url_path="$.url"),
+    "youtube": ScanRule("$.items", url_path="$.id.videoId", rank_key="rank"),
+    "guardian": ScanRule("$.response.results", rank_key="_rank"),
+    "nyt": ScanRule("$.response.docs", url_path="$.web_url", rank_key="_rank", sliced=True),
+    "bluesky": ScanRule("$.posts"),
+    "stackexchange": ScanRule("$.items", error_path="$.error_id"),
+    "mastodon": ScanRule("$.statuses"),
+    "lemmy": ScanRule("$.posts"),
+    "brave": ScanRule("$.web.results", url_path="$.url", rank_key="_rank"),
+    "hackernews": ScanRule("$.hits"),
+    "reddit": ScanRule("$.data.children", item_path="$.data", url_path="$.permalink"),
 }
-# Sources that tag items with their 1-based rank.
-RANKED_SOURCES = frozenset({"youtube", "guardian", "nyt", "brave"})
+#: Tag columns of a response that its items carry in their payload.
+TAGS = ("_instance", "_content_type", "_site", "_hashtag_fallback")
+_TASK = ("source", "query", "target")
 
 
-def scan_landed(responses: DataFrame, max_results: int) -> DataFrame:
-    """Landed JSON responses of any source -> raw rows (one per item).
+def register_scan(source: str, rule: ScanRule) -> None:
+    """Add (or replace) the rule of a landed JSON source."""
+    SCAN_RULES[source] = rule
 
-    ``responses``: (source, query, target, retrieved_at, response, [tags...]);
-    optional tag columns ``_instance``, ``_content_type``, ``_site`` and
-    ``_hashtag_fallback`` are merged into each item payload.  Per source:
-    cap = min(max_results, source cap) on the response array, rank before
-    the url predicate, lemmy comments read from ``$.comments`` and a
-    mastodon hashtag timeline from the top-level array.  One pass: the
-    item array is picked by a ``CASE source`` and exploded once, so the
-    landing table is read once however it is partitioned.  ``response_seq``
-    (order of responses within a task) is passed through for ``with_order``.
-    RSS feeds (bbc, ansa, gnews_it), talk pages, video comments and
-    encyclopedia pages have their own operators here (``parse_rss`` +
-    ``rss_top_k``, ``talk_sections``, ``comments_with_quota``,
-    ``first_language_hit``).
-    """
-    tags = [c for c in ("_instance", "_content_type", "_site", "_hashtag_fallback") if c in responses.columns]
-    v = F.try_parse_json(F.col("response"))
-    src = F.col("source")
 
-    def arr_for(source, path):
+def _per_source(rules: dict[str, ScanRule], value, default) -> Column:
+    out = F.when(F.lit(False), default)
+    for source, rule in rules.items():
+        out = out.when(F.col("source") == source, value(source, rule))
+    return out.otherwise(default)
+
+
+def _with_items(responses: DataFrame) -> DataFrame:
+    """Responses of the JSON sources with ``_items`` (NULL: none) and ``_fault`` (NULL: readable)."""
+    v = F.col("_json")
+
+    def items(source, rule):
+        arr = F.try_variant_get(v, rule.path, "array<variant>")
         if source == "lemmy" and "_content_type" in responses.columns:
-            return F.when(F.col("_content_type") == "Comments", F.try_variant_get(v, "$.comments", "array<variant>")) \
-                    .otherwise(F.try_variant_get(v, path, "array<variant>"))
+            comments = F.try_variant_get(v, "$.comments", "array<variant>")
+            return F.when(F.col("_content_type") == "Comments", comments).otherwise(arr)
         if source == "mastodon" and "_hashtag_fallback" in responses.columns:
-            return F.when(F.coalesce(F.col("_hashtag_fallback"), F.lit(False)),
-                          F.try_variant_get(v, "$", "array<variant>")) \
-                    .otherwise(F.try_variant_get(v, path, "array<variant>"))
-        return F.try_variant_get(v, path, "array<variant>")
-
-    arr = None
-    for source, (path, _sub, _keep, _rf, _) in SCAN_RULES.items():
-        capped = F.slice(arr_for(source, path), 1, source_cap(source, max_results))
-        arr = F.when(src == source, capped) if arr is None else arr.when(src == source, capped)
-    keep_cols = [c for c in responses.columns if c != "response"]
-    ex = responses.where(src.isin(*SCAN_RULES.keys())).select(
-        *keep_cols, F.posexplode(arr).alias("_pos", "item"))
-
-    item = F.col("item")
-    for source, (_path, sub, _keep, _rf, _) in SCAN_RULES.items():
-        if sub is not None:
-            item = F.when(src == source, F.try_variant_get(F.col("item"), sub, "variant")).otherwise(item)
-    ex = ex.withColumn("item", item).withColumn("_rank", F.col("_pos") + 1)
-    keep_ok = F.lit(True)
-    for source, (_path, _sub, keep, _rf, _) in SCAN_RULES.items():
-        if keep is not None:
-            kv = F.try_variant_get(F.col("item"), keep, "string")
-            keep_ok = F.when(src == source, kv.isNotNull() & (kv != "")).otherwise(keep_ok)
-    ex = ex.where(keep_ok)
-
-    body = F.to_json(F.col("item"))
-    ranked = src.isin(*sorted(RANKED_SOURCES))
-    tag_cols = [F.col(t).alias(t) for t in tags] + [F.when(ranked, F.col("_rank")).alias("_rank")]
-    # merge the tag object (NULL tags omitted) into the item object
-    tj = F.to_json(F.struct(*tag_cols))
-    inner = F.substring(tj, 2, F.length(tj) - 2)
-    body = (F.when(~F.startswith(body, F.lit("{")) | (inner == ""), body)
-             .when(body == "{}", tj)
-             .otherwise(F.concat(F.lit("{"), inner, F.lit(","), F.substring(body, 2, 1 << 30))))
-    seq = [F.col("response_seq")] if "response_seq" in responses.columns else []
-    return ex.select("source", "query", "target", "retrieved_at", *seq, body.alias("payload"),
-                     F.col("_rank").alias("position"))
+            timeline = F.try_variant_get(v, "$", "array<variant>")
+            return F.when(F.col("_hashtag_fallback").isNotNull(), timeline).otherwise(arr)
+        return arr
+
+    def error(_source, rule):
+        if rule.error_path is None:
+            return F.lit(False)
+        found = F.try_variant_get(v, rule.error_path, "string")
+        return found.isNotNull() if rule.error_value is None else F.coalesce(found == rule.error_value, F.lit(False))
+
+    df = responses.where(F.col("source").isin(*SCAN_RULES)).withColumn("_json", F.try_parse_json(F.col("response")))
+    none = F.lit(None).cast("array<variant>")
+    df = df.withColumn("_fault", F.when(v.isNull(), F.lit("invalid_response"))
+                       .when(_per_source(SCAN_RULES, error, F.lit(False)), F.lit("error_response")))
+    return df.withColumn("_items", F.when(F.col("_fault").isNull(), _per_source(SCAN_RULES, items, none))).drop("_json")
+
+
+def _without_idle_fallbacks(df: DataFrame) -> DataFrame:
+    """Leave out fallback responses of a task whose own search landed items.
+
+    Fallbacks are mastodon hashtag timelines (``_hashtag_fallback``: the
+    hashtag) and searches without language (``_any_language``: true).
+    """
+    marks = [F.col(c).isNotNull() for c in ("_hashtag_fallback",) if c in df.columns]
+    marks += [F.coalesce(F.col(c), F.lit(False)) for c in ("_any_language",) if c in df.columns]
+    if not marks:
+        return df
+    spare = reduce(Column.__or__, marks)
+    keys = [*_TASK, *(["_instance"] if "_instance" in df.columns else [])]
+    names = [f"_f{i}" for i in range(len(keys))]
+    own = df.where(~spare & (F.size("_items") > 0)).select(
+        *[F.coalesce(F.col(k), F.lit("")).alias(n) for k, n in zip(keys, names)]).distinct()
+    same = [F.coalesce(df[k], F.lit("")) == own[n] for k, n in zip(keys, names)]
+    return df.join(own, reduce(Column.__and__, same, spare), "left_anti")
+
+
+def scan_landed(responses: DataFrame, max_results: int, slice_all: bool = False) -> DataFrame:
+    """Landed JSON responses of any source -> raw rows (one per item).
+
+    ``responses``: (source, query, target, retrieved_at, response, [tags...]).
+    The columns of ``TAGS`` are set in each item's payload, over a key of
+    that name in the item.  What landed is kept whole but for sources that
+    slice their results (``slice_all``, the dry run: every source does).
+    The rank counts items before the url predicate.
+    One pass: the item array is picked by a ``CASE source`` and exploded
+    once, so the landing table is read once however it is partitioned.
+    ``response_seq`` (order of responses within a task) and the tags are
+    passed through for ``with_order``.  Unreadable and error responses give
+    no rows here and are listed by ``rejected_responses``.  RSS feeds, talk
+    pages, video comments and encyclopedia pages have their own operators
+    (``scan_feeds``, ``talk_sections``, ``comments_with_quota``,
+    ``first_language_hit``).
+    """
+    tags = [c for c in TAGS if c in responses.columns]
+    df = _without_idle_fallbacks(_with_items(responses))
+    sliced = [s for s, r in SCAN_RULES.items() if r.sliced or slice_all]
+    items = F.when(F.col("source").isin(*sliced), F.slice("_items", 1, max_results)).otherwise(F.col("_items"))
+    seq = ["response_seq"] if "response_seq" in responses.columns else []
+    ex = df.select(*_TASK, "retrieved_at", *seq, *tags, F.posexplode(items).alias("_pos", "item"))
+    item = _per_source({s: r for s, r in SCAN_RULES.items() if r.item_path},
+                       lambda _, r: F.try_variant_get(F.col("item"), r.item_path, "variant"), F.col("item"))
+    ex = ex.withColumn("item", item).withColumn("position", F.col("_pos") + 1)
+
+    def has_url(_source, rule):
+        return F.coalesce(F.try_variant_get(F.col("item"), rule.url_path, "string") != "", F.lit(False))
+
+    ex = ex.where(_per_source({s: r for s, r in SCAN_RULES.items() if r.url_path}, has_url, F.lit(True)))
+    ranks = [F.when(F.col("source").isin(*[s for s, r in SCAN_RULES.items() if r.rank_key == key]),
+                    F.col("position")).alias(key)
+             for key in sorted({r.rank_key for r in SCAN_RULES.values() if r.rank_key})]
+    as_map = "map<string,variant>"
+    extra = F.try_variant_get(F.parse_json(F.to_json(F.struct(*tags, *ranks))), "$", as_map)
+    ex = ex.withColumn("_extra", extra).withColumn("_object", F.try_variant_get("item", "$", as_map))
+    own = F.map_filter("_object", lambda k, _: ~F.map_contains_key(F.col("_extra"), k))
+    body = F.when(F.col("_object").isNull() | (F.size("_extra") == 0), F.to_json("item")) \
+            .otherwise(F.to_json(F.map_concat(own, F.col("_extra")), {"ignoreNullFields": "false"}))
+    return ex.select(*_TASK, "retrieved_at", *seq, *tags, body.alias("payload"), "position")
+
+
+def rejected_responses(responses: DataFrame) -> DataFrame:
+    """Responses that can't be scanned: (source, query, target, retrieved_at, payload, reject_reason)."""
+    return _with_items(responses).where(F.col("_fault").isNotNull()).select(
+        *_TASK, "retrieved_at", F.col("response").alias("payload"), F.col("_fault").alias("reject_reason"))
 
 
 # -- redirects and task order ---------------------------------------------------
@@ -293,9 +355,6 @@ def resolve_links(items: DataFrame, redirects: DataFrame, link_col: str = "link"
     return j.withColumn(link_col, F.when(use, F.col("_rf")).otherwise(F.col(link_col))).drop("_rl", "_rf")
 
 
-_POS_BITS, _SEQ_BITS = 20, 20
-
-
 def task_index(queries: list[str], sources: tuple[str, ...] = P.SOURCE_ORDER) -> Column:
     """Fan-out order of a (source, query) task: source-major, then query (0-based).
 
@@ -308,16 +367,27 @@ def task_index(queries: list[str], sources: tuple[str, ...] = P.SOURCE_ORDER) ->
 
 def with_order(raw: DataFrame, queries: list[str], response_seq: str = "response_seq",
                position: str = "position", sources: tuple[str, ...] = P.SOURCE_ORDER) -> DataFrame:
-    """Deterministic ``ord`` = (task index, response sequence, position), packed in a bigint.
+    """Deterministic ``ord``: struct of task index, response sequence, tags and position.
 
     This is the order first-wins dedup and the distribution ties follow;
-    ``monotonically_increasing_id`` would depend on partitioning.  Values
-    outside the packing range fail the job instead of colliding.
+    ``monotonically_increasing_id`` would depend on partitioning.  The tags
+    tell responses of a task apart that have no sequence number.  A row of
+    an unknown source or query fails the job.
     """
     t = task_index(queries, sources)
     seq = F.coalesce(F.col(response_seq), F.lit(0)) if response_seq in raw.columns else F.lit(0)
-    pos = F.col(position).cast("bigint")
-    ok = (t >= 0) & (seq >= 0) & (seq < (1 << _SEQ_BITS)) & (pos >= 0) & (pos < (1 << _POS_BITS))
-    packed = F.shiftleft(t.cast("bigint"), _SEQ_BITS + _POS_BITS) + F.shiftleft(seq.cast("bigint"), _POS_BITS) + pos
-    return raw.withColumn("ord", F.when(ok, packed).otherwise(
-        F.raise_error(F.lit("ord out of range: unknown source/query or too many items"))))
+    tags = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in TAGS if c in raw.columns]
+    task = F.when(t >= 0, t).otherwise(F.raise_error(F.lit("ord: unknown source or query")))
+    return raw.withColumn("ord", F.struct(task.cast("bigint").alias("task"), seq.cast("bigint").alias("seq"), *tags,
+                                          F.col(position).cast("bigint").alias("pos")))
+
+
+def require_distinct_responses(responses: DataFrame) -> None:
+    """Raise if two responses of a task can't be told apart by sequence number and tags.
+
+    Reads no response texts; one count per response is grouped.
+    """
+    keys = [c for c in (*_TASK, "response_seq", *TAGS) if c in responses.columns]
+    twice = responses.groupBy(*keys).count().where("count > 1").take(1)
+    if twice:
+        raise ValueError(f"responses without distinct response_seq or tags: {twice[0].asDict()}")

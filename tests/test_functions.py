@@ -25,7 +25,8 @@ def one(spark, col_fn, value, schema="v string"):
     (None, ""),
 ])
 def test_clean_str(spark, raw, exp):
-    assert one(spark, TX.clean_str_expr, raw) == exp
+    df = TX.clean_columns(spark.createDataFrame([(raw,)], "v string"), ["v"])
+    assert df.collect()[0].v == exp
 
 
 def test_truncate_levels(spark):

@@ -18,23 +18,42 @@ _MAX_UNIX_DAY = 2932896
 
 
 def to_date(col) -> Column:
-    """ISO (with/without time and offset), compact ISO, RFC-822 -> DATE."""
+    """Date text -> DATE; NULL if it is none of these forms.
+
+    ISO (with or without time, offset and leading zeros; ``/`` or ``.``
+    between the parts too), compact ISO, month/day/year (day first where
+    the first number is no month), day and month name, month name and day,
+    and the ``ctime`` form.  Years of two digits lie within 50 years of
+    ``_PIVOT_YEAR``.
+    """
     return let(col, _to_date)
 
 
+_PIVOT_YEAR = 2026
+_MONTH = r"([A-Za-z]{3})[A-Za-z]*\.?"
+# Patterns with the numbers of their year, month and day groups.
+_FORMS = (
+    (r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})(?:$|[T ])", 1, 2, 3),
+    (r"^(\d{4})(\d{2})(\d{2})(?:$|T|\d{4}$|\d{6}$)", 1, 2, 3),
+    (r"^(0?[1-9]|1[0-2])/(\d{1,2})/(\d{4}|\d{2})(?:$|[ ,])", 3, 1, 2),
+    (r"^(1[3-9]|2\d|3[01])/(\d{1,2})/(\d{4}|\d{2})(?:$|[ ,])", 3, 2, 1),
+    (r"(?:^|[\s,])(\d{1,2})[ -]+" + _MONTH + r",?[ -]+(\d{4}|\d{2})(?:$|[\s,])", 3, 2, 1),
+    (r"(?:^|[\s,])" + _MONTH + r"\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})\b", 3, 1, 2),
+    (r"(?:^|[\s,])" + _MONTH + r"\s+(\d{1,2})\s+\d{1,2}:\d{2}(?::\d{2})?(?:\s+[A-Z+-][A-Z\d:]*)?\s+(\d{4})$", 3, 1, 2),
+)
+
+
 def _to_date(raw: Column) -> Column:
     s = py_strip(raw)
-    iso = F.regexp_extract(s, r"^(\d{4}-\d{2}-\d{2})(?:$|[T ])", 1)
-    compact = F.regexp_extract(s, r"^(\d{8})(?:$|T)", 1)
-    rfc_d = F.regexp_extract(s, r"(?:^|[\s,])(\d{1,2})\s+([A-Za-z]{3})[A-Za-z]*\.?\s+(\d{4})\b", 1)
-    rfc_m = F.regexp_extract(s, r"(?:^|[\s,])(\d{1,2})\s+([A-Za-z]{3})[A-Za-z]*\.?\s+(\d{4})\b", 2)
-    rfc_y = F.regexp_extract(s, r"(?:^|[\s,])(\d{1,2})\s+([A-Za-z]{3})[A-Za-z]*\.?\s+(\d{4})\b", 3)
-    rfc = F.concat_ws(" ", rfc_d, F.initcap(rfc_m), rfc_y)
-    return F.coalesce(
-        F.when(iso != "", F.try_to_date(iso, "yyyy-MM-dd")),
-        F.when(compact != "", F.try_to_date(compact, "yyyyMMdd")),
-        F.when(rfc_d != "", F.try_to_date(rfc, "d MMM yyyy")),
-    )
+
+    def form(pattern, year, month, day):
+        y, m, d = (F.regexp_extract(s, pattern, g) for g in (year, month, day))
+        short = y.cast("int") + F.when(y.cast("int") >= (_PIVOT_YEAR + 50) % 100, 1900).otherwise(2000)
+        full = F.when(F.length(y) == 2, short.cast("string")).otherwise(y)
+        text = F.concat_ws(" ", full, F.initcap(m), d)
+        return F.when(y != "", F.try_to_date(text, "yyyy MMM d" if _MONTH in pattern else "yyyy M d"))
+
+    return F.coalesce(*[form(*f) for f in _FORMS])
 
 
 def epoch_to_date(col) -> Column:

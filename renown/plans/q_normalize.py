@@ -307,12 +307,9 @@ _OUT_COLS = ("ord", "title", "text", "date", "url", "author", "language", "domai
 
 def _make(source: str):
     def fn(spark, sf_dir):
-        n = normalize(X.landed_raw(spark, sf_dir))
-        if source == "forum":
-            n = n.where(~F.col("source").isin(*P.SOURCE_ORDER))
-        else:
-            n = n.where(F.col("source") == source)
-        return accepted(n).select(*_OUT_COLS)
+        raw = X.landed_raw(spark, sf_dir)
+        mine = ~F.col("source").isin(*P.SOURCE_ORDER) if source == "forum" else F.col("source") == source
+        return accepted(normalize(raw.where(mine))).select(*_OUT_COLS)
     fn.__name__ = f"normalize_{source}"
     return fn
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from renown import params as P
 from renown.plans import oracle as O
 from renown.plans.registry import query
 from renown.sources import fixtures as X
@@ -39,6 +40,61 @@ def scan_ranked_cap(spark, sf_dir):
                         F.try_variant_get("item", "$.title", "string").alias("title"))
 
 
+_SCAN_QUERIES = ("q0", "q1", "q2", "q3")
+_SCANNED = f"""{_PP},
+a AS (SELECT page_id // 10 AS seq, page_id, url,
+             CASE (page_id // 10) % 3 WHEN 0 THEN 'news' WHEN 1 THEN 'nyt' ELSE 'reddit' END AS source,
+             'q' || CAST((page_id // 10) % 4 AS VARCHAR) AS query,
+             row_number() OVER (PARTITION BY page_id // 10 ORDER BY page_id) AS position
+      FROM pp)"""
+
+
+def _landed_responses(spark, sf_dir):
+    """One landed response per 10 pages from three sources; some are cut off, some hold an error."""
+    page = X.table(spark, sf_dir, "pages").select("page_id", F.floor(F.col("page_id") / 10).cast("bigint").alias("seq"),
+                                                  F.when(F.col("page_id") % 6 == 0, "").otherwise(F.col("url")).alias("u"))
+    r = page.groupBy("seq").agg(F.array_sort(F.collect_list(F.struct("page_id", "u"))).alias("p"))
+    seq = F.col("seq")
+    news = F.to_json(F.struct(F.when(seq % 7 == 3, "error").otherwise("ok").alias("status"),
+                              F.transform("p", lambda e: F.struct(e["u"].alias("url"))).alias("articles")))
+    nyt = F.to_json(F.struct(F.struct(F.transform("p", lambda e: F.struct(e["u"].alias("web_url"))).alias("docs"))
+                             .alias("response")))
+    reddit = F.to_json(F.struct(F.struct(F.transform("p", lambda e: F.struct(
+        F.struct(e["u"].alias("permalink")).alias("data"))).alias("children")).alias("data")))
+    body = F.when(seq % 3 == 0, news).when(seq % 3 == 1, nyt).otherwise(reddit)
+    return r.select(
+        F.when(seq % 3 == 0, "news").when(seq % 3 == 1, "nyt").otherwise("reddit").alias("source"),
+        F.concat(F.lit("q"), (seq % 4).cast("string")).alias("query"), F.lit("Entity").alias("target"),
+        F.lit(X.RETRIEVED_AT).alias("retrieved_at"), seq.alias("response_seq"),
+        F.when(seq % 11 == 5, F.lit("{cut off")).otherwise(body).alias("response"))
+
+
+@query("scan_landed", f"""WITH {_SCANNED}
+SELECT source, query, seq, position, url,
+       CASE WHEN source = 'nyt' THEN position END AS rank,
+       list_position({list(P.SOURCE_ORDER)}, source) * 4 - 4 + CAST(query[2:] AS BIGINT) AS task
+FROM a WHERE page_id % 6 <> 0 AND seq % 11 <> 5 AND NOT (source = 'news' AND seq % 7 = 3)
+         AND (source <> 'nyt' OR position <= 5)""")
+def scan_landed(spark, sf_dir):
+    """Items of landed responses: all that news and reddit landed, five of each nyt response."""
+    raw = L.with_order(L.scan_landed(_landed_responses(spark, sf_dir), 5), list(_SCAN_QUERIES))
+    p = F.try_parse_json("payload")
+    url = F.coalesce(*[F.try_variant_get(p, k, "string") for k in ("$.url", "$.web_url", "$.permalink")])
+    return raw.select("source", "query", F.col("ord.seq").alias("seq"), F.col("ord.pos").alias("position"),
+                      url.alias("url"), F.try_variant_get(p, "$._rank", "bigint").alias("rank"),
+                      F.col("ord.task").alias("task"))
+
+
+@query("rejected_responses", f"""WITH {_SCANNED}
+SELECT DISTINCT source, query, CASE WHEN seq % 11 = 5 THEN 'invalid_response' ELSE 'error_response' END AS reject_reason,
+       CAST(count(DISTINCT seq) AS BIGINT) AS responses
+FROM a WHERE seq % 11 = 5 OR (source = 'news' AND seq % 7 = 3) GROUP BY ALL""")
+def rejected_responses(spark, sf_dir):
+    """Responses that were cut off or hold an error, counted per task."""
+    bad = L.rejected_responses(_landed_responses(spark, sf_dir))
+    return bad.groupBy("source", "query", "reject_reason").agg(F.count(F.lit(1)).alias("responses"))
+
+
 @query("scan_fallback", f"""WITH {_PP},
 a AS (SELECT 'q' || CAST(page_id % 50 AS VARCHAR) AS query, page_id, lang FROM pp),
 pref AS (SELECT query, page_id FROM a WHERE lang = 'de')

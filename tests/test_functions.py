@@ -84,6 +84,18 @@ def test_clean_wikitext(spark):
 @pytest.mark.parametrize("raw,exp", [
     ("2026-04-08T23:00:00-05:00", dt.date(2026, 4, 8)),
     ("20260408T120000Z", dt.date(2026, 4, 8)),
+    ("April 8, 2026", dt.date(2026, 4, 8)),
+    ("Apr 8, 2026", dt.date(2026, 4, 8)),
+    ("2026/04/08", dt.date(2026, 4, 8)),
+    ("04/08/2026", dt.date(2026, 4, 8)),
+    ("25/04/2026", dt.date(2026, 4, 25)),
+    ("08 Apr 26", dt.date(2026, 4, 8)),
+    ("08 Apr 99", dt.date(1999, 4, 8)),
+    ("2026-4-8", dt.date(2026, 4, 8)),
+    ("Wed Apr 08 10:00:00 +0000 2026", dt.date(2026, 4, 8)),
+    ("20260408120000", dt.date(2026, 4, 8)),
+    ("2026-13-08", None),
+    ("no date", None),
     ("Wed, 08 Apr 2026 10:00:00 +0200", dt.date(2026, 4, 8)),
     ("2026-02-30", None), ("garbage", None), (None, None),
 ])

@@ -135,6 +135,17 @@ def sentiment_labels(labels: DataFrame, docs: DataFrame) -> DataFrame:
 # record enrichment
 # ---------------------------------------------------------------------------
 
+def needs_detection(atext: Column, declared: Column) -> Column:
+    """Rows without a recognised language whose text is long enough for the detector."""
+    return (F.length(atext) >= P.NLP_MIN_LEN_DETECT) & declared.isNull()
+
+
+def sentiment_eligible(atext: Column, language: Column) -> Column:
+    """Rows whose text is long enough for the scorer, in a supported or unknown language."""
+    return (F.length(atext) >= P.NLP_MIN_LEN_SENTIMENT) & \
+           (language.isNull() | language.isin(sorted(P.SENTIMENT_SUPPORTED_LANGS)))
+
+
 def enrich(records: DataFrame, language_model: LanguageModel | None, scorer: Scorer | None,
            observe: bool = False) -> DataFrame | tuple[DataFrame, Observation]:
     """Resolve language and score sentiment; row count and order unchanged.
@@ -153,17 +164,15 @@ def enrich(records: DataFrame, language_model: LanguageModel | None, scorer: Sco
     declared = language_code(F.col("language"))
     df = df.withColumn("_decl", declared)
     if language_model is not None:
-        df = df.withColumn("_dtext", F.when(F.col("_decl").isNull(), F.col("_atext")).otherwise(F.lit("")))
+        df = df.withColumn("_dtext", F.when(needs_detection(F.col("_atext"), F.col("_decl")), F.col("_atext"))
+                           .otherwise(F.lit("")))
         df = language_model.predict(df, "_dtext", out_col="_det").drop("_dtext")
     else:
         df = df.withColumn("_det", F.lit(None).cast("string"))
     df = df.withColumn("language", F.coalesce(F.col("_decl"), F.col("_det")))
 
-    supported = sorted(P.SENTIMENT_SUPPORTED_LANGS)
-    eligible = (F.length("_atext") >= P.NLP_MIN_LEN_SENTIMENT) & \
-               (F.col("language").isNull() | F.col("language").isin(supported))
     if scorer is not None:
-        df = df.withColumn("_elig", eligible)
+        df = df.withColumn("_elig", sentiment_eligible(F.col("_atext"), F.col("language")))
         df = df.withColumn("_stext", F.when(F.col("_elig"), F.col("_atext")).otherwise(F.lit("")))
         df = scorer.score(df, "_stext")
         s = F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("p_pos") - F.col("p_neg"))), 6)

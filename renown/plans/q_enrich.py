@@ -52,10 +52,7 @@ def enrich_gates(spark, sf_dir):
     r = X.records(spark, sf_dir)
     from renown.functions.text import language_code
     a = r.select("ord", EN.analysis_text().alias("atext"), language_code("language").alias("declared"))
-    n = F.length("atext")
     return a.select(
-        "ord", n.cast("bigint").alias("analysis_len"), "declared",
-        ((n >= P.NLP_MIN_LEN_DETECT) & F.col("declared").isNull()).alias("needs_detection"),
-        ((n >= P.NLP_MIN_LEN_SENTIMENT)
-         & (F.col("declared").isNull() | F.col("declared").isin(sorted(P.SENTIMENT_SUPPORTED_LANGS))))
-        .alias("sentiment_eligible"))
+        "ord", F.length("atext").cast("bigint").alias("analysis_len"), "declared",
+        EN.needs_detection(F.col("atext"), F.col("declared")).alias("needs_detection"),
+        EN.sentiment_eligible(F.col("atext"), F.col("declared")).alias("sentiment_eligible"))

@@ -110,7 +110,7 @@ _QH = """
 qh AS (SELECT doc_id, title,
               CASE WHEN doc_id % 3 = 0 THEN split_part(title, ' ', 1) || ' Smith'
                    ELSE 'Entity ' || CAST(doc_id % 5 AS VARCHAR) END AS target
-       FROM (SELECT doc_id, substring(regexp_extract(text, '^[^.\\n]*'), 1, 60) AS title FROM documents))"""
+       FROM (SELECT doc_id, text AS title FROM documents))"""
 
 
 def _sql_build_query(t: str, tp: str) -> str:
@@ -153,8 +153,7 @@ SELECT doc_id, target, query, {_sql_extract_topic('target', 'query')} AS topic,
 FROM q""")
 def query_helpers(spark, sf_dir):
     docs = X.table(spark, sf_dir, "documents")
-    title = F.substring(F.regexp_extract("text", r"^[^.\n]*", 0), 1, 60)
-    qh = docs.select("doc_id", title.alias("title"))
+    qh = docs.select("doc_id", F.col("text").alias("title"))
     target = F.when(F.col("doc_id") % 3 == 0, F.concat(F.split("title", " ").getItem(0), F.lit(" Smith"))) \
               .otherwise(F.concat(F.lit("Entity "), (F.col("doc_id") % 5).cast("string")))
     q = qh.withColumn("target", target).withColumn("query", TX.build_query("target", "title"))

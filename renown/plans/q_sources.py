@@ -173,7 +173,8 @@ def _rss_feeds(spark, sf_dir):
     item = F.concat(F.lit("<item><title>"), esc(F.col("title_html")), F.lit("</title><link>"),
                     esc(F.split("url", r"\?").getItem(0)), F.lit("</link><pubDate>"),
                     F.date_format(day, "EEE, dd MMM yyyy"), F.lit(" 08:00:00 GMT</pubDate><description>"),
-                    esc(F.regexp_extract("body_html", r"(?s)<p>(.*?)</p>", 1)), F.lit("</description></item>"))
+                    esc(F.array_join(F.regexp_extract_all("body_html", F.lit(r"(?s)<p>(.*?)</p>"), 1), " ")),
+                    F.lit("</description></item>"))
     feed_id = F.floor(F.col("page_id") / 10).cast("bigint")
     g = pp.groupBy(feed_id.alias("feed_id")).agg(
         F.array_sort(F.collect_list(F.struct("page_id", item.alias("x")))).alias("items"))
@@ -191,7 +192,7 @@ it AS (SELECT page_id AS ord, 'bbc' AS source,
               nullif({O.sql_strip('title_html')}, '') AS title, nullif(split_part(url, '?', 1), '') AS link,
               strftime(CAST(DATE '2024-01-01' + CAST((page_id * 37) % 400 AS INTEGER) AS DATE), '%a, %d %b %Y')
                 || ' 08:00:00 GMT' AS pubDate,
-              nullif({O.sql_strip("regexp_extract(body_html, '(?s)<p>(.*?)</p>', 1)")}, '') AS description
+              nullif({O.sql_strip("array_to_string(regexp_extract_all(body_html, '(?s)<p>(.*?)</p>', 1), ' ')")}, '') AS description
        FROM pp),
 t AS (SELECT *, list_transform(list_filter({O.sql_split('query')}, lambda w: length(w) > 2), lambda w: lower(w)) AS terms,
              lower(concat_ws(' ', title, description)) AS hay FROM it),

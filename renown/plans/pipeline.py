@@ -3,11 +3,12 @@
 raw (landed) -> normalize -> accepted -> clean -> quality -> since
 -> first-wins dedup -> enrich -> language filter -> summary (+ sinks)
 
-Two stage boundaries are materialised as Parquet in
+Three stage boundaries are materialised as Parquet in
 ``spark.checkpoint.dir``: the normalised rows (accepted + rejects, so the
-JSON parsing runs once and the rejects table is available) and the
+JSON parsing runs once and the rejects table is available), the
 cleaned, filtered records that dedup both keys and joins back to (so
-cleaning's Python UDF is not evaluated twice).  Dedup iterates over the
+cleaning's Python UDF is not evaluated twice) and the final records that
+the summary and the sinks read.  Dedup iterates over the
 narrow (ord, keys) projection.  Step counters are ``Observation`` metrics
 collected by the actions that run anyway.
 """
@@ -37,13 +38,12 @@ class RunResult:
     rejects: DataFrame | None = None
 
     def counts(self) -> dict[str, int]:
-        """Step counters; valid after an action on ``records``/``summary`` ran."""
+        """Rows after each step; the enrichment adds with_language and with_sentiment."""
         out = {}
         for k, o in self.counters.items():
-            try:
-                out[k] = int(o.get.get("n", 0))
-            except Exception:  # noqa: BLE001 - metric not produced yet
-                out[k] = -1
+            metrics = o.get
+            out[k] = int(metrics.get("n", metrics.get("rows", 0)))
+            out.update({m: int(v) for m, v in metrics.items() if m.startswith("with_")})
         return out
 
 
@@ -70,8 +70,11 @@ def run_pipeline(raw: DataFrame, since: str | None = None, languages: tuple[str,
     recs = filter_by_date(recs, since)
     recs, counters["after_since"] = observed_count(recs, "after_since")
     recs = deduplicate(materialize(recs, "filtered-records"))
-    recs = enrich(recs, language_model, scorer)
+    recs, counters["after_dedup"] = observed_count(recs, "after_dedup")
+    recs, counters["enriched"] = enrich(recs, language_model, scorer, observe=True)
     recs = filter_by_language(recs, languages)
+    recs, counters["after_language"] = observed_count(recs, "after_language")
+    recs = materialize(recs, "records")  # evaluated once for the summary and the sinks
     summary = reputation_summary(recs, P.SummaryParams(as_of=as_of))
     return RunResult(recs, summary, counters, rejects(norm))
 

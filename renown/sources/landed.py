@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from renown import params as P
 from renown.functions.text import WS_CLASS, clean_wikitext, keyword_relevant, py_strip
 from renown.operators.dedup import first_per_key
+from renown.session import materialize
 
 # Envelope paths of the JSON responses (where the item array sits).
 ENVELOPES: dict[str, str] = {
@@ -72,7 +73,7 @@ def with_fallback(preferred: DataFrame, fallback: DataFrame, keys: list[str]) ->
     (e.g. a query whose language-filtered search was empty, a mastodon
     instance whose search gave nothing and whose hashtag timeline is used.)
     """
-    have = preferred.select(*keys).distinct()
+    have = materialize(preferred.select(*keys).distinct(), "fallback-keys")  # from files, so AQE may split a hot key
     return preferred.unionByName(fallback.join(have, keys, "left_anti"), allowMissingColumns=True)
 
 
@@ -350,6 +351,7 @@ def resolve_links(items: DataFrame, redirects: DataFrame, link_col: str = "link"
     from renown.functions.urls import to_domain
     r = redirects.where(F.col("link").isNotNull()).groupBy(F.col("link").alias("_rl")) \
                  .agg(F.min("final_url").alias("_rf"))
+    r = materialize(r, "resolved-links")  # from files, so AQE may split a hot link
     j = items.join(r, items[link_col] == r["_rl"], "left")
     use = F.col("_rf").isNotNull() & (F.col("_rf") != "") & (to_domain(F.col("_rf")) != CONSENT_HOST)
     return j.withColumn(link_col, F.when(use, F.col("_rf")).otherwise(F.col(link_col))).drop("_rl", "_rf")

@@ -37,7 +37,14 @@ def test_run_pipeline(spark):
     assert kept == [0]
     s = res.summary.collect()[0]
     assert s.entity == "Target" and s.record_count == 1 and s.topics == ["topic"]
-    assert res.counts()["normalized"] == 6
+    assert res.counts() == {"normalized": 6, "after_quality": 5, "after_since": 4, "after_dedup": 2, "enriched": 2,
+                            "with_language": 2, "with_sentiment": 0, "after_language": 1}
+
+
+def test_run_over_no_rows(spark):
+    res = run_pipeline(_raw(spark).limit(0))
+    assert res.records.count() == res.summary.count() == 0
+    assert set(res.counts().values()) == {0}
 
 
 def test_sink_roundtrip_and_isolation(spark):

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
+from functools import lru_cache
 from unicodedata import is_normalized
 
 import numpy as np
@@ -91,6 +92,15 @@ class _WordIds(dict):
                 self.update(zip(words, [ids[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())]))
 
 
+@lru_cache(maxsize=1)
+def _worker_words(tokenizer_path: str) -> _WordIds:
+    """The word memory of this Python worker; the tasks that it runs one after another share it."""
+    import os
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    return _WordIds(Tokenizer.from_file(tokenizer_path))
+
+
 _ODD_SPACE = "\x1c\x1d\x1e\x1f"  # str.split() takes these for white space, the tokenizer does not
 
 
@@ -116,10 +126,7 @@ def _blocks(texts: list[str], most_chars: int = 1 << 20):
 def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """One row per piece, with its number among the pieces of its length in its task."""
     def cut(batches):
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        words = _WordIds(Tokenizer.from_file(tokenizer_path))
+        words = _worker_words(tokenizer_path)
         end = np.array([end_id], dtype="<u4").tobytes()
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for pdf in batches:

@@ -2,15 +2,17 @@
 
 P(w | previous) = P(class(w) | class(previous)) * P(w | class(w)).
 
-Words are types for the clustering: the ``top_words`` most frequent ones
-each are a type, every other word belongs to the type of its ending (one
-of ``endings`` hashed endings), so all words, unseen ones too, have a
-class.  Exchange clustering moves one type at a time to the class that
-raises the likelihood of the class bigrams most; it works on the type
-bigram counts of the whole training corpus, a matrix whose size depends
-on the two parameters only.  Transitions are smoothed additively;
-emissions keep the share V/(N+V) of a class (V words, N tokens) for its
-unseen words.
+Every training word is a type of its own.  Classes start from a small
+clustering: the ``top_words`` most frequent words and ``endings`` hashed
+endings of all others are exchanged one at a time on their bigram matrix.
+Then ``sweeps`` exchange sweeps over all words follow: counts of (word,
+neighbour class) over the whole training corpus are summed by word, and
+each word goes to the class that raises the likelihood of the class
+bigrams most, all words of a sweep against the same class matrix.  Only
+that matrix reaches the driver; a sweep that does not raise the likelihood
+is left out and ends them.  Unseen words have the class that their ending
+starts with.  Transitions are smoothed additively; emissions keep the share
+V/(N+V) of a class (V words, N tokens) for its unseen words.
 
 Data flow: documents are cut into chunks of about ``chunk_tokens`` tokens,
 each with its own sorted dictionary of word hashes, and written.  Chunk
@@ -26,6 +28,7 @@ separate documents; without training tokens all words are unseen.
 
 from __future__ import annotations
 
+import gc
 import zlib
 
 import numpy as np
@@ -36,10 +39,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renown.llm.common import id_text
-from renown.session import materialize
+from renown.session import discard, materialize
 
 BINS = 64 * 64
-TOP_WORDS, ENDINGS, CLASSES, CHUNK = 512, 512, 64, 1_000_000
+TOP_WORDS, ENDINGS, CLASSES, CHUNK, SWEEPS = 512, 512, 64, 1_000_000, 2  # at most 256 classes
 END = b"\n"  # cannot be a word
 _PACKED = "chunk long, doc_ids binary, nulls binary, held binary, lens binary, tokens binary, hashes binary, " \
           "counts binary, endings binary"
@@ -125,7 +128,10 @@ def _added(rows: DataFrame, column: str) -> np.ndarray:
 
 
 def count_words(chunks: DataFrame, ranges: int, top_words: int, endings: int) -> DataFrame:
-    """Written rows: an answer for each chunk and hash range, and one row of totals for each range."""
+    """Written rows: an answer for each chunk and hash range, and one row of totals for each range.
+
+    Answers hold the counts of the chunk's words and their places (as steps) among all words of the range.
+    """
     bits = max(1, (ranges - 1).bit_length())
 
     def deal(batches):
@@ -145,7 +151,8 @@ def count_words(chunks: DataFrame, ranges: int, top_words: int, endings: int) ->
         kind = np.concatenate([_unpack(x, "<u2") for x in pdf["endings"]])[first]
         at = np.cumsum([0, *map(len, h)])
         answers = [_pack(counts[inverse[a:b]].astype("<u8")) for a, b in zip(at, at[1:])]
-        out = pd.DataFrame({"chunk": pdf["chunk"], "range": pdf["range"], "answer": answers})
+        places = [_pack(np.diff(inverse[a:b], prepend=0).astype("<u4")) for a, b in zip(at, at[1:])]
+        out = pd.DataFrame({"chunk": pdf["chunk"], "range": pdf["range"], "answer": answers, "places": places})
         seen = np.nonzero(counts)[0]
         most = seen[np.lexsort((words[seen], -counts[seen]))][:top_words]
         totals = pd.DataFrame({
@@ -158,7 +165,7 @@ def count_words(chunks: DataFrame, ranges: int, top_words: int, endings: int) ->
     dealt = chunks.select("chunk", "hashes", "counts", "endings").mapInPandas(
         deal, "range int, chunk long, hashes binary, counts binary, endings binary")
     return materialize(dealt.groupBy("range").applyInPandas(
-        merge, "chunk long, range int, answer binary, totals binary, "
+        merge, "chunk long, range int, answer binary, places binary, totals binary, "
                "top array<struct<hash:long,count:long,ending:int>>"), "lm-counts")
 
 
@@ -246,24 +253,190 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = 8) -> np
     return cls
 
 
+def likelihood(g: np.ndarray) -> float:
+    """Log likelihood of the class bigrams ``g``, but for what does not depend on the classes."""
+    return _xlogx(g).sum() - _xlogx(g.sum(axis=0)).sum() - _xlogx(g.sum(axis=1)).sum()
+
+
+def best_classes(keys: np.ndarray, n: np.ndarray, cls: np.ndarray, g: np.ndarray, batch: int = 1 << 14) -> np.ndarray:
+    """Class of each word after it alone moves to its best one; words of class 0 and words without counts stay.
+
+    ``keys`` (sorted) are word * (2 * classes + 1) + column: columns count the
+    classes before the word, those after it, and the word after itself.
+    """
+    k = len(g)
+    width, out = 2 * k + 1, cls.astype(np.int64)
+    rows, cols = g.sum(axis=1), g.sum(axis=0)
+    word = keys // width
+    starts = np.flatnonzero(np.diff(word, prepend=-1))
+    cuts = np.unique(np.searchsorted(starts, np.arange(0, len(keys) + batch, batch)))
+    for a, b in zip(cuts, cuts[1:]):
+        lo, hi = starts[a], starts[b] if b < len(starts) else len(keys)
+        ids = word[starts[a:b]]
+        x = np.zeros((b - a, width))
+        x[np.searchsorted(ids, word[lo:hi]), keys[lo:hi] % width] = n[lo:hi]
+        left, right, own = x[:, :k], x[:, k:-1], x[:, -1]
+        at, of = np.arange(b - a), out[ids]
+        left[at, of] -= own
+        right[at, of] -= own
+        gain = np.zeros((b - a, k))
+        for mine, other, m in ((right, left, g), (left, right, g.T)):
+            i, c = np.nonzero(mine)
+            if not len(i):
+                continue
+            v = m.T[c].copy()  # cells (class, c) without the word
+            e = np.arange(len(i))
+            v[e, of[i]] -= mine[i, c]
+            same = np.flatnonzero(of[i] == c)
+            v[same] -= other[i[same]]
+            v[same, c[same]] -= own[i[same]]
+            first = np.flatnonzero(np.diff(i, prepend=-1))
+            gain[i[first]] += np.add.reduceat(_xlogx(v + mine[i, c][:, None]) - _xlogx(v), first, axis=0)
+        d = np.tile(np.diag(g), (b - a, 1))
+        d[at, of] -= left[at, of] + right[at, of] + own
+        o = own[:, None]
+        gain += _xlogx(d + right + left + o) + _xlogx(d) - _xlogx(d + right) - _xlogx(d + left)
+        for side, total in ((right, rows), (left, cols)):
+            mass = side.sum(axis=1) + own
+            base = np.tile(total, (b - a, 1))
+            base[at, of] -= mass
+            gain -= _xlogx(base + mass[:, None]) - _xlogx(base)
+        gain[:, 0] = -np.inf
+        best = gain.argmax(axis=1)
+        moved = (gain[at, best] > gain[at, of] + 1e-9) & (of != 0)
+        out[ids[moved]] = best[moved]
+    return out
+
+
+def neighbours(chunks: DataFrame, answers: DataFrame, model: ClassModel, deal: bool) -> DataFrame:
+    """One row of class bigrams a chunk and, to ``deal``, (word, neighbour class) counts by chunk and hash range."""
+    shared = chunks.sparkSession.sparkContext.broadcast(vars(model))
+    k, started = len(model.trans), "cls" in answers.columns
+    width = 2 * k + 1
+
+    def count(left, right):
+        m = ClassModel.__new__(ClassModel)
+        vars(m).update(shared.value)
+        right, out = right.sort_values("range"), []
+        for row in left.itertuples(index=False):
+            if started:
+                cls = np.concatenate([_unpack(c, "u1") for c in right["cls"]])
+            else:
+                cls = m.first_classes(np.frombuffer(row.hashes, np.uint64), _unpack(row.endings, "<u2")).astype("u1")
+            t = _unpack(row.tokens, "<u4").astype(np.int64)
+            t = t[np.repeat(~np.frombuffer(row.held, bool), np.frombuffer(row.lens, "<i4"))]
+            now = cls[t].astype(np.int64)
+            before = np.concatenate(([0], now[:-1]))[:len(now)]
+            out.append((None, row.chunk, None, None, None, None, _pack(np.bincount(before * k + now, minlength=k * k))))
+            if not deal:
+                continue
+            keys, n = _summed(np.concatenate([t * width + before, t[:-1] * width + k + now[1:],
+                                              t[:-1][t[1:] == t[:-1]] * width + 2 * k]))
+            ends = np.cumsum([len(_unpack(p, "<u4")) for p in right["places"]])
+            at = np.searchsorted(keys, ends * width)
+            for r, places, a, b, i, j in zip(right["range"], right["places"], [0, *ends], ends, [0, *at], at):
+                out.append((r, row.chunk, places, _pack(cls[a:b]),
+                            _pack(np.diff(keys[i:j] - a * width, prepend=0).astype("<u4")), _pack(n[i:j].astype("<u4")), None))
+        return pd.DataFrame(out, columns=["range", "chunk", "places", "cls", "keys", "n", "g"]).astype({"range": "Int64"})
+
+    columns = ["chunk", "held", "lens", "tokens", *([] if started else ["hashes", "endings"])]
+    return chunks.select(*columns).groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
+        count, "range int, chunk long, places binary, cls binary, keys binary, n binary, g binary")
+
+
+def _summed(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of ``n`` (or the count) of each."""
+    if n is None:
+        keys = np.sort(keys)
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], np.diff(first, append=len(keys)) if n is None else np.add.reduceat(n, first) if len(n) else n
+
+
+def moved_words(dealt: DataFrame, g: np.ndarray, reduce_at: int = 1 << 22) -> DataFrame:
+    """Written rows: the new classes of each chunk's words by hash range, and the words of each class by range."""
+    k = len(g)
+    width, shared = 2 * k + 1, dealt.sparkSession.sparkContext.broadcast(g)
+
+    def move(pdf):
+        g = shared.value.astype(np.float64)
+        places = [np.cumsum(_unpack(p, "<u4").astype(np.int64)) for p in pdf["places"]]
+        cls = np.zeros(1 + max(p[-1] for p in places), np.int64)
+        keys, n, waiting = [], [], 0
+        for p, c, key, m in zip(places, pdf["cls"], pdf["keys"], pdf["n"]):
+            cls[p] = _unpack(c, "u1")
+            key = np.cumsum(_unpack(key, "<u4").astype(np.int64))
+            keys.append(p[key // width] * width + key % width)
+            n.append(_unpack(m, "<u4").astype(np.int64))
+            waiting += len(key)
+            if waiting >= reduce_at:
+                key, m = _summed(np.concatenate(keys), np.concatenate(n))
+                keys, n, waiting = [key], [m], 0
+        keys, n = _summed(np.concatenate(keys), np.concatenate(n))
+        new = best_classes(keys, n, cls, g)
+        seen = np.unique(keys[keys % width < k] // width)
+        out = pd.DataFrame({"chunk": pdf["chunk"], "range": pdf["range"], "places": pdf["places"],
+                            "cls": [_pack(new[p].astype("u1")) for p in places]})
+        totals = pd.DataFrame({"range": [int(pdf["range"].iloc[0])],
+                               "totals": [_pack(np.bincount(new[seen], minlength=k).astype("<i8"))]})
+        return pd.concat([out, totals], ignore_index=True).astype({"chunk": "Int64"}).replace({np.nan: None})
+
+    return materialize(dealt.groupBy("range").applyInPandas(
+        move, "chunk long, range int, places binary, cls binary, totals binary"), "lm-classes")
+
+
+def refine(chunks: DataFrame, counts: DataFrame, model: ClassModel, sweeps: int = SWEEPS) -> tuple[DataFrame | None, ClassModel]:
+    """Sweeps over all words: their classes by chunk and hash range (None: as they start), and the model with them."""
+    spark, k = chunks.sparkSession, len(model.trans)
+    answers, kept, best, words = counts.filter("answer IS NOT NULL").select("chunk", "range", "places"), None, None, None
+    for sweep in range(sweeps + 1):
+        seen = materialize(neighbours(chunks, answers, model, sweep < sweeps), "lm-neighbours")
+        g = np.broadcast_to(_added(seen.filter("g IS NOT NULL"), "g"), k * k).reshape(k, k).astype(np.float64)
+        better = best is None or likelihood(g) > likelihood(best)
+        if better:
+            best = g
+            if sweep:
+                kept, model = answers, model.with_classes(g, words)
+            if sweep < sweeps:
+                moved = moved_words(seen.filter("range IS NOT NULL").drop("g"), g)
+                words = np.broadcast_to(_added(moved.filter("totals IS NOT NULL"), "totals"), k)
+                answers = moved.filter("chunk IS NOT NULL").drop("totals")
+        discard(seen)
+        gc.collect()  # shuffle files of a sweep go when neither side holds it any more
+        spark.sparkContext._jvm.System.gc()
+        if not better:
+            break
+    return kept, model
+
+
 class ClassModel:
     """Log10 probabilities by class; everything in it is bounded by the model's parameters."""
 
     def __init__(self, top, top_types, shift, cls, trans, tokens, words, n_tokens, n_words):
         self.top, self.top_types, self.shift, self.cls = top, top_types, shift, cls
+        self.n, self.v = n_tokens, n_words
         row = trans.sum(axis=1, keepdims=True)
         self.trans = np.log10((trans + 0.5) / (row + 0.5 * trans.shape[1]))
         unseen = (words + 1) / (tokens + words + 2)
         self.unseen = np.log10(unseen)
         self.seen = np.log10(1 - unseen) - np.log10(np.maximum(tokens, 1))
-        self.n, self.v = n_tokens, n_words
 
-    def entry_scores(self, hashes, endings, counts):
-        """Class, log10 P(word | class) and base log10 of each dictionary entry."""
-        c = self.cls[_types(hashes, endings, self.top, self.top_types, self.shift)]
+    def with_classes(self, bigrams, words):
+        """The model with other classes of the training words: their class bigrams and words a class."""
+        return ClassModel(self.top, self.top_types, self.shift, self.cls, bigrams, bigrams.sum(axis=0), words,
+                          self.n, self.v)
+
+    def first_classes(self, hashes, endings):
+        """Classes that dictionary entries start with, and unseen words keep."""
+        return self.cls[_types(hashes, endings, self.top, self.top_types, self.shift)]
+
+    def entry_scores(self, c, counts):
+        """log10 P(word | class) and base log10 of each dictionary entry of class ``c``."""
         known = counts > 0
         emit = np.where(known, self.seen[c] + np.log10(np.maximum(counts, 1)), self.unseen[c])
-        return c, emit, np.log10((counts + 1) / (self.n + 1 * (self.v + 1)))
+        return emit, np.log10((counts + 1) / (self.n + 1 * (self.v + 1)))
 
 
 def train(chunks: DataFrame, counts: DataFrame, top_words: int = TOP_WORDS, endings: int = ENDINGS,
@@ -297,23 +470,28 @@ def train(chunks: DataFrame, counts: DataFrame, top_words: int = TOP_WORDS, endi
 
 
 def score_texts(docs: DataFrame, folds: int = 7, fold: int = 2, top_words: int = TOP_WORDS, endings: int = ENDINGS,
-                classes: int = CLASSES, chunk_tokens: int = CHUNK) -> DataFrame:
+                classes: int = CLASSES, chunk_tokens: int = CHUNK, sweeps: int = SWEEPS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and perplexity of every row."""
     spark = docs.sparkSession
     chunks = chunks_of(docs, folds, fold, endings, chunk_tokens)
     ranges = 2 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     counts = count_words(chunks, ranges, top_words, endings)
-    m = train(chunks, counts, top_words, endings, classes)
+    found, m = refine(chunks, counts, train(chunks, counts, top_words, endings, classes), sweeps)
     shared = spark.sparkContext.broadcast(vars(m))
 
     def score(left, right):
         model = ClassModel.__new__(ClassModel)
         vars(model).update(shared.value)
         out = []
-        answers = right.sort_values("range")["answer"]
+        right = right.sort_values("range")
+        answers, classes = right["answer"].dropna(), right["cls"].dropna()
         for row in left.itertuples(index=False):
             c = np.concatenate([_unpack(a, "<u8") for a in answers]).astype(np.float64)
-            cls, emit, base = model.entry_scores(np.frombuffer(row.hashes, np.uint64), _unpack(row.endings, "<u2"), c)
+            if len(classes):
+                cls = np.concatenate([_unpack(x, "u1") for x in classes])
+            else:
+                cls = model.first_classes(np.frombuffer(row.hashes, np.uint64), _unpack(row.endings, "<u2"))
+            emit, base = model.entry_scores(cls, c)
             t, lens = _unpack(row.tokens, "<u4"), np.frombuffer(row.lens, "<i4")
             now = cls[t]
             p = model.trans[np.concatenate(([0], now[:-1])), now] + emit[t]  # the token before a document is an end
@@ -327,7 +505,9 @@ def score_texts(docs: DataFrame, folds: int = 7, fold: int = 2, top_words: int =
                 "base_score": np.add.reduceat(base[t], starts), "score": total, "perplexity": 10 ** (-total / lens)}))
         return pd.concat(out)
 
-    answers = counts.filter("answer IS NOT NULL").select("chunk", "range", "answer")
+    answers = counts.filter("answer IS NOT NULL").select("chunk", "range", "answer", F.lit(None).cast("binary").alias("cls"))
+    if found is not None:
+        answers = answers.unionByName(found.select("chunk", "range", F.lit(None).cast("binary").alias("answer"), "cls"))
     return (chunks.drop("counts").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
         score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
                "score double, perplexity double"))

@@ -145,6 +145,43 @@ def test_class_lm(docs, empty):
     assert all(r.score < 0 for r in rows) and class_lm.score_texts(empty).count() == 0
 
 
+def test_every_word_moves_to_its_best_class():
+    r = np.random.default_rng(3)
+    k, seq = 5, np.concatenate(([0], r.integers(1, 30, 600), r.integers(25, 30, 60), [0]))
+    cls = np.concatenate(([0], r.integers(1, k, 29)))
+
+    def bigrams(c):
+        return np.bincount(c[seq[:-1]] * k + c[seq[1:]], minlength=k * k).reshape(k, k).astype(float)
+
+    a, b = seq[:-1], seq[1:]
+    keys, n = class_lm._summed(np.concatenate([b * 11 + cls[a], a * 11 + 5 + cls[b], a[a == b] * 11 + 10]))
+    got = class_lm.best_classes(keys, n, cls, bigrams(cls), batch=40)
+    for w in range(1, 30):
+        each = [class_lm.likelihood(bigrams(np.where(np.arange(30) == w, c, cls))) for c in range(1, k)]
+        assert each[got[w] - 1] >= max(each) - 1e-6
+    assert got[0] == 0
+
+
+def test_class_lm_rare_words_have_classes_of_their_own(spark):
+    rows = [(i, " ".join(f"{a}{i % 40}xyz {b}{i % 40}xyz" for _ in range(9))) for i in range(400) for a, b in [("l", "r")]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    chunks = class_lm.chunks_of(docs, endings=4, chunk_tokens=900)
+    counts = class_lm.count_words(chunks, 4, 2, 4)
+    first = class_lm.train(chunks, counts, 2, 4, 6)
+    found, model = class_lm.refine(chunks, counts, first)
+    assert found is not None and model.v == first.v
+    of = {}
+    for c in chunks.collect():
+        got = sorted((r for r in found.collect() if r.chunk == c.chunk), key=lambda r: r.range)
+        cls = np.concatenate([class_lm._unpack(r.cls, "u1") for r in got])
+        for h, x in zip(np.frombuffer(c.hashes, np.uint64).tolist(), cls.tolist()):
+            assert of.setdefault(h, x) == x
+    sides = [{of[class_lm.xxhash.xxh64_intdigest(f"{s}{i}xyz".encode())] for i in range(40)} for s in "lr"]
+    assert not sides[0] & sides[1]  # all end alike; only their neighbours tell them apart
+    score = lambda n: sum(r.score for r in class_lm.score_texts(docs, top_words=2, endings=4, classes=6, sweeps=n).collect())
+    assert score(2) > score(0)
+
+
 def test_warc(spark, tmp_path):
     big = "<p>é</p>" * 200
     pages = spark.createDataFrame([(1, "http://a/", big), (2, None, big), (3, "http://c\n/", "x"), (4, "u", "x"), (5, "u", None),

@@ -12,7 +12,9 @@ bigrams most, all words of a sweep against the same class matrix.  Only
 that matrix reaches the driver; a sweep that does not raise the likelihood
 is left out and ends them.  Unseen words have the class that their ending
 starts with.  Transitions are smoothed additively; emissions keep the share
-V/(N+V) of a class (V words, N tokens) for its unseen words.
+(V+1)/(N+V+2) of a class (V words, N tokens) for its unseen words, times the
+probability of the word's spelling: a chain of byte pairs counted over all
+training tokens, whose probabilities of all words sum to 1.
 
 Data flow: documents are cut into chunks of about ``chunk_tokens`` tokens,
 each with its own sorted dictionary of word hashes, and written.  Chunk
@@ -45,7 +47,7 @@ BINS = 64 * 64
 TOP_WORDS, ENDINGS, CLASSES, CHUNK, SWEEPS = 512, 512, 64, 1_000_000, 2  # at most 256 classes
 END = b"\n"  # cannot be a word
 _PACKED = "chunk long, doc_ids binary, nulls binary, held binary, lens binary, tokens binary, hashes binary, " \
-          "counts binary, endings binary"
+          "counts binary, endings binary, spelled binary, pairs binary"
 
 
 def _pack(a: np.ndarray) -> bytes:
@@ -70,10 +72,10 @@ def chunks_of(docs: DataFrame, folds: int = 7, fold: int = 2, endings: int = END
     """One written row per chunk: documents, tokens as places in the chunk's sorted dictionary, training counts."""
     def cut(batches):
         task, made = TaskContext.get().partitionId(), 0
-        ids, held, lens, tokens, local = [], [], [], [], {}
+        ids, held, lens, tokens, local, spelling = [], [], [], [], {}, [b""]
 
         def flush():
-            nonlocal ids, held, lens, tokens, local, made
+            nonlocal ids, held, lens, tokens, local, spelling, made
             n = np.array(lens, "<i4")
             h = np.fromiter((xxhash.xxh64_intdigest(w) for w in local), np.uint64, len(local))
             e = np.fromiter((ending_of(w, endings) for w in local), np.uint16, len(local))
@@ -83,10 +85,13 @@ def chunks_of(docs: DataFrame, folds: int = 7, fold: int = 2, endings: int = END
             t = place[np.array(tokens, np.int64)]
             train = np.repeat(~np.array(held), n)
             counts = np.bincount(t[train], minlength=len(order))
+            words = list(local)
+            spelled = [b"" if counts[k] or words[j] == END else words[j] for k, j in enumerate(order)]
             row = ((task << 32) + made, np.array([i or 0 for i in ids], "<i8").tobytes(),
                    np.array([i is None for i in ids]).tobytes(), np.array(held).tobytes(), n.tobytes(),
-                   _pack(t.astype("<u4")), h[order].tobytes(), _pack(counts.astype("<u4")), _pack(e[order]))
-            ids, held, lens, tokens, local, made = [], [], [], [], {}, made + 1
+                   _pack(t.astype("<u4")), h[order].tobytes(), _pack(counts.astype("<u4")), _pack(e[order]),
+                   zlib.compress(b"\n".join(spelled), 1), _pack(_byte_pairs(b" ".join([*spelling, b""]))))
+            ids, held, lens, tokens, local, spelling, made = [], [], [], [], {}, [b""], made + 1
             return pd.DataFrame([row], columns=[c.split()[0] for c in _PACKED.split(", ")])
 
         for pdf in batches:
@@ -95,6 +100,8 @@ def chunks_of(docs: DataFrame, folds: int = 7, fold: int = 2, endings: int = END
                 tokens += [add(w, len(local)) for w in words]
                 ids.append(None if doc_id is pd.NA else int(doc_id))
                 held.append(bool(out))
+                if not out:
+                    spelling += words[:-1]
                 lens.append(len(words))
                 if len(tokens) >= chunk_tokens:
                     yield flush()
@@ -106,6 +113,30 @@ def chunks_of(docs: DataFrame, folds: int = 7, fold: int = 2, endings: int = END
     return materialize(rows.mapInPandas(cut, _PACKED), "lm-chunks")
 
 
+def _byte_pairs(text: bytes) -> np.ndarray:
+    """Counts of neighbouring bytes, 256 * first + second; a blank stands for the start and the end of a word."""
+    b = np.frombuffer(text, np.uint8)
+    return np.bincount(b[:-1].astype(np.uint16) * 256 + b[1:], minlength=1 << 16)
+
+
+def byte_chain(pairs: np.ndarray) -> np.ndarray:
+    """log10 P(byte | byte before) from counts of ``pairs``; -inf where no lower-case word has the pair."""
+    b = np.arange(256)
+    inside = ~np.isin(b, list(b" \t\n\r\x0b\x0c")) & ~((b >= 65) & (b <= 90))
+    p = np.where(inside, pairs.reshape(256, 256) + 1.0, 0)
+    p[inside, 32] = pairs.reshape(256, 256)[inside, 32] + 1.0  # a word ends, but not before its first byte
+    with np.errstate(divide="ignore"):
+        return np.log10(p / p.sum(axis=1, keepdims=True))
+
+
+def spelling_scores(words: list[bytes], chain: np.ndarray) -> np.ndarray:
+    """log10 probability of each word's spelling."""
+    if not words:
+        return np.zeros(0)
+    b = np.frombuffer(b" ".join([b"", *words, b""]), np.uint8)
+    return np.add.reduceat(chain[b[:-1], b[1:]], np.flatnonzero(b == 32)[:-1])
+
+
 def _bins(counts: np.ndarray) -> np.ndarray:
     """Logarithmic bins, 64 for each doubling."""
     return np.floor(np.log2(counts) * 64).astype(np.int64)
@@ -414,9 +445,9 @@ def refine(chunks: DataFrame, counts: DataFrame, model: ClassModel, sweeps: int
 class ClassModel:
     """Log10 probabilities by class; everything in it is bounded by the model's parameters."""
 
-    def __init__(self, top, top_types, shift, cls, trans, tokens, words, n_tokens, n_words):
+    def __init__(self, top, top_types, shift, cls, trans, tokens, words, n_tokens, n_words, chain):
         self.top, self.top_types, self.shift, self.cls = top, top_types, shift, cls
-        self.n, self.v = n_tokens, n_words
+        self.n, self.v, self.chain = n_tokens, n_words, chain
         row = trans.sum(axis=1, keepdims=True)
         self.trans = np.log10((trans + 0.5) / (row + 0.5 * trans.shape[1]))
         unseen = (words + 1) / (tokens + words + 2)
@@ -426,16 +457,21 @@ class ClassModel:
     def with_classes(self, bigrams, words):
         """The model with other classes of the training words: their class bigrams and words a class."""
         return ClassModel(self.top, self.top_types, self.shift, self.cls, bigrams, bigrams.sum(axis=0), words,
-                          self.n, self.v)
+                          self.n, self.v, self.chain)
 
     def first_classes(self, hashes, endings):
         """Classes that dictionary entries start with, and unseen words keep."""
         return self.cls[_types(hashes, endings, self.top, self.top_types, self.shift)]
 
-    def entry_scores(self, c, counts):
-        """log10 P(word | class) and base log10 of each dictionary entry of class ``c``."""
+    def entry_scores(self, c, counts, spelled):
+        """log10 P(word | class) and base log10 of each dictionary entry of class ``c``.
+
+        ``spelled`` has the words that are not in training documents; the end token, alone in its class, is empty there.
+        """
         known = counts > 0
         emit = np.where(known, self.seen[c] + np.log10(np.maximum(counts, 1)), self.unseen[c])
+        new = [i for i in np.flatnonzero(~known).tolist() if spelled[i]]
+        emit[new] += spelling_scores([spelled[i] for i in new], self.chain)
         return emit, np.log10((counts + 1) / (self.n + 1 * (self.v + 1)))
 
 
@@ -466,7 +502,7 @@ def train(chunks: DataFrame, counts: DataFrame, top_words: int = TOP_WORDS, endi
     member = np.zeros((types, classes))
     member[np.arange(types), cls] = 1
     return ClassModel(hashes, own, shift, cls, member.T @ bigrams @ member, member.T @ n, member.T @ v,
-                      int(n.sum()), int(v.sum()))
+                      int(n.sum()), int(v.sum()), byte_chain(np.broadcast_to(_added(chunks, "pairs"), 1 << 16)))
 
 
 def score_texts(docs: DataFrame, folds: int = 7, fold: int = 2, top_words: int = TOP_WORDS, endings: int = ENDINGS,
@@ -491,7 +527,7 @@ def score_texts(docs: DataFrame, folds: int = 7, fold: int = 2, top_words: int =
                 cls = np.concatenate([_unpack(x, "u1") for x in classes])
             else:
                 cls = model.first_classes(np.frombuffer(row.hashes, np.uint64), _unpack(row.endings, "<u2"))
-            emit, base = model.entry_scores(cls, c)
+            emit, base = model.entry_scores(cls, c, zlib.decompress(row.spelled).split(b"\n"))
             t, lens = _unpack(row.tokens, "<u4"), np.frombuffer(row.lens, "<i4")
             now = cls[t]
             p = model.trans[np.concatenate(([0], now[:-1])), now] + emit[t]  # the token before a document is an end
@@ -508,6 +544,6 @@ def score_texts(docs: DataFrame, folds: int = 7, fold: int = 2, top_words: int =
     answers = counts.filter("answer IS NOT NULL").select("chunk", "range", "answer", F.lit(None).cast("binary").alias("cls"))
     if found is not None:
         answers = answers.unionByName(found.select("chunk", "range", F.lit(None).cast("binary").alias("answer"), "cls"))
-    return (chunks.drop("counts").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
+    return (chunks.drop("counts", "pairs").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
         score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
                "score double, perplexity double"))

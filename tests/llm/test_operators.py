@@ -182,6 +182,29 @@ def test_class_lm_rare_words_have_classes_of_their_own(spark):
     assert score(2) > score(0)
 
 
+def test_spellings_are_probabilities():
+    chain = class_lm.byte_chain(class_lm._byte_pairs(b" some ordinary words and some more "))
+    p = 10.0 ** chain
+    inside = [b for b in range(256) if p[32, b] > 0]
+    reach, ended = p[32, inside], 0.0
+    for _ in range(20_000):  # a word of one byte, two bytes, ...
+        ended += reach @ p[inside, 32]
+        reach = reach @ p[np.ix_(inside, inside)]
+    assert 32 not in inside and abs(ended - 1) < 1e-6
+    one, two = class_lm.spelling_scores([b"some", b"xq9"], chain)
+    assert one > two and abs(one - sum(chain[a, b] for a, b in zip(b" some", b"some "))) < 1e-9
+
+
+def test_class_lm_unseen_words_score_below_seen_ones(spark):
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    rows = [(i, " ".join(f"word{(i * 31 + j) % 900}" for j in range(40))) for i in range(400) if i not in held]
+    rows += [(held[0], " ".join(f"word{j}" for j in range(40))), (held[1], " ".join(f"zq{j}vx" for j in range(40)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in class_lm.score_texts(docs, sweeps=0).collect()}
+    assert (got[held[0]].n_known, got[held[1]].n_known) == (41, 1)
+    assert got[held[1]].score < got[held[0]].score - 40
+
+
 def test_warc(spark, tmp_path):
     big = "<p>é</p>" * 200
     pages = spark.createDataFrame([(1, "http://a/", big), (2, None, big), (3, "http://c\n/", "x"), (4, "u", "x"), (5, "u", None),

@@ -4,9 +4,9 @@ Values that follow a credential word are segmented at minimum guess cost
 into dictionary words, dates, repeats, keyboard walks and brute-force
 spans; a value whose cheapest segmentation needs at least
 ``min_log10_guesses`` guesses is a secret of kind ``guess``.  The word
-list ranks the corpus's own most frequent words (counted over all
-documents; ``dictionary_words`` of them are kept as the model) below the
-usual password words.
+list ranks all words of the corpus (counted over all documents) below the
+usual password words; it stays a table, and each distinct value gets the
+ranks of the words that stand in it by a join.
 
 Defined results: null text is empty and has no spans; spans are code
 points, end exclusive; repeated rows each get their own result; an added
@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from renown.llm.common import most_frequent
+from renown.llm.common import sized
 from renown.session import materialize
 
 # The base patterns.
@@ -47,6 +47,7 @@ _NEXT = {a + b for r in ROWS for a, b in [*zip(r, r[1:]), *zip(r[1:], r)]}
 _DATE = re.compile(r"(?:(?:19|20)\d\d(?:([-/._]?)\d{1,2}\1\d{1,2})?|\d{1,2}([-/._]?)\d{1,2}\2(?:19|20)?\d\d)")
 _LEET = str.maketrans("4@310!$57+", "aaeioisstt")
 _LONGEST_WORD, _LONGEST_DATE = 24, 10
+_USUAL = {w: i + 1 for i, w in enumerate(COMMON)}
 
 
 def _char_cost(v: str) -> float:
@@ -115,52 +116,94 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def added_spans(text: str, base, ranks: dict[str, int], min_log10: float) -> list[tuple[int, int, int]]:
+def candidates(text: str, base) -> list[tuple[int, int]]:
+    """(start, end) of the values after credential words that no base span overlaps."""
     out = []
     for m in _CONTEXT.finditer(text):
         value = m[1].rstrip(".,;:!?)]}\"'")
         start, end = m.start(1), m.start(1) + len(value)
-        if len(value) < 6 or any(s < end and start < e for s, _, e in base):
-            continue
-        if guess_cost(value, ranks) >= min_log10:
-            out.append((start, len(KINDS), end))
+        if len(value) >= 6 and not any(s < end and start < e for s, _, e in base):
+            out.append((start, end))
     return out
 
 
-def word_ranks(docs: DataFrame, dictionary_words: int = 20_000) -> dict[str, int]:
-    """Rank of the most frequent ASCII words of all documents, after the usual password words.
+def words_in(value: str) -> set[str]:
+    """Every run of letters in ``value`` that ``guess_cost`` may look up, as it stands and read as leet."""
+    low = value.lower()
+    return {x[i:i + k] for text in {low, low.translate(_LEET)} for x in re.findall("[a-z]{3,}", text)
+            for i in range(len(x) - 2) for k in range(3, min(_LONGEST_WORD, len(x) - i) + 1)}
 
-    ``dictionary_words`` bounds the model; ties go by the word itself.
+
+def word_ranks(docs: DataFrame) -> DataFrame:
+    """(w, rank) of all ASCII words of all documents by count, ties by the word, after the usual password words.
+
+    The sort is by ranges; a rank is the place in its range and the sizes of the ranges before.
     """
     words = F.explode(F.split(F.lower(F.col("text")), r"[^a-z]+")).alias("w")
-    counts = materialize(docs.select(words).filter(F.length("w").between(3, _LONGEST_WORD)).groupBy("w")
-                         .agg(F.count("*").alias("n")), "secret-words")
-    top = most_frequent(counts, dictionary_words, "w").collect()
-    ranks = {w: i + 1 for i, w in enumerate(COMMON)}
-    for i, r in enumerate(top):
-        ranks.setdefault(r.w, len(COMMON) + i + 1)
-    return ranks
+    counts = docs.select(words).filter(F.length("w").between(3, _LONGEST_WORD)).groupBy("w").agg(F.count("*").alias("n"))
+    placed = materialize(materialize(counts, "secret-words").orderBy(F.desc("n"), "w")
+                         .select("w", F.monotonically_increasing_id().alias("at")), "secret-ranks")
+    part, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
+    before, first = 1 + len(COMMON), []
+    for r in sorted(placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()):  # one row a range
+        first.append((r.part, before))
+        before += r.n
+    starts = placed.sparkSession.createDataFrame(first, "part long, before long")
+    return placed.withColumn("part", part).join(F.broadcast(starts), "part").select("w", (F.col("before") + place).alias("rank"))
+
+
+def strong_values(values: DataFrame, ranks: DataFrame, min_log10: float) -> DataFrame:
+    """Written rows (value) of those ``values`` that need at least ``min_log10`` guesses."""
+    def explode(batches):
+        for pdf in batches:
+            rows = [(i, w) for i, v in zip(pdf["id"], pdf["value"]) for w in sorted(words_in(v))]
+            yield pd.DataFrame(rows, columns=["id", "w"])
+
+    def weigh(batches):
+        for pdf in batches:
+            strong = [guess_cost(v, {**(dict(zip(w, r)) if w is not None else {}), **_USUAL}) >= min_log10
+                      for v, w, r in zip(pdf["value"], pdf["words"], pdf["ranks"])]
+            yield pdf.loc[strong, ["value"]]
+
+    values = materialize(values.distinct().withColumn("id", F.monotonically_increasing_id()), "secret-values")
+    held = materialize(values.mapInPandas(explode, "id long, w string"), "secret-parts")
+    known = materialize(ranks.join(held.select("w").distinct(), "w"), "secret-known")
+    by_value = held.join(sized(known), "w").groupBy("id").agg(F.collect_list(F.struct("w", "rank")).alias("x"))
+    lists = by_value.select("id", F.col("x.w").alias("words"), F.col("x.rank").alias("ranks"))
+    return materialize(values.join(lists, "id", "left").select("value", "words", "ranks")
+                       .mapInPandas(weigh, "value string"), "secret-strong")
 
 
-def scan_secrets(docs: DataFrame, ranks: dict[str, int] | None = None, min_log10_guesses: float = 8.0) -> DataFrame:
-    """Per document: doc_id, spans array of (kind, start, end, base), ordered by start, then kind."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(word_ranks(docs) if ranks is None else ranks)
-    names = (*KINDS, "guess")
+def scan_secrets(docs: DataFrame, ranks: DataFrame | None = None, min_log10_guesses: float = 8.0) -> DataFrame:
+    """Per document: doc_id, spans array of (kind, start, end, base), ordered by start, then kind.
 
+    ``ranks`` (w, rank) takes the place of the ranks of the documents' own words.
+    """
     def scan(batches):
-        ranks = shared.value
         for pdf in batches:
-            out = []
+            spans, values = [], []
             for text in pdf["text"]:
                 text = text or ""
                 base = base_spans(text)
-                more = added_spans(text, base, ranks, min_log10_guesses)
-                out.append([(names[k], s, e, k < 3) for s, k, e in sorted(base + more)])
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "spans": out})
-
-    schema = "doc_id long, spans array<struct<kind:string,start:long,end:long,base:boolean>>"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInPandas(scan, schema)
+                spans.append([(KINDS[k], s, e, True) for s, k, e in base])
+                values.append([(text[s:e], s, e) for s, e in candidates(text, base)])
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "spans": spans, "found": values})
+
+    span = "struct<kind:string,start:long,end:long,base:boolean>"
+    rows = materialize(docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInPandas(
+        scan, f"doc_id long, spans array<{span}>, found array<struct<value:string,start:long,end:long>>")
+        .withColumn("row", F.monotonically_increasing_id()), "secret-rows")
+    found = rows.select("row", F.explode("found").alias("f")).select("row", "f.*")
+    strong = strong_values(found.select("value"), word_ranks(docs) if ranks is None else ranks, min_log10_guesses)
+    guess = F.struct(F.lit("guess").alias("kind"), "start", "end", F.lit(False).alias("base"))
+    added = found.join(sized(strong), "value").groupBy("row").agg(F.collect_list(guess).alias("added"))
+    # A base span and an added one never start at the same place: they do not overlap.
+    order = F.expr("array_sort(spans, (a, b) -> CASE WHEN a.start < b.start THEN -1 WHEN a.start > b.start THEN 1 "
+                   f"ELSE cast(array_position(array('{"','".join(KINDS)}'), a.kind) - "
+                   f"array_position(array('{"','".join(KINDS)}'), b.kind) AS int) END)")
+    return (rows.select("doc_id", "row", "spans").join(added, "row", "left")
+            .withColumn("spans", F.concat("spans", F.coalesce("added", F.array().cast(f"array<{span}>"))))
+            .select("doc_id", order.alias("spans")))
 
 
 def secret_report(docs: DataFrame) -> DataFrame:

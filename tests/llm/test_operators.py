@@ -235,6 +235,17 @@ def test_secrets(docs, empty):
     assert cost("password1999") < 7 < cost("Zk9!vQ2#pL8x") and cost("qwertyuiop") < 4 and cost("abababababab") < 6
 
 
+def test_secrets_know_every_word_of_the_corpus(spark):
+    letters = "bcdfghjklmnpqrstvwxz"
+    rare = [f"{a}{b}{c}q{d}jvkzu" for a in letters for b in letters for c in letters for d in "bcd"][:21_000]  # by rank past 20,000
+    rows = [(0, " ".join(rare)), (1, f"login: {max(rare)} pwd: {max(rare)[::-1]}"), (None, f"pwd: {max(rare)}"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = secret_scan.word_ranks(docs.filter("doc_id = 0"))
+    assert sorted((r["rank"], r.w) for r in found.collect()) == [(31 + i, w) for i, w in enumerate(sorted(rare))]
+    spans = {r.doc_id: [rows[1][1][s.start:s.end] for s in r.spans] for r in secret_scan.scan_secrets(docs, found).collect()}
+    assert spans == {0: [], 1: [max(rare)[::-1]], None: [], 2: []}
+
+
 def test_packing(docs, empty):
     out = packing.pack(docs, tokenizer_path(), capacity=64).collect()
     from tokenizers import Tokenizer

@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,14 +37,19 @@ KINDS = ("assign", "access", "hex")
 _CONTEXT = re.compile(
     r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code|wort)?|pwd|pin|mot\ de\ passe|contrase\xf1a|secret|token|api[_-]?key"""
     r"""|access[_-]?key|private[_-]?key|client[_-]?secret|auth|credentials?|login|bearer)["']?"""
-    r"""(?:\x20{0,3}(?:[:=]|=>|->)\x20{0,3}|\x20(?:is|ist|est|es|bearer)\x20)["']?([!-~]{6,})""", re.IGNORECASE)
+    r"""(?:\x20{0,3}(?:[:=]|=>|->)\x20{0,3}|\x20(?:is|ist|est|es|bearer)\x20)["'\u201c\u201e\u2018\u00ab]?(\S{6,})""", re.IGNORECASE)
 # The usual password words, most common first.
 COMMON = ("password", "admin", "welcome", "login", "letmein", "qwerty", "dragon", "monkey", "master", "secret",
           "sunshine", "princess", "football", "shadow", "superman", "iloveyou", "trustno", "hello", "freedom",
           "whatever", "test", "guest", "root", "user", "change", "default", "summer", "winter", "spring", "autumn")
-# Keyboard rows.
-ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
-_NEXT = {a + b for r in ROWS for a, b in [*zip(r, r[1:]), *zip(r[1:], r)]}
+# What may close a value without being part of it.
+_CLOSING = ".,;:!?)]}\"'\u201c\u201d\u2019\u00bb\u2026"
+# Keyboard rows, without and with shift; all but the first start one key further right.
+ROWS = (("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./"),
+        ("~!@#$%^&*()_+", "QWERTYUIOP{}|", 'ASDFGHJKL:"', "ZXCVBNM<>?"))
+_KEYS = {c: x + (y > 0) + 1000 * y for rows in ROWS for y, r in enumerate(rows) for x, c in enumerate(r)}
+# Steps to the next key: in the row, to the row below (slightly right) and to the row above.
+_STEPS = (1, -1, 1000, -1000, 999, -999)
 _DATE = re.compile(r"(?:(?:19|20)\d\d(?:([-/._]?)\d{1,2}\1\d{1,2})?|\d{1,2}([-/._]?)\d{1,2}\2(?:19|20)?\d\d)")
 _LEET = str.maketrans("4@310!$57+", "aaeioisstt")
 _LONGEST_WORD, _LONGEST_DATE = 24, 10
@@ -51,8 +57,9 @@ _USUAL = {w: i + 1 for i, w in enumerate(COMMON)}
 
 
 def _char_cost(v: str) -> float:
-    kinds = [(str.islower, 26), (str.isupper, 26), (str.isdigit, 10)]
-    size = sum(n for f, n in kinds if any(map(f, v))) + 33 * any(not c.isalnum() for c in v)
+    kinds = [(str.islower, 26), (str.isupper, 26), (str.isdigit, 10), (lambda c: not c.isalnum(), 33)]
+    plain = [c for c in v if c < "\x80"]
+    size = sum(n for f, n in kinds if any(map(f, plain))) + 100 * (len(plain) < len(v))
     return math.log10(max(size, 10))
 
 
@@ -63,36 +70,80 @@ def _case_cost(word: str) -> float:
     return math.log10(math.comb(len(word), upper) * 2)
 
 
+def _low(value: str) -> str:
+    """Lower case, character by character: places stay."""
+    return "".join(x if len(x := c.lower()) == 1 else c for c in value)
+
+
+def _stretches(same: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """(start, end) of the runs of at least ``least`` true values."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], same, [False])).astype(np.int8)))
+    return [(a, b) for a, b in edges.reshape(-1, 2).tolist() if b - a >= least]
+
+
+def repeats(value: str) -> list[tuple[int, int, int]]:
+    """(unit, start, end): maximal runs of characters that repeat those ``unit`` places before, of a unit or more.
+
+    Units go up to half the value; those that themselves repeat a shorter one are left out.
+    """
+    c, out = np.array([*map(ord, value)]), []
+    for u in range(1, len(c) // 2 + 1):
+        same = c[u:] == c[:-u]
+        if np.count_nonzero(same) >= u:
+            for a, b in _stretches(same, u):
+                if not any(u % v == 0 and s - v <= a and b + u <= e for v, s, e in out):
+                    out.append((u, a + u, b + u))
+    return out
+
+
+def shifted_walks(keys: np.ndarray) -> list[tuple[int, int, int]]:
+    """(unit, start, end): maximal runs of keys that all lie one key beside those ``unit`` places before, the same way."""
+    out = []
+    for u in range(3, min(len(keys) // 2, len(ROWS[0][0])) + 1):  # a straight walk has no more keys than a row
+        step = keys[u:] - keys[:-u]
+        out += [(u, a + u, b + u) for d in _STEPS for a, b in _stretches(step == d, u)]
+    return out
+
+
 def guess_cost(value: str, ranks: dict[str, int]) -> float:
-    """log10 of the guesses of the cheapest segmentation; linear in the length of ``value``.
+    """log10 of the guesses of the cheapest segmentation.
 
     Words and dates have bounded length; repeats and keyboard walks are
     maximal runs found once, and any part of a run costs as one segment.
     """
-    n, per, low = len(value), _char_cost(value), value.lower()
+    n, per, low = len(value), _char_cost(value), _low(value)
     plain = low.translate(_LEET)
-    walk, same = [1] * n, [1] * n  # length of the run that ends here
+    keys = np.array([_KEYS.get(c, -10_000 * (i + 1)) for i, c in enumerate(value)])
+    steps = np.diff(keys).tolist()  # those at characters without a key are no steps
+    walk, turns, straight, same = [1] * n, [0] * n, [1] * n, [1] * n  # of the run that ends here
     for i in range(1, n):
-        walk[i] = walk[i - 1] + 1 if low[i - 1:i + 1] in _NEXT else 1
+        if steps[i - 1] in _STEPS:
+            on = i > 1 and steps[i - 1] == steps[i - 2]
+            walk[i], turns[i] = walk[i - 1] + 1, turns[i - 1] + (not on)
+            straight[i] = straight[i - 1] + 1 if on else 2
         same[i] = same[i - 1] + 1 if value[i] == value[i - 1] else 1
-    units = {u: [0] * n for u in (2, 3, 4)}  # characters that repeat those u places before
-    for u, run in units.items():
-        for i in range(u, n):
-            run[i] = run[i - 1] + 1 if value[i] == value[i - u] else 0
+    spans = [(a, b, a + u, 0.0) for u, a, b in repeats(value) if u > 1]
+    spans += [(a, b, a + u, math.log10(len(_STEPS))) for u, a, b in shifted_walks(keys)]
+    by_end = {}  # the unit of a span stands before and is paid for
+    for a, b, full, extra in spans:
+        for j in range(full, b + 1):
+            by_end.setdefault(j, []).append((a, extra))
     step = math.log10(2)  # for each further segment
     best = [0.0] + [math.inf] * n
     for j in range(1, n + 1):
         cost = best[j - 1] + per
         if walk[j - 1] >= 3:
-            k = walk[j - 1]
-            cost = min(cost, best[j - k] + step + math.log10(47 * 2 * k))
+            k, t = walk[j - 1], turns[j - 1]
+            ways = (math.lgamma(k) - math.lgamma(t) - math.lgamma(k - t + 1)) / math.log(10)  # places of the turns
+            cost = min(cost, best[j - k] + step + math.log10(47 * k) + t * math.log10(len(_STEPS)) + ways)
+        if straight[j - 1] >= 3:
+            k = straight[j - 1]
+            cost = min(cost, best[j - k] + step + math.log10(47 * len(_STEPS) * k))
         if same[j - 1] >= 3:
             k = same[j - 1]
             cost = min(cost, best[j - k] + step + per + math.log10(k))
-        for u, run in units.items():
-            if run[j - 1] >= u:
-                k = run[j - 1]  # the repeats; their unit stands before and is paid for
-                cost = min(cost, best[j - k] + step + math.log10(k))
+        for a, extra in by_end.get(j, ()):
+            cost = min(cost, best[a] + step + extra + math.log10(j - a))
         for k in range(4, min(j, _LONGEST_DATE) + 1):
             if value[j - k].isdigit() and _DATE.fullmatch(value, j - k, j):
                 cost = min(cost, best[j - k] + step + math.log10(365 * 120 if k > 4 else 120) + 0.3)
@@ -120,7 +171,7 @@ def candidates(text: str, base) -> list[tuple[int, int]]:
     """(start, end) of the values after credential words that no base span overlaps."""
     out = []
     for m in _CONTEXT.finditer(text):
-        value = m[1].rstrip(".,;:!?)]}\"'")
+        value = m[1].rstrip(_CLOSING)
         start, end = m.start(1), m.start(1) + len(value)
         if len(value) >= 6 and not any(s < end and start < e for s, _, e in base):
             out.append((start, end))
@@ -129,17 +180,17 @@ def candidates(text: str, base) -> list[tuple[int, int]]:
 
 def words_in(value: str) -> set[str]:
     """Every run of letters in ``value`` that ``guess_cost`` may look up, as it stands and read as leet."""
-    low = value.lower()
-    return {x[i:i + k] for text in {low, low.translate(_LEET)} for x in re.findall("[a-z]{3,}", text)
+    low = _low(value)
+    return {x[i:i + k] for text in {low, low.translate(_LEET)} for x in re.findall(r"[^\W\d_]{3,}", text)
             for i in range(len(x) - 2) for k in range(3, min(_LONGEST_WORD, len(x) - i) + 1)}
 
 
 def word_ranks(docs: DataFrame) -> DataFrame:
-    """(w, rank) of all ASCII words of all documents by count, ties by the word, after the usual password words.
+    """(w, rank) of all words of all documents by count, ties by the word, after the usual password words.
 
     The sort is by ranges; a rank is the place in its range and the sizes of the ranges before.
     """
-    words = F.explode(F.split(F.lower(F.col("text")), r"[^a-z]+")).alias("w")
+    words = F.explode(F.split(F.lower(F.col("text")), r"\P{L}+")).alias("w")
     counts = docs.select(words).filter(F.length("w").between(3, _LONGEST_WORD)).groupBy("w").agg(F.count("*").alias("n"))
     placed = materialize(materialize(counts, "secret-words").orderBy(F.desc("n"), "w")
                          .select("w", F.monotonically_increasing_id().alias("at")), "secret-ranks")

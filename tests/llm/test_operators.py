@@ -246,6 +246,20 @@ def test_secrets_know_every_word_of_the_corpus(spark):
     assert spans == {0: [], 1: [max(rare)[::-1]], None: [], 2: []}
 
 
+def test_secret_values_walks_and_repeats():
+    found = lambda t: [t[a:b] for a, b in secret_scan.candidates(t, [])]
+    assert found("Passwort: Zk9!vQ\u00fc2#pL8x. Ende") == ["Zk9!vQ\u00fc2#pL8x"]
+    assert found("contrase\u00f1a: \u201ca\u00f19!vQ2#pL\u201d y") == ["a\u00f19!vQ2#pL"] and found("pwd: \u00fc1\u00f12\u00e93") == ["\u00fc1\u00f12\u00e93"]
+    cost = lambda v: secret_scan.guess_cost(v, secret_scan._USUAL)
+    for weak in ("1qaz2wsx3edc", "qazwsxedc", "!QAZ@WSX", "zaq12wsx", "x7kq" * 5, "asdfghjkl", "a" * 3000):
+        assert cost(weak) < 8, weak
+    per = secret_scan._char_cost("k7Qx9v")
+    assert cost("k7Qx9v" * 3) < 6 * per + 3 and cost("k7Qx9v" * 3) < cost("k7Qx9vz2Bw4mH8sTn5")
+    assert cost("Zk9!vQ\u00fc2#pL8x") > cost("Zk9!vQ2#pL8x") > 20
+    assert {"\u00fcber", "pass"} <= secret_scan.words_in("\u00dcber1p4ss")
+    assert secret_scan.repeats("abcabcabcabc") == [(3, 3, 12)] and secret_scan.repeats("aaaa") == [(1, 1, 4)]
+
+
 def test_packing(docs, empty):
     out = packing.pack(docs, tokenizer_path(), capacity=64).collect()
     from tokenizers import Tokenizer

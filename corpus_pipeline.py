@@ -51,7 +51,7 @@ STAGES = [
     ("personal_data", redact_personal_data),
     ("packing", pack_sequences),
 ]
-#: SQL cannot express the trained stages; tests hold them against plain Python.
+#: SQL cannot express the trained stages; tests run near-duplicates to personal data with spot checks.
 ORACLE_SQL = None
 
 

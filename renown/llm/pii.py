@@ -42,7 +42,10 @@ LOOSE = {
 }
 #: A text without this cannot match.
 GATES = {"email": r"@|[(\[{ ]at[)\]} ]", "ip": r"[0-9A-Fa-f][.:][0-9A-Fa-f]", "card": r"[0-9][ -]?[0-9]",
-         "phone": r"[0-9][ ().-]?[0-9]"}
+         "phone": r"[0-9][ ().-]?[0-9]|\+[0-9]"}
+# Card numbers inside a longer run of digit groups, in the usual groups; the shorter and the longer reading.
+_CARD = r"(?<![0-9])(?:[0-9]{4}(?:[ -]?[0-9]{4}){3}%s|3[0-9]{3}[ -]?[0-9]{6}[ -]?[0-9]{4,5}|[0-9]{13,19})(?![0-9])"
+CARDS = (_CARD % "", _CARD % "[ -]?[0-9]{1,3}")
 # Gazetteers.
 TLDS = ("com", "org", "net", "edu", "gov", "info", "io", "co", "de", "fr", "es", "uk", "it", "nl", "eu", "us", "ch",
         "at", "be", "pt", "ca", "au", "jp", "cn", "ru", "br", "mx", "in", "biz", "dev", "app", "me")
@@ -128,14 +131,22 @@ def _labels(kind: str, m: Column, base: Column, before: Column) -> list[Column]:
 
 def candidates(text: Column, around: int = 40) -> Column:
     """Array of candidate spans with their votes and features, by kind, then start."""
+    def inner_cards(found, described, kind, k):
+        """Card numbers in base matches that fail; the Luhn sum is their check."""
+        good = F.filter(found, lambda b: b["base"])
+        spans = F.concat(*[matches(text, p) for p in CARDS])
+        spans = F.filter(spans, lambda x: ~F.exists(good, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
+                         & ~F.exists(found, lambda b: (b["s"] == x["s"]) & (b["e"] == x["e"])))
+        return F.transform(spans, lambda x: described(x, False, kind, k, lambda m: check(kind, m)))
+
     out = []
     for k, kind in enumerate(KINDS):
-        def described(x, base, kind, k):
+        def described(x, base, kind, k, checked=None):
             before = F.substring(text, F.greatest(x["s"] - around, F.lit(0)) + 1, F.least(F.lit(around), x["s"]))
             ok = check(kind, x["m"]) if base else F.lit(False)
             marks = F.length(F.regexp_replace(x["m"], "[0-9A-Za-z]", ""))
             return F.struct(F.lit(k).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), ok.alias("base"),
-                            *_labels(kind, x["m"], ok, before),
+                            *_labels(kind, x["m"], ok if checked is None else checked(x["m"]), before),
                             F.least(F.length(_digits(x["m"])) / 4, F.lit(5)).cast("int").alias("digits"),
                             F.least(marks, F.lit(3)).alias("marks"),
                             F.when(before.rlike("[0-9A-Za-z]$"), 1).otherwise(0).alias("edge"))
@@ -146,6 +157,8 @@ def candidates(text: Column, around: int = 40) -> Column:
         found = make(BASE[kind], True)
         if kind in LOOSE:
             found = F.concat(found, make(LOOSE[kind], False))
+        if kind == "card":
+            found = F.concat(found, inner_cards(found, described, kind, k))
         out.append(F.when(text.rlike(GATES[kind]), found))
     return F.concat(*[F.coalesce(c, F.array().cast(_CANDIDATES)) for c in out])
 
@@ -205,6 +218,14 @@ def learn(found: DataFrame) -> dict[int, tuple[float, list[dict[int, float]]]]:
     return models
 
 
+def _taken(acc: Column, c: Column) -> Column:
+    """``acc`` and, if it does not touch the last span taken of its kind, ``c``."""
+    last = F.try_element_at(acc, F.lit(-1))
+    clear = last.isNull() | (last["kind"] != c["kind"]) | (last["e"] <= c["s"])
+    return F.when(clear, F.concat(acc, F.array(F.struct(c["kind"].alias("kind"), c["s"].alias("s"), (-c["to"]).alias("e"),
+                                                        F.lit(False).alias("base"))))).otherwise(acc)
+
+
 def accepted(found: Column, models) -> Column:
     """Base spans and the spans that the classifier adds, by kind, then start."""
     def odds(c):
@@ -226,11 +247,12 @@ def accepted(found: Column, models) -> Column:
         backed = (c["gazetteer"] > 0) | (c["context"] > 0)
         return ~c["base"] & backed & clear & (odds(c) > 0)
 
-    more = F.filter(found, added)
-    more = F.filter(more, lambda c: ~F.exists(more, lambda o: (o["kind"] == c["kind"]) & (o["s"] < c["s"])
-                                              & (c["s"] < o["e"])))
-    return F.array_sort(F.transform(F.concat(base, more), lambda c: F.struct(
-        c["kind"].alias("kind"), c["s"].alias("s"), c["e"].alias("e"), c["base"].alias("base"))))
+    more = F.array_sort(F.transform(F.filter(found, added), lambda c: F.struct(
+        c["kind"].alias("kind"), c["s"].alias("s"), (-c["e"]).alias("to"))))
+    more = F.aggregate(more, F.array().cast("array<struct<kind:int,s:int,e:int,base:boolean>>"), _taken)
+    base = F.transform(base, lambda c: F.struct(
+        c["kind"].alias("kind"), c["s"].alias("s"), c["e"].alias("e"), c["base"].alias("base")))
+    return F.array_sort(F.concat(base, more))
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:

@@ -134,6 +134,21 @@ def test_personal_data(docs, empty):
     assert pii.personal_data_report(empty).count() == 0
 
 
+def test_personal_data_gate_cards_and_chains(spark):
+    card = "4539 1488 0343 6467"
+    texts = ["+1--2--3--4--5--6--7--8--9", f"card {card} {card}", f"card {card}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.c for r in docs.select("doc_id", pii.candidates(F.col("text")).alias("c")).collect()}
+    assert [(c.kind, c.s, c.e, c.base) for c in found[0] if c.kind == 3] == [(3, 0, 26, True)]
+    inner = [(c.s, c.e) for c in found[1] if c.kind == 2 and c.check == 1 and not c.base]
+    assert inner == [(5, 24), (25, 44)]
+    assert [(c.s, c.e, c.base) for c in found[2] if c.kind == 2] == [(5, 24, True)]
+    chain = "array(named_struct('kind', 3, 's', 0, 'to', -10), named_struct('kind', 3, 's', 8, 'to', -20), named_struct('kind', 3, 's', 15, 'to', -30))"
+    none = F.array().cast("array<struct<kind:int,s:int,e:int,base:boolean>>")
+    got = spark.range(1).select(F.aggregate(F.expr(chain), none, pii._taken).alias("x")).first().x
+    assert [(x.s, x.e) for x in got] == [(0, 10), (15, 30)]
+
+
 def test_class_lm(docs, empty):
     rows = class_lm.score_texts(docs, chunk_tokens=50).collect()
     held = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 7 == 2

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from renown.llm.common import ascii_lower
+from renown.llm.common import ascii_lower, crc32_sql
 from renown.session import discard, materialize
 
 FANOUT = 8
@@ -174,13 +174,6 @@ def manifest_report(docs: DataFrame) -> DataFrame:
         folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
-def _crc32_sql(c: str) -> str:
-    """DuckDB expression: CRC-32 of the ASCII text ``c``, bit by bit."""
-    bits = "list_reduce([xor(crc, byte)] || repeat([0::BIGINT], 8), lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))"
-    return (f"xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split({c}, ''), "
-            f"lambda d: ascii(d)::BIGINT), lambda crc, byte: {bits}))")
-
-
 def _sql(levels: int = 9) -> str:
     """DuckDB form, for groups of up to 8^levels documents."""
     def enc(c):
@@ -191,7 +184,7 @@ def _sql(levels: int = 9) -> str:
 
     others = "coalesce(string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos {} n.pos), '')"
     out = [f"""d0 AS MATERIALIZED (SELECT doc_id, lang, {leaf('text')} AS leaf,
-        CASE WHEN {_crc32_sql('doc_id::VARCHAR')} % 3 = 0
+        CASE WHEN {crc32_sql('doc_id::VARCHAR')} % 3 = 0
              THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
              ELSE {leaf('text')} END AS bad FROM documents),
       d AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos

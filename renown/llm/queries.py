@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from renown.llm import (class_lm, decontaminate, merkle, order_minhash, packing, pii, secret_scan, simhash, suffix_dedup,
-                        toxicity, warc)
+from renown.llm import (class_lm, decontaminate, dialogue, merkle, order_minhash, packing, pii, secret_scan, simhash,
+                        suffix_dedup, toxicity, url_filter, warc)
 from renown.llm.common import table
 
 
@@ -55,11 +55,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.repair_report(table(spark, sf_dir, "conversations"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_report(table(spark, sf_dir, "documents"))
 
 
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_decontaminate, op3_order_minhash, op4_toxicity, op5_simhash, op6_personal_data,
-    op7_class_lm, op8_warc, op9_secrets, op10_packing, op12_merkle)}
-ORACLES = {"op2_decontaminate": decontaminate.SQL, "op8_warc": warc.SQL, "op12_merkle": merkle.SQL}
+    op7_class_lm, op8_warc, op9_secrets, op10_packing, op11_dialogue_repair, op12_merkle, op13_url_filter)}
+ORACLES = {"op2_decontaminate": decontaminate.SQL, "op8_warc": warc.SQL, "op11_dialogue_repair": dialogue.SQL,
+           "op12_merkle": merkle.SQL}

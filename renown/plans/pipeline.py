@@ -79,30 +79,29 @@ def run_pipeline(raw: DataFrame, since: str | None = None, languages: tuple[str,
     return RunResult(recs, summary, counters, rejects(norm))
 
 
-def run_from_responses(responses: DataFrame, params: P.RunParams,
+def run_from_responses(responses: DataFrame, params: P.RunParams, redirects: DataFrame | None = None,
                        language_model: LanguageModel | None = None, scorer: Scorer | None = None) -> RunResult:
-    """A whole run from landed JSON responses, driven by ``RunParams``.
+    """A whole run from landed responses of any source, driven by ``RunParams``.
 
     Source selection (empty = every source except the opt-in ones; the
-    filter prunes a source-partitioned landing table), per-source scan rules
-    with ``max_results`` (1 in a dry run), deterministic ``ord`` from the
-    (source, query) task order, then ``run_pipeline``.  Unreadable and
-    error responses join the rejects.
+    filter prunes a source-partitioned landing table), the scans of
+    ``sources.mixed`` with ``max_results`` (1 in a dry run), deterministic
+    ``ord`` from the (source, query) task order, then ``run_pipeline``.
+    ``redirects`` (link, final_url) resolves feed links.  Unreadable and error
+    responses and halves of talk pages join the rejects.
     """
-    from renown.sources.landed import (SCAN_RULES, rejected_responses, require_distinct_responses, scan_landed,
-                                       with_order)
+    from renown.sources.landed import SCAN_RULES, require_distinct_responses, with_order
+    from renown.sources.mixed import scan_run
 
-    selected = params.selected_sources
     resp = responses.where(F.col("target") == params.target) \
-                    .where(F.col("source").isin(*selected)) \
+                    .where(F.col("source").isin(*params.selected_sources)) \
                     .where(F.col("query").isin(*params.queries))
-    others = [r.source for r in resp.select("source").distinct().collect() if r.source not in SCAN_RULES]
-    if others:
-        raise ValueError(f"not JSON responses, use the operators of sources.landed: {sorted(others)}")
     require_distinct_responses(resp)
-    raw = scan_landed(resp, params.effective_max_results, slice_all=params.dry_run)
+    raw, bad = scan_run(resp, list(params.queries), params.effective_max_results, slice_all=params.dry_run,
+                        redirects=redirects, as_of=params.as_of, max_videos=params.max_videos,
+                        languages=params.page_languages)
     raw = with_order(raw, list(params.queries), sources=tuple(dict.fromkeys([*P.SOURCE_ORDER, *SCAN_RULES])))
     res = run_pipeline(raw, since=params.since, languages=params.languages, as_of=params.as_of,
                        language_model=language_model, scorer=scorer)
-    res.rejects = res.rejects.unionByName(rejected_responses(resp), allowMissingColumns=True)
+    res.rejects = res.rejects.unionByName(bad, allowMissingColumns=True)
     return res

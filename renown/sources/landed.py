@@ -166,7 +166,7 @@ def talk_sections(pages: DataFrame, max_results: int,
 
     secs = F.zip_with(metas, bodies, lambda s, body: F.when(s.isNotNull(), section(s, body)))
     kept = F.filter(secs, lambda e: e.isNotNull() & (F.length(e["clean"]) >= min_len) & ~e["raw"].rlike(_TEMPLATE_ONLY_RE))
-    ex = pages.select(*cols, F.explode(F.slice(kept, 1, max_results)).alias("s"))
+    ex = pages.select(*cols, F.posexplode(F.slice(kept, 1, max_results)).alias("_n", "s"))
     title = F.coalesce(F.col("s.m.line"), F.lit(""))
     anchor = F.coalesce(F.col("s.m.anchor"), F.replace(title, F.lit(" "), F.lit("_")))
     base = F.concat(F.lit("https://"), F.col("lang"), F.lit(".wikipedia.org/wiki/Talk:"),
@@ -176,7 +176,7 @@ def talk_sections(pages: DataFrame, max_results: int,
         *cols, title.alias("section_title"),
         F.coalesce(F.col("s.m.index"), F.col("s.i").cast("string")).alias("section_index"),
         F.coalesce(F.col("s.m.level"), F.lit(2)).alias("section_level"),
-        F.col("s.clean").alias("wikitext"), url.alias("url"))
+        F.col("s.clean").alias("wikitext"), url.alias("url"), (F.col("_n") + 1).alias("section_number"))
 
 
 def first_language_hit(pages: DataFrame, lang_order: list[str], key: str = "target") -> DataFrame:
@@ -300,9 +300,8 @@ def scan_landed(responses: DataFrame, max_results: int, slice_all: bool = False)
     ``response_seq`` (order of responses within a task) and the tags are
     passed through for ``with_order``.  Unreadable and error responses give
     no rows here and are listed by ``rejected_responses``.  RSS feeds, talk
-    pages, video comments and encyclopedia pages have their own operators
-    (``scan_feeds``, ``talk_sections``, ``comments_with_quota``,
-    ``first_language_hit``).
+    pages, video comments and encyclopedia pages have their own scans
+    (``sources.mixed``).
     """
     tags = [c for c in TAGS if c in responses.columns]
     df = _without_idle_fallbacks(_with_items(responses))
@@ -389,7 +388,7 @@ def require_distinct_responses(responses: DataFrame) -> None:
 
     Reads no response texts; one count per response is grouped.
     """
-    keys = [c for c in (*_TASK, "response_seq", *TAGS) if c in responses.columns]
+    keys = [c for c in (*_TASK, "response_seq", *TAGS, "_kind", "_language", "_page", "_video_id") if c in responses.columns]
     twice = responses.groupBy(*keys).count().where("count > 1").take(1)
     if twice:
         raise ValueError(f"responses without distinct response_seq or tags: {twice[0].asDict()}")

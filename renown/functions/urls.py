@@ -14,6 +14,8 @@ from renown.functions.text import PY_WS, WS_CLASS, _c, let, py_strip
 
 # scheme, authority, path, query, fragment
 _URL_RE = r"(?s)^(?:([a-z][a-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+# characters that form encoding keeps
+_TOKEN = r"[A-Za-z0-9_.~-]+"
 _NETLOC_RE = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 
 
@@ -34,18 +36,20 @@ def to_domain(col) -> Column:
 
 
 def _decode(tok: Column) -> Column:
-    """Percent/plus decoding; a token with a bad escape stays as it is."""
-    return F.coalesce(F.try_url_decode(tok), tok)
+    """Plus signs and percent escapes decoded as UTF-8; a bad escape stays, bytes that are no UTF-8 become U+FFFD."""
+    def plain(t):
+        parts = F.regexp_extract_all(F.replace(t, F.lit("+"), F.lit(" ")), F.lit("%[0-9A-Fa-f]{2}|[^%]+|%"), 0)
+        digits = F.transform(parts, lambda x: F.when(x.rlike("^%[0-9A-Fa-f]{2}$"), F.substring(x, 2, 2)).otherwise(F.hex(x)))
+        return F.make_valid_utf8(F.unhex(F.array_join(digits, "")).cast("string"))
+    return F.when(tok.rlike("[%+]"), plain(tok)).otherwise(tok)
 
 
 def _encode(tok: Column) -> Column:
-    """Minimal injective re-encoding for the query-string key."""
-    t = F.replace(tok, F.lit("%"), F.lit("%25"))
-    t = F.replace(t, F.lit("&"), F.lit("%26"))
-    t = F.replace(t, F.lit("="), F.lit("%3D"))
-    t = F.replace(t, F.lit("#"), F.lit("%23"))
-    t = F.replace(t, F.lit("+"), F.lit("%2B"))
-    return F.replace(t, F.lit(" "), F.lit("+"))
+    """Form encoding: letters, digits and ``_.-~`` stay, a space is ``+``, every other byte an upper-case escape."""
+    parts = F.regexp_extract_all(tok, F.lit(f"{_TOKEN}| |[^A-Za-z0-9_.~ -]+"), 0)
+    coded = F.transform(parts, lambda x: F.when(x == " ", "+").when(x.rlike("^[A-Za-z0-9_.~-]"), x)
+                        .otherwise(F.regexp_replace(F.hex(x), "(..)", "%$1")))
+    return F.when(tok.rlike(f"^{_TOKEN}$"), tok).otherwise(F.array_join(coded, ""))
 
 
 def canonical_query(q: Column) -> Column:
@@ -65,7 +69,6 @@ def canonical_query(q: Column) -> Column:
     return F.array_join(grouped, "&")
 
 
-_TOKEN = r"[A-Za-z0-9_.~-]+"
 # the whole query is simple key[=value] tokens: nothing to decode or escape
 _SIMPLE_QUERY_RE = rf"^{_TOKEN}(={_TOKEN}|=)?(&{_TOKEN}(={_TOKEN}|=)?)*$"
 # some key occurs twice (then first-seen grouping may reorder values)

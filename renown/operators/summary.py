@@ -3,7 +3,8 @@
 Plan shape, chosen for scale:
 
 1. one scan of the records, projected to the few columns used;
-2. ``groupBy(target, source)`` with map-side partial aggregation -- the
+2. queries and topics are made distinct as (target, value) rows of their own;
+   ``groupBy(target, source)`` with map-side partial aggregation -- the
    hot-key case (one target holding a third of the rows) is absorbed by
    the partial aggregates, only one row per (task, target, source) is
    shuffled;
@@ -37,15 +38,20 @@ def source_weight(source_col: Column, weights: dict[str, float] | None = None,
 
 
 def per_source_stats(records: DataFrame, sp: P.SummaryParams | None = None) -> DataFrame:
-    """The (target, source) partial aggregates the summary is merged from.
+    """The (target, source) partial aggregates the summary is merged from."""
+    return _per_source(records, sp or P.SummaryParams())
+
 
-    Usable as a streaming aggregation: its state is one row per
-    (target, source), bounded by #targets x #sources.
+def keyed_stats(records: DataFrame, sp: P.SummaryParams | None = None) -> DataFrame:
+    """The same aggregates and the distinct names as one streaming aggregation.
+
+    Its state has a row per (target, source) (``kind`` s) and one per distinct
+    query and topic of a target (q, t); no row of it grows.
     """
-    return _per_source(records, sp or P.SummaryParams())
+    return _per_source(records, sp or P.SummaryParams(), keyed=True)
 
 
-def _per_source(records: DataFrame, sp: P.SummaryParams) -> DataFrame:
+def _per_source(records: DataFrame, sp: P.SummaryParams, keyed: bool = False) -> DataFrame:
     as_of = F.lit(sp.as_of).cast("date")
     s = F.col("sentiment").cast("double")
     d = F.col("date")
@@ -55,11 +61,16 @@ def _per_source(records: DataFrame, sp: P.SummaryParams) -> DataFrame:
     age = F.greatest(F.lit(0), F.datediff(as_of, d))
     decay = F.when(d.isNotNull(), F.pow(F.lit(2.0), -age.cast("double") / F.lit(float(sp.half_life_days))))
     base = records.select(
-        "target", "source", "ord",
-        F.col("query"), F.col("topic"),
+        "target", "source", "ord", "query", "topic",
         s.alias("s"), d.alias("d"), x.alias("x"), y.alias("y"), decay.alias("decay"),
     )
-    return base.groupBy("target", "source").agg(
+    if keyed:
+        # one state row per value instead of a set that grows inside a row
+        own = [F.when(F.col("k.kind") == "s", F.col(c)).alias(c) for c in ("source", "ord", "s", "d", "x", "y", "decay")]
+        base = base.withColumn("k", F.explode(F.array(
+            F.struct(F.lit("s").alias("kind"), F.lit("").alias("value")), *_named()))) \
+            .where((F.col("k.kind") == "s") | (F.col("k.value") != "")).select("target", "k.kind", "k.value", *own)
+    return base.groupBy("target", "source", *(["kind", "value"] if keyed else [])).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("ord").alias("first_ord"),
         F.count("s").alias("ns"),
@@ -74,11 +85,20 @@ def _per_source(records: DataFrame, sp: P.SummaryParams) -> DataFrame:
         F.avg("y").alias("my"),
         (F.covar_pop("y", "x") * F.count("x")).alias("cxy"),
         (F.var_pop("x") * F.count("x")).alias("m2x"),
-        F.collect_set(F.when(F.col("query") != "", F.col("query"))).alias("qs"),
-        F.collect_set(F.when(F.col("topic") != "", F.col("topic"))).alias("ts"),
     )
 
 
+def _named() -> list[Column]:
+    return [F.struct(F.lit("q").alias("kind"), F.col("query").alias("value")),
+            F.struct(F.lit("t").alias("kind"), F.col("topic").alias("value"))]
+
+
+def distinct_names(records: DataFrame) -> DataFrame:
+    """(target, kind, value): the queries (q) and topics (t) of each target, each once, before anything is folded."""
+    return records.select("target", F.explode(F.array(*_named())).alias("k")).where(F.col("k.value") != "") \
+        .select("target", "k.kind", "k.value").distinct()
+
+
 def reputation_summary(records: DataFrame, sp: P.SummaryParams | None = None,
                        weights: dict[str, float] | None = None) -> DataFrame:
     """Aggregate records (target, source, ord, query, topic, sentiment, date).
@@ -88,12 +108,12 @@ def reputation_summary(records: DataFrame, sp: P.SummaryParams | None = None,
     desc, ties by first appearance; ``date_range`` a struct (from, to).
     """
     sp = sp or P.SummaryParams()
-    return summary_from_stats(_per_source(records, sp), sp, weights)
+    return summary_from_stats(_per_source(records, sp), distinct_names(records), sp, weights)
 
 
-def summary_from_stats(stats: DataFrame, sp: P.SummaryParams | None = None,
+def summary_from_stats(stats: DataFrame, names: DataFrame, sp: P.SummaryParams | None = None,
                        weights: dict[str, float] | None = None) -> DataFrame:
-    """Finish the summary from ``per_source_stats`` rows (batch or streaming state)."""
+    """Finish the summary from ``per_source_stats`` and ``distinct_names`` rows (batch or streaming state)."""
     sp = sp or P.SummaryParams()
     g = stats.withColumn("w", source_weight(F.col("source"), weights))
 
@@ -136,10 +156,14 @@ def summary_from_stats(stats: DataFrame, sp: P.SummaryParams | None = None,
               * (F.coalesce(F.col("my"), F.lit(0.0)) - F.col("MY"))).alias("CXY"),
         F.sum(F.coalesce(F.col("m2x"), F.lit(0.0))
               + F.col("nxy") * F.pow(F.coalesce(F.col("mx"), F.lit(0.0)) - F.col("MX"), 2)).alias("M2X"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("qs")))).alias("queries"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("ts")))).alias("topics"),
         F.collect_list(F.struct("n", "first_ord", "source")).alias("dist"),
     )
+    of = names.groupBy(F.col("target").alias("_t")).agg(*[
+        F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.col("value")))).alias(name)
+        for kind, name in (("q", "queries"), ("t", "topics"))])
+    none = F.array().cast("array<string>")
+    agg = agg.join(of, F.col("target").eqNullSafe(F.col("_t")), "left").withColumns(
+        {c: F.coalesce(c, none) for c in ("queries", "topics")})
 
     has_sent = (F.col("n_sent") > 0) & (F.col("W") > 0)
     sentiment_avg = F.when(has_sent, F.round(F.col("mu"), 6))

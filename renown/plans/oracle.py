@@ -161,14 +161,17 @@ _URL_RE = r"(?s)^(?:([a-z][a-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))
 
 
 def _sql_dec(x: str) -> str:
-    return f"coalesce(try(url_decode(replace({x}, '+', ' '))), {x})"
+    """Form decoding as the key is defined: plus to space, escapes to bytes, what is no escape stays."""
+    parts = f"regexp_extract_all(replace({x}, '+', ' '), '%[0-9A-Fa-f]{{2}}|[^%]+|%')"
+    one = "CASE WHEN regexp_full_match(t, '%[0-9A-Fa-f]{2}') THEN upper(t[2:]) ELSE hex(encode(t)) END"
+    return f"decode(unhex(array_to_string(list_transform({parts}, lambda t: {one}), '')))"
 
 
 def _sql_enc(x: str) -> str:
-    s = x
-    for a, b in (("%", "%25"), ("&", "%26"), ("=", "%3D"), ("#", "%23"), ("+", "%2B"), (" ", "+")):
-        s = f"replace({s}, '{a}', '{b}')"
-    return s
+    """Form encoding, character by character."""
+    one = ("CASE WHEN regexp_full_match(t, '[A-Za-z0-9_.~-]') THEN t WHEN t = ' ' THEN '+' "
+           "ELSE regexp_replace(hex(encode(t)), '(..)', '%\\1', 'g') END")
+    return f"array_to_string(list_transform(string_split({x}, ''), lambda t: {one}), '')"
 
 
 def sql_canonical_url(x: str, keep_frag: str) -> str:

@@ -31,6 +31,19 @@ def canonical_url(spark, sf_dir):
     return pp.select("page_id", U.canonical_url("url", F.col("page_id") % 2 == 0).alias("url_key"))
 
 
+_CODED_URL = "url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'q=' || replace(replace(title_html, '&', '%26'), ' ', '+')" \
+    " || '&a+%zz=1&a%20%zz=' || page_id || '&utm_source=x&%C3%A9=%e4%bd%a0%&b&c=d=e%2f~*&empty=&gclid'"
+
+
+@query("canonical_url_codec", f"""WITH {_PAGE_PARTS},
+c AS (SELECT page_id, {_CODED_URL} AS coded FROM pp)
+SELECT page_id, {O.sql_canonical_url('coded', 'page_id % 2 = 0')} AS url_key FROM c""")
+def canonical_url_codec(spark, sf_dir):
+    """Url keys of queries with escapes, bad escapes, repeated and blank keys (the title of each page as a value)."""
+    coded = X.page_parts(spark, sf_dir).withColumn("coded", F.expr(_CODED_URL))
+    return coded.select("page_id", U.canonical_url("coded", F.col("page_id") % 2 == 0).alias("url_key"))
+
+
 @query("canonical_title", f"""WITH {_PAGE_PARTS}
 SELECT page_id, {O.sql_canonical_title('title_html')} AS title_key FROM pp""")
 def canonical_title(spark, sf_dir):

@@ -6,8 +6,8 @@ The per-row stages (normalize, clean, quality, since) are stateless
 order-dependent rule and stays a batch job over the ingested records.
 
 The incremental summary keeps, as streaming state, the (target, source)
-partial aggregates of ``per_source_stats`` (bounded by #targets x
-#sources); every micro-batch finishes the per-entity summary from that
+partial aggregates (bounded by #targets x #sources) and a row for each distinct
+query and topic of a target; every micro-batch finishes the per-entity summary from that
 state with the same code as the batch summary.  Without dedup it counts
 duplicates, as the reference would without its dedup step.
 """
@@ -22,7 +22,7 @@ from renown.operators.clean import clean_records
 from renown.operators.enrich import LanguageModel, Scorer, enrich
 from renown.operators.filters import filter_by_date, filter_quality
 from renown.operators.normalize import accepted, normalize
-from renown.operators.summary import per_source_stats, summary_from_stats
+from renown.operators.summary import keyed_stats, summary_from_stats
 
 RAW_SCHEMA = "ord BIGINT, source STRING, query STRING, target STRING, retrieved_at STRING, payload STRING"
 
@@ -57,10 +57,16 @@ def start_summary(records: DataFrame, out_path: str, checkpoint_location: str,
                   sp: P.SummaryParams | None = None, available_now: bool = True) -> StreamingQuery:
     """Maintain the per-entity summary table from streaming (target, source) state."""
     sp = sp or P.SummaryParams()
-    stats = per_source_stats(records, sp)
+    stats = keyed_stats(records, sp)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        summary_from_stats(batch, sp).write.mode("overwrite").parquet(out_path)
+        batch.persist()
+        try:
+            own = batch.where("kind = 's'").drop("kind", "value")
+            summary_from_stats(own, batch.where("kind <> 's'").select("target", "kind", "value"), sp) \
+                .write.mode("overwrite").parquet(out_path)
+        finally:
+            batch.unpersist()
 
     w = (stats.writeStream.outputMode("complete").foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint_location))

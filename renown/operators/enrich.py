@@ -3,11 +3,13 @@
 The reference calls a per-row language detector and a transformer model.
 Here both are re-aimed as models that Spark trains and applies:
 
-* language: word-count features (hashed) + multinomial Naive Bayes fitted
-  on labelled text (``documents.text -> lang``); a prediction is used only
+* language: multinomial naive Bayes over character n-grams, counted by one
+  aggregate on labelled text (``documents.text -> lang``); a prediction is used only
   if its probability is >= 0.80 and the text has >= 15 characters;
 * sentiment: a ``Scorer`` gives (p_pos, p_neg) per row; the one here is a
-  TF-IDF + multinomial logistic regression fitted on labelled rows.
+  TF-IDF + multinomial logistic regression fitted on labelled rows.  Rows that
+  are in the training data are scored by ``FoldedScorer``: each by a
+  model that has not seen it.
 
 Gates, overwrite rules and arithmetic (P(pos) - P(neg), clamp, round 6)
 are native column expressions.  Only eligible rows are sent to a scorer.
@@ -15,17 +17,19 @@ are native column expressions.  Only eligible rows are sent to a scorer.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, NaiveBayes
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from renown import params as P
-from renown.functions.text import language_code, py_strip
+from renown.functions.text import language_code, let, py_strip
 
 _TOKEN_PATTERN = r"[\p{L}\p{N}_']+"
 
@@ -49,37 +53,87 @@ def _features(input_col: str, num_features: int, idf: bool) -> list:
 # language
 # ---------------------------------------------------------------------------
 
+#: Buckets that n-grams of three characters are dealt into: bounds the model.
+GRAM_BUCKETS = 4096
+
+
+def gram_buckets(text: Column) -> Column:
+    """Bucket numbers of the three-character runs of a text, lower-cased; linear in its length."""
+    codes = F.transform(F.split(F.lower(F.coalesce(text, F.lit(""))), ""), lambda c: F.ascii(c).cast("long"))
+
+    def buckets(a):
+        n = F.greatest(F.size(a) - 2, F.lit(0))
+        first = F.slice(a, F.lit(1), n)
+        second, third = F.slice(a, F.lit(2), n), F.slice(a, F.lit(3), n)
+        pairs = F.zip_with(first, second, lambda x, y: x * 961 + y * 31)
+        return F.zip_with(pairs, third, lambda p, z: ((p + z) % GRAM_BUCKETS).cast("int"))
+
+    return let(codes, buckets)
+
+
 @dataclass
 class LanguageModel:
-    model: PipelineModel
+    """Multinomial naive Bayes over character n-grams.
+
+    ``weights`` holds, for each label, the log probability of every bucket;
+    ``priors`` the log share of its texts.  Both are small whatever the
+    corpus (labels x buckets), so they go into the plan as literals and a
+    text is scored where it is, without a join.
+    """
+
     labels: list[str]
+    priors: list[float]
+    weights: list[list[float]]
+
+    def probabilities(self, text: Column) -> Column:
+        """Array of the labels' posterior probabilities, in the order of ``labels``."""
+        def score(grams, prior, weight):
+            table = F.split(F.lit(",".join(map(repr, weight))), ",").cast("array<double>")
+            return F.aggregate(grams, F.lit(prior), lambda acc, g: acc + F.get(table, g))
+
+        def scores(grams):
+            return F.array(*[score(grams, p, w) for p, w in zip(self.priors, self.weights)])
+
+        def normalised(s):
+            top = F.array_max(s)
+            total = F.aggregate(s, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
+            return F.transform(s, lambda x: F.exp(x - top) / total)
+
+        return let(let(gram_buckets(text), scores), normalised)
 
     def predict(self, df: DataFrame, text_col: str, out_col: str = "detected_language",
                 min_len: int = P.NLP_MIN_LEN_DETECT,
                 min_conf: float = P.NLP_LANG_DETECT_MIN_CONFIDENCE) -> DataFrame:
-        """Append the detected ISO-1 code, NULL below the length/confidence gates."""
-        scored = self.model.transform(df.withColumn("_lang_text", F.col(text_col)))
-        probs = vector_to_array(F.col("_prob"))
-        best = F.array_max(probs)
-        label = F.element_at(F.array(*[F.lit(x) for x in self.labels]), F.col("_pred").cast("int") + 1)
-        ok = (F.length(F.col(text_col)) >= min_len) & (best >= min_conf)
-        out = scored.withColumn(out_col, F.when(ok, language_code(label)))
-        return out.drop("_lang_text", "_tok", "_feat", "_raw", "_prob", "_pred")
-
-
-def fit_language_model(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
-                       num_features: int = 1 << 18) -> LanguageModel:
-    """Fit the detector on (text, language) rows; one aggregation pass (Naive Bayes)."""
-    data = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()) \
-                   .select(F.col(text_col).alias("_lang_text"), F.col(label_col).alias("_label_str"))
-    indexer = StringIndexer(inputCol="_label_str", outputCol="_label", stringOrderType="alphabetAsc")
-    nb = NaiveBayes(featuresCol="_feat", labelCol="_label", modelType="multinomial", smoothing=1.0,
-                    rawPredictionCol="_raw", probabilityCol="_prob", predictionCol="_pred")
-    pipe = Pipeline(stages=[indexer] + _features("_lang_text", num_features, idf=False) + [nb])
-    model = pipe.fit(data)
-    labels = list(model.stages[0].labels)
-    # keep only the feature + classifier stages for prediction (no label column there)
-    return LanguageModel(PipelineModel(model.stages[1:]), labels)
+        """Append the detected ISO-1 code, NULL below the length/confidence gates (and for a model without labels)."""
+        if not self.labels:
+            return df.withColumn(out_col, F.lit(None).cast("string"))
+        long_enough = F.length(F.col(text_col)) >= min_len
+        scored = df.withColumn("_prob", F.when(long_enough, self.probabilities(F.col(text_col))))
+        names = F.array(*[F.lit(x) for x in self.labels])
+        best = F.array_max("_prob")
+        label = F.element_at(names, F.array_position("_prob", best).cast("int"))
+        return scored.withColumn(out_col, F.when(best >= min_conf, language_code(label))).drop("_prob")
+
+
+def fit_language_model(labelled: DataFrame, text_col: str = "text", label_col: str = "lang") -> LanguageModel:
+    """Count the detector on (text, language) rows.
+
+    One aggregation over all rows: n-grams per (label, bucket), combined map-side.
+    What reaches the driver has at most labels x buckets rows.
+    """
+    rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()) \
+                   .select(F.col(label_col).alias("label"), F.col(text_col).alias("text"))
+    counts = rows.select("label", F.explode(F.concat(F.array(F.lit(-1)), gram_buckets(F.col("text")))).alias("bucket")) \
+                 .groupBy("label", "bucket").agg(F.count(F.lit(1)).alias("n")).collect()
+    labels = sorted({r.label for r in counts})
+    found = {(r.label, r.bucket): r.n for r in counts}
+    texts = {x: found[x, -1] for x in labels}                     # bucket -1 counts the texts
+    weights = []
+    for x in labels:
+        own = [found.get((x, b), 0) + 1 for b in range(GRAM_BUCKETS)]
+        total = sum(own)
+        weights.append([math.log(n / total) for n in own])
+    return LanguageModel(labels, [math.log(texts[x] / sum(texts.values())) for x in labels], weights)
 
 
 # ---------------------------------------------------------------------------
@@ -124,11 +178,40 @@ def fit_sentiment_scorer(labelled: DataFrame, text_col: str = "text", label_col:
     return SparkMLScorer(PipelineModel(model.stages[1:]), list(model.stages[0].labels))
 
 
+@dataclass
+class FoldedScorer(Scorer):
+    """Scores each row by the scorer of its fold, which was fitted on the other folds.
+
+    A scorer sees an empty text in place of the rows of other folds.
+    """
+
+    scorers: list[Scorer]
+    fold: Callable[[], Column]
+
+    def score(self, df: DataFrame, text_col: str) -> DataFrame:
+        df = df.withColumn("_fold", self.fold())
+        for i, scorer in enumerate(self.scorers):
+            own = F.when(F.col("_fold") == i, F.col(text_col)).otherwise(F.lit(""))
+            df = scorer.score(df.withColumn("_fold_text", own), "_fold_text") \
+                .withColumnsRenamed({"p_pos": f"_pos{i}", "p_neg": f"_neg{i}"})
+        for out, name in (("p_pos", "_pos"), ("p_neg", "_neg")):
+            df = df.withColumn(out, F.coalesce(*[F.when(F.col("_fold") == i, F.col(f"{name}{i}"))
+                                                 for i in range(len(self.scorers))], F.lit(0.0)))
+        return df.drop("_fold", "_fold_text", *[f"{n}{i}" for n in ("_pos", "_neg") for i in range(len(self.scorers))])
+
+
+def fit_folded_scorer(labelled: DataFrame, folds: int, fold_col: str = "fold", apply_fold: Callable[[], Column] | None = None,
+                      **options) -> FoldedScorer:
+    """A scorer for each fold, fitted on the rows of the others; ``apply_fold`` gives the fold of a row to score."""
+    scorers = [fit_sentiment_scorer(labelled.where(F.col(fold_col) != i), **options) for i in range(folds)]
+    return FoldedScorer(scorers, apply_fold or (lambda: F.col(fold_col)))
+
+
 def sentiment_labels(labels: DataFrame, docs: DataFrame) -> DataFrame:
     """Training rows from the labelled documents: quality - toxic -> class."""
     d = docs.select("doc_id", "text").join(labels.select("doc_id", "quality", "toxic"), "doc_id")
     v = F.col("quality") - F.col("toxic")
-    return d.select("text", F.when(v > 0, "positive").when(v < 0, "negative").otherwise("neutral").alias("label"))
+    return d.select("doc_id", "text", F.when(v > 0, "positive").when(v < 0, "negative").otherwise("neutral").alias("label"))
 
 
 # ---------------------------------------------------------------------------

@@ -12,22 +12,49 @@ from renown.plans.registry import query
 from renown.sources import fixtures as X
 
 
+FOLDS = 3
+
+
 def _held_out():
-    return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return F.col("doc_id") % 5 == 0
 
 
 def _lang_model(spark, sf_dir):
     return EN.fit_language_model(X.table(spark, sf_dir, "documents").where(~_held_out()))
 
 
-def _sent_model(spark, sf_dir):
-    docs = X.table(spark, sf_dir, "documents")
-    return EN.fit_sentiment_scorer(EN.sentiment_labels(X.table(spark, sf_dir, "labels"), docs))
+def _fold(name: str):
+    return F.pmod(F.col(name), F.lit(FOLDS)).cast("int")
 
 
-@query("detect_language")
+def _sent_model(spark, sf_dir):
+    """One model for each fold of the document number, fitted on the labelled rows of the others."""
+    rows = EN.sentiment_labels(X.table(spark, sf_dir, "labels"), X.table(spark, sf_dir, "documents"))
+    return EN.fit_folded_scorer(rows.withColumn("fold", _fold("doc_id")), FOLDS, apply_fold=lambda: _fold("ord"))
+
+
+_GRAMS = f"""docs AS (SELECT doc_id, lang, doc_id % 5 = 0 AS held_out, length(text) AS chars,
+    list_transform(string_split(lower(text), ''), lambda c: CASE WHEN c = '' THEN 0 ELSE unicode(c) END) AS a FROM documents),
+grams AS (SELECT doc_id, lang, held_out, unnest(list_transform(range(1, len(a) - 1), lambda i:
+    (a[i] * 961 + a[i + 1] * 31 + a[i + 2]) % {EN.GRAM_BUCKETS})) AS g FROM docs),
+counted AS (SELECT lang, g, count(*) AS n FROM grams WHERE NOT held_out AND lang IS NOT NULL GROUP BY ALL),
+totals AS (SELECT l.lang, coalesce(sum(n), 0) + {EN.GRAM_BUCKETS} AS total,
+    ln((SELECT count(*) FROM docs d WHERE d.lang = l.lang AND NOT held_out)
+       / (SELECT count(*) FROM docs d WHERE d.lang IS NOT NULL AND NOT held_out)) AS prior
+  FROM (SELECT DISTINCT lang FROM docs WHERE NOT held_out AND lang IS NOT NULL) l LEFT JOIN counted c ON c.lang = l.lang GROUP BY ALL),
+mine AS (SELECT doc_id, g, count(*) AS k FROM grams GROUP BY ALL),
+scores AS (SELECT m.doc_id, t.lang, any_value(t.prior) + sum(k * ln((coalesce(c.n, 0) + 1) / t.total)) AS s
+  FROM mine m CROSS JOIN totals t LEFT JOIN counted c ON c.lang = t.lang AND c.g = m.g GROUP BY ALL),
+best AS (SELECT doc_id, arg_max(lang, s) AS label, 1 / sum(exp(s - top)) AS p
+  FROM (SELECT *, max(s) OVER (PARTITION BY doc_id) AS top FROM scores) GROUP BY doc_id)"""
+
+
+@query("detect_language", f"""WITH {_GRAMS}
+SELECT d.doc_id, d.lang, d.held_out, CASE WHEN chars >= {P.NLP_MIN_LEN_DETECT} AND p >= {P.NLP_LANG_DETECT_MIN_CONFIDENCE}
+  THEN {sql_language_code('label')} END AS detected_language
+FROM docs d LEFT JOIN best b ON b.doc_id = d.doc_id""")
 def detect_language(spark, sf_dir):
-    """Detected language of every document (model trained on the rows that are not held out)."""
+    """Detected language of every document (counted on the rows that are not held out)."""
     docs = X.table(spark, sf_dir, "documents")
     lang = _lang_model(spark, sf_dir)
     return lang.predict(docs.select("doc_id", "text", "lang"), "text").select(
@@ -36,10 +63,17 @@ def detect_language(spark, sf_dir):
 
 @query("sentiment_score")
 def sentiment_score(spark, sf_dir):
-    """Language + sentiment for every fixture record (both models Spark-trained)."""
+    """Language and out-of-fold sentiment of every fixture record, with the label where there is one.
+
+    No row is scored by a model that was fitted on it; ``agrees`` compares the sign with the label's class.
+    """
     lang, sent = _lang_model(spark, sf_dir), _sent_model(spark, sf_dir)
-    r = X.records(spark, sf_dir)
-    return EN.enrich(r, lang, sent).select("ord", "language", "sentiment")
+    known = EN.sentiment_labels(X.table(spark, sf_dir, "labels"), X.table(spark, sf_dir, "documents"))
+    scored = EN.enrich(X.records(spark, sf_dir), lang, sent)
+    agrees = F.when(F.col("label") == "neutral", F.abs("sentiment") < 0.5) \
+              .otherwise((F.col("sentiment") > 0) == (F.col("label") == "positive"))
+    return scored.join(known.select(F.col("doc_id").alias("ord"), "label"), "ord", "left").select(
+        "ord", "language", "sentiment", "label", agrees.alias("agrees"))
 
 
 _S = O.sql_strip

@@ -250,3 +250,27 @@ def resolve_links(spark, sf_dir):
          .otherwise(F.concat(F.lit("https://resolved.example/a/"), F.col("page_id").cast("string")))
          .alias("final_url"))
     return L.resolve_links(items, red).select("page_id", "link")
+
+
+@query("saved_runs", """
+WITH f AS (SELECT conv_id // 10 AS run, conv_id, turn, role, text,
+                  row_number() OVER (PARTITION BY conv_id // 10 ORDER BY conv_id, turn) - 1 AS pos FROM conversations),
+r AS (SELECT run, row_number() OVER (ORDER BY 'run=' || run || '/') AS file FROM (SELECT DISTINCT run FROM f))
+SELECT f.role AS source, 'Entity ' || f.conv_id AS target, r.file AS file, f.pos AS position, f.text AS text
+FROM f JOIN r ON r.run = f.run""")
+def saved_runs(spark, sf_dir):
+    """Saved runs (a JSON array file for ten conversations) read back: files by name, records by place."""
+    from renown.session import scratch_path
+    from renown.sources.sinks import read_saved_raw
+    record = F.struct(F.col("role").alias("source"), F.lit("q").alias("query"),
+                      F.concat(F.lit("Entity "), F.col("conv_id").cast("string")).alias("target"),
+                      F.lit(X.RETRIEVED_AT).alias("retrieved_at"), F.struct("text").alias("payload"))
+    runs = X.table(spark, sf_dir, "conversations").groupBy(F.expr("conv_id div 10").alias("run")).agg(
+        F.array_sort(F.collect_list(F.struct("conv_id", "turn", record.alias("r")))).alias("rows"))
+    path = scratch_path(spark, "saved-runs")
+    runs.select("run", F.to_json(F.transform("rows", lambda e: e["r"])).alias("value")) \
+        .repartition("run").write.partitionBy("run").text(path)
+    raw = read_saved_raw(spark, path).drop("run")
+    return raw.select("source", "target", F.shiftright("ord", 33).alias("file"),
+                      F.col("ord").bitwiseAND(F.lit((1 << 33) - 1)).alias("position"),
+                      F.try_variant_get(F.try_parse_json("payload"), "$.text", "string").alias("text"))

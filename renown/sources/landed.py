@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from renown import params as P
-from renown.functions.text import WS_CLASS, clean_wikitext, keyword_relevant, py_strip
+from renown.functions.text import WS_CLASS, clean_wikitexts, keyword_relevant, py_strip
 from renown.operators.dedup import first_per_key
 from renown.session import materialize
 
@@ -160,12 +160,12 @@ def talk_sections(pages: DataFrame, max_results: int,
     metas = F.transform(F.col("sections"), lambda m, i: F.struct(m.alias("m"), i.alias("i")))
     bodies = F.slice(F.split(F.col("wikitext"), _HEADER_RE), 2, 1 << 30)   # split once a page
 
-    def section(s, body):
-        raw = py_strip(F.coalesce(body, F.lit("")))
-        return F.struct(s["m"].alias("m"), s["i"].alias("i"), raw.alias("raw"), clean_wikitext(raw).alias("clean"))
-
-    secs = F.zip_with(metas, bodies, lambda s, body: F.when(s.isNotNull(), section(s, body)))
-    kept = F.filter(secs, lambda e: e.isNotNull() & (F.length(e["clean"]) >= min_len) & ~e["raw"].rlike(_TEMPLATE_ONLY_RE))
+    paired = F.zip_with(metas, bodies, lambda s, body: F.when(s.isNotNull(), F.struct(
+        s["m"].alias("m"), s["i"].alias("i"), py_strip(F.coalesce(body, F.lit(""))).alias("raw"))))
+    pages = pages.withColumn("_raw", F.filter(paired, lambda e: e.isNotNull()))
+    pages = pages.withColumn("_clean", clean_wikitexts(F.transform("_raw", lambda e: e["raw"])))
+    secs = F.zip_with("_raw", "_clean", lambda e, t: F.struct(e["m"].alias("m"), e["i"].alias("i"), e["raw"].alias("raw"), t.alias("clean")))
+    kept = F.filter(secs, lambda e: (F.length(e["clean"]) >= min_len) & ~e["raw"].rlike(_TEMPLATE_ONLY_RE))
     ex = pages.select(*cols, F.posexplode(F.slice(kept, 1, max_results)).alias("_n", "s"))
     title = F.coalesce(F.col("s.m.line"), F.lit(""))
     anchor = F.coalesce(F.col("s.m.anchor"), F.replace(title, F.lit(" "), F.lit("_")))
@@ -283,6 +283,7 @@ def _without_idle_fallbacks(df: DataFrame) -> DataFrame:
     names = [f"_f{i}" for i in range(len(keys))]
     own = df.where(~spare & (F.size("_items") > 0)).select(
         *[F.coalesce(F.col(k), F.lit("")).alias(n) for k, n in zip(keys, names)]).distinct()
+    own = materialize(own, "answered-tasks")  # from files, so AQE may split a hot task
     same = [F.coalesce(df[k], F.lit("")) == own[n] for k, n in zip(keys, names)]
     return df.join(own, reduce(Column.__and__, same, spare), "left_anti")
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from renown import params as P
+from renown.session import materialize
 
 log = logging.getLogger(__name__)
 
@@ -159,6 +160,29 @@ def run_sinks(df: DataFrame, sinks: dict[str, Callable[[DataFrame], None]]) -> d
 
 
 SAVED_RAW_SCHEMA = "source STRING, query STRING, target STRING, retrieved_at STRING, payload STRING"
+#: Ranges that values are sorted into to number them: bounds what the driver adds up.
+RANK_RANGES = 1000
+
+
+def ranked(values: DataFrame, col: str, out: str) -> DataFrame:
+    """Distinct ``values`` with ``out``, their 1-based rank by ``col``.
+
+    A range sort is written; the sizes of the ranges before (one number a
+    range, at most ``RANK_RANGES``) are added to the place in the range, so nothing
+    is ranked in one task.
+    """
+    spark = values.sparkSession
+    parts = min(RANK_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    placed = materialize(values.select(col).distinct().repartitionByRange(parts, col).sortWithinPartitions(col)
+                         .withColumn("_mid", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright("_mid", 33)
+    sizes = {r.part: r.n for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    before, starts = 0, []
+    for i in range(max(sizes, default=-1) + 1):
+        starts.append(before)
+        before += sizes.get(i, 0)
+    start = F.get(F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>"), part)
+    return placed.select(col, (start + F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias(out))
 
 
 def read_saved_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -166,15 +190,14 @@ def read_saved_raw(spark: SparkSession, path: str) -> DataFrame:
 
     ``payload`` is declared as a string, so each payload object is kept as
     its JSON text for ``normalize``.  ``ord`` = (file rank, position in
-    file): files are ranked through their distinct names only (a table of
-    #files rows), and the position comes from the row index within the
-    reading task (a multi-line JSON file is never split).
+    file): the distinct file names are ranked by a range sort, and the
+    position comes from the row index within the reading task, counted from
+    the file's first row (a multi-line JSON file is never split).
     """
-    from pyspark.sql import Window
     df = spark.read.schema(SAVED_RAW_SCHEMA).option("multiLine", True).json(path)
     df = df.withColumn("_file", F.input_file_name()).withColumn("_mid", F.monotonically_increasing_id())
-    files = df.select("_file").distinct().withColumn("_frank", F.dense_rank().over(Window.orderBy("_file")))
-    row_idx = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    files = materialize(df.groupBy("_file").agg(F.min("_mid").alias("_first")), "saved-files")
+    files = files.join(ranked(files, "_file", "_frank"), "_file")
     return (df.join(files, "_file")
-            .withColumn("ord", F.shiftleft(F.col("_frank").cast("bigint"), 33) + row_idx)
-            .drop("_file", "_mid", "_frank"))
+            .withColumn("ord", F.shiftleft("_frank", 33) + F.col("_mid") - F.col("_first"))
+            .drop("_file", "_mid", "_first", "_frank"))

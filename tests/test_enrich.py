@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from renown.operators.enrich import Scorer, analysis_text, enrich, fit_language_model
+from renown.operators.enrich import (FoldedScorer, Scorer, analysis_text, enrich, fit_folded_scorer, fit_language_model,
+                                     gram_buckets)
 
 
 class ConstScorer(Scorer):
@@ -43,3 +44,35 @@ def test_detection_threshold(spark):
             (4, "", "the cat", "fr", None)]
     out = {r.ord: r.language for r in enrich(spark.createDataFrame(rows, REC), lm, None).collect()}
     assert out == {1: "en", 2: "de", 3: None, 4: "fr"}
+
+
+def test_gram_buckets(spark):
+    rows = spark.createDataFrame([("aBc d",), ("é你",), ("",), (None,)], "t string").select(gram_buckets(F.col("t")).alias("b")).collect()
+    code = [ord(c) for c in "abc d"]
+    assert rows[0].b == [(code[i] * 961 + code[i + 1] * 31 + code[i + 2]) % 4096 for i in range(3)]
+    assert rows[1].b == rows[2].b == rows[3].b == []
+    none = fit_language_model(spark.createDataFrame([], "text string, lang string"))
+    assert [r.detected_language for r in none.predict(spark.createDataFrame([("x" * 50,)], "text string"), "text").collect()] == [None]
+
+
+class FoldScorer(Scorer):
+    def __init__(self, p):
+        self.p = p
+
+    def score(self, df, text_col):
+        return df.withColumn("p_pos", F.when(F.col(text_col) != "", F.lit(self.p)).otherwise(0.0)).withColumn("p_neg", F.lit(0.0))
+
+
+def test_rows_are_scored_by_the_model_of_their_fold(spark):
+    rows = spark.createDataFrame([(i, "", f"a text that is long enough {i}", "en", None) for i in range(6)], REC)
+    out = enrich(rows, None, FoldedScorer([FoldScorer(0.1), FoldScorer(0.7)], lambda: (F.col("ord") % 2).cast("int"))).collect()
+    assert {r.ord: r.sentiment for r in out} == {i: 0.7 if i % 2 else 0.1 for i in range(6)}
+
+
+def test_a_fold_is_not_fitted_on_its_own_rows(spark):
+    """Word w0 is positive in fold 0 and negative in fold 1: each fold is scored by what the other says."""
+    rows = [(f"w0 filler{i % 5} words", "positive" if f == 0 else "negative", f) for i in range(40) for f in (0, 1)]
+    rows += [(f"neutral filler{i % 5} words", "neutral", i % 2) for i in range(40)]
+    data = spark.createDataFrame(rows, "text string, label string, fold int")
+    scored = fit_folded_scorer(data, 2).score(data.where("label <> 'neutral'"), "text")
+    assert all((r.p_neg > r.p_pos) == (r.fold == 0) for r in scored.collect())

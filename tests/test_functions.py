@@ -1,6 +1,7 @@
 """Column functions: cleaning, truncation, urls, language codes, wikitext, dates."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from renown.functions import dates as D
 from renown.functions import text as TX
 from renown.functions import urls as U
+from renown.functions.urls import canonical_query
 
 
 def one(spark, col_fn, value, schema="v string"):
@@ -136,3 +138,26 @@ def test_canonical_query_fast_path_equals_exact_path(spark):
                                   U._simple_canonical_query(F.col("q")).alias("fast"))
     assert out.count() > 500
     assert out.where(F.col("fast") != F.col("slow")).count() == 0
+
+
+def test_query_codec_equals_form_decoding_and_encoding(spark):
+    from urllib.parse import parse_qs, urlencode
+    draw = random.Random(2)
+    parts = ["a", "b", "=", "&", "%", "%c3", "%a9", "%zz", "+", " ", "é", "你", "%e4%bd", "%a0", "%ff", "/", "~", "*", "%25", "%2", "😀"]
+    queries = ["".join(draw.choice(parts) for _ in range(draw.randrange(1, 9))) for _ in range(1500)] + ["a+%zz=1&a%20%zz=2"]
+    got = spark.createDataFrame([(q,) for q in queries], "q string").select("q", canonical_query(F.col("q")).alias("o")).collect()
+    assert [r.o for r in got] == [urlencode(parse_qs(r.q, keep_blank_values=True), doseq=True) for r in got]
+
+
+def test_templates_are_stripped_in_linear_time(spark):
+    import time
+    text = "x {{a{{b}}}} y" * 40_000
+    began = time.time()
+    assert one(spark, TX.strip_templates, text) == "x  y" * 40_000
+    assert time.time() - began < 10
+
+
+def test_trims_every_white_space_character(spark):
+    white = "".join(c for c in map(chr, range(0x3100)) if c.isspace())
+    assert set(TX.PY_WS_CHARS) == set(white)
+    assert one(spark, TX.py_strip, white + "a b" + white) == "a b"

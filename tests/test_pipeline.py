@@ -126,3 +126,10 @@ def test_run_from_responses_selection_and_dry_run(spark):
         raise AssertionError("unknown source accepted")
     except ValueError:
         pass
+
+
+def test_ranks_without_one_task(spark):
+    values = spark.range(500).select(F.concat(F.lit("f"), (F.col("id") * 7 % 250).cast("string")).alias("name"))
+    got = {r.name: r.place for r in SK.ranked(values, "name", "place").collect()}
+    assert [got[k] for k in sorted(got)] == list(range(1, 251))
+    assert SK.ranked(values.limit(0), "name", "place").count() == 0

@@ -23,8 +23,9 @@ def test_summary_shuffles_twice_and_prunes_columns(spark):
             (F.col("id") % 3 - 1).cast("double").alias("sentiment"),
             F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 30).cast("int")).alias("date"))
         plan = _physical(reputation_summary(recs, P.SummaryParams()))
-        # one exchange on (target, source) after partial aggregation, one on target
-        assert plan.count("Exchange hashpartitioning") == 2
+        # one exchange on (target, source) after partial aggregation, one on target; the same two for the
+        # distinct queries and topics
+        assert plan.count("Exchange hashpartitioning") == 4
         assert "Exchange hashpartitioning(target" in plan
         flagship = X.records(spark, SF)
         scan = _physical(reputation_summary(flagship, P.SummaryParams()))

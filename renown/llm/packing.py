@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
-from functools import lru_cache
 from unicodedata import is_normalized
 
 import numpy as np
@@ -92,13 +91,20 @@ class _WordIds(dict):
                 self.update(zip(words, [ids[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())]))
 
 
-@lru_cache(maxsize=1)
 def _worker_words(tokenizer_path: str) -> _WordIds:
-    """The word memory of this Python worker; the tasks that it runs one after another share it."""
+    """The word memory of this Python worker; the tasks that it runs one after another share it.
+
+    Functions are shipped by value, so their globals are new in every task: the memory
+    is an attribute of a module that lives as long as the worker.
+    """
     import os
+    import tokenizers
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-    return _WordIds(Tokenizer.from_file(tokenizer_path))
+    held = vars(tokenizers).setdefault("_renown_words", {})
+    if tokenizer_path not in held:
+        held.clear()
+        held[tokenizer_path] = _WordIds(tokenizers.Tokenizer.from_file(tokenizer_path))
+    return held[tokenizer_path]
 
 
 _ODD_SPACE = "\x1c\x1d\x1e\x1f"  # str.split() takes these for white space, the tokenizer does not

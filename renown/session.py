@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -90,6 +91,22 @@ def discard(df) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Within it, a query's shuffle files are deleted when the query ends.
+
+    For chains of ``materialize``: what a table was made from is not read
+    again.  A query that runs twice shuffles twice.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def cluster_conf(input_bytes: int, executor_cores_total: int,
                  target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Spark settings sized for an input of ``input_bytes`` on a cluster.

@@ -1,10 +1,11 @@
-"""Removal of byte strings that occur more than once, by distributed prefix doubling.
+"""Removal of byte strings that occur more than once, by names of growing length.
 
 A name is a hash of the string that starts at a position.  Names of length
 2h come from the pair of names at a position and h further on, so inside a
-document names double without any exchange: 1, 2, 4, ... bytes.  Spark then
-sorts positions by their names at growing lengths, and only positions
-whose name is not unique go on:
+document names double without any exchange: 1, 2, 4, ... bytes.  Anchors and
+hash groups take the place of ranks sorted by Spark at every doubling (README
+says why): Spark groups positions by their names at three growing lengths, and
+only positions whose name is not unique go on:
 
 1. Anchors.  Every ``length``-byte window contains ``length - GRAM + 1``
    strings of GRAM (half the length) bytes; the one with the smallest name,
@@ -13,7 +14,7 @@ whose name is not unique go on:
    whose anchor name is unique cannot repeat and is dropped; runs that are
    equal as a whole repeat as a whole.
 2. Blocks of 16 windows, aligned to the anchor, of one run per different
-   whole: the bytes that all 16 share are the name to sort by, again.
+   whole: the bytes that all 16 share are the name to group by.
 3. Single windows of the blocks that are still undecided.
 
 A window found equal to another one at any step covers its bytes.  Names
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renown.llm.common import doc_key
-from renown.session import materialize
+from renown.session import discard, materialize, shuffles_freed
 
 BLOCK = 16
 _A = np.uint64(0x9E3779B97F4A7C15)
@@ -144,8 +145,11 @@ def _run_bytes(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                           raw[it["start"]:it["start"] + it["n"] - 1 + length]) for it in items]
             yield _frame(rows, _RUN)
 
-    lists = materialize(lists, "suffix-lists").hint("merge")  # the same plan at every size; hot keys can be split
-    return texts.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "items").mapInPandas(make, _RUN)
+    lists = materialize(lists, "suffix-lists")  # the same plan at every size; hot keys can be split
+    held = texts.join(lists.hint("merge"), ["k1", "k2"]).select("k1", "k2", "text", "items").mapInPandas(make, _RUN)
+    held = materialize(held, "suffix-bytes")
+    discard(lists)
+    return held
 
 
 def _finer_items(held: DataFrame, length: int, block: int) -> DataFrame:
@@ -171,37 +175,50 @@ def _finer_items(held: DataFrame, length: int, block: int) -> DataFrame:
 
 
 def _settle(items: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """(repeated, undecided) of written items: equal wholes repeat; one item per whole of groups with several goes on."""
+    """(repeated, undecided) of written items: equal wholes repeat; one item per whole of groups with several goes on.
+
+    Each table is deleted, the items included, once those that read it are written.
+    """
     again = materialize(items.groupBy("c").agg(F.count("*").alias("n")).filter("n > 1").select("c"), f"{name}-groups")
-    items = materialize(items.join(again, "c", "left_semi"), f"{name}-kept")
+    kept = materialize(items.join(again, "c", "left_semi"), f"{name}-kept")
+    for read in (items, again):
+        discard(read)
     place = ["k1", "k2", "run", "start", "n", "anchor"]
     one = [F.first(x).alias(x) for x in place]  # of the same row
-    wholes = materialize(items.groupBy("c", "f1", "f2").agg(F.count("*").alias("copies"), *one), f"{name}-wholes")
-    repeated = items.join(wholes.filter("copies > 1").select("c", "f1", "f2"), ["c", "f1", "f2"], "left_semi")
-    several = wholes.groupBy("c").agg(F.count("*").alias("m")).filter("m > 1").select("c")
-    undecided = wholes.join(materialize(several, f"{name}-several"), "c", "left_semi")
-    return (materialize(repeated.select("k1", "k2", "start", "n"), f"{name}-repeated"),
-            materialize(undecided.select(*place), f"{name}-undecided"))
+    wholes = materialize(kept.groupBy("c", "f1", "f2").agg(F.count("*").alias("copies"), *one), f"{name}-wholes")
+    repeated = kept.join(wholes.filter("copies > 1").select("c", "f1", "f2"), ["c", "f1", "f2"], "left_semi")
+    repeated = materialize(repeated.select("k1", "k2", "start", "n"), f"{name}-repeated")
+    several = materialize(wholes.groupBy("c").agg(F.count("*").alias("m")).filter("m > 1").select("c"), f"{name}-several")
+    undecided = materialize(wholes.join(several, "c", "left_semi").select(*place), f"{name}-undecided")
+    for read in (kept, wholes, several):
+        discard(read)
+    return repeated, undecided
 
 
 def repeated_windows(docs: DataFrame, length: int = 400) -> DataFrame:
     """(k1, k2, start, n): runs of n windows that each occur somewhere else too."""
     texts = docs.select(*doc_key(), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.filter(F.octet_length("text") >= length)
-    first, left = _settle(materialize(_first_items(texts, length), "suffix-runs"), "suffix-run")
-    held = materialize(_run_bytes(texts, left, length), "suffix-bytes")
-    second, left = _settle(materialize(_finer_items(held, length, BLOCK), "suffix-blocks"), "suffix-block")
-    parts = left.join(held.select("k1", "k2", "run", "raw"), ["k1", "k2", "run"])
-    third, _ = _settle(materialize(_finer_items(parts, length, 1), "suffix-windows"), "suffix-window")
+    first, runs_left = _settle(materialize(_first_items(texts, length), "suffix-runs"), "suffix-run")
+    held = _run_bytes(texts, runs_left, length)
+    second, blocks_left = _settle(materialize(_finer_items(held, length, BLOCK), "suffix-blocks"), "suffix-block")
+    parts = blocks_left.join(held.select("k1", "k2", "run", "raw"), ["k1", "k2", "run"])
+    items = materialize(_finer_items(parts, length, 1), "suffix-windows")
+    for read in (runs_left, blocks_left, held):
+        discard(read)
+    third, windows_left = _settle(items, "suffix-window")
+    discard(windows_left)
     return first.unionByName(second).unionByName(third)
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans (byte ranges) of every row."""
-    found = repeated_windows(docs, length)
-    spans = found.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct(
-        F.col("start").alias("s"), (F.col("start") + F.col("n") + (length - 1)).alias("e")))).alias("ranges"))
-    spans = materialize(spans, "suffix-spans").hint("merge")
+    with shuffles_freed(docs.sparkSession):
+        found = repeated_windows(docs, length)
+        spans = found.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct(
+            F.col("start").alias("s"), (F.col("start") + F.col("n") + (length - 1)).alias("e")))).alias("ranges"))
+        spans = materialize(spans, "suffix-spans").hint("merge")
+    discard(found)
 
     def cut(batches):
         for pdf in batches:

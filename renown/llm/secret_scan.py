@@ -185,13 +185,36 @@ def words_in(value: str) -> set[str]:
             for i in range(len(x) - 2) for k in range(3, min(_LONGEST_WORD, len(x) - i) + 1)}
 
 
-def word_ranks(docs: DataFrame) -> DataFrame:
+def value_words(text: str, spans) -> list[str]:
+    """The words of the credential values of a text: assigned values, keys, hex runs and candidates.
+
+    A span that begins or ends inside a word has only a part of it, which is left out.
+    """
+    out = []
+    for start, end in spans:
+        value = text[start:end]
+        at = 0
+        for word in re.findall(r"[^\W\d_]+", value):
+            at = value.index(word, at)
+            whole = not text[:start + at][-1:].isalpha() and not text[start + at + len(word):][:1].isalpha()
+            if whole and 3 <= len(word) <= _LONGEST_WORD:
+                out.append(word.lower())
+            at += len(word)
+    return out
+
+
+def word_ranks(docs: DataFrame, own: DataFrame | None = None) -> DataFrame:
     """(w, rank) of all words of all documents by count, ties by the word, after the usual password words.
 
+    ``own`` (w) are the occurrences inside credential values, which don't count: a
+    secret of letters would else be a word of itself.
     The sort is by ranges; a rank is the place in its range and the sizes of the ranges before.
     """
     words = F.explode(F.split(F.lower(F.col("text")), r"\P{L}+")).alias("w")
     counts = docs.select(words).filter(F.length("w").between(3, _LONGEST_WORD)).groupBy("w").agg(F.count("*").alias("n"))
+    if own is not None:
+        counts = counts.join(own.groupBy("w").agg(F.count("*").alias("m")), "w", "left").select(
+            "w", (F.col("n") - F.coalesce("m", F.lit(0))).alias("n")).filter("n > 0")
     placed = materialize(materialize(counts, "secret-words").orderBy(F.desc("n"), "w")
                          .select("w", F.monotonically_increasing_id().alias("at")), "secret-ranks")
     part, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
@@ -232,20 +255,25 @@ def scan_secrets(docs: DataFrame, ranks: DataFrame | None = None, min_log10_gues
     """
     def scan(batches):
         for pdf in batches:
-            spans, values = [], []
+            spans, values, own = [], [], []
             for text in pdf["text"]:
                 text = text or ""
                 base = base_spans(text)
+                more = candidates(text, base)
                 spans.append([(KINDS[k], s, e, True) for s, k, e in base])
-                values.append([(text[s:e], s, e) for s, e in candidates(text, base)])
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "spans": spans, "found": values})
+                values.append([(text[s:e], s, e) for s, e in more])
+                assigned = [m.span(2) for m in _ASSIGN.finditer(text) if len(m[2]) >= 8]
+                own.append(value_words(text, [*assigned, *[(s, e) for s, k, e in base if k], *more]))
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "spans": spans, "found": values, "own": own})
 
     span = "struct<kind:string,start:long,end:long,base:boolean>"
     rows = materialize(docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInPandas(
-        scan, f"doc_id long, spans array<{span}>, found array<struct<value:string,start:long,end:long>>")
+        scan, f"doc_id long, spans array<{span}>, found array<struct<value:string,start:long,end:long>>, own array<string>")
         .withColumn("row", F.monotonically_increasing_id()), "secret-rows")
     found = rows.select("row", F.explode("found").alias("f")).select("row", "f.*")
-    strong = strong_values(found.select("value"), word_ranks(docs) if ranks is None else ranks, min_log10_guesses)
+    if ranks is None:
+        ranks = word_ranks(docs, rows.select(F.explode("own").alias("w")))
+    strong = strong_values(found.select("value"), ranks, min_log10_guesses)
     guess = F.struct(F.lit("guess").alias("kind"), "start", "end", F.lit(False).alias("base"))
     added = found.join(sized(strong), "value").groupBy("row").agg(F.collect_list(guess).alias("added"))
     # A base span and an added one never start at the same place: they do not overlap.

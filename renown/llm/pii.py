@@ -24,6 +24,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from renown.functions.text import let
 from renown.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -59,23 +60,56 @@ CONTEXT = {
 }
 LABELERS = ("check", "gazetteer", "context", "shape")
 FEATURES = (*LABELERS, "digits", "marks", "edge")
-_SPAN = "struct<s:int,e:int,m:string>"
+
+
+#: Matches of a text are placed in chunks of so many: a fold copies what it has at every step.
+CHUNK = 64
+#: Characters before a match that the labelers see.  A match has two characters at least.
+AROUND = 40
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """Array of (s, e, m) of the leftmost non-overlapping matches, in code points."""
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
-    both = F.zip_with(gaps, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-                      lambda g, m: F.struct(g.alias("g"), m.alias("m")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
+    """Array of (s, e, m, b) of the leftmost non-overlapping matches, in code points; b is the text before one.
+
+    Places within a chunk of matches come from one fold and the chunks' own
+    places from another; the text before a match is put together from the
+    pieces before it.  So the work hardly grows faster than the matches.
+    """
+    both = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+                      lambda g, m: F.struct(g.alias("t"), m.alias("m")))
+    sizes = F.transform(F.filter(both, lambda x: x["m"].isNotNull()), lambda x: F.struct(
+        F.length(x["t"]).alias("g"), x["m"].alias("m"), F.right(x["t"], F.lit(AROUND)).alias("w")))
 
     def step(acc, x):
         s = acc["at"] + x["g"]
         e = s + F.length(x["m"])
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m")))
-                                                ).alias("out"))
+        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e")))).alias("out"))
+
+    def within(chunk):
+        return F.aggregate(chunk, F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int>>").alias("out")), step)
+
+    def onward(acc, chunk):
+        return F.struct((acc["at"] + chunk["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
 
-    return F.aggregate(F.filter(both, lambda x: x["m"].isNotNull()), start, step, lambda acc: acc["out"])
+    def flat(chunks):
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        starts = F.aggregate(chunks, first, onward, lambda acc: acc["out"])
+        return F.flatten(F.zip_with(chunks, starts, lambda c, at: F.transform(c["out"], lambda x: F.struct(
+            (x["s"] + at).alias("s"), (x["e"] + at).alias("e")))))
+
+    def placed(found):
+        numbers = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(found) / CHUNK).cast("int") - 1, F.lit(0)))
+        chunks = F.transform(numbers, lambda i: within(F.slice(found, i * CHUNK + 1, F.lit(CHUNK))))
+        return F.zip_with(let(chunks, flat), F.transform(found, lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
+                          lambda at, y: F.struct(at["s"].alias("s"), at["e"].alias("e"), y["x"]["m"].alias("m"),
+                                                 before(found, y["x"], y["i"]).alias("b")))
+
+    def before(found, x, i):
+        n = F.least(i, F.lit(AROUND // 2))
+        pieces = F.transform(F.slice(found, i - n + 1, n), lambda y: F.concat(y["w"], F.right(y["m"], F.lit(AROUND))))
+        return F.right(F.concat(F.array_join(pieces, ""), x["w"]), F.lit(AROUND))
+
+    return let(sizes, placed)
 
 
 def _digits(m: Column) -> Column:
@@ -129,7 +163,7 @@ def _labels(kind: str, m: Column, base: Column, before: Column) -> list[Column]:
             shape.alias("shape")]
 
 
-def candidates(text: Column, around: int = 40) -> Column:
+def candidates(text: Column) -> Column:
     """Array of candidate spans with their votes and features, by kind, then start."""
     def inner_cards(found, described, kind, k):
         """Card numbers in base matches that fail; the Luhn sum is their check."""
@@ -139,10 +173,13 @@ def candidates(text: Column, around: int = 40) -> Column:
                          & ~F.exists(found, lambda b: (b["s"] == x["s"]) & (b["e"] == x["e"])))
         return F.transform(spans, lambda x: described(x, False, kind, k, lambda m: check(kind, m)))
 
+    def with_inner_cards(found, described, kind, k):
+        return let(found, lambda f: F.concat(f, inner_cards(f, described, kind, k)))
+
     out = []
     for k, kind in enumerate(KINDS):
         def described(x, base, kind, k, checked=None):
-            before = F.substring(text, F.greatest(x["s"] - around, F.lit(0)) + 1, F.least(F.lit(around), x["s"]))
+            before = x["b"]
             ok = check(kind, x["m"]) if base else F.lit(False)
             marks = F.length(F.regexp_replace(x["m"], "[0-9A-Za-z]", ""))
             return F.struct(F.lit(k).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), ok.alias("base"),
@@ -158,7 +195,7 @@ def candidates(text: Column, around: int = 40) -> Column:
         if kind in LOOSE:
             found = F.concat(found, make(LOOSE[kind], False))
         if kind == "card":
-            found = F.concat(found, inner_cards(found, described, kind, k))
+            found = with_inner_cards(found, described, kind, k)
         out.append(F.when(text.rlike(GATES[kind]), found))
     return F.concat(*[F.coalesce(c, F.array().cast(_CANDIDATES)) for c in out])
 
@@ -240,19 +277,23 @@ def accepted(found: Column, models) -> Column:
             out = F.when(c["kind"] == k, value).otherwise(out)
         return out
 
-    base = F.filter(found, lambda c: c["base"])
+    def chosen(of_kind):
+        def added(c):
+            backed = (c["gazetteer"] > 0) | (c["context"] > 0)
+            clear = ~F.exists(F.get(of_kind, c["kind"]), lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"]))
+            return ~c["base"] & backed & (odds(c) > 0) & clear
+
+        more = F.array_sort(F.transform(F.filter(found, added), lambda c: F.struct(
+            c["kind"].alias("kind"), c["s"].alias("s"), (-c["e"]).alias("to"))))
+        more = F.aggregate(more, F.array().cast("array<struct<kind:int,s:int,e:int,base:boolean>>"), _taken)
+        base = F.transform(F.flatten(of_kind), lambda c: F.struct(
+            c["kind"].alias("kind"), c["s"].alias("s"), c["e"].alias("e"), c["base"].alias("base")))
+        return F.array_sort(F.concat(base, more))
 
-    def added(c):
-        clear = ~F.exists(base, lambda b: (b["kind"] == c["kind"]) & (b["s"] < c["e"]) & (c["s"] < b["e"]))
-        backed = (c["gazetteer"] > 0) | (c["context"] > 0)
-        return ~c["base"] & backed & clear & (odds(c) > 0)
+    def base_of(k):
+        return F.filter(found, lambda c: c["base"] & (c["kind"] == k))
 
-    more = F.array_sort(F.transform(F.filter(found, added), lambda c: F.struct(
-        c["kind"].alias("kind"), c["s"].alias("s"), (-c["e"]).alias("to"))))
-    more = F.aggregate(more, F.array().cast("array<struct<kind:int,s:int,e:int,base:boolean>>"), _taken)
-    base = F.transform(base, lambda c: F.struct(
-        c["kind"].alias("kind"), c["s"].alias("s"), c["e"].alias("e"), c["base"].alias("base")))
-    return F.array_sort(F.concat(base, more))
+    return let(F.array(*[base_of(k) for k in range(len(KINDS))]), chosen)
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
@@ -264,10 +305,12 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, models=None) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in brackets; null texts stay null."""
-    text = F.coalesce("text", F.lit(""))
+    own, taken = docs.columns, {c.lower() for c in docs.columns}
+    found, cut = (next(n for n in (f"_{name}{i}" for i in range(len(own) + 1)) if n not in taken) for name in ("found", "cut"))
+    docs = materialize(docs.withColumn(found, candidates(F.coalesce("text", F.lit("")))), "pii-documents")  # found once
     if models is None:
-        models = learn(docs.select(candidates(text).alias("candidates")))
-    spans = F.array_sort(F.transform(accepted(candidates(text), models), lambda c: F.struct(
+        models = learn(docs.select(F.col(found).alias("candidates")))
+    spans = F.array_sort(F.transform(accepted(F.col(found), models), lambda c: F.struct(
         c["s"].alias("s"), c["e"].alias("e"), c["kind"].alias("kind"))))
     empty = F.array().cast("array<struct<s:int,e:int,kind:int,gap:int>>")
 
@@ -281,12 +324,13 @@ def redact(docs: DataFrame, models=None) -> DataFrame:
             x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"), end.alias("gap")))))
 
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    rows = docs.withColumn("_spans", F.aggregate(spans, empty, merge))
-    last = F.coalesce(F.try_element_at(F.col("_spans"), F.lit(-1))["e"], F.lit(0))
-    parts = F.transform("_spans", lambda x: F.concat(F.substring("text", x["gap"] + 1, x["s"] - x["gap"]),
+    rows = docs.withColumn(cut, F.aggregate(spans, empty, merge))
+    last = F.coalesce(F.try_element_at(F.col(cut), F.lit(-1))["e"], F.lit(0))
+    parts = F.transform(cut, lambda x: F.concat(F.substring("text", x["gap"] + 1, x["s"] - x["gap"]),
                                                      F.get(names, x["kind"])))
     clean = F.concat(F.array_join(parts, ""), F.substring("text", last + 1, F.length("text")))
-    return rows.withColumn("text", F.when(F.size("_spans") > 0, clean).otherwise(F.col("text"))).drop("_spans")
+    return rows.withColumn("text", F.when(F.size(cut) > 0, clean).otherwise(F.col("text"))).select(
+        *[F.col(f"`{c}`") for c in own])
 
 
 def personal_data_report(docs: DataFrame) -> DataFrame:

@@ -47,24 +47,28 @@ def _shingles(words: Column, n: int) -> Column:
 
 
 def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
-    """item_id, wid, words of each window."""
+    """item_id, wid (a hash of the words), words of each window; equal windows of several items share wid."""
     items = benchmark.select("item_id", words_column(F.col("text")).alias("w")).filter(F.size("w") > 0)
     size = F.least(F.lit(window), F.size("w"))
     starts = F.sequence(F.lit(1), F.size("w") - size + 1)
     wins = items.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("w", i, size))).alias("words"))
-    return wins.groupBy("words").agg(F.collect_set("item_id").alias("items")).withColumn("wid", F.xxhash64("words"))
+    return wins.distinct().withColumn("wid", F.sha2(F.array_join("words", " "), 256))
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 5) -> DataFrame:
-    """(k1, k2, start, len, items) of every occurrence of a window; k1, k2 name a document's id and text."""
-    wins = materialize(item_windows(benchmark, window), "decon-windows")
+def find_hits(docs: DataFrame, named: DataFrame, window: int = 10, shingle: int = 5) -> DataFrame:
+    """(k1, k2, start, len, wid) of every occurrence of a window; k1, k2 name a document's id and text.
+
+    ``named`` is the written table of ``item_windows``.  Which items a
+    window belongs to is left to the caller: hits carry its id only.
+    """
+    wins = materialize(named.select("wid", "words").dropDuplicates(["wid"]), "decon-words")
     lengths = sorted(r.n for r in wins.select(F.least(F.size("words"), F.lit(shingle)).alias("n")).distinct().collect())
     if not lengths:  # an empty benchmark
         return docs.select(*doc_key(), F.lit(0).alias("start"), F.lit(0).alias("len"),
-                           F.array().cast("array<bigint>").alias("items")).limit(0)
+                           F.lit("").alias("wid")).limit(0)
     members = [wins.filter(F.least(F.size("words"), F.lit(shingle)) == n).select(
-        "wid", "words", "items", F.lit(n).alias("n"), F.posexplode(_shingles(F.col("words"), n)).alias("place", "h"))
-        for n in lengths]
+        "wid", F.size("words").alias("len"), F.lit(n).alias("n"),
+        F.posexplode(_shingles(F.col("words"), n)).alias("place", "h")) for n in lengths]
     members = materialize(reduce(DataFrame.unionByName, members), "decon-members")
 
     known = materialize(members.select("n", "h").distinct(), "decon-shingles")
@@ -80,28 +84,27 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle:
     prefix = materialize(members.join(counts, ["n", "h"])  # a shingle that never occurs rules its windows out
                          .withColumn("r", F.row_number().over(by_rarity))
                          .withColumn("seen", F.count("*").over(Window.partitionBy("wid")))
-                         .filter((F.col("r") == 1) & (F.col("seen") == F.size("words") - F.col("n") + 1))
-                         .select("n", "h", "place", "words", "items"), "decon-prefix")
-    starts = (found.join(sized(prefix, 20_000), ["n", "h"]).withColumn("start", F.col("at") - F.col("place"))
-              .filter("start >= 0").select("k1", "k2", "start", "words", "items"))
-    starts = materialize(starts.distinct(), "decon-starts")
+                         .filter((F.col("r") == 1) & (F.col("seen") == F.col("len") - F.col("n") + 1))
+                         .select("n", "h", "place", "wid", "len"), "decon-prefix")
+    starts = materialize(found.join(sized(prefix), ["n", "h"]).withColumn("start", F.col("at") - F.col("place"))
+                         .filter("start >= 0").select("k1", "k2", "start", "len", "wid").distinct(), "decon-starts")
     ids = materialize(starts.select("k1", "k2").distinct(), "decon-docs")
     texts = (words.join(sized(ids), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]))
-    return (starts.join(texts, ["k1", "k2"])
-            .filter((F.col("start") + F.size("words") <= F.size("w"))
-                    & (F.slice("w", F.col("start") + 1, F.size("words")) == F.col("words")))
-            .select("k1", "k2", "start", F.size("words").alias("len"), "items"))
+    there = (starts.join(texts, ["k1", "k2"]).filter(F.col("start") + F.col("len") <= F.size("w"))
+             .select("k1", "k2", "start", "len", "wid", F.expr("slice(w, start + 1, len)").alias("words")))
+    return there.join(wins, ["wid", "words"]).select("k1", "k2", "start", "len", "wid")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 5) -> DataFrame:
     """k1, k2, n_hit and items (sorted strings) of documents with hits, as a written table."""
-    hits = materialize(find_hits(docs, benchmark, window, shingle), "decon-hits")
+    named = materialize(item_windows(benchmark, window), "decon-windows")
+    hits = materialize(find_hits(docs, named, window, shingle), "decon-hits")
     order = Window.partitionBy("k1", "k2").orderBy("start", "len").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("start") + F.col("len")
     covered = (hits.withColumn("before", F.coalesce(F.max(end).over(order), F.lit(0)))
                .groupBy("k1", "k2").agg(F.sum(F.greatest(F.lit(0), end - F.greatest("start", "before"))).alias("n_hit")))
-    items = (hits.select("k1", "k2", F.explode("items").alias("item")).distinct().groupBy("k1", "k2")
-             .agg(F.sort_array(F.collect_set(F.col("item").cast("string"))).alias("items")))
+    items = (hits.select("k1", "k2", "wid").distinct().join(named.select("wid", "item_id"), "wid")
+             .groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items")))
     return materialize(covered.join(items, ["k1", "k2"], "left"), "decon-result")
 
 

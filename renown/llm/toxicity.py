@@ -7,9 +7,12 @@ documents (from the training labels), the risk is
     p * R_pos(+1) + max(0, R_unl(-1) - p * R_pos(-1))
 
 where the second term, an estimate of the risk on clean text, is held at
-zero from below; while it is negative the step goes the other way.  Only
-the fit works on a bounded sample (``positives`` and ``unlabelled`` rows,
-smallest id hashes first); every whole document is scored.
+zero from below; while it is negative the step goes the other way.  Which
+features are used depends on their share among the confirmed toxic
+documents and among all documents (labels not looked at), counted by a
+Spark aggregation.  Only the gradient works on a bounded sample
+(``positives`` and ``unlabelled`` rows, smallest id hashes first); every
+whole document is scored.
 
 Defined results: null text scores as the empty text; a null doc_id counts
 as the empty id text for the fold; repeated label rows count once, as
@@ -60,6 +63,46 @@ def _sample(docs: DataFrame, ids: DataFrame, n: int) -> list[np.ndarray]:
     return [np.frombuffer(r.f, "<i4") for r in rows]
 
 
+class _Buckets(dict):
+    """Buckets of a word's features by word, for the words seen so far in a task; bounded."""
+
+    def __init__(self, most: int = 1 << 17):
+        super().__init__()
+        self.most = most
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= self.most:
+            self.clear()
+        value = self[word] = tuple(map(bucket, features_of(word)))
+        return value
+
+
+def document_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """In how many of all documents each feature bucket occurs, and the number of documents.
+
+    A task sends one number a bucket; the driver gets ``BUCKETS`` numbers at most.
+    """
+    def count(batches):
+        found, known, n = np.zeros(BUCKETS, "<i8"), _Buckets(), 0
+        for pdf in batches:
+            for text in pdf["text"]:
+                mine = set()
+                for word in set(_WORD.findall((text or "").lower())):
+                    mine.update(known[word])
+                found[np.fromiter(mine, "<i8", len(mine))] += 1
+            n += len(pdf)
+        used = np.flatnonzero(found)
+        yield pd.DataFrame({"b": np.append(used, -1), "n": np.append(found[used], n)})
+
+    rows = (docs.select("text").mapInPandas(count, "b long, n long").groupBy("b").agg(F.sum("n").alias("n"))
+            .toPandas())
+    rows = dict(zip(rows["b"].tolist(), rows["n"].tolist()))
+    total = rows.pop(-1, 0)
+    counts = np.zeros(BUCKETS)
+    counts[list(rows)] = list(rows.values())
+    return counts, total
+
+
 class Model:
     """Weights by feature bucket and a bias."""
 
@@ -85,17 +128,17 @@ class _Known(dict):
         return value
 
 
-def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, features: int = 2048,
-           steps: int = 250, rate: float = 0.1, decay: float = 2e-4) -> Model:
-    """Non-negative PU risk, logistic loss, Adam; the ``features`` words that differ most are used."""
+def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, share: np.ndarray, total: int,
+           features: int = 2048, steps: int = 250, rate: float = 0.1, decay: float = 2e-4) -> Model:
+    """Non-negative PU risk, logistic loss, Adam; the ``features`` words that differ most are used.
+
+    ``share`` is each bucket's share of the ``total`` documents of the corpus.
+    """
     if not positive or not unlabelled or prior <= 0:
         return Model({}, -30.0)
 
-    def share(rows):
-        return np.bincount(np.concatenate(rows), minlength=BUCKETS) / len(rows)
-
-    p, u = share(positive), share(unlabelled)
-    gain = (p - u) / np.sqrt(u + 1 / len(unlabelled))
+    p = np.bincount(np.concatenate(positive), minlength=BUCKETS) / len(positive)
+    gain = (p - share) / np.sqrt(share + 1 / max(total, 1))
     used = np.sort(np.argsort(-np.abs(gain), kind="stable")[:features])
     place = np.full(BUCKETS, -1)
     place[used] = np.arange(len(used))
@@ -132,14 +175,18 @@ def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: floa
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = 4000,
           unlabelled: int = 12000) -> Model:
-    """Fit from training-fold labels; the class prior is the toxic share among them."""
+    """Fit from training-fold labels; the class prior is the toxic share among them.
+
+    Feature counts cover the whole of ``docs``; only the fit's rows are bounded.
+    """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     marks = (labels.filter(~held_out(F.col("doc_id"), folds) & F.col("toxic").isNotNull())
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic")))
     stats = marks.agg(F.avg("toxic").alias("prior")).first()
     ids = docs.select("doc_id").filter(~held_out(F.col("doc_id"), folds))
+    counts, total = document_counts(docs)
     return fit_pu(_sample(docs, marks.filter("toxic = 1").select("doc_id"), positives),
-                  _sample(docs, ids, unlabelled), float(stats.prior or 0.0))
+                  _sample(docs, ids, unlabelled), float(stats.prior or 0.0), counts / max(total, 1), total)
 
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:

@@ -55,7 +55,9 @@ def test_suffix_dedup(docs, empty):
 
 def test_decontaminate(spark, docs, empty):
     items = spark.createDataFrame([(1, "Word3 token21 word4 token28 word5 token35 word6 token42 word7 token49 word8"),
-                                   (2, "ONE two"), (3, None), (4, "!!"), (2, "ONE two")], "item_id long, text string")
+                                   (2, "ONE two"), (3, None), (4, "!!"), (2, "ONE two"),
+                                   (5, "word3 token21 word4 token28 word5 token35 word6 token42 word7 token49"),
+                                   (6, "one TWO"), (None, "one two")], "item_id long, text string")
     w = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c < "\x80" else c for c in t or ""))
     wins = {(i, tuple(x[k:k + 10])) for i, t in items.collect() for x in [w(t)] if x for k in range(max(1, len(x) - 9))}
     want = []
@@ -65,7 +67,7 @@ def test_decontaminate(spark, docs, empty):
             for p in range(len(x) - len(win) + 1):
                 if tuple(x[p:p + len(win)]) == win:
                     hit |= set(range(p, p + len(win)))
-                    found.add(str(item))
+                    found |= set() if item is None else {str(item)}
         want.append((str(i), len(x), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
     got = [(str(r.doc_id), *r[1:]) for r in decontaminate.contamination_report(docs, items).collect()]
     assert sorted(got) == sorted(want)
@@ -95,6 +97,10 @@ def test_toxicity(spark, docs, empty):
     assert all(r.held_out == (zlib.crc32(str("" if r.doc_id is None else r.doc_id).encode()) % 5 == 0) for r in out)
     judged = [r.predicted == int(r.doc_id % 5 == 0) for r in out if r.doc_id is not None and r.held_out]
     assert sum(judged) / len(judged) > 0.95
+    counts, total = toxicity.document_counts(docs)
+    want = Counter(b for t in docs.select("text").collect() for b in set(map(toxicity.bucket, toxicity.features_of(t.text))))
+    assert total == docs.count() and {i: int(n) for i, n in enumerate(counts) if n} == want
+    assert toxicity.document_counts(empty)[1] == 0
     none = toxicity.train(empty, labels.limit(0))
     assert [r.predicted for r in toxicity.score_documents(docs, none).select("predicted").distinct().collect()] == [0]
 

@@ -128,17 +128,17 @@ class _Known(dict):
         return value
 
 
-def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, share: np.ndarray, total: int,
+def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, share: np.ndarray,
            features: int = 2048, steps: int = 250, rate: float = 0.1, decay: float = 2e-4) -> Model:
     """Non-negative PU risk, logistic loss, Adam; the ``features`` words that differ most are used.
 
-    ``share`` is each bucket's share of the ``total`` documents of the corpus.
+    ``share`` is each bucket's share of the documents of the corpus.
     """
     if not positive or not unlabelled or prior <= 0:
         return Model({}, -30.0)
 
     p = np.bincount(np.concatenate(positive), minlength=BUCKETS) / len(positive)
-    gain = (p - share) / np.sqrt(share + 1 / max(total, 1))
+    gain = (p - share) / np.sqrt(share + 1 / len(positive))  # p is no finer than that
     used = np.sort(np.argsort(-np.abs(gain), kind="stable")[:features])
     place = np.full(BUCKETS, -1)
     place[used] = np.arange(len(used))
@@ -186,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = 4
     ids = docs.select("doc_id").filter(~held_out(F.col("doc_id"), folds))
     counts, total = document_counts(docs)
     return fit_pu(_sample(docs, marks.filter("toxic = 1").select("doc_id"), positives),
-                  _sample(docs, ids, unlabelled), float(stats.prior or 0.0), counts / max(total, 1), total)
+                  _sample(docs, ids, unlabelled), float(stats.prior or 0.0), counts / max(total, 1))
 
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:

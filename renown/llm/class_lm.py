@@ -5,13 +5,15 @@ P(w | previous) = P(class(w) | class(previous)) * P(w | class(w)).
 Every training word is a type of its own.  Classes start from a small
 clustering: the ``top_words`` most frequent words and ``endings`` hashed
 endings of all others are exchanged one at a time on their bigram matrix.
-Then ``sweeps`` exchange sweeps over all words follow: counts of (word,
-neighbour class) over the whole training corpus are summed by word, and
-each word goes to the class that raises the likelihood of the class
-bigrams most, all words of a sweep against the same class matrix.  Only
-that matrix reaches the driver; a sweep that does not raise the likelihood
-is left out and ends them.  Unseen words have the class that their ending
-starts with.  Transitions are smoothed additively; emissions keep the share
+Then ``sweeps`` exchange sweeps over all words follow, each in ``TURNS``
+turns: a turn moves the words of every ``TURNS``-th hash range.  Counts of
+(word, neighbour class) over the whole training corpus are summed by word,
+and each word goes to the class that raises the likelihood of the class
+bigrams most, all words of a turn against the class matrix that the turn
+before left.  Only that matrix reaches the driver; a turn that does not
+raise the likelihood is left out and ends the sweeps.  An unseen word has
+the class that most training words of its ending (one of ``endings``
+hashed ones) ended in.  Transitions are smoothed additively; emissions keep the share
 (V+1)/(N+V+2) of a class (V words, N tokens) for its unseen words, times the
 probability of the word's spelling: a chain of byte pairs counted over all
 training tokens, whose probabilities of all words sum to 1.
@@ -44,7 +46,9 @@ from renown.llm.common import id_text
 from renown.session import discard, materialize
 
 BINS = 64 * 64
-TOP_WORDS, ENDINGS, CLASSES, CHUNK, SWEEPS = 512, 512, 64, 1_000_000, 2  # at most 256 classes
+TOP_WORDS, ENDINGS, CLASSES, CHUNK, SWEEPS, TURNS = 512, 512, 64, 1_000_000, 2, 2  # at most 256 classes
+#: A hash range sums about so many dictionaries' worth of words at most, whatever the number of chunks.
+CHUNKS_A_RANGE = 8
 END = b"\n"  # cannot be a word
 _PACKED = "chunk long, doc_ids binary, nulls binary, held binary, lens binary, tokens binary, hashes binary, " \
           "counts binary, endings binary, spelled binary, pairs binary"
@@ -339,8 +343,11 @@ def best_classes(keys: np.ndarray, n: np.ndarray, cls: np.ndarray, g: np.ndarray
     return out
 
 
-def neighbours(chunks: DataFrame, answers: DataFrame, model: ClassModel, deal: bool) -> DataFrame:
-    """One row of class bigrams a chunk and, to ``deal``, (word, neighbour class) counts by chunk and hash range."""
+def neighbours(chunks: DataFrame, answers: DataFrame, model: ClassModel, turn: int | None) -> DataFrame:
+    """One row of class bigrams a chunk and, with a ``turn``, (word, neighbour class) counts by chunk and hash range.
+
+    Ranges that do not move in this turn have zero counts for their training words, and nothing else.
+    """
     shared = chunks.sparkSession.sparkContext.broadcast(vars(model))
     k, started = len(model.trans), "cls" in answers.columns
     width = 2 * k + 1
@@ -350,29 +357,37 @@ def neighbours(chunks: DataFrame, answers: DataFrame, model: ClassModel, deal: b
         vars(m).update(shared.value)
         right, out = right.sort_values("range"), []
         for row in left.itertuples(index=False):
+            endings = _unpack(row.endings, "<u2")
             if started:
                 cls = np.concatenate([_unpack(c, "u1") for c in right["cls"]])
             else:
-                cls = m.first_classes(np.frombuffer(row.hashes, np.uint64), _unpack(row.endings, "<u2")).astype("u1")
+                cls = m.first_classes(np.frombuffer(row.hashes, np.uint64), endings).astype("u1")
             t = _unpack(row.tokens, "<u4").astype(np.int64)
             t = t[np.repeat(~np.frombuffer(row.held, bool), np.frombuffer(row.lens, "<i4"))]
             now = cls[t].astype(np.int64)
             before = np.concatenate(([0], now[:-1]))[:len(now)]
-            out.append((None, row.chunk, None, None, None, None, _pack(np.bincount(before * k + now, minlength=k * k))))
-            if not deal:
+            out.append((None, row.chunk, None, None, None, None, None, _pack(np.bincount(before * k + now, minlength=k * k))))
+            if turn is None:
                 continue
-            keys, n = _summed(np.concatenate([t * width + before, t[:-1] * width + k + now[1:],
-                                              t[:-1][t[1:] == t[:-1]] * width + 2 * k]))
-            ends = np.cumsum([len(_unpack(p, "<u4")) for p in right["places"]])
+            sizes = [len(_unpack(p, "<u4")) for p in right["places"]]
+            ends = np.cumsum(sizes)
+            moves = np.repeat(right["range"].to_numpy(np.int64) % TURNS == turn, sizes)[t]
+            ahead = moves[:-1]
+            keys, n = _summed(np.concatenate([(t * width + before)[moves], (t[:-1] * width + k + now[1:])[ahead],
+                                              t[:-1][ahead & (t[1:] == t[:-1])] * width + 2 * k]))
+            still = np.unique(t[~moves]) * width
+            keys, n = np.concatenate([keys, still]), np.concatenate([n, np.zeros(len(still), n.dtype)])
+            order = np.argsort(keys, kind="stable")
+            keys, n = keys[order], n[order]
             at = np.searchsorted(keys, ends * width)
             for r, places, a, b, i, j in zip(right["range"], right["places"], [0, *ends], ends, [0, *at], at):
-                out.append((r, row.chunk, places, _pack(cls[a:b]),
+                out.append((r, row.chunk, places, _pack(cls[a:b]), _pack(endings[a:b]),
                             _pack(np.diff(keys[i:j] - a * width, prepend=0).astype("<u4")), _pack(n[i:j].astype("<u4")), None))
-        return pd.DataFrame(out, columns=["range", "chunk", "places", "cls", "keys", "n", "g"]).astype({"range": "Int64"})
+        return pd.DataFrame(out, columns=["range", "chunk", "places", "cls", "endings", "keys", "n", "g"]).astype({"range": "Int64"})
 
-    columns = ["chunk", "held", "lens", "tokens", *([] if started else ["hashes", "endings"])]
+    columns = ["chunk", "held", "lens", "tokens", "endings", *([] if started else ["hashes"])]
     return chunks.select(*columns).groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
-        count, "range int, chunk long, places binary, cls binary, keys binary, n binary, g binary")
+        count, "range int, chunk long, places binary, cls binary, endings binary, keys binary, n binary, g binary")
 
 
 def _summed(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -386,8 +401,8 @@ def _summed(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray,
     return keys[first], np.diff(first, append=len(keys)) if n is None else np.add.reduceat(n, first) if len(n) else n
 
 
-def moved_words(dealt: DataFrame, g: np.ndarray, reduce_at: int = 1 << 22) -> DataFrame:
-    """Written rows: the new classes of each chunk's words by hash range, and the words of each class by range."""
+def moved_words(dealt: DataFrame, g: np.ndarray, endings: int, turn: int, reduce_at: int = 1 << 22) -> DataFrame:
+    """Written rows: the new classes of each chunk's words by hash range, and its words of each ending and class."""
     k = len(g)
     width, shared = 2 * k + 1, dealt.sparkSession.sparkContext.broadcast(g)
 
@@ -395,9 +410,10 @@ def moved_words(dealt: DataFrame, g: np.ndarray, reduce_at: int = 1 << 22) -> Da
         g = shared.value.astype(np.float64)
         places = [np.cumsum(_unpack(p, "<u4").astype(np.int64)) for p in pdf["places"]]
         cls = np.zeros(1 + max(p[-1] for p in places), np.int64)
+        kind = np.zeros(len(cls), np.int64)
         keys, n, waiting = [], [], 0
-        for p, c, key, m in zip(places, pdf["cls"], pdf["keys"], pdf["n"]):
-            cls[p] = _unpack(c, "u1")
+        for p, c, e, key, m in zip(places, pdf["cls"], pdf["endings"], pdf["keys"], pdf["n"]):
+            cls[p], kind[p] = _unpack(c, "u1"), _unpack(e, "<u2")
             key = np.cumsum(_unpack(key, "<u4").astype(np.int64))
             keys.append(p[key // width] * width + key % width)
             n.append(_unpack(m, "<u4").astype(np.int64))
@@ -406,12 +422,13 @@ def moved_words(dealt: DataFrame, g: np.ndarray, reduce_at: int = 1 << 22) -> Da
                 key, m = _summed(np.concatenate(keys), np.concatenate(n))
                 keys, n, waiting = [key], [m], 0
         keys, n = _summed(np.concatenate(keys), np.concatenate(n))
-        new = best_classes(keys, n, cls, g)
+        number = int(pdf["range"].iloc[0])
+        new = best_classes(keys, n, cls, g) if number % TURNS == turn else cls
         seen = np.unique(keys[keys % width < k] // width)
         out = pd.DataFrame({"chunk": pdf["chunk"], "range": pdf["range"], "places": pdf["places"],
                             "cls": [_pack(new[p].astype("u1")) for p in places]})
-        totals = pd.DataFrame({"range": [int(pdf["range"].iloc[0])],
-                               "totals": [_pack(np.bincount(new[seen], minlength=k).astype("<i8"))]})
+        totals = pd.DataFrame({"range": [number], "totals": [
+            _pack(np.bincount(kind[seen] * k + new[seen], minlength=endings * k).astype("<i8"))]})
         return pd.concat([out, totals], ignore_index=True).astype({"chunk": "Int64"}).replace({np.nan: None})
 
     return materialize(dealt.groupBy("range").applyInPandas(
@@ -419,26 +436,35 @@ def moved_words(dealt: DataFrame, g: np.ndarray, reduce_at: int = 1 << 22) -> Da
 
 
 def refine(chunks: DataFrame, counts: DataFrame, model: ClassModel, sweeps: int = SWEEPS) -> tuple[DataFrame | None, ClassModel]:
-    """Sweeps over all words: their classes by chunk and hash range (None: as they start), and the model with them."""
+    """Sweeps over all words: their classes by chunk and hash range (None: as they start), and the model with them.
+
+    The model's ``gains`` are the likelihoods of the start and after each turn.
+    """
     spark, k = chunks.sparkSession, len(model.trans)
     answers, kept, best, words = counts.filter("answer IS NOT NULL").select("chunk", "range", "places"), None, None, None
-    for sweep in range(sweeps + 1):
-        seen = materialize(neighbours(chunks, answers, model, sweep < sweeps), "lm-neighbours")
+    endings, gains, last = len(model.ending_cls), [], sweeps * TURNS
+    for turn in range(last + 1):
+        moving = turn % TURNS if turn < last else None
+        seen = materialize(neighbours(chunks, answers, model, moving), "lm-neighbours")
         g = np.broadcast_to(_added(seen.filter("g IS NOT NULL"), "g"), k * k).reshape(k, k).astype(np.float64)
         better = best is None or likelihood(g) > likelihood(best)
+        gains.append(likelihood(g))
         if better:
             best = g
-            if sweep:
-                kept, model = answers, model.with_classes(g, words)
-            if sweep < sweeps:
-                moved = moved_words(seen.filter("range IS NOT NULL").drop("g"), g)
-                words = np.broadcast_to(_added(moved.filter("totals IS NOT NULL"), "totals"), k)
+            if turn:
+                if kept is not None:
+                    discard(kept)
+                kept, model = answers, model.with_classes(g, words.reshape(endings, k))
+            if moving is not None:
+                moved = moved_words(seen.filter("range IS NOT NULL").drop("g"), g, endings, moving)
+                words = np.broadcast_to(_added(moved.filter("totals IS NOT NULL"), "totals"), endings * k)
                 answers = moved.filter("chunk IS NOT NULL").drop("totals")
         discard(seen)
-        gc.collect()  # shuffle files of a sweep go when neither side holds it any more
+        gc.collect()  # shuffle files of a turn go when neither side holds it any more
         spark.sparkContext._jvm.System.gc()
         if not better:
             break
+    model.gains = gains
     return kept, model
 
 
@@ -453,14 +479,18 @@ class ClassModel:
         unseen = (words + 1) / (tokens + words + 2)
         self.unseen = np.log10(unseen)
         self.seen = np.log10(1 - unseen) - np.log10(np.maximum(tokens, 1))
+        self.ending_cls, self.gains = cls[shift:], []
 
     def with_classes(self, bigrams, words):
-        """The model with other classes of the training words: their class bigrams and words a class."""
-        return ClassModel(self.top, self.top_types, self.shift, self.cls, bigrams, bigrams.sum(axis=0), words,
-                          self.n, self.v, self.chain)
+        """The model with other classes of the training words: their class bigrams and ``words`` of each ending and class."""
+        out = ClassModel(self.top, self.top_types, self.shift, self.cls, bigrams, bigrams.sum(axis=0), words.sum(axis=0),
+                         self.n, self.v, self.chain)
+        known = words[:, 1:].any(axis=1)
+        out.ending_cls = np.where(known, 1 + words[:, 1:].argmax(axis=1), self.ending_cls)
+        return out
 
     def first_classes(self, hashes, endings):
-        """Classes that dictionary entries start with, and unseen words keep."""
+        """Classes that dictionary entries start with."""
         return self.cls[_types(hashes, endings, self.top, self.top_types, self.shift)]
 
     def entry_scores(self, c, counts, spelled):
@@ -510,7 +540,7 @@ def score_texts(docs: DataFrame, folds: int = 7, fold: int = 2, top_words: int =
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and perplexity of every row."""
     spark = docs.sparkSession
     chunks = chunks_of(docs, folds, fold, endings, chunk_tokens)
-    ranges = 2 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), chunks.count() // CHUNKS_A_RANGE)
     counts = count_words(chunks, ranges, top_words, endings)
     found, m = refine(chunks, counts, train(chunks, counts, top_words, endings, classes), sweeps)
     shared = spark.sparkContext.broadcast(vars(m))
@@ -525,6 +555,8 @@ def score_texts(docs: DataFrame, folds: int = 7, fold: int = 2, top_words: int =
             c = np.concatenate([_unpack(a, "<u8") for a in answers]).astype(np.float64)
             if len(classes):
                 cls = np.concatenate([_unpack(x, "u1") for x in classes])
+                kinds = _unpack(row.endings, "<u2")
+                cls = np.where((c > 0) | (cls == 0), cls, model.ending_cls[kinds])  # class 0: the end token
             else:
                 cls = model.first_classes(np.frombuffer(row.hashes, np.uint64), _unpack(row.endings, "<u2"))
             emit, base = model.entry_scores(cls, c, zlib.decompress(row.spelled).split(b"\n"))

@@ -5,8 +5,9 @@ P(w | previous) = P(class(w) | class(previous)) * P(w | class(w)).
 Every training word is a type of its own.  Classes start from a small
 clustering: the ``top_words`` most frequent words and ``endings`` hashed
 endings of all others are exchanged one at a time on their bigram matrix.
-Then ``sweeps`` exchange sweeps over all words follow, each in ``TURNS``
-turns: a turn moves the words of every ``TURNS``-th hash range.  Counts of
+Then ``sweeps`` exchange sweeps over all words follow.  The first moves all
+words in one turn, the others take ``TURNS`` turns, each for the words of
+every ``TURNS``-th hash range (all at once would overshoot there).  Counts of
 (word, neighbour class) over the whole training corpus are summed by word,
 and each word goes to the class that raises the likelihood of the class
 bigrams most, all words of a turn against the class matrix that the turn
@@ -343,10 +344,10 @@ def best_classes(keys: np.ndarray, n: np.ndarray, cls: np.ndarray, g: np.ndarray
     return out
 
 
-def neighbours(chunks: DataFrame, answers: DataFrame, model: ClassModel, turn: int | None) -> DataFrame:
+def neighbours(chunks: DataFrame, answers: DataFrame, model: ClassModel, turn: tuple[int, int] | None) -> DataFrame:
     """One row of class bigrams a chunk and, with a ``turn``, (word, neighbour class) counts by chunk and hash range.
 
-    Ranges that do not move in this turn have zero counts for their training words, and nothing else.
+    A turn (of, at) moves the words of ranges that leave ``at`` when divided by ``of``.  Ranges that do not move in this turn have zero counts for their training words, and nothing else.
     """
     shared = chunks.sparkSession.sparkContext.broadcast(vars(model))
     k, started = len(model.trans), "cls" in answers.columns
@@ -371,7 +372,7 @@ def neighbours(chunks: DataFrame, answers: DataFrame, model: ClassModel, turn: i
                 continue
             sizes = [len(_unpack(p, "<u4")) for p in right["places"]]
             ends = np.cumsum(sizes)
-            moves = np.repeat(right["range"].to_numpy(np.int64) % TURNS == turn, sizes)[t]
+            moves = np.repeat(right["range"].to_numpy(np.int64) % turn[0] == turn[1], sizes)[t]
             ahead = moves[:-1]
             keys, n = _summed(np.concatenate([(t * width + before)[moves], (t[:-1] * width + k + now[1:])[ahead],
                                               t[:-1][ahead & (t[1:] == t[:-1])] * width + 2 * k]))
@@ -401,7 +402,7 @@ def _summed(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray,
     return keys[first], np.diff(first, append=len(keys)) if n is None else np.add.reduceat(n, first) if len(n) else n
 
 
-def moved_words(dealt: DataFrame, g: np.ndarray, endings: int, turn: int, reduce_at: int = 1 << 22) -> DataFrame:
+def moved_words(dealt: DataFrame, g: np.ndarray, endings: int, turn: tuple[int, int], reduce_at: int = 1 << 22) -> DataFrame:
     """Written rows: the new classes of each chunk's words by hash range, and its words of each ending and class."""
     k = len(g)
     width, shared = 2 * k + 1, dealt.sparkSession.sparkContext.broadcast(g)
@@ -423,7 +424,7 @@ def moved_words(dealt: DataFrame, g: np.ndarray, endings: int, turn: int, reduce
                 keys, n, waiting = [key], [m], 0
         keys, n = _summed(np.concatenate(keys), np.concatenate(n))
         number = int(pdf["range"].iloc[0])
-        new = best_classes(keys, n, cls, g) if number % TURNS == turn else cls
+        new = best_classes(keys, n, cls, g) if number % turn[0] == turn[1] else cls
         seen = np.unique(keys[keys % width < k] // width)
         out = pd.DataFrame({"chunk": pdf["chunk"], "range": pdf["range"], "places": pdf["places"],
                             "cls": [_pack(new[p].astype("u1")) for p in places]})
@@ -442,9 +443,9 @@ def refine(chunks: DataFrame, counts: DataFrame, model: ClassModel, sweeps: int
     """
     spark, k = chunks.sparkSession, len(model.trans)
     answers, kept, best, words = counts.filter("answer IS NOT NULL").select("chunk", "range", "places"), None, None, None
-    endings, gains, last = len(model.ending_cls), [], sweeps * TURNS
-    for turn in range(last + 1):
-        moving = turn % TURNS if turn < last else None
+    endings, gains = len(model.ending_cls), []
+    turns = ([(1, 0)] + [(TURNS, i) for i in range(TURNS)] * (sweeps - 1)) if sweeps else []
+    for turn, moving in enumerate([*turns, None]):
         seen = materialize(neighbours(chunks, answers, model, moving), "lm-neighbours")
         g = np.broadcast_to(_added(seen.filter("g IS NOT NULL"), "g"), k * k).reshape(k, k).astype(np.float64)
         better = best is None or likelihood(g) > likelihood(best)

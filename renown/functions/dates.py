@@ -66,3 +66,9 @@ def epoch_to_date(col) -> Column:
 def to_int(col) -> Column:
     """Integer or NULL; floats truncate, decimal strings give NULL."""
     return _c(col).try_cast("bigint")
+
+
+def run_timestamp(instant=None) -> Column:
+    """Stamp of an instant (default: now) as YYYYMMDDTHHMMSSZ in UTC."""
+    instant = F.current_timestamp() if instant is None else _c(instant)
+    return F.date_format(F.to_utc_timestamp(instant, F.current_timezone()), "yyyyMMdd'T'HHmmss'Z'")

@@ -18,7 +18,7 @@ are native column expressions.  Only eligible rows are sent to a scorer.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -207,6 +207,46 @@ def fit_folded_scorer(labelled: DataFrame, folds: int, fold_col: str = "fold", a
     return FoldedScorer(scorers, apply_fold or (lambda: F.col(fold_col)))
 
 
+def _words(text: Column) -> Column:
+    """Runs of a-z in the lower-cased text."""
+    return F.split(F.lower(text), "[^a-z]+")
+
+
+def _hits(words: Column, known: Iterable[str]) -> Column:
+    listed = sorted(known)
+    return F.size(F.filter(words, lambda w: w.isin(listed)))
+
+
+@dataclass
+class LexiconScorer(Scorer):
+    """Shares of positive and negative words among the words of either list; 0 and 0 without one."""
+
+    positive: frozenset[str]
+    negative: frozenset[str]
+
+    def score(self, df: DataFrame, text_col: str) -> DataFrame:
+        df = df.withColumn("_hits", let(_words(F.col(text_col)), lambda ws: F.struct(
+            _hits(ws, self.positive).alias("pos"), _hits(ws, self.negative).alias("neg"))))
+        both = F.greatest(F.col("_hits.pos") + F.col("_hits.neg"), F.lit(1))
+        return df.withColumns({"p_pos": F.col("_hits.pos") / both, "p_neg": F.col("_hits.neg") / both}).drop("_hits")
+
+
+@dataclass
+class WordListLanguage:
+    """Language by function words: the label with the most hits (ties: the first label), NULL without any."""
+
+    words: dict[str, frozenset[str]]
+
+    def predict(self, df: DataFrame, text_col: str, out_col: str = "detected_language") -> DataFrame:
+        def best(ws):
+            return F.array_max(F.array(*[
+                F.struct(_hits(ws, known).alias("n"), F.lit(-i).alias("i"), F.lit(label).alias("label"))
+                for i, (label, known) in enumerate(self.words.items())]))
+
+        found = let(let(_words(F.col(text_col)), best), lambda b: F.when(b["n"] > 0, b["label"]))
+        return df.withColumn(out_col, let(found, language_code))
+
+
 def sentiment_labels(labels: DataFrame, docs: DataFrame) -> DataFrame:
     """Training rows from the labelled documents: quality - toxic -> class."""
     d = docs.select("doc_id", "text").join(labels.select("doc_id", "quality", "toxic"), "doc_id")

@@ -9,6 +9,7 @@ from renown.operators import enrich as EN
 from renown.plans import oracle as O
 from renown.plans.q_functions import sql_language_code
 from renown.plans.registry import query
+from renown.session import discard, materialize
 from renown.sources import fixtures as X
 
 
@@ -95,3 +96,41 @@ def enrich_gates(spark, sf_dir):
         "ord", F.length("atext").cast("bigint").alias("analysis_len"), "declared",
         EN.needs_detection(F.col("atext"), F.col("declared")).alias("needs_detection"),
         EN.sentiment_eligible(F.col("atext"), F.col("declared")).alias("sentiment_eligible"))
+
+
+_LANGUAGE = EN.WordListLanguage({"en": frozenset({"the", "of", "and"}), "fr": frozenset({"des", "et", "le"}),
+                                 "de": frozenset({"der", "die", "und"}), "es": frozenset({"que", "el", "los"})})
+_SCORER = EN.LexiconScorer(frozenset({"with", "for", "this", "new", "good"}), frozenset({"was", "not", "but", "no", "bad"}))
+
+
+def _sql_hits(words) -> str:
+    return f"len(list_filter(ws, lambda x: x IN ({', '.join(repr(w) for w in sorted(words))})))"
+
+
+_HITS = ", ".join(f"{_sql_hits(words)} AS h_{label}" for label, words in _LANGUAGE.words.items())
+_MOST = f"greatest({', '.join('h_' + label for label in _LANGUAGE.words)})"
+_BEST = " ".join(f"WHEN h_{label} = {_MOST} THEN '{label}'" for label in _LANGUAGE.words)
+_PLUGGED = f"""
+a AS (SELECT ord, concat_ws(' ', nullif({_S('title')}, ''), nullif({_S('text')}, '')) AS atext,
+             {sql_language_code('language')} AS declared FROM r),
+w AS (SELECT *, string_split_regex(lower(atext), '[^a-z]+') AS ws FROM a),
+h AS (SELECT *, {_HITS}, {_sql_hits(_SCORER.positive)} AS pos, {_sql_hits(_SCORER.negative)} AS neg FROM w),
+l AS (SELECT *, coalesce(declared, CASE WHEN length(atext) < {P.NLP_MIN_LEN_DETECT} OR {_MOST} = 0 THEN NULL {_BEST} END) AS language
+      FROM h),
+enriched AS (SELECT ord, language, CASE WHEN length(atext) >= {P.NLP_MIN_LEN_SENTIMENT} AND (language IS NULL OR language IN ({_SUP}))
+      THEN round(pos / greatest(pos + neg, 1) - neg / greatest(pos + neg, 1), 6) END AS sentiment FROM l)"""
+
+
+@query("enrich_plugged", O.with_r(_PLUGGED + "\nSELECT * FROM enriched"))
+def enrich_plugged(spark, sf_dir):
+    """Every record enriched with a language model and a scorer of the caller's own (word lists)."""
+    return EN.enrich(X.records(spark, sf_dir), _LANGUAGE, _SCORER).select("ord", "language", "sentiment")
+
+
+@query("enrich_coverage", O.with_r(_PLUGGED + """
+SELECT count(*) AS rows, count(language) AS with_language, count(sentiment) AS with_sentiment FROM enriched"""))
+def enrich_coverage(spark, sf_dir):
+    """Coverage counters of one enrichment, counted beside the write of its rows."""
+    out, seen = EN.enrich(X.records(spark, sf_dir), _LANGUAGE, _SCORER, observe=True)
+    discard(materialize(out, "enriched"))
+    return spark.createDataFrame([seen.get], "rows long, with_language long, with_sentiment long")

@@ -290,3 +290,10 @@ def first_non_empty(spark, sf_dir):
     r = X.records(spark, sf_dir)
     blank = F.when(F.col("ord") % 2 == 0, F.lit("  "))
     return r.select("ord", TX.first_non_empty(blank, "title", "text").alias("picked"))
+
+
+@query("run_timestamp", "SELECT event_id, strftime(ts, '%Y%m%dT%H%M%SZ') AS stamp FROM events")
+def run_timestamp(spark, sf_dir):
+    """The run stamp of each event's instant (its wall clock is UTC)."""
+    instant = F.from_utc_timestamp(F.col("ts"), F.current_timezone())
+    return X.table(spark, sf_dir, "events").select("event_id", D.run_timestamp(instant).alias("stamp"))

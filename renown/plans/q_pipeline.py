@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from renown import params as P
-from renown.operators.summary import flat_summary
+from renown.operators.summary import flat_summary, reputation_summary
 from renown.plans import oracle as O
 from renown.plans.pipeline import run_pipeline
 from renown.plans.q_dedup import _EXCL, _FRAG
 from renown.plans.q_functions import _sql_clean, sql_language_code
 from renown.plans.q_normalize import _ALL_SELECT, _RAW
-from renown.plans.registry import query
+from renown.plans.registry import ORACLES, query
 from renown.session import scratch_path
 from renown.sources import fixtures as X
 from renown.sources import sinks as SK
@@ -117,3 +117,62 @@ def retention(spark, sf_dir):
     """Landing rows kept by a 14-day retention window as of 2024-01-31 (ingest day = event day)."""
     ev = X.table(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("ingest_date"))
     return SK.retained(ev, "2024-01-31", 14)
+
+
+_STEPS = _pipe_sql(SINCE, dedup=True, langs=LANGS).split("rw AS (SELECT lf.*")[0].rstrip().rstrip(",")
+_QUALITY = _STEPS.split("q AS (SELECT * FROM cl WHERE ")[1].split("AND (date IS NULL")[0]
+
+
+@query("run_counts", f"""{_STEPS}
+SELECT 'normalized' AS step, count(*) AS n FROM acc
+UNION ALL SELECT 'after_quality', count(*) FROM cl WHERE {_QUALITY}
+UNION ALL SELECT 'after_since', count(*) FROM q
+UNION ALL SELECT 'after_dedup', count(*) FROM ded
+UNION ALL SELECT 'enriched', count(*) FROM en
+UNION ALL SELECT 'with_language', count(language) FROM en
+UNION ALL SELECT 'with_sentiment', count(sentiment) FROM en
+UNION ALL SELECT 'after_language', count(*) FROM lf""")
+def run_counts(spark, sf_dir):
+    """Rows after each step of the whole run, counted beside its writes."""
+    res = run_pipeline(X.landed_raw(spark, sf_dir), since=SINCE, languages=LANGS, as_of=X.AS_OF)
+    return spark.createDataFrame(list(res.counts().items()), "step string, n long")
+
+
+@query("raw_landing", f"""WITH {_RAW.strip()}
+SELECT ord, source, query, target, DATE '2024-03-01' AS ingest_date FROM raw WHERE ord % 2 = 1""")
+def raw_landing(spark, sf_dir):
+    """Payloads landed on two days, after a purge that keeps 30 days as of 2024-03-10."""
+    path, raw = scratch_path(spark, "raw-landing"), X.landed_raw(spark, sf_dir)
+    SK.write_raw(raw.where("ord % 2 = 0"), path, ingest_date="2024-01-01")
+    SK.write_raw(raw.where("ord % 2 = 1"), path, ingest_date="2024-03-01")
+    SK.purge_raw(spark, path, as_of="2024-03-10", days=30)
+    return spark.read.parquet(path).select("ord", "source", "query", "target", "ingest_date")
+
+
+_NUMBERS = ("record_count, records_with_sentiment, sentiment_avg, sentiment_std, source_trust_avg, recency_score, "
+            "volume_score, reputation_score")
+
+
+@query("summary_sink", f"""SELECT entity, {_NUMBERS}, trend, strftime(date_from, '%Y-%m-%d') AS date_from,
+  strftime(date_to, '%Y-%m-%d') AS date_to FROM ({O.with_r(O.summary_sql("rw"))})""")
+def summary_sink(spark, sf_dir):
+    """Summaries written as JSON and read back."""
+    path = scratch_path(spark, "summary-json")
+    SK.write_summary_json(reputation_summary(X.records(spark, sf_dir), P.SummaryParams(as_of=X.AS_OF)), path)
+    fields = [f"{f.strip()} {'long' if 'record' in f else 'double'}" for f in _NUMBERS.split(",")]
+    back = spark.read.schema(", ".join(["entity string", *fields, "trend string",
+                                        "date_range struct<from: string, to: string>"])).json(path)
+    return back.withColumns({"date_from": F.col("date_range.from"), "date_to": F.col("date_range.to")}).drop("date_range")
+
+
+@query("sinks_isolated", ORACLES["sink_roundtrip_csv"])
+def sinks_isolated(spark, sf_dir):
+    """Records written by a sink that runs after one that fails (its folder exists already)."""
+    one, two = scratch_path(spark, "records-json"), scratch_path(spark, "records-csv")
+    done = SK.run_sinks(X.records(spark, sf_dir), {
+        "json": lambda df: SK.write_records_json(df, one),
+        "taken": lambda df: SK.write_records_json(df, one, mode="error"),
+        "csv": lambda df: SK.write_records_csv(df, two)})
+    if [name for name, error in done.items() if error] != ["taken"]:
+        raise RuntimeError(f"unexpected sink results: {done}")
+    return SK.read_records_csv(spark, two)

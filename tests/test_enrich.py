@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from renown.operators.enrich import (FoldedScorer, Scorer, analysis_text, enrich, fit_folded_scorer, fit_language_model,
+from renown.operators.enrich import (FoldedScorer, LexiconScorer, Scorer, WordListLanguage, analysis_text, enrich, fit_folded_scorer, fit_language_model,
                                      gram_buckets)
 
 
@@ -76,3 +76,25 @@ def test_a_fold_is_not_fitted_on_its_own_rows(spark):
     data = spark.createDataFrame(rows, "text string, label string, fold int")
     scored = fit_folded_scorer(data, 2).score(data.where("label <> 'neutral'"), "text")
     assert all((r.p_neg > r.p_pos) == (r.fold == 0) for r in scored.collect())
+
+
+def test_word_lists_plug_into_enrichment(spark):
+    rows = [(1, "the state of the art and more", None), (2, "der Hund und die Katze gut", None), (3, "zzzz qqqq zzzz qqqq xx", None),
+            (4, "the good one of the lot, not bad", "de"), (5, "", None), (6, None, None)]
+    records = spark.createDataFrame([(i, "", t, c, None) for i, t, c in rows],
+                                    "ord long, title string, text string, language string, sentiment double")
+    words = WordListLanguage({"en": frozenset({"the", "of"}), "de": frozenset({"der", "die"})})
+    scorer = LexiconScorer(frozenset({"good"}), frozenset({"not", "bad"}))
+    out, seen = enrich(records, words, scorer, observe=True)
+    got = {r.ord: (r.language, r.sentiment) for r in out.select("ord", "language", "sentiment").collect()}
+    assert got == {1: ("en", 0.0), 2: ("de", 0.0), 3: (None, 0.0), 4: ("de", round(1 / 3 - 2 / 3, 6)), 5: (None, None), 6: (None, None)}
+    assert seen.get == {"rows": 6, "with_language": 3, "with_sentiment": 4}
+    tie = spark.createDataFrame([("the die",), (None,)], "t string")
+    assert [r.l for r in words.predict(tie, "t", "l").collect()] == ["en", None]
+
+
+def test_run_timestamp(spark):
+    from renown.functions.dates import run_timestamp
+    row = spark.sql("SELECT timestamp '2026-04-09 12:00:00.9 UTC' AS t, CAST(NULL AS timestamp) AS n") \
+        .select(run_timestamp("t"), run_timestamp("n"), run_timestamp()).first()
+    assert row[:2] == ("20260409T120000Z", None) and len(row[2]) == 16

@@ -51,6 +51,11 @@ def held_out(c: Column, folds: int = 5) -> Column:
     return F.crc32(id_text(c)) % folds == 0
 
 
+def _first_ids(ids: DataFrame, n: int) -> DataFrame:
+    """The ``n`` ids with the smallest hashes."""
+    return ids.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+
+
 def _sample(docs: DataFrame, ids: DataFrame, n: int) -> list[np.ndarray]:
     """Hashed words of the ``n`` documents with the smallest id hashes among ``ids``."""
     def features(batches):
@@ -58,8 +63,7 @@ def _sample(docs: DataFrame, ids: DataFrame, n: int) -> list[np.ndarray]:
             yield pd.DataFrame({"f": [np.unique(np.array([*map(bucket, features_of(t))], "<i4")).tobytes()
                                       for t in pdf["text"]]})
 
-    chosen = ids.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)  # at most n ids
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("text").mapInPandas(features, "f binary").limit(n).collect()
+    rows = docs.join(F.broadcast(_first_ids(ids, n)), "doc_id").select("text").mapInPandas(features, "f binary").limit(n).collect()
     return [np.frombuffer(r.f, "<i4") for r in rows]
 
 
@@ -77,30 +81,39 @@ class _Buckets(dict):
         return value
 
 
-def document_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """In how many of all documents each feature bucket occurs, and the number of documents.
+def document_counts(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """Feature buckets (b) with n, in how many of all documents each occurs, and p, in how many with an id of ``marked``.
 
-    A task sends one number a bucket; the driver gets ``BUCKETS`` numbers at most.
+    A task sends two numbers a bucket.  ``marked`` is bounded and sent to all tasks.
     """
     def count(batches):
-        found, known, n = np.zeros(BUCKETS, "<i8"), _Buckets(), 0
+        found, known = np.zeros((2, BUCKETS), "<i8"), _Buckets()
         for pdf in batches:
-            for text in pdf["text"]:
+            for text, mark in zip(pdf["text"], pdf["marked"]):
                 mine = set()
                 for word in set(_WORD.findall((text or "").lower())):
                     mine.update(known[word])
-                found[np.fromiter(mine, "<i8", len(mine))] += 1
-            n += len(pdf)
-        used = np.flatnonzero(found)
-        yield pd.DataFrame({"b": np.append(used, -1), "n": np.append(found[used], n)})
+                at = np.fromiter(mine, "<i8", len(mine))
+                found[0, at] += 1
+                if mark:
+                    found[1, at] += 1
+        used = np.flatnonzero(found[0])
+        yield pd.DataFrame({"b": used, "n": found[0, used], "p": found[1, used]})
+
+    ids = marked.select(F.col("doc_id").alias("of"))
+    rows = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("of"), "left")
+    return (rows.select("text", F.col("of").isNotNull().alias("marked")).mapInPandas(count, "b long, n long, p long")
+            .groupBy("b").agg(F.sum("n").alias("n"), F.sum("p").alias("p")))
 
-    rows = (docs.select("text").mapInPandas(count, "b long, n long").groupBy("b").agg(F.sum("n").alias("n"))
-            .toPandas())
-    rows = dict(zip(rows["b"].tolist(), rows["n"].tolist()))
-    total = rows.pop(-1, 0)
-    counts = np.zeros(BUCKETS)
-    counts[list(rows)] = list(rows.values())
-    return counts, total
+
+def telling_features(docs: DataFrame, marked: DataFrame, features: int = 2048) -> list[int]:
+    """The buckets whose share among the documents of ``marked`` differs most from that among all documents."""
+    rows, some = docs.count(), docs.join(F.broadcast(marked), "doc_id").count()
+    if not some:
+        return []
+    share = F.col("n") / rows
+    gain = F.abs(F.col("p") / some - share) / F.sqrt(share + 1 / some)  # no share of p is finer than 1 / some
+    return [r.b for r in document_counts(docs, marked).orderBy(gain.desc(), "b").limit(features).collect()]
 
 
 class Model:
@@ -128,18 +141,13 @@ class _Known(dict):
         return value
 
 
-def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, share: np.ndarray,
-           features: int = 2048, steps: int = 250, rate: float = 0.1, decay: float = 2e-4) -> Model:
-    """Non-negative PU risk, logistic loss, Adam; the ``features`` words that differ most are used.
-
-    ``share`` is each bucket's share of the documents of the corpus.
-    """
+def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, used: list[int],
+           steps: int = 250, rate: float = 0.1, decay: float = 2e-4) -> Model:
+    """Non-negative PU risk, logistic loss, Adam, over the buckets ``used``."""
     if not positive or not unlabelled or prior <= 0:
         return Model({}, -30.0)
 
-    p = np.bincount(np.concatenate(positive), minlength=BUCKETS) / len(positive)
-    gain = (p - share) / np.sqrt(share + 1 / len(positive))  # p is no finer than that
-    used = np.sort(np.argsort(-np.abs(gain), kind="stable")[:features])
+    used = np.sort(np.array(used, np.int64))
     place = np.full(BUCKETS, -1)
     place[used] = np.arange(len(used))
 
@@ -177,16 +185,16 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = 4
           unlabelled: int = 12000) -> Model:
     """Fit from training-fold labels; the class prior is the toxic share among them.
 
-    Feature counts cover the whole of ``docs``; only the fit's rows are bounded.
+    Features are chosen by counts over the whole of ``docs``; the confirmed and unlabelled rows are bounded.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     marks = (labels.filter(~held_out(F.col("doc_id"), folds) & F.col("toxic").isNotNull())
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic")))
     stats = marks.agg(F.avg("toxic").alias("prior")).first()
     ids = docs.select("doc_id").filter(~held_out(F.col("doc_id"), folds))
-    counts, total = document_counts(docs)
-    return fit_pu(_sample(docs, marks.filter("toxic = 1").select("doc_id"), positives),
-                  _sample(docs, ids, unlabelled), float(stats.prior or 0.0), counts / max(total, 1))
+    toxic = marks.filter("toxic = 1").select("doc_id")
+    return fit_pu(_sample(docs, toxic, positives), _sample(docs, ids, unlabelled), float(stats.prior or 0.0),
+                  telling_features(docs, _first_ids(toxic, positives)))
 
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:

@@ -97,10 +97,15 @@ def test_toxicity(spark, docs, empty):
     assert all(r.held_out == (zlib.crc32(str("" if r.doc_id is None else r.doc_id).encode()) % 5 == 0) for r in out)
     judged = [r.predicted == int(r.doc_id % 5 == 0) for r in out if r.doc_id is not None and r.held_out]
     assert sum(judged) / len(judged) > 0.95
-    counts, total = toxicity.document_counts(docs)
-    want = Counter(b for t in docs.select("text").collect() for b in set(map(toxicity.bucket, toxicity.features_of(t.text))))
-    assert total == docs.count() and {i: int(n) for i, n in enumerate(counts) if n} == want
-    assert toxicity.document_counts(empty)[1] == 0
+    marked = spark.createDataFrame([(4,), (3,), (None,)], "doc_id long")
+    got = {r.b: (r.n, r.p) for r in toxicity.document_counts(docs, marked).collect()}
+    each = [(i, set(map(toxicity.bucket, toxicity.features_of(t)))) for i, t in docs.select("doc_id", "text").collect()]
+    count, mine = Counter(b for _, f in each for b in f), Counter(b for i, f in each if i in (3, 4) for b in f)
+    assert got == {b: (n, mine[b]) for b, n in count.items()}
+    some = sum(i in (3, 4) for i, _ in each)
+    gain = {b: abs(mine[b] / some - n / len(each)) / math.sqrt(n / len(each) + 1 / some) for b, n in count.items()}
+    assert sorted(gain[b] for b in toxicity.telling_features(docs, marked, 5)) == pytest.approx(sorted(gain.values())[-5:])
+    assert toxicity.telling_features(empty, marked) == toxicity.telling_features(docs, marked.limit(0)) == []
     none = toxicity.train(empty, labels.limit(0))
     assert [r.predicted for r in toxicity.score_documents(docs, none).select("predicted").distinct().collect()] == [0]
 

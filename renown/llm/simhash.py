@@ -4,9 +4,9 @@ Two 64-bit fingerprints that differ in at most ``max_bits`` (4) bits agree
 in at least four of their eight bytes.  Every fingerprint is posted under
 each choice of four byte positions with its bytes there, so a pair meets
 in every list for which it shares all four; within a list the shared
-positional bytes of a pair are tallied, and a pair is worked on only in
-the list of its first four shared positions.  Pairs that reach the
-guaranteed count are verified by their differing bits.
+positional bytes of every pair are tallied first, and a pair that reaches
+the guaranteed count is a candidate only in the list of its first four
+shared positions.  Candidates are verified by their differing bits.
 
 Lists with more than ``block`` fingerprints are dealt into blocks, and a
 task gets two blocks at a time, so no list has to fit one task and no pair
@@ -72,18 +72,22 @@ def fingerprints(docs: DataFrame, words_each: int = 4) -> DataFrame:
     return rows.mapInPandas(run, "doc_id long, k1 long, k2 long, fp long")
 
 
-def _shared_from(a: np.ndarray, b: np.ndarray, positions: tuple[int, ...], need: int) -> np.ndarray:
-    """Whether each pair shares at least ``need`` positional bytes, the first ``need`` of them at ``positions``."""
-    x = a ^ b
-    same = np.stack([(x >> np.uint64(8 * p)) & np.uint64(255) == 0 for p in range(BYTES)])
-    tally = np.cumsum(same, axis=0)
-    return (tally[-1] >= need) & same[list(positions)].all(axis=0) & (tally[positions[-1]] == need)
+_LOW7, _HIGH = np.uint64(0x7F7F7F7F7F7F7F7F), np.uint64(0x8080808080808080)
 
 
-def _forest(left: np.ndarray, right: np.ndarray | None, positions, need: int, max_bits: int):
+def _candidates(x: np.ndarray, positions: tuple[int, ...], need: int) -> np.ndarray:
+    """Which XORs of pairs share at least ``need`` positional bytes, the first ``need`` of them at ``positions``."""
+    differ = (((x & _LOW7) + _LOW7) | x) & _HIGH  # the high bit of each byte that differs
+    enough = BYTES - np.bitwise_count(differ) >= need
+    here = sum(0x80 << 8 * p for p in positions)
+    before = sum(0x80 << 8 * p for p in range(positions[-1]) if p not in positions)
+    return enough & (differ & np.uint64(here | before) == np.uint64(before))
+
+
+def _forest(left: np.ndarray, right: np.ndarray | None, positions, need: int, max_bits: int, cells: int = 1 << 18):
     """Links (u, v) of a spanning forest of the verified pairs within ``left`` or between two blocks."""
-    nodes = left if right is None else np.concatenate([left, right])
-    root = np.arange(len(nodes))
+    other, shift = (left, 0) if right is None else (right, len(left))
+    root = np.arange(len(other) + shift)
 
     def find(i):
         while root[i] != i:
@@ -91,20 +95,19 @@ def _forest(left: np.ndarray, right: np.ndarray | None, positions, need: int, ma
             i = root[i]
         return i
 
-    out, other, shift = [], (left if right is None else right), 0 if right is None else len(left)
-    for i, f in enumerate(left):
-        j = np.arange(i + 1 if right is None else 0, len(other))
-        if not len(j):
-            continue
-        near = np.bitwise_count(other[j] ^ f) <= max_bits
-        j = j[near]
-        if len(j):
-            j = j[_shared_from(np.full(len(j), f), other[j], positions, need)]
-        for k in j:
-            a, b = find(i), find(k + shift)
+    out, step = [], max(1, cells // max(1, len(other)))
+    for at in range(0, len(left), step):
+        x = left[at:at + step, None] ^ other[None, :]
+        tallied = _candidates(x, positions, need)
+        if right is None:
+            tallied &= np.arange(at, at + len(x))[:, None] < np.arange(len(other))
+        i, j = np.nonzero(tallied)
+        near = np.bitwise_count(x[i, j]) <= max_bits
+        for i, j in zip((i[near] + at).tolist(), j[near].tolist()):
+            a, b = find(i), find(j + shift)
             if a != b:
                 root[max(a, b)] = min(a, b)
-                out.append((int(f), int(other[k])))
+                out.append((int(left[i]), int(other[j])))
     return out
 
 
@@ -118,7 +121,8 @@ def links(prints: DataFrame, max_bits: int = 4, block: int = 2048) -> DataFrame:
     def value(c):
         return F.expr(" | ".join(f"(shiftright(fp, {8 * p}) & 255L) << {8 * i}" for i, p in enumerate(c)))
 
-    lists = prints.select("fp", F.posexplode(F.array(*[value(c) for c in choices])).alias("choice", "bytes"))
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lists = prints.repartition(parts, "fp").select("fp", F.posexplode(F.array(*[value(c) for c in choices])).alias("choice", "bytes"))
     long = materialize(lists.groupBy("choice", "bytes").agg(F.count("*").alias("n")).filter(F.col("n") > block),
                        "simhash-long")
     blocks = F.coalesce(F.ceil(F.col("n") / block), F.lit(1)).cast("int")
@@ -129,32 +133,36 @@ def links(prints: DataFrame, max_bits: int = 4, block: int = 2048) -> DataFrame:
               .select("choice", "bytes", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),
                       "mine", "fp"))
 
-    def verify(batches):
-        """Rows come sorted by list and block pair."""
-        key, held = None, []
+    keys = ["choice", "bytes", "lo", "hi"]
 
-        def done():
-            if key is None or len(held) < 2:
-                return []
-            mine, fp = np.array([h[0] for h in held]), np.array([h[1] for h in held], np.int64).view(np.uint64)
-            if key[2] == key[3]:
-                return _forest(fp, None, choices[key[0]], need, max_bits)
-            return _forest(fp[mine == key[2]], fp[mine == key[3]], choices[key[0]], need, max_bits)
+    def joined(choice, lo, hi, mine, fp):
+        if lo == hi:
+            return _forest(fp, None, choices[choice], need, max_bits)
+        return _forest(fp[mine == lo], fp[mine == hi], choices[choice], need, max_bits)
 
+    def verify(batches):
+        """Rows come sorted by list and block pair; the last list of a batch waits for the next one."""
+        held = None
         for pdf in batches:
-            out = []
-            for *k, mine, fp in pdf.itertuples(index=False, name=None):
-                if k != key:
-                    out += done()
-                    key, held = k, []
-                held.append((mine, fp))
-            yield _pairs(out)
-        yield _pairs(done())
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            key = pdf[keys].to_numpy(np.int64)
+            starts = np.append(0, np.nonzero((key[1:] != key[:-1]).any(axis=1))[0] + 1) if len(pdf) else np.zeros(1, int)
+            held = pdf.iloc[starts[-1]:]
+            yield _pairs(lists_of(pdf, key, starts))
+        if held is not None and len(held) > 1:
+            yield _pairs(lists_of(held, held[keys].to_numpy(np.int64), np.array([0, len(held)])))
+
+    def lists_of(pdf, key, starts):
+        mine, fp, out = pdf["mine"].to_numpy(), pdf["fp"].to_numpy(np.int64).view(np.uint64), []
+        several = np.nonzero(np.diff(starts) > 1)[0]
+        for a, b in zip(starts[several].tolist(), starts[several + 1].tolist()):
+            choice, _, lo, hi = key[a].tolist()
+            out += joined(choice, lo, hi, mine[a:b], fp[a:b])
+        return out
 
     def _pairs(rows):
         return pd.DataFrame(np.array(rows, np.uint64).view(np.int64).reshape(-1, 2), columns=["u", "v"])
 
-    keys = ["choice", "bytes", "lo", "hi"]
     return (posted.repartition(*keys).sortWithinPartitions(*keys)
             .select(*keys, "mine", "fp").mapInPandas(verify, "u long, v long"))
 

@@ -1,6 +1,7 @@
 """The training-data operators against brute force on small fixtures and odd rows."""
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -124,6 +125,30 @@ def test_simhash(docs, empty):
     assert simhash.fingerprint(simhash.shingle_hashes("", 4)) == 0
 
 
+def test_pairs_are_tallied_once_by_their_shared_bytes():
+    r = np.random.default_rng(1)
+    base, few = r.integers(0, 1 << 63, 5, dtype=np.uint64), set()
+    for _ in range(300):
+        bits = r.integers(0, 64, r.integers(0, 7)).tolist()
+        few.add(int(base[r.integers(5)]) ^ sum(1 << b for b in set(bits)))
+    f = np.array(sorted(few), np.uint64)
+    x = f[:, None] ^ f[None, :]
+    shared = sum((x >> np.uint64(8 * p)) & np.uint64(255) == 0 for p in range(8)).astype(int)
+    lists = sum(simhash._candidates(x, c, 4).astype(int) for c in itertools.combinations(range(8), 4))
+    assert (lists == (shared >= 4)).all() and (shared[np.bitwise_count(x) <= 4] >= 4).all()
+    pairs = {tuple(sorted(p)) for c in itertools.combinations(range(8), 4) for p in simhash._forest(f, None, c, 4, 4, cells=999)}
+    near = {(int(f[i]), int(f[j])) for i, j in zip(*np.nonzero(np.bitwise_count(x) <= 4)) if i < j}
+    assert pairs <= near
+
+    def parts(edges):
+        least = {int(v): int(v) for v in f}
+        for _ in f:
+            for a, b in edges:
+                least[a] = least[b] = min(least[a], least[b])
+        return least
+    assert parts(pairs) == parts(near)
+
+
 def test_long_lists_are_dealt_into_blocks(spark):
     near = [(0x0123456789ABCDEF ^ (1 << i) ^ (1 << j)) for i in range(16) for j in range(i)]
     prints = spark.createDataFrame([(x,) for x in near], "fp long")

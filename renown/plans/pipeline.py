@@ -79,16 +79,14 @@ def run_pipeline(raw: DataFrame, since: str | None = None, languages: tuple[str,
     return RunResult(recs, summary, counters, rejects(norm))
 
 
-def run_from_responses(responses: DataFrame, params: P.RunParams, redirects: DataFrame | None = None,
-                       language_model: LanguageModel | None = None, scorer: Scorer | None = None) -> RunResult:
-    """A whole run from landed responses of any source, driven by ``RunParams``.
+def scan_selected(responses: DataFrame, params: P.RunParams,
+                  redirects: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(ordered raw rows, rejected responses) of what ``params`` selects of the landed responses.
 
     Source selection (empty = every source except the opt-in ones; the
     filter prunes a source-partitioned landing table), the scans of
-    ``sources.mixed`` with ``max_results`` (1 in a dry run), deterministic
-    ``ord`` from the (source, query) task order, then ``run_pipeline``.
-    ``redirects`` (link, final_url) resolves feed links.  Unreadable and error
-    responses and halves of talk pages join the rejects.
+    ``sources.mixed`` with ``max_results`` (1 in a dry run) and deterministic
+    ``ord`` from the (source, query) task order.
     """
     from renown.sources.landed import SCAN_RULES, require_distinct_responses, with_order
     from renown.sources.mixed import scan_run
@@ -100,7 +98,18 @@ def run_from_responses(responses: DataFrame, params: P.RunParams, redirects: Dat
     raw, bad = scan_run(resp, list(params.queries), params.effective_max_results, slice_all=params.dry_run,
                         redirects=redirects, as_of=params.as_of, max_videos=params.max_videos,
                         languages=params.page_languages)
-    raw = with_order(raw, list(params.queries), sources=tuple(dict.fromkeys([*P.SOURCE_ORDER, *SCAN_RULES])))
+    return with_order(raw, list(params.queries), sources=tuple(dict.fromkeys([*P.SOURCE_ORDER, *SCAN_RULES]))), bad
+
+
+def run_from_responses(responses: DataFrame, params: P.RunParams, redirects: DataFrame | None = None,
+                       language_model: LanguageModel | None = None, scorer: Scorer | None = None) -> RunResult:
+    """A whole run from landed responses of any source, driven by ``RunParams``.
+
+    ``scan_selected``, then ``run_pipeline``.  ``redirects`` (link, final_url)
+    resolves feed links.  Unreadable and error responses and halves of talk
+    pages join the rejects.
+    """
+    raw, bad = scan_selected(responses, params, redirects)
     res = run_pipeline(raw, since=params.since, languages=params.languages, as_of=params.as_of,
                        language_model=language_model, scorer=scorer)
     res.rejects = res.rejects.unionByName(bad, allowMissingColumns=True)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from renown import params as P
 from renown.plans import oracle as O
+from renown.plans.pipeline import scan_selected
 from renown.plans.q_sources import _PP, _rss_feeds
 from renown.plans.q_talk import _TALK_SQL, _talk_pages
 from renown.plans.registry import query
@@ -19,6 +20,7 @@ from renown.sources import mixed as M
 QUERIES = ("the war", "und der", "xyzzy qq")
 MAX_RESULTS, MAX_VIDEOS, AS_OF = 5, 3, "2024-01-20"
 JSON_SOURCES = tuple(L.SCAN_RULES)
+PICKED = ("stackexchange", "hackernews", "nyt", "bbc", "lemmy", "gnews_it")
 
 
 def _pick(names, number) -> Column:
@@ -143,7 +145,10 @@ _TALK_CTES = _TALK_SQL.split("SELECT doc_id, CAST(i AS VARCHAR) AS section_index
 _RSS_TERMS = "CASE source WHEN 'bbc' THEN 2 ELSE 1 END"
 _TASK_SQL = f"list_position({list(P.SOURCE_ORDER)}, source) * 3 - 4 + list_position({_Q}, query)"
 
-_RUN_SQL = f"""WITH RECURSIVE {_PP.strip()},
+def _run_sql(most: int, dry: bool = False) -> str:
+    """The run's rows with ``most`` results a task; a dry run slices every source."""
+    sliced = "true" if dry else "source = 'nyt'"
+    return f"""WITH RECURSIVE {_PP.strip()},
 j AS (SELECT page_id, page_id // 10 AS seq, url, ({list(JSON_SOURCES)})[(page_id // 10) % 12 + 1] AS source,
              {_Q}[(page_id // 10) % 3 + 1] AS query, row_number() OVER (PARTITION BY page_id // 10 ORDER BY page_id) AS position FROM pages),
 views AS (SELECT day, user_id, count(*) AS n FROM (SELECT CAST(ts AS DATE) AS day, user_id FROM events) GROUP BY ALL),
@@ -152,7 +157,7 @@ j1 AS (SELECT *, CASE WHEN page_id % 6 = 0 THEN '' WHEN source = 'youtube' THEN
 json_rows AS (SELECT source, query, 'Entity' AS target, seq, position, key,
     CASE WHEN source = 'youtube' THEN CAST(l.n AS VARCHAR) WHEN source IN {tuple(_RANKED)} THEN CAST(position AS VARCHAR) END AS extra
   FROM j1 LEFT JOIN latest l ON source = 'youtube' AND l.video_id = key
-  WHERE seq % 11 <> 5 AND (source NOT IN {tuple(_URL_NEEDED)} OR key <> '') AND (source <> 'nyt' OR position <= {MAX_RESULTS})),
+  WHERE seq % 11 <> 5 AND (source NOT IN {tuple(_URL_NEEDED)} OR key <> '') AND (NOT ({sliced}) OR position <= {most})),
 it AS (SELECT page_id, page_id // 10 AS seq, ({list(M.FEEDS)})[(page_id // 10) % 3 + 1] AS source, {_Q}[(page_id // 30) % 3 + 1] AS query,
     nullif({O.sql_strip('title_html')}, '') AS title, nullif(split_part(url, '?', 1), '') AS link,
     strftime(CAST(DATE '2024-01-01' + CAST((page_id * 37) % 400 AS INTEGER) AS DATE), '%a, %d %b %Y') || ' 08:00:00 GMT' AS pubDate,
@@ -167,11 +172,11 @@ red AS (SELECT split_part(url, '?', 1) AS link, min(CASE WHEN page_id % 9 = 0 TH
 gn AS (SELECT it.*, row_number() OVER (PARTITION BY seq ORDER BY page_id) AS position,
     CASE WHEN coalesce(final_url, '') <> '' AND final_url NOT LIKE 'https://consent.google.com/%' THEN final_url ELSE it.link END AS to_link
   FROM it LEFT JOIN red ON red.link = it.link WHERE source = 'gnews_it'),
-feed_rows AS (SELECT source, query, 'Entity' AS target, 0 AS seq, position, link AS key, pubDate AS extra FROM top WHERE position <= {MAX_RESULTS}
-  UNION ALL SELECT source, query, 'Entity', seq, position, to_link, pubDate FROM gn WHERE position <= {MAX_RESULTS}),
+feed_rows AS (SELECT source, query, 'Entity' AS target, 0 AS seq, position, link AS key, pubDate AS extra FROM top WHERE position <= {most}
+  UNION ALL SELECT source, query, 'Entity', seq, position, to_link, pubDate FROM gn WHERE position <= {most}),
 {_TALK_CTES},
 sec AS (SELECT k.*, doc_id // 3 AS ent, doc_id % 3 AS q, CASE WHEN doc_id % 2 = 1 THEN 'PAGE_' ELSE 'Page_' END || doc_id // 3 AS page
-  FROM k WHERE doc_id % 17 <> 3 AND doc_id % 13 <> 5 AND kn <= {MAX_RESULTS}),
+  FROM k WHERE doc_id % 17 <> 3 AND doc_id % 13 <> 5 AND kn <= {most}),
 own AS (SELECT ent, lang, min(q) AS q FROM sec GROUP BY ALL),
 talk_rows AS (SELECT 'wikitalk' AS source, {_Q}[sec.q + 1] AS query, 'Entity ' || sec.ent AS target, 0 AS seq, kn AS position,
     'https://' || sec.lang || '.wikipedia.org/wiki/Talk:' || page || '#Section_' || i AS key, CAST(length(clean) AS VARCHAR) AS extra
@@ -181,9 +186,9 @@ vid AS (SELECT conv_id, conv_id % 3 AS q, conv_id // 12 AS ent, row_number() OVE
 com AS (SELECT v.*, c.turn, length(c.text) AS replies, row_number() OVER (PARTITION BY c.conv_id ORDER BY c.turn) AS pos
   FROM vid v JOIN conversations c ON c.conv_id = v.conv_id AND c.turn > 0
   WHERE place <= {MAX_VIDEOS} AND v.conv_id % 11 <> 0 AND v.conv_id % 5 <> 4),
-com1 AS (SELECT *, row_number() OVER (PARTITION BY q, ent ORDER BY place, pos) AS position FROM com WHERE pos <= greatest(1, {MAX_RESULTS} // n)),
+com1 AS (SELECT *, row_number() OVER (PARTITION BY q, ent ORDER BY place, pos) AS position FROM com WHERE pos <= greatest(1, {most} // n)),
 comment_rows AS (SELECT 'youtube_comments' AS source, {_Q}[q + 1] AS query, 'Entity ' || ent AS target, 0 AS seq, position,
-    'v' || conv_id || ':c' || turn AS key, CAST(replies AS VARCHAR) AS extra FROM com1 WHERE position <= {MAX_RESULTS}),
+    'v' || conv_id || ':c' || turn AS key, CAST(replies AS VARCHAR) AS extra FROM com1 WHERE position <= {most}),
 wp AS (SELECT page_id, page_id // 6 AS ent, (page_id // 2) % 3 AS q, page_id % 2 AS place, CASE WHEN page_id % 11 = 0 THEN NULL ELSE
     CASE WHEN page_id % 2 = 0 THEN 'it:t' ELSE 'en:t' END || (page_id * 7 + page_id // 2) % 2 END AS key, page_id % 5 <> 0 AS there FROM pages),
 task AS (SELECT ent, q, max(key) FILTER (place = 0) AS k0, bool_or(there) FILTER (place = 0) AS e0, max(page_id) FILTER (place = 0) AS p0,
@@ -201,10 +206,13 @@ every AS (SELECT * FROM json_rows UNION ALL SELECT * FROM feed_rows UNION ALL SE
 SELECT source, query, target, CAST({_TASK_SQL} AS BIGINT) AS task, CAST(seq AS BIGINT) AS seq, CAST(position AS BIGINT) AS position, key, extra FROM every"""
 
 
-@query("landed_run", _RUN_SQL)
+@query("landed_run", _run_sql(MAX_RESULTS))
 def landed_run(spark, sf_dir):
     """Raw rows of a run over all 18 sources: JSON envelopes, statistics, feeds, talk pages, comments, encyclopedia."""
-    raw = L.with_order(_scan(spark, sf_dir)[0], list(QUERIES))
+    return _shown(L.with_order(_scan(spark, sf_dir)[0], list(QUERIES)))
+
+
+def _shown(raw):
     p, src = F.try_parse_json("payload"), F.col("source")
 
     def get(path):
@@ -221,6 +229,23 @@ def landed_run(spark, sf_dir):
                       F.col("ord.pos").alias("position"), key.alias("key"), extra.alias("extra"))
 
 
+@query("landed_dry_run", f"""SELECT * FROM ({_run_sql(1, dry=True)})
+WHERE target = 'Entity' AND source NOT IN {tuple(sorted(P.OPT_IN_SOURCES))}""")
+def landed_dry_run(spark, sf_dir):
+    """Raw rows of a dry run of one target over the default sources: one result of every response or task."""
+    params = P.RunParams(target="Entity", queries=QUERIES, dry_run=True, as_of=AS_OF, max_videos=MAX_VIDEOS)
+    return _shown(scan_selected(_responses(spark, sf_dir), params, _redirects(spark, sf_dir))[0])
+
+
+@query("landed_picked_sources", f"""SELECT * FROM ({_run_sql(MAX_RESULTS)})
+WHERE target = 'Entity' AND source IN {PICKED} AND query IN {QUERIES[1:]}""".replace(
+    _TASK_SQL, f"list_position({list(P.SOURCE_ORDER)}, source) * 2 - 3 + list_position({list(QUERIES[1:])}, query)"))
+def landed_picked_sources(spark, sf_dir):
+    """Raw rows of a run of one target and two queries over sources asked for by name, opt-in ones among them."""
+    params = P.RunParams(target="Entity", queries=QUERIES[1:], sources=PICKED, max_results=MAX_RESULTS, as_of=AS_OF)
+    return _shown(scan_selected(_responses(spark, sf_dir), params, _redirects(spark, sf_dir))[0])
+
+
 @query("landed_run_rejects", f"""WITH r AS (
   SELECT ({list(JSON_SOURCES)})[seq % 12 + 1] AS source, {_Q}[seq % 3 + 1] AS query, 'Entity' AS target, 'invalid_response' AS reject_reason
   FROM (SELECT DISTINCT page_id // 10 AS seq FROM pages) WHERE seq % 11 = 5

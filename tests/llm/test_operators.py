@@ -90,6 +90,63 @@ def test_order_minhash(docs, empty):
     assert order_minhash.likeness(one, order_minhash.sketch(PASSAGE + " end")) > order_minhash.likeness(one, order_minhash.sketch(swapped))
 
 
+def plain_sketch(text, k=8, sketches=32, size=2):
+    """The sketch in Python integers over every k-mer, nothing left out beforehand."""
+    full = (1 << 64) - 1
+
+    def mix(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & full
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & full
+        return x ^ x >> 31
+
+    if not text:
+        return [0] * sketches
+    seen, bins = Counter(), [[] for _ in range(sketches)]
+    for place in range(max(1, len(text) - k + 1)):
+        h = 0
+        for c in text[place:place + k]:
+            h = (h * 0x100000001B3 + ord(c) + 1) & full
+        h = mix(h)
+        rank = mix((h + seen[h] * 0x9E3779B97F4A7C15) & full)
+        seen[h] += 1
+        bins[rank % sketches].append((rank, place, h))
+    chains = []
+    for b in bins:
+        least = sorted(sorted(b)[:size], key=lambda x: x[1])
+        chain = len(least)
+        for i in range(size):
+            chain = mix((chain * 0x9E3779B97F4A7C15 + (least[i][2] if i < len(least) else 0)) & full)
+        chains.append(chain if least else None)
+    out = []
+    for i in range(sketches):
+        ahead = next(d for d in range(sketches) if chains[(i + d) % sketches] is not None)
+        chain = chains[(i + ahead) % sketches]
+        out.append((mix((chain + ahead * 0x9E3779B97F4A7C15) & full) if ahead else chain) >> 32 | 1)
+    return out
+
+
+def test_sketches_of_short_and_long_texts():
+    r = np.random.default_rng(5)
+    words = [f"w{i * 37 % 1009}" for i in range(1009)]
+    long = " ".join(words[i] for i in r.integers(0, 1009, 4000))
+    for text in ["", "a", "short", "exactly8", "a" * 40, "ab" * 9000, PASSAGE, "\U0001F600\u00e9" * 30, long, "z" * 9000 + long]:
+        assert order_minhash.sketch(text).tolist() == plain_sketch(text), text[:20]
+    assert len(long) > 4 * 16 * 32 * 2  # the bound on ranks is in use
+
+
+def test_edited_pairs_against_a_loop(docs):
+    """Rows by descending id, null ids last, each against the next one; the last against the first."""
+    rows = sorted(texts(docs), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    want = []
+    for (i, t), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        edited = t[:len(t) - len(t) // 3] + after[:len(t) // 3]
+        one, two, three = plain_sketch(t), plain_sketch(edited), plain_sketch(after)
+        near = [sum(x == y for x, y in zip(one, other)) / 32 for other in (two, three)]
+        want.append((str(i), len(t), hashlib.sha256(edited.encode()).hexdigest(), "".join(f"{x:08x}" for x in one),
+                     "".join(f"{x:08x}" for x in two), *near))
+    assert sorted((str(r.doc_id), *r[1:]) for r in order_minhash.edited_pairs(docs).collect()) == sorted(want)
+
+
 def test_toxicity(spark, docs, empty):
     rows = [(i, f"plain{i % 50} words{i % 7} here " + ("horrid nasty" if i % 5 == 0 else "")) for i in range(400)] + [(None, None)]
     data = spark.createDataFrame(rows, "doc_id long, text string")
@@ -343,6 +400,59 @@ def test_plan_is_near_the_lower_bound():
     assert sum(x[2] for x in plan.runs) == 20_000
 
 
+def test_whole_pipeline(spark, tmp_path):
+    """All five stages through run(): toxic rows, copies and leaked passages go, addresses are blotted out, the rest is packed."""
+    from tokenizers import Tokenizer
+    r = np.random.default_rng(7)
+    rows = [(i, " ".join(f"plain{x}" for x in r.integers(0, 900, 60)) + (" horrid nasty vile" if i % 5 == 0 else ""),
+             "en", "s", 1) for i in range(300)]
+    mail = "write to bob.smith@mail.example.com about the plan " + rows[1][1]
+    clean = rows[3][1]
+    rows += [(1000, clean, "en", "s", 1), (1001, PASSAGE + " " + rows[7][1], "en", "s", 1), (1002, mail, "en", "s", 1),
+             (1003, None, None, None, None), (1004, "", "en", "s", 0), (None, rows[4][1], "en", "s", 1), (1003, None, None, None, None)]
+    data = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(3)
+    data.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(300)], "doc_id long, quality int, toxic int"
+                          ).write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([("leak", PASSAGE), (None, None)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    kept = [(i, t) for i, t, *_ in rows if i is None or i >= 1000 or i % 5]      # toxicity
+    marks = [int(simhash.fingerprint(simhash.shingle_hashes(t, 4))) for _, t in kept]
+    part = list(range(len(kept)))
+    for a, b in itertools.combinations(range(len(kept)), 2):
+        if (marks[a] ^ marks[b]).bit_count() <= 4:
+            old, new = max(part[a], part[b]), min(part[a], part[b])
+            part = [new if x == old else x for x in part]
+    groups = {}
+    for (i, t), g in zip(kept, part):
+        groups.setdefault(g, []).append((i is None, i or 0, i, t))
+    kept = [min(g, key=lambda x: x[:2])[2:] for g in groups.values()]             # near-duplicates
+    kept = [(i, t) for i, t in kept if i != 1001]                                 # decontamination
+    assert {1000, 1001, None, 1004} & {i for i, _ in kept} == set() and {3, 1002, 1003} <= {i for i, _ in kept}
+    tok = Tokenizer.from_file(tokenizer_path())
+    length = {i: len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in kept}
+
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {x.doc_id for x in out} == set(length)
+    got = {i: sum(x.length for x in out if x.doc_id == i) for i in length}
+    assert {i for i in length if got[i] != length[i]} == {1002}                   # personal data
+    places = {}
+    for x in out:
+        places.setdefault(x.sequence_id, []).append((x.offset, x.length))
+    for spans in places.values():
+        ends = [0, *[a + n for a, n in sorted(spans)]]
+        assert [a for a, _ in sorted(spans)] == ends[:-1] and ends[-1] <= 2048
+    large = sum(n > 2048 // 9 for n in got.values())  # of these at most eight fit
+    assert large > 200 and len(places) == -(-large // 8)
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    for name, columns in (("documents", "doc_id long, text string, lang string, source string, n_chars int"),
+                          ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id string, text string")):
+        spark.createDataFrame([], columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     spark.createDataFrame([(12, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, TEXTS[12])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")

@@ -9,6 +9,8 @@ from renown.session import materialize
 
 #: A written table of at most this many rows (of a few bytes each) may be broadcast.
 BROADCAST_ROWS = 200_000
+#: One whose rows hold texts or arrays may be if they come to at most this many bytes.
+BROADCAST_BYTES = 16 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -37,6 +39,15 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def weighed(df: DataFrame, width: Column, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` (a written table) with a broadcast hint if its rows, 32 bytes and ``width`` each, hold at most ``most`` bytes.
+
+    Above the bound both sides are shuffled, however small the files are.
+    """
+    held = df.agg(F.sum(F.coalesce(width, F.lit(0)).cast("long") + 32)).first()[0] or 0
+    return F.broadcast(df) if held <= most else df.hint("merge")
+
+
 def most_frequent(counts: DataFrame, k: int, *ties: str) -> DataFrame:
     """The ``k`` rows of the written table ``counts`` with the largest ``n``, ties by columns ``ties``.
 

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from renown.llm.common import ascii_lower, doc_key, sized, without, words_of
+from renown.llm.common import ascii_lower, doc_key, sized, weighed, without, words_of
 from renown.session import materialize
 
 # Fixed value: what is between words, after lower-casing.
@@ -114,7 +114,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, shing
     base = docs.select(*doc_key(), F.col("doc_id").cast("long"),
                        F.size(words_column(F.col("text"))).cast("long").alias("n_words"))
     hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return base.join(sized(found, 50_000), ["k1", "k2"], "left").select(
+    found = weighed(found, F.octet_length(F.array_join("items", ",")) + 32 * F.size("items"))
+    return base.join(found, ["k1", "k2"], "left").select(
         "doc_id", "n_words", hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         (hit > 0).alias("contaminated"))
 

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from renown.llm.common import sized
+from renown.llm.common import sized, weighed
 from renown.session import materialize
 
 # The base patterns.
@@ -275,7 +275,7 @@ def scan_secrets(docs: DataFrame, ranks: DataFrame | None = None, min_log10_gues
         ranks = word_ranks(docs, rows.select(F.explode("own").alias("w")))
     strong = strong_values(found.select("value"), ranks, min_log10_guesses)
     guess = F.struct(F.lit("guess").alias("kind"), "start", "end", F.lit(False).alias("base"))
-    added = found.join(sized(strong), "value").groupBy("row").agg(F.collect_list(guess).alias("added"))
+    added = found.join(weighed(strong, F.octet_length("value")), "value").groupBy("row").agg(F.collect_list(guess).alias("added"))
     # A base span and an added one never start at the same place: they do not overlap.
     order = F.expr("array_sort(spans, (a, b) -> CASE WHEN a.start < b.start THEN -1 WHEN a.start > b.start THEN 1 "
                    f"ELSE cast(array_position(array('{"','".join(KINDS)}'), a.kind) - "

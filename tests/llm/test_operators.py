@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from renown.llm import class_lm, decontaminate, order_minhash, packing, pii, secret_scan, simhash, suffix_dedup, toxicity, warc
+from renown.llm import class_lm, common, decontaminate, order_minhash, packing, pii, secret_scan, simhash, suffix_dedup, toxicity, warc
 from renown.llm.queries import tokenizer_path
 
 PASSAGE = " ".join(f"word{i} token{i * 7}" for i in range(60))
@@ -370,6 +370,15 @@ def test_secret_values_walks_and_repeats():
     assert secret_scan.repeats("abcabcabcabc") == [(3, 3, 12)] and secret_scan.repeats("aaaa") == [(1, 1, 4)]
 
 
+def test_broadcasts_are_bounded_by_bytes(spark):
+    rows = spark.createDataFrame([(i, ["x" * 50] * i) for i in range(1, 9)] + [(9, None)], "k int, items array<string>")
+    width = F.octet_length(F.array_join("items", ","))
+    held = sum(50 * i + i - 1 for i in range(1, 9)) + 9 * 32
+    hints = [common.weighed(rows, width, most)._jdf.queryExecution().logical().toString() for most in (held, held - 1)]
+    assert "broadcast" in hints[0] and "merge" in hints[1]
+    assert "broadcast" in common.weighed(rows.limit(0), width, 0)._jdf.queryExecution().logical().toString()
+
+
 def test_packing(docs, empty):
     out = packing.pack(docs, tokenizer_path(), capacity=64).collect()
     from tokenizers import Tokenizer

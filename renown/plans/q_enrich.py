@@ -21,7 +21,8 @@ def _held_out():
 
 
 def _lang_model(spark, sf_dir):
-    return EN.fit_language_model(X.table(spark, sf_dir, "documents").where(~_held_out()))
+    docs = X.table(spark, sf_dir, "documents").where(~_held_out())
+    return EN.fit_language_model(X.spread(docs.select("text", "lang")))
 
 
 def _fold(name: str):
@@ -56,9 +57,9 @@ SELECT d.doc_id, d.lang, d.held_out, CASE WHEN chars >= {P.NLP_MIN_LEN_DETECT} A
 FROM docs d LEFT JOIN best b ON b.doc_id = d.doc_id""")
 def detect_language(spark, sf_dir):
     """Detected language of every document (counted on the rows that are not held out)."""
-    docs = X.table(spark, sf_dir, "documents")
+    docs = X.spread(X.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     lang = _lang_model(spark, sf_dir)
-    return lang.predict(docs.select("doc_id", "text", "lang"), "text").select(
+    return lang.predict(docs, "text").select(
         "doc_id", "lang", _held_out().alias("held_out"), "detected_language")
 
 

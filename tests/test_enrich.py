@@ -1,9 +1,13 @@
 """Enrichment gates: language resolution, eligibility, overwrite, arithmetic."""
 
+import math
+
+import pytest
 from pyspark.sql import functions as F
 
-from renown.operators.enrich import (FoldedScorer, LexiconScorer, Scorer, WordListLanguage, analysis_text, enrich, fit_folded_scorer, fit_language_model,
+from renown.operators.enrich import (GRAM_BUCKETS, FoldedScorer, LexiconScorer, Scorer, WordListLanguage, analysis_text, enrich, fit_folded_scorer, fit_language_model,
                                      gram_buckets)
+from renown.plans.q_enrich import detect_language
 
 
 class ConstScorer(Scorer):
@@ -98,3 +102,33 @@ def test_run_timestamp(spark):
     row = spark.sql("SELECT timestamp '2026-04-09 12:00:00.9 UTC' AS t, CAST(NULL AS timestamp) AS n") \
         .select(run_timestamp("t"), run_timestamp("n"), run_timestamp()).first()
     assert row[:2] == ("20260409T120000Z", None) and len(row[2]) == 16
+
+
+def test_language_counts_and_scores_come_from_plain_loops(spark):
+    texts = [("Ünï ΣΑΣ 你好 abc", "xx"), ("ab", "xx"), ("", "yy"), ("der die das " * 30, "yy"), (None, "yy"), ("abc", None)]
+    lm = fit_language_model(spark.createDataFrame(texts, "text string, lang string").repartition(3))
+    assert lm.labels == ["xx", "yy"] and lm.priors == [math.log(0.5)] * 2
+    grams = {}
+    for text, lang in texts[:4]:
+        a = [ord(c) for c in text.lower()]
+        grams.setdefault(lang, []).extend((a[i] * 961 + a[i + 1] * 31 + a[i + 2]) % GRAM_BUCKETS for i in range(len(a) - 2))
+    for own, x in zip(lm.weights, lm.labels):
+        assert own == [math.log((grams[x].count(b) + 1) / (len(grams[x]) + GRAM_BUCKETS)) for b in range(GRAM_BUCKETS)]
+    probe = "der abc das 你好 abc"
+    a = [ord(c) for c in probe]
+    sums = [p + sum(w[(a[i] * 961 + a[i + 1] * 31 + a[i + 2]) % GRAM_BUCKETS] for i in range(len(a) - 2))
+            for p, w in zip(lm.priors, lm.weights)]
+    got = spark.createDataFrame([(probe,)], "t string").select(lm.probabilities(F.col("t")).alias("p")).collect()[0].p
+    total = sum(math.exp(s - max(sums)) for s in sums)
+    assert got == pytest.approx([math.exp(s - max(sums)) / total for s in sums], rel=1e-9)
+
+
+def test_language_work_is_not_left_to_one_task(spark, tmp_path):
+    spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words "), F.col("id")).alias("text"),
+                            F.lit("en").alias("lang")).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    own = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert detect_language(spark, str(tmp_path)).rdd.getNumPartitions() == int(own)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from renown import params as P
 from renown.functions.text import keyword_relevant, py_strip
 from renown.operators.dedup import first_per_key
-from renown.session import discard, materialize
+from renown.session import discard, materialize, small_batches
 from renown.sources.landed import (RSS_ITEM_SCHEMA, SCAN_RULES, rejected_responses, resolve_links, scan_landed,
                                    source_cap, talk_sections, task_index)
 
@@ -148,7 +148,8 @@ def scan_talk(pages: DataFrame, max_results: int, queries: list[str]) -> DataFra
     target, by query order, that got any section of it.
     """
     whole = pages.where(F.col("sections").isNotNull() & F.col("wikitext").isNotNull())
-    rows = materialize(talk_sections(whole, max_results).withColumn("task", task_index(queries)), "talk-sections")
+    with small_batches(pages.sparkSession):
+        rows = materialize(talk_sections(whole, max_results).withColumn("task", task_index(queries)), "talk-sections")
     page = ["target", "lang", "page_key"]
     rows = rows.withColumn("page_key", F.lower("page_title"))
     first = rows.groupBy(*page).agg(F.min("task").alias("task"))

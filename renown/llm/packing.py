@@ -16,19 +16,21 @@ are packed as often as they occur; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 from unicodedata import is_normalized
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from renown.session import materialize
+from renown.session import materialize, small_batches
 
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, task int, nth long"
+PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks
@@ -52,10 +54,10 @@ class _WordIds(dict):
     of letters or of ASCII marks alone are one pre-token each, so one call
     over many of them tells their ids apart.  Anything else is encoded by
     itself.  At most ``most`` words of the present and as many of the past
-    are kept; words in use move on from the past.
+    are kept (about 170 bytes each); words in use move on from the past.
     """
 
-    def __init__(self, tokenizer, most: int = 500_000):
+    def __init__(self, tokenizer, most: int = 150_000):
         super().__init__()
         self.tokenizer, self.most, self.past = tokenizer, most, {}
 
@@ -107,11 +109,24 @@ def _worker_words(tokenizer_path: str) -> _WordIds:
     return held[tokenizer_path]
 
 
+_TRAILING = re.compile(rf"[{re.escape(_MARKS)}](?<=[^\W_].)[{re.escape(_MARKS)}]*(?!\S)")  # after a letter or digit
+
+
+def _plain(text: str) -> str:
+    """A text with the same ids and fewer different words: lower case, trailing marks apart.  Itself if ids may differ."""
+    if "<|" in text:
+        return text
+    low = text.lower()
+    if not text.isascii() and ("\u03a3" in text or not is_normalized("NFC", text) or not is_normalized("NFC", low)):
+        return text
+    return _TRAILING.sub(r" \g<0>", low)
+
+
 _ODD_SPACE = "\x1c\x1d\x1e\x1f"  # str.split() takes these for white space, the tokenizer does not
 
 
 def text_ids(texts: list[str], words: _WordIds) -> list[bytes]:
-    split = [None if any(c in t for c in _ODD_SPACE) else t.split() for t in texts]
+    split = [None if any(c in t for c in _ODD_SPACE) else _plain(t).split() for t in texts]
     words.learn(set().union(*filter(None, split)))
     return [np.array(words.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if ws is None
             else b"".join(map(words.__getitem__, ws)) for t, ws in zip(texts, split)]
@@ -131,12 +146,13 @@ def _blocks(texts: list[str], most_chars: int = 1 << 20):
 
 def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """One row per piece, with its number among the pieces of its length in its task."""
-    def cut(batches):
+    def cut(batches):  # Arrow, not pandas, whose import alone takes as much of a worker as 150,000 words
         words = _worker_words(tokenizer_path)
         end = np.array([end_id], dtype="<u4").tobytes()
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
-        for pdf in batches:
-            rows, doc_ids, texts = [], pdf["doc_id"].astype("Int64"), pdf["text"].fillna("").to_numpy()
+        for batch in batches:
+            rows, doc_ids = [], batch.column("doc_id").to_pylist()
+            texts = [t or "" for t in batch.column("text").to_pylist()]
             for a, b in _blocks(texts):
                 for doc_id, ids in zip(doc_ids[a:b], text_ids(texts[a:b], words)):
                     ids += end
@@ -145,10 +161,16 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id
                         n = len(part) // 4
                         rows.append((doc_id, k, at // 4, n, zlib.crc32(part), task, int(seen[n])))
                         seen[n] += 1
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"]
-                               ).astype({"doc_id": "Int64"})
+            yield _record_batch(PIECES, zip(*rows) if rows else [[]] * 7)
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(cut, PIECES)
+
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInPandas(cut, PIECES)
+def _record_batch(schema: str, columns) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32()}
+    named = [x.split() for x in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, kinds[kind])
+                                       for c, (_, kind) in zip(columns, named)], [name for name, _ in named])
 
 
 class _Plan:
@@ -278,7 +300,8 @@ def best_plan(counts: dict[int, int], capacity: int = 2048) -> _Plan:
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
-    pieces = materialize(pieces_of(docs, tokenizer_path, capacity, end_id), "pack-pieces")
+    with small_batches(spark):
+        pieces = materialize(pieces_of(docs, tokenizer_path, capacity, end_id), "pack-pieces")
     per_task = pieces.groupBy("task", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     starts = materialize(per_task.withColumn("rank0", F.coalesce(F.sum("n").over(before), F.lit(0))), "pack-starts")
@@ -289,16 +312,15 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
     def settle(batches):
         length, r0, _, s0, offset, per = shared.value.T
         key = (length << 44) + r0
-        for pdf in batches:
-            size = pdf["length"].to_numpy(np.int64)
-            rank = pdf["rank0"].to_numpy(np.int64) + pdf["nth"].to_numpy(np.int64)
+        for batch in batches:
+            size, rank0, nth = (batch.column(c).to_numpy() for c in ("length", "rank0", "nth"))
+            rank = rank0 + nth
             at = np.searchsorted(key, (size << 44) + rank, side="right") - 1
             k = rank - r0[at]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "piece": pdf["piece"], "start": pdf["start"],
-                                "length": size, "ids_crc32": pdf["ids_crc32"], "sequence_id": s0[at] + k // per[at],
-                                "offset": offset[at] + k % per[at] * size})
+            doc_id, piece, start, crc = (batch.column(c) for c in ("doc_id", "piece", "start", "ids_crc32"))
+            yield _record_batch(PLACED, (doc_id, piece, start, size, crc, s0[at] + k // per[at],
+                                         offset[at] + k % per[at] * size))
 
     return (pieces.join(starts.drop("n"), ["task", "length"])
             .select("doc_id", "piece", "start", F.col("length").cast("long"), "ids_crc32", "rank0", "nth")
-            .mapInPandas(settle, "doc_id long, piece int, start long, length long, ids_crc32 long, "
-                                 "sequence_id long, offset long"))
+            .mapInArrow(settle, PLACED))

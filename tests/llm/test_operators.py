@@ -401,6 +401,37 @@ def test_packing(docs, empty):
     assert packing.pack(empty, tokenizer_path()).count() == 0
 
 
+def test_word_memory_is_small_and_exact():
+    """One entry for all forms of a word, a bounded number of them, and the tokenizer's own ids for odd texts too."""
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(tokenizer_path())
+    words = packing._WordIds(tok)
+    packing.text_ids(["Word, word! WORD word. word"], words)
+    assert set(words) == {"word", ",", "!", "."}
+    for at in range(0, 400_000, 20_000):
+        packing.text_ids([" ".join(f"Q{np.base_repr(i, 26).translate(str.maketrans('0123456789', 'qrstuvwxyz'))}."
+                                   for i in range(at, at + 20_000))], words)
+    assert len(words) + len(words.past) <= 350_000
+
+    r = np.random.default_rng(5)
+    bits = ["Word", "don't", "DOG'S", "x\u00b2", "\u2167", "5", "007", ",", "'", "'s", "!!", "_", "\u2014", "\u2014,", "...", "<|", "|>",
+            "<|endoftext|>", "<|STARTOFTEXT|>", "\u039f\u0394\u039f\u03a3", "\u0130X", "e\u0301", "\u00c9T\u00c9", "\u212a", "\u4e2d\u6587", "\u3002", "\U0001f600",
+            " ", " ", " ", "\n", "\t", "\x1c", "\x1f", "\x85", "\u00a0", "\u200b", "\u1e9e", "\u01c5", "\x00"]
+    odd = ["".join(r.choice(bits, r.integers(0, 30))) for _ in range(4000)]
+    for text, ids in zip(odd, packing.text_ids(odd, words)):
+        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, text
+
+
+def test_packing_of_null_ids_and_repeated_rows(spark):
+    docs = spark.createDataFrame([(None, "a b"), (1, None), (1, "a b"), (1, "a b"), (None, "")], "doc_id long, text string")
+    got = packing.pack(docs, tokenizer_path(), capacity=4)
+    assert dict(got.dtypes) == {x.split()[0]: {"long": "bigint"}.get(x.split()[1], x.split()[1])
+                                for x in packing.PLACED.split(", ")}
+    got = got.collect()
+    assert sorted((str(x.doc_id), x.length) for x in got) == [("1", 1), ("1", 3), ("1", 3), ("None", 1), ("None", 3)]
+    assert len({(x.sequence_id, x.offset) for x in got}) == 5 and len({x.sequence_id for x in got}) == 3
+
+
 def test_plan_is_near_the_lower_bound():
     r = np.random.default_rng(1)
     counts = Counter(r.integers(1, 2049, 20_000).tolist())
